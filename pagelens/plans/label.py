@@ -83,26 +83,28 @@ def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
     return out.withColumn("text", F.when(needs_text, F.col("text")))
 
 
-def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
-    """(page_id, terms ARRAY, images ARRAY, title) for every page that has a
-    content region; ``terms`` holds the top ``opts.top_k`` terms."""
+def annotate(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """Scoped element rows with what the jobs select on: ``src``/``alt``,
+    ``kept`` (image passing H7 and the link filter), ``is_title``/``is_sub``
+    (first h1/h2 of the region), ``is_line`` (U1 membership) and ``line``
+    (its text; the alt for an alt line)."""
     s = scoped_elements(pages, opts)
     w_page = Window.partitionBy("page_id")
     is_img = F.col("tag").isin(list(opts.image_tags))
-    src = H.attr(F.col("tok"), "src")
     alt = H.attr(F.col("tok"), "alt")
     if opts.strip_alt_markup:
         alt = F.replace(alt, F.lit("<p>"), F.lit(""))
-    s = (s.withColumn("src", F.when(is_img, src)).withColumn("alt", F.when(is_img, alt))
+    s = (s.withColumn("src", F.when(is_img, H.attr(F.col("tok"), "src")))
+          .withColumn("alt", F.when(is_img, alt))
           .withColumn("kept", is_img & ~F.col("in_a") & U.link_filter(F.col("src"), opts.link_mode))
           .withColumn("h1_first", F.min(F.when(F.col("tag") == "h1", F.col("open_pos"))).over(w_page))
           .withColumn("h2_first", F.min(F.when(F.col("tag") == "h2", F.col("open_pos"))).over(w_page)))
-    is_title = F.col("open_pos") == F.col("h1_first")
-    is_sub = F.col("open_pos") == F.col("h2_first")
     w_alt = Window.partitionBy("page_id", "alt")
     s = s.withColumn("alt_first", F.min(F.when(F.col("kept"), F.col("open_pos"))).over(w_alt))
-    is_alt_line = F.col("kept") & F.col("alt").isNotNull() & (F.col("open_pos") == F.col("alt_first"))
-
+    is_title = F.coalesce(F.col("open_pos") == F.col("h1_first"), F.lit(False))
+    is_sub = F.coalesce(F.col("open_pos") == F.col("h2_first"), F.lit(False))
+    is_alt_line = (F.col("kept") & F.col("alt").isNotNull()
+                   & (F.col("open_pos") == F.col("alt_first")))
     line = F.lit(False)
     if "p" in opts.parts:
         line = line | ((F.col("tag") == "p") & F.col("in_text"))
@@ -112,18 +114,48 @@ def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
         line = line | is_sub
     if "alt" in opts.parts:
         line = line | is_alt_line
-    line_text = F.when(F.col("kept"), F.col("alt")).otherwise(F.col("text"))
-    info = F.col("kept") | (is_title if opts.with_title else F.lit(False))
+    # U1 order: paragraphs, title, subtitle, then alts; position inside each
+    part = (F.when(F.col("tag") == "p", 0).when(is_title, 1).when(is_sub, 2).otherwise(3))
+    return (s.withColumn("is_title", is_title).withColumn("is_sub", is_sub)
+             .withColumn("is_line", line).withColumn("part", part)
+             .withColumn("line", F.when(F.col("kept"), F.col("alt")).otherwise(F.col("text"))))
+
+
+def article_lines(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """(page_id, line_id, text): the lines an article is counted on (U1),
+    numbered from 1 per article in payload order."""
+    a = annotate(pages, opts).where(F.col("is_line"))
+    w = Window.partitionBy("page_id").orderBy("part", "open_pos")
+    return a.select("page_id", F.row_number().over(w).cast("bigint").alias("line_id"),
+                    F.col("line").alias("text"))
+
+
+def article_images(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """(page_id, images ARRAY<STRING>): kept images in document order, as
+    stems and distinct when the options say so (P9)."""
+    a = annotate(pages, opts).where(F.col("kept"))
+    image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
+    imgs = F.transform(F.array_sort(F.collect_list(F.struct("open_pos", image.alias("i")))),
+                       lambda x: x["i"])
+    if opts.distinct_images:
+        imgs = F.array_distinct(imgs)
+    return a.groupBy("page_id").agg(imgs.alias("images"))
+
 
+def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """(page_id, terms ARRAY, images ARRAY, title) for every page that has a
+    content region; ``terms`` holds the top ``opts.top_k`` terms."""
+    s = annotate(pages, opts)
+    info = F.col("kept") | (F.col("is_title") if opts.with_title else F.lit(False))
     # one explode: a row per distinct term of a line, plus one info row
     # (term null) per kept image / title element
-    terms = F.when(line, F.array_distinct(X.analyze(line_text, opts.analyzer)))
+    terms = F.when(F.col("is_line"), F.array_distinct(X.analyze(F.col("line"), opts.analyzer)))
     items = F.concat(F.coalesce(terms, F.array().cast("array<string>")),
                      F.when(info, F.array(F.lit(None).cast("string")))
                       .otherwise(F.array().cast("array<string>")))
     image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
     g = (s.select("page_id", "open_pos", "kept", image.alias("image"),
-                  F.when(is_title, F.col("text")).alias("title_text"),
+                  F.when(F.col("is_title"), F.col("text")).alias("title_text"),
                   F.explode(items).alias("term")))
     info_row = F.col("term").isNull()
     agg = (g.groupBy("page_id", "term")
