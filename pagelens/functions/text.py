@@ -73,6 +73,24 @@ def analyze(text: Column, analyzer: str = "words") -> Column:
     raise ValueError(f"unknown analyzer {analyzer!r}")
 
 
+def distinct_terms(text: Column, analyzer: str = "words") -> Column:
+    """The distinct terms of one text, the same set as
+    ``array_distinct(analyze(text, analyzer))`` but built from native array
+    functions: ``array_except`` removes stop words and duplicates in one
+    hash pass, leaving a single lambda (the apostrophe cut) over distinct
+    tokens only. Lower-casing the whole text equals lower-casing each token.
+    """
+    if analyzer == "letters":
+        toks = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)
+        return F.array_except(toks, F.array(*[F.lit(w) for w in STOP_ENGLISH]))
+    if analyzer == "words":
+        toks = F.split(F.lower(text), WHITESPACE_RE)
+        kept = F.array_except(toks, F.array(*[F.lit(w) for w in STOP_ENGLISH + STOP_CUSTOM + [""]]))
+        cut = F.transform(kept, lambda t: F.regexp_replace(t, APOSTROPHE_RE, ""))
+        return F.array_remove(F.array_distinct(cut), "")
+    raise ValueError(f"unknown analyzer {analyzer!r}")
+
+
 def list_join(arr: Column, sep: str = ", ") -> Column:
     """Join a list for output (X9 / S11 joined form)."""
     return F.array_join(arr, sep)

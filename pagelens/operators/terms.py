@@ -15,7 +15,7 @@ def line_terms(lines: DataFrame, analyzer: str = "words", text: str = "text") ->
     duplicates inside a line are dropped in-row (no Expand, no shuffle).
     """
     return lines.select("page_id", "line_id",
-                        F.explode(F.array_distinct(X.analyze(F.col(text), analyzer))).alias("term"))
+                        F.explode(X.distinct_terms(F.col(text), analyzer)).alias("term"))
 
 
 def term_doc_count(lines: DataFrame, analyzer: str = "words", text: str = "text") -> DataFrame:

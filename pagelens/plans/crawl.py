@@ -145,8 +145,8 @@ def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
     lt = link_table(pages, region=region, rewrite=lambda h: U.absolutise(h, base))
     stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
     archive = stored.where(F.col("url") == start_url)
-    days = (archive.join(lt.select(F.col("page_id").alias("_a"), "pos", "url"),
-                         archive["page_id"] == F.col("_a"))
+    days = (archive.select(F.col("page_id").alias("_arch"))
+            .join(lt.select(F.col("page_id").alias("_a"), "pos", "url"), F.col("_arch") == F.col("_a"))
             .select(F.col("url").alias("day_url"), F.col("pos").alias("day_pos")))
     days = days.join(stored, days["day_url"] == stored["url"]).select(
         "day_url", "day_pos", "page_id")

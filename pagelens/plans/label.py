@@ -149,7 +149,7 @@ def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     info = F.col("kept") | (F.col("is_title") if opts.with_title else F.lit(False))
     # one explode: a row per distinct term of a line, plus one info row
     # (term null) per kept image / title element
-    terms = F.when(F.col("is_line"), F.array_distinct(X.analyze(F.col("line"), opts.analyzer)))
+    terms = F.when(F.col("is_line"), X.distinct_terms(F.col("line"), opts.analyzer))
     items = F.concat(F.coalesce(terms, F.array().cast("array<string>")),
                      F.when(info, F.array(F.lit(None).cast("string")))
                       .otherwise(F.array().cast("array<string>")))

@@ -1,0 +1,85 @@
+import csv
+import io
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from pagelens.sources import lists as L
+from pagelens.sources import pages as P
+from pagelens.sources import report as R
+
+
+def test_topic_sections_equal_csv_writer(spark):
+    arts = [("/tech/", 1, ["a", "b", "c"], ["https://i/1.jpg", "https://i/2.jpg"], 'Say "hi", all', "https://x/1"),
+            ("/sci/", 2, ["d"], [], "Plain", "https://x/2"),
+            ("/tech/", 3, [], ["u"], None, "https://x/3")]
+    df = spark.createDataFrame(arts, "topic string, ord long, terms array<string>, images array<string>, "
+                                     "title string, url string")
+    rep = R.topic_sections(df).orderBy("section_ord", "part", "row_ord").collect()
+    got = "".join(r.line + "\r\n" for r in rep)
+    buf = io.StringIO()
+    w = csv.writer(buf)
+    data = {}
+    for t, _, terms, imgs, title, url in arts:
+        data.setdefault(t, []).append([", ".join(terms), ", ".join(imgs), title, url])
+    for topic, rows in data.items():
+        w.writerow([topic])
+        w.writerow(R.ARTICLE_FIELDS)
+        w.writerows(rows)
+        w.writerow([""])
+    assert got == buf.getvalue()
+
+
+def test_alt_src_and_label_sections(spark):
+    rows = spark.createDataFrame([(1, 0, None, "/a.jpg"), (1, 1, "", "/b.jpg"), (1, 2, "c", None)],
+                                 "page_id long, pos long, alt string, src string")
+    assert [r.line for r in R.alt_src_lines(rows).orderBy("pos").collect()] == [
+        "None: /a.jpg", ": /b.jpg", "c: None"]
+    lab = spark.createDataFrame([("boxing", 0, "<p>x</p>", "https://i/1"), ("football", 1, None, "https://i/2"),
+                                 ("boxing", 2, "", "https://i/3")], "label string, ord long, alt string, src string")
+    lines = [r.line for r in R.label_sections(lab).orderBy("section_ord", "part", "row_ord").collect()]
+    assert lines == ["boxing", "<p>x</p>,https://i/1", ",https://i/3", "", "football", "None,https://i/2", ""]
+
+
+def test_bulk_payload_roundtrip(spark, tmpdir_path):
+    lines = spark.createDataFrame([(7, 1, "Apple’s \"quote\""), (7, 2, "second"), (8, 1, "other")],
+                                  "page_id long, line_id long, text string")
+    pay = L.bulk_payload(lines).orderBy("page_id", "line_no").collect()
+    assert json.loads(pay[0].json) == {"index": {"_id": "1"}}
+    assert json.loads(pay[1].json) == {"content": "Apple’s \"quote\""}
+    out = os.path.join(tmpdir_path, "payload")
+    L.write_bulk_payload(L.bulk_payload(lines), out)
+    docs = L.read_bulk_payload(spark, out + "/*/*.txt").orderBy("source", "pos").collect()
+    assert sorted((d._id, d.content) for d in docs) == [("1", "Apple’s \"quote\""), ("1", "other"), ("2", "second")]
+
+
+def test_bulk_source_repeated_id_replaces(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "in.json")
+    with open(p, "w") as f:
+        f.write('{"index":{"_id":"1"}}\n{"content": "a"}\n{"index":{"_id":"2"}}\n{"content": "b"}\n'
+                '{"index":{"_id":"1"}}\n{"content": "c"}\n')
+    docs = L.read_bulk_payload(spark, p).orderBy("pos").collect()
+    assert [(d._id, d.content) for d in docs] == [("1", "c"), ("2", "b")]
+    assert L.match_all(L.read_bulk_payload(spark, p).withColumn("page_id", F.lit(1)), order="pos",
+                       hits=1).count() == 1
+
+
+def test_url_list_source_and_sink(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "links.csv")
+    with open(p, "w") as f:
+        f.write("https://a/1,https://a/2\nhttps://a/3\n")
+    urls = L.read_url_list(spark, p)
+    assert [r.url for r in urls.orderBy("ord").collect()] == ["https://a/1", "https://a/2", "https://a/3"]
+    out = os.path.join(tmpdir_path, "out")
+    L.write_url_list(urls, out)
+    assert [r.value for r in spark.read.text(out).collect()] == ["https://a/1", "https://a/2", "https://a/3"]
+
+
+def test_html_file_scan(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "windfall.html")
+    with open(p, "w") as f:
+        f.write("<html><img src='x.png'></html>\n")
+    df = P.read_html_files(spark, p)
+    r = df.first()
+    assert r.url.endswith("windfall.html") and "<img" in r.html and r.page_id is not None
