@@ -44,3 +44,14 @@ def tag_topic_join(links: DataFrame, topics: DataFrame, col: str = "href") -> Da
     w = Window.partitionBy(*key).orderBy("_o")
     return (j.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
             .withColumnRenamed("_t", "topic").drop("_o", "_r"))
+
+
+def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
+    """L1/L2: the first ``n`` rows of a list in list order (a visit budget or
+    the first archive days); a global top-n, so ``n`` is a small budget."""
+    return df.orderBy(order).limit(n)
+
+
+def nth_item(df: DataFrame, order: str, n: int) -> DataFrame:
+    """L3: the item at 0-based position ``n`` of a list (``pop(n)``)."""
+    return df.orderBy(order).offset(n).limit(1)

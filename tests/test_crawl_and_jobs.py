@@ -53,3 +53,15 @@ def test_label_by_url(spark):
     rows = jobs.label_by_url(pages, base, budget=5).collect()
     assert [(r.label, r.alt, r.src) for r in rows] == [("football", "A", "https://i/1.jpg")]
     assert U is not None
+
+
+def test_topic_table_join_and_list_positions(spark):
+    from pagelens.operators.links import first_n, nth_item, tag_topic_join, tag_topic_first
+    links = spark.createDataFrame([(0, "/tech/a"), (1, "/news/science/tech/b"), (2, "/sport/c")],
+                                  "pos long, href string")
+    topics = spark.createDataFrame([("/news/science/", 0), ("/tech/", 1)], "topic string, ord long")
+    got = sorted((r.pos, r.topic) for r in tag_topic_join(links, topics).collect())
+    exp = sorted((r.pos, r.topic) for r in tag_topic_first(links, ["/news/science/", "/tech/"]).collect())
+    assert got == exp == [(0, "/tech/"), (1, "/news/science/")]
+    assert [r.pos for r in first_n(links, "pos", 2).collect()] == [0, 1]
+    assert [r.pos for r in nth_item(links, "pos", 2).collect()] == [2]
