@@ -16,6 +16,8 @@ import re as _re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagelens.functions.literals import long_string_map_sql, sql_string, string_map_sql
+
 # --- fixed values -----------------------------------------------------------
 # Script and style bodies and comments carry no text and no tags.
 CLEAN_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -79,65 +81,62 @@ def _decode_common(s: Column) -> Column:
     return out
 
 
-def _codepoint_char(n: Column) -> Column:
-    """One character from a code point, natively (UTF-32 bytes decoded)."""
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-
-
-def _numeric_ref(piece: Column) -> Column:
-    hexa = piece.rlike("^&#[xX]")
-    digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+)", 1)
-    n = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
-        F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint"))
-    invalid_cp = (n.between(0x1, 0x8) | (n == 0xB) | n.between(0xE, 0x1F)
-                  | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF)
-                  | ((n % 0x10000) >= 0xFFFE))
-    return (F.when(F.try_element_at(_charref_map(), n).isNotNull(), F.try_element_at(_charref_map(), n))
-             .when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
-             .when(invalid_cp, F.lit(""))
-             .otherwise(_codepoint_char(n)))
-
+_PIECE_RE = (r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]{0,31};|[^&]+|&")
+# Tables built from the standard library: named references of HTML 4 (with
+# the ';'), and the replacements the parser uses for invalid numeric ones.
+_NAMED = {f"&{k};": chr(v) for k, v in _entities.name2codepoint.items()}
+_NAMED["&apos;"] = "'"
 
-def _decode_rare(s: Column) -> Column:
-    pieces = F.regexp_extract_all(s, F.lit(_PIECE_RE), 0)
 
-    def one(p: Column) -> Column:
-        named = F.try_element_at(_named_map(), p)
-        return (F.when(p.rlike("^&#"), _numeric_ref(p))
-                 .when(p.startswith("&") & named.isNotNull(), named)
-                 .otherwise(p))
+def _decode_common_sql(x: str) -> str:
+    out = x
+    for ent, ch in FAST_ENTITIES:
+        out = f"replace({out}, {sql_string(ent)}, {sql_string(ch)})"
+    return out
 
-    return F.array_join(F.transform(pieces, one), "")
 
+def _numeric_ref_sql(p: str) -> str:
+    """A numeric reference -> its character, with the parser's replacements
+    for invalid code points (``_n`` is bound once by a one-element array)."""
+    digits = f"regexp_extract({p}, {sql_string(r'^&#[xX]?([0-9a-fA-F]+)')}, 1)"
+    n = (f"CASE WHEN length({digits}) > 8 THEN 1114112L "
+         f"WHEN {p} RLIKE '^&#[xX]' THEN CAST(conv({digits}, 16, 10) AS BIGINT) "
+         f"ELSE CAST({digits} AS BIGINT) END")
+    fixed = f"try_element_at({_charref_map_sql()}, _n)"
+    invalid = ("(_n BETWEEN 1 AND 8 OR _n = 11 OR _n BETWEEN 14 AND 31 OR _n BETWEEN 127 AND 159"
+               " OR _n BETWEEN 64976 AND 65007 OR pmod(_n, 65536) >= 65534)")
+    body = (f"CASE WHEN {fixed} IS NOT NULL THEN {fixed} "
+            f"WHEN _n BETWEEN 55296 AND 57343 OR _n > 1114111 THEN {sql_string(chr(0xFFFD))} "
+            f"WHEN {invalid} THEN '' "
+            f"ELSE decode(unhex(lpad(hex(_n), 8, '0')), 'UTF-32') END")
+    return f"element_at(transform(array({n}), _n -> {body}), 1)"
 
-def decode_entities(s: Column) -> Column:
-    """Decode character references of a text or attribute value (H8).
 
-    Common names are replaced natively (single pass). A value holding any
-    other reference is split into references and plain runs and each
-    reference is decoded by rule: numeric ones to their code point (with the
-    parser's replacements for invalid ones), named ones from the HTML 4 table.
-    Everything stays a deterministic Catalyst expression.
-    """
-    return (F.when(s.rlike(RARE_ENTITY_RE), _decode_rare(s))
-             .when(F.instr(s, "&") > 0, _decode_common(s))
-             .otherwise(s))
+def decode_sql(x: str) -> str:
+    """SQL of H8 for the SQL expression ``x`` (a column name or a lambda
+    variable): common names replaced natively in a single pass; a value with
+    any other reference is split into references and plain runs and each
+    reference is decoded by rule (numeric to its code point, named from the
+    HTML 4 table). Deterministic Catalyst expressions only."""
+    named = f"try_element_at({_named_map_sql()}, _p)"
+    one = (f"CASE WHEN _p RLIKE '^&#' THEN {_numeric_ref_sql('_p')} "
+           f"WHEN startswith(_p, '&') AND {named} IS NOT NULL THEN {named} ELSE _p END")
+    rare = f"array_join(transform(regexp_extract_all({x}, {sql_string(_PIECE_RE)}, 0), _p -> {one}), '')"
+    return (f"CASE WHEN {x} RLIKE {sql_string(RARE_ENTITY_RE)} THEN {rare} "
+            f"WHEN instr({x}, '&') > 0 THEN {_decode_common_sql(x)} ELSE {x} END")
 
 
-_PIECE_RE = (r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]{0,31};|[^&]+|&")
-# Tables built from the standard library: named references of HTML 4 (with
-# the ';'), and the replacements the parser uses for invalid numeric ones.
-_NAMED = {f"&{k};": chr(v) for k, v in _entities.name2codepoint.items()}
-_NAMED["&apos;"] = "'"
+def decode_entities(col: str) -> Column:
+    """Decode character references of the text column ``col`` (H8)."""
+    return F.expr(decode_sql(col))
 
 
-def _named_map() -> Column:
-    return F.map_from_arrays(F.lit(list(_NAMED.keys())), F.lit(list(_NAMED.values())))
+def _named_map_sql() -> str:
+    return string_map_sql(_NAMED)
 
 
-def _charref_map() -> Column:
-    return F.map_from_arrays(F.lit([int(k) for k in _stdlib_html._invalid_charrefs]).cast("array<bigint>"),
-                             F.lit(list(_stdlib_html._invalid_charrefs.values())))
+def _charref_map_sql() -> str:
+    return long_string_map_sql(_stdlib_html._invalid_charrefs)
 
 
 def _walk(name: str) -> str:
@@ -146,15 +145,25 @@ def _walk(name: str) -> str:
             + _re.escape(name) + r")" + _VALUE + r"(?=[\s/>])")
 
 
-def attr(tok: Column, name: str) -> Column:
-    """Attribute value of a start-tag token: null if absent, '' if it has no
-    value, quotes stripped, references decoded."""
-    pat = _walk(name)
-    raw = F.regexp_extract(tok, pat, 1)
-    unq = F.when(raw.rlike(r'(?s)^".*"$') | raw.rlike(r"(?s)^'.*'$"),
-                 F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(tok.rlike(pat), decode_entities(unq))
+_DQUOTED = r'(?s)^".*"$'
+_SQUOTED = r"(?s)^'.*'$"
+
+
+def attr_sql(tok: str, name: str) -> str:
+    """SQL of H5 for the start-tag column ``tok``."""
+    pat = sql_string(_walk(name))
+    raw = f"regexp_extract({tok}, {pat}, 1)"
+    quoted = f"({raw} RLIKE {sql_string(_DQUOTED)} OR {raw} RLIKE {sql_string(_SQUOTED)})"
+    unq = f"CASE WHEN {quoted} THEN substring({raw}, 2, length({raw}) - 2) ELSE {raw} END"
+    return (f"CASE WHEN {tok} RLIKE {pat} THEN "
+            f"element_at(transform(array({unq}), _v -> {decode_sql('_v')}), 1) END")
+
+
+def attr(tok: str, name: str) -> Column:
+    """Attribute ``name`` of the start-tag column ``tok``: null if absent, ''
+    if it has no value, quotes stripped, references decoded (H5)."""
+    return F.expr(attr_sql(tok, name))
 
 
-def attr_present(tok: Column, name: str) -> Column:
-    return tok.rlike(_walk(name))
+def attr_present(tok: str, name: str) -> Column:
+    return F.col(tok).rlike(_walk(name))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagelens.functions.literals import string_array
+
 # --- fixed values -----------------------------------------------------------
 # Built-in English stop list of the analyzers (33 words).
 STOP_ENGLISH = ["a", "an", "and", "are", "as", "at", "be", "but", "by", "for",
@@ -46,7 +48,7 @@ def lowercase(terms: Column) -> Column:
 
 def stop_filter(terms: Column, words: list[str]) -> Column:
     """Remove terms in a fixed stop list (X4/X5, J7 for a literal list)."""
-    stop = F.array(*[F.lit(w) for w in words])
+    stop = string_array(words)
     return F.filter(terms, lambda t: ~F.array_contains(stop, t))
 
 
@@ -82,10 +84,10 @@ def distinct_terms(text: Column, analyzer: str = "words") -> Column:
     """
     if analyzer == "letters":
         toks = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)
-        return F.array_except(toks, F.array(*[F.lit(w) for w in STOP_ENGLISH]))
+        return F.array_except(toks, string_array(STOP_ENGLISH))
     if analyzer == "words":
         toks = F.split(F.lower(text), WHITESPACE_RE)
-        kept = F.array_except(toks, F.array(*[F.lit(w) for w in STOP_ENGLISH + STOP_CUSTOM + [""]]))
+        kept = F.array_except(toks, string_array(STOP_ENGLISH + STOP_CUSTOM + [""]))
         cut = F.transform(kept, lambda t: F.regexp_replace(t, APOSTROPHE_RE, ""))
         return F.array_remove(F.array_distinct(cut), "")
     raise ValueError(f"unknown analyzer {analyzer!r}")

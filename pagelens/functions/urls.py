@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagelens.functions.literals import string_array
+
 
 def https_only(link: Column) -> Column:
     """Non-null links starting with 'https' (F1)."""
@@ -33,7 +35,7 @@ def site_prefix(link: Column, prefix: str) -> Column:
 
 
 def _topics(topics: list[str]) -> Column:
-    return F.array(*[F.lit(t) for t in topics])
+    return string_array(topics)
 
 
 def topic_any(link: Column, topics: list[str]) -> Column:

@@ -30,18 +30,18 @@ def elements(tokens: DataFrame) -> DataFrame:
     """All elements of all pages: (page_id, open_pos, close_pos, tag, tok,
     coff_open, coff_close)."""
     w_page = Window.partitionBy("page_id").orderBy("pos")
-    t = (tokens
-         .withColumn("coff", F.coalesce(F.sum("tlen").over(w_page.rowsBetween(_UNB, -1)), F.lit(0)))
-         .withColumn("end_pos", F.max("pos").over(w_page.rowsBetween(_UNB, _UNF)) + 1)
-         .withColumn("end_coff", F.sum("tlen").over(w_page.rowsBetween(_UNB, _UNF)))
+    t = (tokens.withColumns({
+        "coff": F.coalesce(F.sum("tlen").over(w_page.rowsBetween(_UNB, -1)), F.lit(0)),
+        "end_pos": F.max("pos").over(w_page.rowsBetween(_UNB, _UNF)) + 1,
+        "end_coff": F.sum("tlen").over(w_page.rowsBetween(_UNB, _UNF))})
          .where(F.col("kind") != "text"))
 
     is_open = F.col("kind") == "open"
     void = F.col("tag").isin(H.VOID_TAGS)
     single = is_open & (void | H.is_self_closing(F.col("tok")))
     pair = (is_open & ~single) | (~is_open & ~void)
-    t = t.withColumn("single", single).withColumn(
-        "delta", F.when(pair & is_open, 1).when(pair, -1).otherwise(0))
+    t = t.withColumns({"single": single,
+                       "delta": F.when(pair & is_open, 1).when(pair, -1).otherwise(0)})
 
     # depth per tag, floored at zero: D = S - min(0, running min of S)
     w_tag = Window.partitionBy("page_id", "tag").orderBy("pos")
@@ -56,10 +56,11 @@ def elements(tokens: DataFrame) -> DataFrame:
     # an open and the next row of its (tag, level) partition pair up
     w_lvl = Window.partitionBy("page_id", "tag", "level").orderBy("pos")
     nxt_close = (F.lead("delta").over(w_lvl) == -1) & F.col("level").isNotNull()
-    t = (t.withColumn("match_pos", F.when((F.col("delta") == 1) & nxt_close, F.lead("pos").over(w_lvl)))
-          .withColumn("match_coff", F.when((F.col("delta") == 1) & nxt_close, F.lead("coff").over(w_lvl)))
-          .withColumn("matched_close", (F.col("delta") == -1) & F.col("level").isNotNull()
-                      & (F.lag("delta").over(w_lvl) == 1)))
+    t = t.withColumns({
+        "match_pos": F.when((F.col("delta") == 1) & nxt_close, F.lead("pos").over(w_lvl)),
+        "match_coff": F.when((F.col("delta") == 1) & nxt_close, F.lead("coff").over(w_lvl)),
+        "matched_close": (F.col("delta") == -1) & F.col("level").isNotNull()
+                         & (F.lag("delta").over(w_lvl) == 1)})
 
     # unclosed opens end with the innermost matched element around them:
     # g = matched elements open here; that one ends at the first later
@@ -70,8 +71,9 @@ def elements(tokens: DataFrame) -> DataFrame:
     t = t.withColumn("plvl", F.when(unclosed, F.col("g"))
                      .when(F.col("matched_close"), F.col("g") + 1))
     w_probe = Window.partitionBy("page_id", "plvl").orderBy("pos").rowsBetween(0, _UNF)
-    t = (t.withColumn("enc_pos", F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("pos"))).over(w_probe)))
-          .withColumn("enc_coff", F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("coff"))).over(w_probe))))
+    t = t.withColumns({
+        "enc_pos": F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("pos"))).over(w_probe)),
+        "enc_coff": F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("coff"))).over(w_probe))})
 
     close_pos = (F.when(F.col("single"), F.col("pos"))
                   .when(F.col("match_pos").isNotNull(), F.col("match_pos"))
@@ -92,7 +94,7 @@ def region_condition(by: str, value: str) -> Column:
     matches a tag name (the driver pages mark content with ``<article>``).
     """
     if by == "id":
-        return F.col("tok").contains(value) & (H.attr(F.col("tok"), "id") == value)
+        return F.col("tok").contains(value) & (H.attr("tok", "id") == value)
     if by == "tag":
         return F.col("tag") == value
     raise ValueError(f"unknown region selector {by!r}")
@@ -105,8 +107,8 @@ def with_region(els: DataFrame, by: str, value: str, prefix: str = "r") -> DataF
     first = F.min(F.when(region_condition(by, value),
                          F.struct("open_pos", "close_pos"))).over(w)
     return (els.withColumn(f"_{prefix}", first)
-               .withColumn(f"{prefix}_open", F.col(f"_{prefix}.open_pos"))
-               .withColumn(f"{prefix}_close", F.col(f"_{prefix}.close_pos"))
+               .withColumns({f"{prefix}_open": F.col(f"_{prefix}.open_pos"),
+                             f"{prefix}_close": F.col(f"_{prefix}.close_pos")})
                .drop(f"_{prefix}"))
 
 

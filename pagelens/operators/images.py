@@ -24,8 +24,8 @@ def image_rows(els: DataFrame, tags: list[str] | None = None,
     if skip_linked:
         img = img.where(~F.col("in_a"))
     img = img.select("page_id", F.col("open_pos").alias("pos"),
-                     H.attr(F.col("tok"), "src").alias("src"),
-                     H.attr(F.col("tok"), "alt").alias("alt"))
+                     H.attr("tok", "src").alias("src"),
+                     H.attr("tok", "alt").alias("alt"))
     return img.where(U.link_filter(F.col("src"), link_mode))
 
 

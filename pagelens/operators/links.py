@@ -13,7 +13,7 @@ def link_rows(els: DataFrame) -> DataFrame:
     """(page_id, pos, href) of every ``<a>``, document order; href may be null."""
     return (els.where(F.col("tag") == "a")
             .select("page_id", F.col("open_pos").alias("pos"),
-                    H.attr(F.col("tok"), "href").alias("href")))
+                    H.attr("tok", "href").alias("href")))
 
 
 def tag_topic_first(links: DataFrame, topics: list[str], col: str = "href") -> DataFrame:

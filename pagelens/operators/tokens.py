@@ -14,18 +14,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelens.functions import html as H
+from pagelens.functions.literals import sql_string
 
 
 def prepare_pages(pages: DataFrame, key: str = "page_id", html: str = "html",
-                  partition: bool = True) -> DataFrame:
-    """(page_id, h): script/style/comment-free HTML, partitioned by page."""
+                  partition: bool = True, partitions: int | None = None) -> DataFrame:
+    """(page_id, h): script/style/comment-free HTML, partitioned by page.
+
+    The partition count is explicit (``partitions`` or the session's
+    ``spark.sql.shuffle.partitions``): everything after this exchange is
+    CPU-bound per-page work that multiplies the data several times (tokens,
+    windows, element texts), so letting AQE coalesce the partitions by the
+    shuffled HTML bytes would leave most cores idle. On a cluster set
+    ``spark.sql.shuffle.partitions`` so that one partition holds a few
+    hundred MB of HTML.
+    """
     p = pages.select(F.col(key).cast("bigint").alias("page_id"),
                      H.clean_html(F.col(html)).alias("h"))
-    return p.repartition("page_id") if partition else p
-
-
-def _is_text(tok: Column) -> Column:
-    return ~tok.startswith("<") | (tok == "<")
+    if not partition:
+        return p
+    n = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return p.repartition(n, "page_id")
 
 
 def html_tokens(prepared: DataFrame) -> DataFrame:
@@ -43,7 +52,7 @@ def html_tokens(prepared: DataFrame) -> DataFrame:
     t = t.select(
         "page_id", "pos", "kind",
         F.when(is_text, F.lit("")).otherwise(H.tag_name(F.col("raw"))).alias("tag"),
-        F.when(is_text, H.decode_entities(F.col("raw"))).otherwise(F.col("raw")).alias("tok"))
+        F.when(is_text, H.decode_entities("raw")).otherwise(F.col("raw")).alias("tok"))
     return t.withColumn("tlen", F.when(is_text, F.length("tok")).otherwise(F.lit(0)))
 
 
@@ -54,6 +63,7 @@ def page_text(prepared: DataFrame) -> DataFrame:
     Element texts are substrings of it (``elements.element_text``), which
     avoids joining every text token to every enclosing element.
     """
-    pieces = F.filter(H.token_array(F.col("h")), _is_text)
-    text = F.array_join(F.transform(pieces, H.decode_entities), "")
+    # one SQL expression: pieces of text, each decoded, joined
+    text = F.expr(f"array_join(transform(filter(regexp_extract_all(h, {sql_string(H.TOK_RE)}, 0), "
+                  f"_t -> NOT startswith(_t, '<') OR _t = '<'), _t -> {H.decode_sql('_t')}), '')")
     return prepared.select("page_id", text.alias("page_text"))

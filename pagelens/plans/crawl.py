@@ -44,7 +44,7 @@ def link_table(pages: DataFrame, region: tuple[str, str] | None = None,
         els = with_region(elements(html_tokens(prepared)), *region)
         a = els.where((F.col("tag") == "a") & inside("r")).select(
             "page_id", F.col("open_pos").alias("pos"), "tok")
-    href = H.attr(F.col("tok"), "href")
+    href = H.attr("tok", "href")
     out = a.select("page_id", "pos", href.alias("href"))
     out = out.where(keep(F.col("href")) if keep else F.col("href").isNotNull())
     return out.withColumn("url", rewrite(F.col("href")) if rewrite else F.col("href"))

@@ -28,8 +28,8 @@ def page_images(pages: DataFrame) -> DataFrame:
     element intervals, so this is tokens only."""
     t = html_tokens(prepare_pages(pages))
     img = t.where((F.col("kind") == "open") & (F.col("tag") == "img")).select(
-        "page_id", "pos", H.attr(F.col("tok"), "alt").alias("alt"),
-        H.attr(F.col("tok"), "src").alias("src"))
+        "page_id", "pos", H.attr("tok", "alt").alias("alt"),
+        H.attr("tok", "src").alias("src"))
     return keyed_upsert(img, ["page_id"], "alt", "src")
 
 
@@ -45,8 +45,8 @@ def _page_image_links(pages: DataFrame, region: tuple[str, str] | None,
         els = with_region(elements(t), *region)
         img = els.where((F.col("tag") == "img") & inside("r")).select(
             "page_id", F.col("open_pos").alias("pos"), "tok")
-    img = img.select("page_id", "pos", H.attr(F.col("tok"), "alt").alias("alt"),
-                     H.attr(F.col("tok"), "src").alias("src"))
+    img = img.select("page_id", "pos", H.attr("tok", "alt").alias("alt"),
+                     H.attr("tok", "src").alias("src"))
     return img.where(keep(F.col("src")))
 
 

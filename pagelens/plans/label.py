@@ -91,14 +91,15 @@ def annotate(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     s = scoped_elements(pages, opts)
     w_page = Window.partitionBy("page_id")
     is_img = F.col("tag").isin(list(opts.image_tags))
-    alt = H.attr(F.col("tok"), "alt")
+    alt = H.attr("tok", "alt")
     if opts.strip_alt_markup:
         alt = F.replace(alt, F.lit("<p>"), F.lit(""))
-    s = (s.withColumn("src", F.when(is_img, H.attr(F.col("tok"), "src")))
-          .withColumn("alt", F.when(is_img, alt))
-          .withColumn("kept", is_img & ~F.col("in_a") & U.link_filter(F.col("src"), opts.link_mode))
-          .withColumn("h1_first", F.min(F.when(F.col("tag") == "h1", F.col("open_pos"))).over(w_page))
-          .withColumn("h2_first", F.min(F.when(F.col("tag") == "h2", F.col("open_pos"))).over(w_page)))
+    s = s.withColumns({
+        "src": F.when(is_img, H.attr("tok", "src")),
+        "alt": F.when(is_img, alt),
+        "h1_first": F.min(F.when(F.col("tag") == "h1", F.col("open_pos"))).over(w_page),
+        "h2_first": F.min(F.when(F.col("tag") == "h2", F.col("open_pos"))).over(w_page)})
+    s = s.withColumn("kept", is_img & ~F.col("in_a") & U.link_filter(F.col("src"), opts.link_mode))
     w_alt = Window.partitionBy("page_id", "alt")
     s = s.withColumn("alt_first", F.min(F.when(F.col("kept"), F.col("open_pos"))).over(w_alt))
     is_title = F.coalesce(F.col("open_pos") == F.col("h1_first"), F.lit(False))
@@ -116,9 +117,8 @@ def annotate(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
         line = line | is_alt_line
     # U1 order: paragraphs, title, subtitle, then alts; position inside each
     part = (F.when(F.col("tag") == "p", 0).when(is_title, 1).when(is_sub, 2).otherwise(3))
-    return (s.withColumn("is_title", is_title).withColumn("is_sub", is_sub)
-             .withColumn("is_line", line).withColumn("part", part)
-             .withColumn("line", F.when(F.col("kept"), F.col("alt")).otherwise(F.col("text"))))
+    return s.withColumns({"is_title": is_title, "is_sub": is_sub, "is_line": line, "part": part,
+                          "line": F.when(F.col("kept"), F.col("alt")).otherwise(F.col("text"))})
 
 
 def article_lines(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:

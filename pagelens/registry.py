@@ -203,15 +203,15 @@ def _img_rank(df, pos="open_pos"):
 def q_h5_attribute(spark, sf):
     d = decorated_pages(spark, sf)
     e = elements(html_tokens(prepare_pages(d))).where(F.col("tag").isin("img", "amp-img"))
-    return _img_rank(e).select("page_id", "ord", "tag", H.attr(F.col("tok"), "src").alias("src"),
-                               H.attr(F.col("tok"), "alt").alias("alt"))
+    return _img_rank(e).select("page_id", "ord", "tag", H.attr("tok", "src").alias("src"),
+                               H.attr("tok", "alt").alias("alt"))
 
 
 def q_h7_not_inside_link(spark, sf):
     d = decorated_pages(spark, sf)
     e = with_region(with_ancestor_flag(elements(html_tokens(prepare_pages(d))), "a"), *FRAME)
     e = e.where(inside("r") & F.col("tag").isin("img", "amp-img") & ~F.col("in_a"))
-    return _img_rank(e).select("page_id", "ord", H.attr(F.col("tok"), "src").alias("src"))
+    return _img_rank(e).select("page_id", "ord", H.attr("tok", "src").alias("src"))
 
 
 def q_j1_structural_anti(spark, sf):
@@ -220,7 +220,7 @@ def q_j1_structural_anti(spark, sf):
     imgs = e.where(inside("r") & F.col("tag").isin("img", "amp-img")).withColumnRenamed("open_pos", "pos")
     a = e.where(F.col("tag") == "a").select("page_id", "open_pos", "close_pos")
     kept = structural_join(imgs, a, "left_anti", pos="pos")
-    return _img_rank(kept, "pos").select("page_id", "ord", H.attr(F.col("tok"), "src").alias("src"))
+    return _img_rank(kept, "pos").select("page_id", "ord", H.attr("tok", "src").alias("src"))
 
 
 def q_j2_structural_containment(spark, sf):

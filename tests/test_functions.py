@@ -11,7 +11,7 @@ def test_entity_decoding_matches_stdlib(spark):
     cases = ["a &amp; b", "&amp;lt;", "caf&eacute; &#8217;s &#x41;&#65;", "&#146; &#0; &#xD800;",
              "AT&T &copy; &middot; &quot;q&quot;", "&nbsp;x&unknown;", "plain", "&lt;p&gt;"]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
-    got = [r.d for r in df.select(H.decode_entities(F.col("s")).alias("d")).collect()]
+    got = [r.d for r in df.select(H.decode_entities("s").alias("d")).collect()]
     assert got == [html.unescape(c) for c in cases]
 
 
@@ -19,8 +19,8 @@ def test_attributes_last_wins_and_quotes(spark):
     toks = ['<img src="a.jpg?x=1&amp;y=2" alt="x src=y" src="b.jpg">', "<img alt src='c'>",
             "<a href=/x/y>", '<img data-src="z" alt="">', '<img alt=">" src=d>']
     df = spark.createDataFrame([(t,) for t in toks], "tok string")
-    rows = df.select(H.attr(F.col("tok"), "src").alias("src"),
-                     H.attr(F.col("tok"), "alt").alias("alt")).collect()
+    rows = df.select(H.attr("tok", "src").alias("src"),
+                     H.attr("tok", "alt").alias("alt")).collect()
     assert [(r.src, r.alt) for r in rows] == [
         ("b.jpg", "x src=y"), ("c", ""), (None, None), (None, ""), ("d", ">")]
 
