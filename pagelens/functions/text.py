@@ -89,7 +89,8 @@ def distinct_terms(text: Column, analyzer: str = "words") -> Column:
         toks = F.split(F.lower(text), WHITESPACE_RE)
         kept = F.array_except(toks, string_array(STOP_ENGLISH + STOP_CUSTOM + [""]))
         cut = F.transform(kept, lambda t: F.regexp_replace(t, APOSTROPHE_RE, ""))
-        return F.array_remove(F.array_distinct(cut), "")
+        # the lambda and the second de-duplication only where a cut can happen
+        return F.when(text.rlike("['’]"), F.array_remove(F.array_distinct(cut), "")).otherwise(kept)
     raise ValueError(f"unknown analyzer {analyzer!r}")
 
 

@@ -39,3 +39,27 @@ def terms_list(top: DataFrame) -> DataFrame:
     return (top.groupBy("page_id")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("rk", "term"))),
                              lambda x: x["term"]).alias("terms")))
+
+
+def by_article(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition article rows by their key once, before any per-line
+    work: the line/term explosion then runs in parallel whatever the input
+    file layout, and the (article, term) count and the rank window reuse
+    this partitioning (one exchange instead of two)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
+def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
+               sep: str = "\n") -> DataFrame:
+    """(page_id, line_id, text): one line per text line of each document,
+    numbered from 0; the article is the document."""
+    d = by_article(docs.select(F.col(key).alias("page_id"), F.col(text).alias("_t")), "page_id")
+    return d.select("page_id", F.posexplode(F.split("_t", sep)).alias("line_id", "text"))
+
+
+def row_lines(rows: DataFrame, key: str, line: str, text: str = "text") -> DataFrame:
+    """(page_id, line_id, text) when each row already is a line (a
+    conversation turn): article = ``key``, line = ``line``."""
+    return by_article(rows.select(F.col(key).alias("page_id"), F.col(line).alias("line_id"),
+                                  F.col(text).alias("text")), "page_id")

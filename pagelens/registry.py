@@ -150,9 +150,7 @@ def q_s5_bulk_payload(spark, sf):
 
 
 def _doc_lines(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet")
-    return d.select(F.col("doc_id").alias("page_id"),
-                    F.posexplode(F.split("text", "\n")).alias("line_id", "text"))
+    return T.text_lines(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text")
 
 
 def q_x8_documents_top_terms(spark, sf):
@@ -164,8 +162,7 @@ def q_x7_documents_letter_terms(spark, sf):
 
 
 def q_a1_conversation_terms(spark, sf):
-    c = spark.read.parquet(f"{sf}/conversations.parquet")
-    lines = c.select(F.col("conv_id").alias("page_id"), F.col("turn").alias("line_id"), "text")
+    lines = T.row_lines(spark.read.parquet(f"{sf}/conversations.parquet"), "conv_id", "turn")
     return T.top_terms(T.term_doc_count(lines, "words"), 3)
 
 
