@@ -90,7 +90,11 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     """
     spark = pages.sparkSession
     checkpoint_dir(spark)
+    # every level looks URLs up in the stored pages: materialise (url, page_id)
+    # once, hash-partitioned by url so each level's lookup shuffles only the
+    # frontier
     stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
+    stored = stored.repartition("url").checkpoint()
     frontier = spark.createDataFrame([(u, i) for i, u in enumerate(seeds)],
                                      "url string, k long").select(
         "url", F.struct(F.col("k")).alias("key"))
@@ -124,9 +128,9 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
                 .groupBy(F.col("_out").alias("url"))
                 .agg(F.min(F.struct(F.col("ord").alias("p"), F.col("_lpos").alias("q"))).alias("key")))
         frontier = cand.join(seen, "url", "left_anti").checkpoint()
-        seen = seen.unionByName(frontier.select("url")).checkpoint()
-        if frontier.isEmpty():
-            break
+        # a union of checkpointed pieces: no recomputation, no lineage growth
+        # beyond one scan per level; an empty frontier ends the next level
+        seen = seen.unionByName(frontier.select("url"))
     if visited is None:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
     return visited

@@ -40,7 +40,17 @@ def bulk_payload(lines: DataFrame) -> DataFrame:
 
 
 def write_bulk_payload(payload: DataFrame, path: str) -> None:
-    """S5 sink: one directory per article, lines in payload order."""
+    """S5 sink at scale: JSON records (page_id, line_no, json), each
+    article's lines contiguous and in payload order inside one file; no
+    directory per article."""
+    (payload.repartition("page_id").sortWithinPartitions("page_id", "line_no")
+     .write.mode("overwrite").json(path))
+
+
+def write_bulk_payload_files(payload: DataFrame, path: str) -> None:
+    """S5 in the reference's exact form: one NDJSON pair file per article
+    (``path/page_id=<id>/``). Meant for a bounded set of articles, as each
+    article becomes a directory."""
     (payload.repartition("page_id").sortWithinPartitions("page_id", "line_no")
      .select("page_id", "json").write.mode("overwrite").partitionBy("page_id").text(path))
 
@@ -52,7 +62,9 @@ DOC_SCHEMA = "content STRING"
 def read_bulk_payload(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON pair files -> documents (source, _id, content), as the index
     stores them: an action line applies to the next line; a repeated _id
-    replaces the earlier document but keeps its place (D2)."""
+    replaces the earlier document but keeps its place (D2). A pair file is
+    one article's payload (as the index receives it), so the pairing window
+    per file is bounded by one article."""
     raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source"), "value")
     lines = raw.select("source", F.posexplode(F.split("value", "\n")).alias("pos", "line")).where(

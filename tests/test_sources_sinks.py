@@ -49,7 +49,10 @@ def test_bulk_payload_roundtrip(spark, tmpdir_path):
     assert json.loads(pay[0].json) == {"index": {"_id": "1"}}
     assert json.loads(pay[1].json) == {"content": "Apple’s \"quote\""}
     out = os.path.join(tmpdir_path, "payload")
-    L.write_bulk_payload(L.bulk_payload(lines), out)
+    L.write_bulk_payload_files(L.bulk_payload(lines), out)
+    recs = os.path.join(tmpdir_path, "records")
+    L.write_bulk_payload(L.bulk_payload(lines), recs)
+    assert spark.read.json(recs).count() == 6
     docs = L.read_bulk_payload(spark, out + "/*/*.txt").orderBy("source", "pos").collect()
     assert sorted((d._id, d.content) for d in docs) == [("1", "Apple’s \"quote\""), ("1", "other"), ("2", "second")]
 
