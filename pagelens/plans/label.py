@@ -154,24 +154,30 @@ def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
                      F.when(info, F.array(F.lit(None).cast("string")))
                       .otherwise(F.array().cast("array<string>")))
     image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
+    # an info row carries its payload in the grouping key (it is unique per
+    # element), so the (page, term) aggregation is a plain count
     g = (s.select("page_id", "open_pos", "kept", image.alias("image"),
                   F.when(F.col("is_title"), F.col("text")).alias("title_text"),
-                  F.explode(items).alias("term")))
-    info_row = F.col("term").isNull()
-    agg = (g.groupBy("page_id", "term")
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.collect_list(F.when(info_row & F.col("kept"),
-                                      F.struct("open_pos", "image"))).alias("imgs"),
-                F.max(F.when(info_row, F.col("title_text"))).alias("title")))
+                  F.explode(items).alias("term"))
+          .select("page_id", "term",
+                  F.when(F.col("term").isNull() & F.col("kept"), F.lit("img"))
+                   .when(F.col("term").isNull(), F.lit("title")).alias("info"),
+                  F.when(F.col("term").isNull(), F.col("open_pos")).alias("info_pos"),
+                  F.when(F.col("term").isNull() & F.col("kept"), F.col("image"))
+                   .when(F.col("term").isNull(), F.col("title_text")).alias("info_value")))
+    agg = g.groupBy("page_id", "term", "info", "info_pos", "info_value").agg(
+        F.count(F.lit(1)).alias("n"))
     w_rank = Window.partitionBy("page_id").orderBy(
         F.col("term").isNull(), F.col("n").desc(), F.col("term").asc())
-    ranked = agg.withColumn("rk", F.row_number().over(w_rank))
-    top = F.when(F.col("term").isNotNull() & (F.col("rk") <= opts.top_k),
-                 F.struct("rk", "term"))
+    ranked = (agg.withColumn("rk", F.row_number().over(w_rank))
+              .where(F.col("term").isNull() | (F.col("rk") <= opts.top_k)))
     per_page = (ranked.groupBy("page_id")
-                .agg(F.transform(F.array_sort(F.collect_list(top)), lambda x: x["term"]).alias("terms"),
-                     F.flatten(F.collect_list(F.when(F.col("term").isNull(), F.col("imgs")))).alias("imgs"),
-                     F.max(F.when(F.col("term").isNull(), F.col("title"))).alias("title")))
+                .agg(F.transform(F.array_sort(F.collect_list(
+                         F.when(F.col("term").isNotNull(), F.struct("rk", "term")))),
+                         lambda x: x["term"]).alias("terms"),
+                     F.collect_list(F.when(F.col("info") == "img", F.struct(
+                         F.col("info_pos").alias("open_pos"), F.col("info_value").alias("image")))).alias("imgs"),
+                     F.max(F.when(F.col("info") == "title", F.col("info_value"))).alias("title")))
     images = F.transform(F.array_sort(F.col("imgs")), lambda x: x["image"])
     if opts.distinct_images:
         images = F.array_distinct(images)
