@@ -87,6 +87,11 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     the visit order. A URL with no stored page is skipped and costs no
     budget; links are de-duplicated against everything queued before
     (Q1/Q2). With ``include_seed=False`` the seeds only provide links (Q10).
+
+    FIFO order is carried as a key: the parent's key followed by the link
+    position (arrays compare lexicographically), so a level needs no sort;
+    the visited pages are numbered once at the end, and a level is sorted
+    only when the budget cuts it.
     """
     spark = pages.sparkSession
     checkpoint_dir(spark)
@@ -95,45 +100,46 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     # frontier
     stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
     stored = stored.repartition("url").checkpoint()
-    frontier = spark.createDataFrame([(u, i) for i, u in enumerate(seeds)],
-                                     "url string, k long").select(
-        "url", F.struct(F.col("k")).alias("key"))
+    frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(seeds)],
+                                     "url string, key array<bigint>")
     seen = frontier.select("url").checkpoint()
     # the link table is read once per level: materialise it once
-    links = links.select("page_id", "pos", "url").checkpoint()
-    visited: DataFrame | None = None
+    lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
+                      F.col("url").alias("_out")).checkpoint()
+    levels: list[DataFrame] = []
     n_visited, level = 0, 0
     while True:
-        fetched = frontier.join(stored, "url", "inner")
-        count_it = include_seed or level > 0
-        fetched, k = dense_order(fetched, [F.col("key")], offset=n_visited if count_it else 0)
-        if count_it and budget is not None:
-            fetched = fetched.where(F.col("ord") < budget)
-            k = min(k, budget - n_visited)
-        fetched = fetched.withColumn("level", F.lit(level).cast("bigint"))
+        fetched = frontier.join(stored, "url").withColumn("level", F.lit(level).cast("bigint"))
+        k = fetched.count()
         if k == 0:
             break
-        if count_it:
-            part = fetched.select("url", "page_id", "level", "ord")
-            visited = part if visited is None else visited.unionByName(part)
+        counted = include_seed or level > 0
+        if counted:
+            if budget is not None and n_visited + k > budget:
+                fetched, _ = dense_order(fetched, [F.col("key")])
+                fetched = fetched.where(F.col("ord") < budget - n_visited).drop("ord")
+                k = budget - n_visited
+            levels.append(fetched.select("url", "page_id", "level", "key"))
             n_visited += k
         if budget is not None and n_visited >= budget:
             break
         level += 1
         if max_levels is not None and level > max_levels:
             break
-        lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
-                          F.col("url").alias("_out"))
         cand = (fetched.join(lk, fetched["page_id"] == lk["_src"])
                 .groupBy(F.col("_out").alias("url"))
-                .agg(F.min(F.struct(F.col("ord").alias("p"), F.col("_lpos").alias("q"))).alias("key")))
+                .agg(F.min(F.concat("key", F.array(F.col("_lpos").cast("bigint")))).alias("key")))
         frontier = cand.join(seen, "url", "left_anti").checkpoint()
-        # a union of checkpointed pieces: no recomputation, no lineage growth
-        # beyond one scan per level; an empty frontier ends the next level
+        # a union of checkpointed pieces: no recomputation; an empty frontier
+        # ends the next level
         seen = seen.unionByName(frontier.select("url"))
-    if visited is None:
+    if not levels:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
-    return visited
+    visited = levels[0]
+    for part in levels[1:]:
+        visited = visited.unionByName(part)
+    out, _ = dense_order(visited, [F.col("level"), F.col("key")])
+    return out.select("url", "page_id", "level", "ord")
 
 
 def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
