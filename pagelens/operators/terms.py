@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.functions import text as X
+from pagelens.operators.tokens import page_partitions
 
 
 def line_terms(lines: DataFrame, analyzer: str = "words", text: str = "text") -> DataFrame:
@@ -46,8 +47,7 @@ def by_article(df: DataFrame, key: str, partitions: int | None = None) -> DataFr
     work: the line/term explosion then runs in parallel whatever the input
     file layout, and the (article, term) count and the rank window reuse
     this partitioning (one exchange instead of two)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    return df.repartition(partitions or page_partitions(df, [c for c in df.columns if c != key][0]), key)
 
 
 def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",

@@ -17,24 +17,38 @@ from pagelens.functions import html as H
 from pagelens.functions.literals import sql_string
 
 
+# Target size of one page partition, in (estimated) bytes of HTML read.
+PAGE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def page_partitions(pages: DataFrame, html: str = "html") -> int:
+    """Partition count for the page exchange: the session's
+    ``spark.sql.shuffle.partitions`` or, if more, one partition per
+    ``PAGE_PARTITION_BYTES`` of the planner's size estimate of the projected
+    scan (file sizes scaled to the read columns; no job is run)."""
+    base = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        est = int(str(pages.select(html)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable (e.g. a streaming or remote plan)
+        return base
+    return max(base, -(-est // PAGE_PARTITION_BYTES))
+
+
 def prepare_pages(pages: DataFrame, key: str = "page_id", html: str = "html",
                   partition: bool = True, partitions: int | None = None) -> DataFrame:
     """(page_id, h): script/style/comment-free HTML, partitioned by page.
 
-    The partition count is explicit (``partitions`` or the session's
-    ``spark.sql.shuffle.partitions``): everything after this exchange is
-    CPU-bound per-page work that multiplies the data several times (tokens,
-    windows, element texts), so letting AQE coalesce the partitions by the
-    shuffled HTML bytes would leave most cores idle. On a cluster set
-    ``spark.sql.shuffle.partitions`` so that one partition holds a few
-    hundred MB of HTML.
+    The partition count is explicit (``partitions``, else ``page_partitions``):
+    everything after this exchange is CPU-bound per-page work that
+    multiplies the data several times (tokens, windows, element texts), so
+    letting AQE coalesce the partitions by the shuffled HTML bytes would
+    leave most cores idle, and too few partitions would not fit in memory.
     """
     p = pages.select(F.col(key).cast("bigint").alias("page_id"),
                      H.clean_html(F.col(html)).alias("h"))
     if not partition:
         return p
-    n = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return p.repartition(n, "page_id")
+    return p.repartition(partitions or page_partitions(pages, html), "page_id")
 
 
 def html_tokens(prepared: DataFrame) -> DataFrame:
