@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagelens.functions.literals import string_array
 
 
 def https_only(link: Column) -> Column:
@@ -34,20 +33,26 @@ def site_prefix(link: Column, prefix: str) -> Column:
     return F.coalesce(link.startswith(prefix), F.lit(False))
 
 
-def _topics(topics: list[str]) -> Column:
-    return string_array(topics)
-
-
 def topic_any(link: Column, topics: list[str]) -> Column:
     """True if the link contains any of the topic strings."""
-    return F.coalesce(F.exists(_topics(topics), lambda t: F.instr(link, t) > 0),
-                      F.lit(False))
+    cond = F.lit(False)
+    for t in topics:
+        cond = cond | F.coalesce(F.instr(link, t) > 0, F.lit(False))
+    return cond
 
 
 def topic_first(link: Column, topics: list[str]) -> Column:
-    """First topic, in list order, that the link contains; null if none."""
-    return F.try_element_at(
-        F.filter(_topics(topics), lambda t: F.instr(link, t) > 0), F.lit(1))
+    """First topic, in list order, that the link contains; null if none.
+
+    A CASE chain over the (short, configured) topic list rather than a
+    lambda over an array: expressions without lambdas stay codegen'd and are
+    safe to rewrite when the plan joins a relation with itself.
+    """
+    out = None
+    for t in topics:
+        out = (F.when(F.instr(link, t) > 0, F.lit(t)) if out is None
+               else out.when(F.instr(link, t) > 0, F.lit(t)))
+    return out if out is not None else F.lit(None).cast("string")
 
 
 def absolutise(link: Column, base: str) -> Column:

@@ -19,19 +19,25 @@ from pagelens.functions.literals import sql_string
 
 # Target size of one page partition, in (estimated) bytes of HTML read.
 PAGE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PAGE_PARTITIONS = 1_000_000
 
 
 def page_partitions(pages: DataFrame, html: str = "html") -> int:
     """Partition count for the page exchange: the session's
     ``spark.sql.shuffle.partitions`` or, if more, one partition per
     ``PAGE_PARTITION_BYTES`` of the planner's size estimate of the projected
-    scan (file sizes scaled to the read columns; no job is run)."""
+    scan (file sizes scaled to the read columns; no job is run). Inputs that
+    are not file scans keep the session setting."""
     base = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
+        if not pages.inputFiles():  # in-memory or non-file input: no size to trust
+            return base
         est = int(str(pages.select(html)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # estimate unavailable (e.g. a streaming or remote plan)
         return base
-    return max(base, -(-est // PAGE_PARTITION_BYTES))
+    if est >= 2 ** 62:  # "unknown" (the planner's default size): keep the session's setting
+        return base
+    return int(min(MAX_PAGE_PARTITIONS, max(base, -(-est // PAGE_PARTITION_BYTES))))
 
 
 def prepare_pages(pages: DataFrame, key: str = "page_id", html: str = "html",

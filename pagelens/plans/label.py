@@ -54,7 +54,7 @@ V3 = LabelOptions()
 
 
 def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
-                    tags: list[str] | None = None) -> DataFrame:
+                    tags: list[str] | None = None, with_text: bool = True) -> DataFrame:
     """Element rows inside the content region, with ``in_a`` and ``text``.
 
     Columns: page_id, open_pos, close_pos, tag, tok, in_a, in_text, text.
@@ -78,17 +78,19 @@ def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
         in_text = F.lit(True)
     tags = tags or ["p", "h1", "h2", *opts.image_tags]
     els = els.where(scope & F.col("tag").isin(tags)).withColumn("in_text", in_text)
+    if not with_text:
+        return els.withColumn("text", F.lit(None).cast("string"))
     needs_text = F.col("tag").isin("p", "h1", "h2")
     out = element_text(els, page_text(prepared))
     return out.withColumn("text", F.when(needs_text, F.col("text")))
 
 
-def annotate(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+def annotate(pages: DataFrame, opts: LabelOptions = V3, with_text: bool = True) -> DataFrame:
     """Scoped element rows with what the jobs select on: ``src``/``alt``,
     ``kept`` (image passing H7 and the link filter), ``is_title``/``is_sub``
     (first h1/h2 of the region), ``is_line`` (U1 membership) and ``line``
     (its text; the alt for an alt line)."""
-    s = scoped_elements(pages, opts)
+    s = scoped_elements(pages, opts, with_text=with_text)
     w_page = Window.partitionBy("page_id")
     is_img = F.col("tag").isin(list(opts.image_tags))
     alt = H.attr("tok", "alt")
@@ -133,7 +135,7 @@ def article_lines(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
 def article_images(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     """(page_id, images ARRAY<STRING>): kept images in document order, as
     stems and distinct when the options say so (P9)."""
-    a = annotate(pages, opts).where(F.col("kept"))
+    a = annotate(pages, opts, with_text=False).where(F.col("kept"))
     image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
     imgs = F.transform(F.array_sort(F.collect_list(F.struct("open_pos", image.alias("i")))),
                        lambda x: x["i"])

@@ -34,18 +34,26 @@ def section_report(body: DataFrame, key: str, order: str, line: Column,
     h+1; ``row_ord`` orders the rows (null for headers and trailer)."""
     headers = headers or []
     h = len(headers)
-    sec = body.groupBy(key).agg(F.min(order).alias("section_ord"))
-    rows = body.join(sec, key).select(
+    # the per-section table is built from renamed columns and joined on an
+    # explicit key, so the self-join never has to re-resolve body columns
+    sec = (body.select(F.col(key).alias("_sk"), F.col(order).alias("_so"))
+           .groupBy("_sk").agg(F.min("_so").alias("section_ord")))
+    rows = body.join(sec, body[key] == sec["_sk"]).select(
         "section_ord", F.lit(h).alias("part"), F.col(order).alias("row_ord"), line.alias("line"))
-    null_ord = F.lit(None).cast(rows.schema["row_ord"].dataType)
-    out = rows
-    for i, hd in enumerate(headers):
-        out = out.unionByName(sec.select("section_ord", F.lit(i).alias("part"),
-                                         null_ord.alias("row_ord"), hd(F.col(key)).alias("line")))
+    # header and trailer lines of every section from one explode of the
+    # per-section table
+    extra = [F.struct(F.lit(i).alias("part"), hd(F.col(key)).alias("line"))
+             for i, hd in enumerate(headers)]
     if trailer is not None:
-        out = out.unionByName(sec.select("section_ord", F.lit(h + 1).alias("part"),
-                                         null_ord.alias("row_ord"), F.lit(trailer).alias("line")))
-    return out
+        extra.append(F.struct(F.lit(h + 1).alias("part"), F.lit(trailer).alias("line")))
+    if not extra:
+        return rows
+    null_ord = F.lit(None).cast(rows.schema["row_ord"].dataType)
+    frame = sec.withColumnRenamed("_sk", key).select(
+        "section_ord", F.explode(F.array(*extra)).alias("_x")).select(
+        "section_ord", F.col("_x.part").alias("part"), null_ord.alias("row_ord"),
+        F.col("_x.line").alias("line"))
+    return rows.unionByName(frame)
 
 
 def write_lines(report: DataFrame, path: str, line_sep: str = "\n") -> None:
