@@ -46,6 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                             "a machine-local folder would not survive a lost executor")
         conf = tempfile.mkdtemp(prefix="pagelens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
