@@ -22,23 +22,29 @@ STOP_ENGLISH = ["a", "an", "and", "are", "as", "at", "be", "but", "by", "for",
 STOP_CUSTOM = ["you", "from", "have", "can", "been", "were", "has", "your",
                "its", "than"]
 # Characters the whitespace tokenizer splits on (Java's isWhitespace set).
-WHITESPACE_RE = (r"[\t\n\x0B\f\r\x1C-\x1F \x{1680}\x{2000}-\x{2006}"
-                 r"\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}]+")
+WHITESPACE_CLASS = (r"\t\n\x0B\f\r\x1C-\x1F \x{1680}\x{2000}-\x{2006}"
+                    r"\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}")
+# Both tokenizers cut a longer token into pieces of at most this length.
+MAX_TOKEN_LENGTH = 255
 # The apostrophe filter cuts a term at the first of these.
 APOSTROPHE_RE = "['’].*$"
 # Longest exact copy a keyword sub-field keeps.
 KEYWORD_IGNORE_ABOVE = 256
 # ---------------------------------------------------------------------------
+WHITESPACE_RE = f"[{WHITESPACE_CLASS}]+"
+# a token: a run of non-whitespace, cut every MAX_TOKEN_LENGTH characters
+SPACE_TOKEN_RE = f"[^{WHITESPACE_CLASS}]{{1,{MAX_TOKEN_LENGTH}}}"
+LETTER_TOKEN_RE = f"\\p{{L}}{{1,{MAX_TOKEN_LENGTH}}}"
 
 
 def letter_tokens(text: Column) -> Column:
     """Runs of letters, lower-cased."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)
+    return F.regexp_extract_all(F.lower(text), F.lit(LETTER_TOKEN_RE), 0)
 
 
 def space_tokens(text: Column) -> Column:
     """Split on whitespace only; punctuation stays in the token."""
-    return F.filter(F.split(text, WHITESPACE_RE), lambda t: t != "")
+    return F.regexp_extract_all(text, F.lit(SPACE_TOKEN_RE), 0)
 
 
 def lowercase(terms: Column) -> Column:
@@ -83,10 +89,10 @@ def distinct_terms(text: Column, analyzer: str = "words") -> Column:
     tokens only. Lower-casing the whole text equals lower-casing each token.
     """
     if analyzer == "letters":
-        toks = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)
+        toks = F.regexp_extract_all(F.lower(text), F.lit(LETTER_TOKEN_RE), 0)
         return F.array_except(toks, string_array(STOP_ENGLISH))
     if analyzer == "words":
-        toks = F.split(F.lower(text), WHITESPACE_RE)
+        toks = F.regexp_extract_all(F.lower(text), F.lit(SPACE_TOKEN_RE), 0)
         kept = F.array_except(toks, string_array(STOP_ENGLISH + STOP_CUSTOM + [""]))
         cut = F.transform(kept, lambda t: F.regexp_replace(t, APOSTROPHE_RE, ""))
         # the lambda and the second de-duplication only where a cut can happen

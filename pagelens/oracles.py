@@ -8,7 +8,8 @@ state the expected values in closed form from ``page_id``.
 from __future__ import annotations
 
 from pagelens.functions.html import CLEAN_RE, TOK_RE, VOID_TAGS
-from pagelens.functions.text import STOP_CUSTOM, STOP_ENGLISH, WHITESPACE_RE
+from pagelens.functions.text import (LETTER_TOKEN_RE, SPACE_TOKEN_RE, STOP_CUSTOM,
+                                     STOP_ENGLISH)
 from pagelens.registry import DECORATE_SQL, LANG_TOPICS
 
 
@@ -111,13 +112,13 @@ def term_ctes(lines: str = "lines", analyzer: str = "words") -> str:
     if analyzer == "words":
         stops = _in(STOP_ENGLISH + STOP_CUSTOM)
         body = f"""
-wt AS (SELECT page_id, line_id, unnest(string_split_regex(text, {_q(WHITESPACE_RE)})) AS w FROM {lines}),
+wt AS (SELECT page_id, line_id, unnest(regexp_extract_all(text, {_q(SPACE_TOKEN_RE)})) AS w FROM {lines}),
 wt2 AS (SELECT DISTINCT page_id, line_id, regexp_replace(lower(w), '[''’].*$', '') AS term
         FROM wt WHERE w <> '' AND lower(w) NOT IN ({stops})),"""
     else:
         stops = _in(STOP_ENGLISH)
         body = f"""
-wt AS (SELECT page_id, line_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w FROM {lines}),
+wt AS (SELECT page_id, line_id, unnest(regexp_extract_all(lower(text), {_q(LETTER_TOKEN_RE)})) AS w FROM {lines}),
 wt2 AS (SELECT DISTINCT page_id, line_id, w AS term FROM wt WHERE w NOT IN ({stops})),"""
     return body + """
 cnt AS (SELECT page_id, term, count(*)::BIGINT AS n FROM wt2 WHERE term <> '' GROUP BY page_id, term),

@@ -56,3 +56,11 @@ def test_list_render(spark):
     df = spark.createDataFrame([(["a", "b"],), ([],)], "x array<string>")
     rows = df.select(X.list_join(F.col("x")).alias("j"), X.list_literal(F.col("x")).alias("l")).collect()
     assert [(r.j, r.l) for r in rows] == [("a, b", "['a', 'b']"), ("", "[]")]
+
+
+def test_long_tokens_cut_at_255(spark):
+    long = "x" * 600
+    df = spark.createDataFrame([(f"a {long} b",)], "t string")
+    got = df.select(X.space_tokens(F.col("t")).alias("s"), X.letter_tokens(F.col("t")).alias("l")).first()
+    assert [len(t) for t in got.s] == [1, 255, 255, 90, 1]
+    assert [len(t) for t in got.l] == [1, 255, 255, 90, 1]
