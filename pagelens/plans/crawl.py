@@ -80,19 +80,25 @@ def dense_order(df: DataFrame, key: list[Column], offset: int = 0,
 
 def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
               budget: int | None = None, include_seed: bool = True,
-              max_levels: int | None = None) -> DataFrame:
+              max_levels: int | None = None, dedupe: str = "seen") -> DataFrame:
     """FIFO crawl from ``seeds``; at most ``budget`` stored pages.
 
     Returns (url, page_id, level, ord) of the visited pages, ``ord`` being
     the visit order. A URL with no stored page is skipped and costs no
     budget; links are de-duplicated against everything queued before
-    (Q1/Q2). With ``include_seed=False`` the seeds only provide links (Q10).
+    (Q1/Q2, ``dedupe='seen'``); ``dedupe='none'`` queues every link occurrence
+    again, so a page can be visited more than once (needs a budget). With
+    ``include_seed=False`` the seeds only provide links (Q10).
 
     FIFO order is carried as a key: the parent's key followed by the link
     position (arrays compare lexicographically), so a level needs no sort;
     the visited pages are numbered once at the end, and a level is sorted
     only when the budget cuts it.
     """
+    if dedupe not in ("seen", "none"):
+        raise ValueError(f"unknown dedupe {dedupe!r}")
+    if dedupe == "none" and budget is None and max_levels is None:
+        raise ValueError("dedupe='none' revisits pages: give a budget or max_levels")
     spark = pages.sparkSession
     checkpoint_dir(spark)
     # every level looks URLs up in the stored pages: materialise (url, page_id)
@@ -126,9 +132,13 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
         level += 1
         if max_levels is not None and level > max_levels:
             break
-        cand = (fetched.join(lk, fetched["page_id"] == lk["_src"])
-                .groupBy(F.col("_out").alias("url"))
-                .agg(F.min(F.concat("key", F.array(F.col("_lpos").cast("bigint")))).alias("key")))
+        out = fetched.join(lk, fetched["page_id"] == lk["_src"]).select(
+            F.col("_out").alias("url"),
+            F.concat("key", F.array(F.col("_lpos").cast("bigint"))).alias("key"))
+        if dedupe == "none":
+            frontier = out.checkpoint()
+            continue
+        cand = out.groupBy("url").agg(F.min("key").alias("key"))
         frontier = cand.join(seen, "url", "left_anti").checkpoint()
         # a union of checkpointed pieces: no recomputation; an empty frontier
         # ends the next level

@@ -65,3 +65,14 @@ def test_topic_table_join_and_list_positions(spark):
     assert got == exp == [(0, "/tech/"), (1, "/news/science/")]
     assert [r.pos for r in first_n(links, "pos", 2).collect()] == [0, 1]
     assert [r.pos for r in nth_item(links, "pos", 2).collect()] == [2]
+
+
+def test_bfs_without_dedupe_revisits(spark):
+    pages = spark.createDataFrame([
+        (0, "/a", '<a href="/b">b</a><a href="/b">again</a>'),
+        (1, "/b", '<a href="/a">a</a>')], "page_id long, url string, html string")
+    lt = link_table(pages)
+    seen = [r.url for r in bfs_crawl(pages, ["/a"], lt, budget=5).orderBy("ord").collect()]
+    assert seen == ["/a", "/b"]
+    rep = [r.url for r in bfs_crawl(pages, ["/a"], lt, budget=5, dedupe="none").orderBy("ord").collect()]
+    assert rep == ["/a", "/b", "/b", "/a", "/a"]
