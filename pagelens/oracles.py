@@ -10,7 +10,7 @@ from __future__ import annotations
 from pagelens.functions.html import CLEAN_RE, TOK_RE, VOID_TAGS
 from pagelens.functions.text import (LETTER_TOKEN_RE, SPACE_TOKEN_RE, STOP_CUSTOM,
                                      STOP_ENGLISH)
-from pagelens.registry import DECORATE_SQL, LANG_TOPICS
+from pagelens.registry import LANG_TOPICS
 
 
 def _q(s: str) -> str:
@@ -179,10 +179,6 @@ lines AS (SELECT doc_id AS page_id, (t.i - 1)::BIGINT AS line_id, t.text
           FROM documents, unnest(string_split(text, chr(10))) WITH ORDINALITY AS t(text, i))"""
 
 
-def _dec(expr_rows: str) -> str:
-    return f"WITH dec AS ({DECORATE_SQL}) " + expr_rows
-
-
 K = "cast(page_id as varchar)"
 
 
