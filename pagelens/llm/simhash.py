@@ -57,8 +57,9 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows without their text, plus `fp` (the fingerprint as a signed long)."""
-    others = [c for c in docs.columns if c != text_col]
+    """The rows without their text, plus `fp` (the fingerprint as a signed long).
+    Input columns with the names of results are replaced."""
+    others = [c for c in docs.columns if c not in (text_col, "fp", "fingerprint", "component_id")]
     src = docs.select(*[F.col(f"`{c}`") for c in others],
                       F.col(f"`{text_col}`").cast("binary").alias("__text"))
     schema = src.drop("__text").withColumn("fp", F.lit(0).cast("long")).schema
