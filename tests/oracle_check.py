@@ -12,7 +12,7 @@ import time
 
 import duckdb
 
-TABLES = ["pages", "documents", "conversations", "benchmark", "labels"]
+TABLES = ["pages", "documents", "conversations", "benchmark", "labels", "embeddings"]
 
 
 def norm(v):
