@@ -1,0 +1,72 @@
+import glob
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from pagelens.llm import sharding
+from tests.llm.helpers import empty_docs, odd_docs
+
+
+def law(rows, shards=8):
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    sizes = [len(by.get(s, [])) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+    return sizes
+
+
+def key(rows):
+    return sorted(((r["shard"], r["slot"], r["doc_id"], r["text"]) for r in rows), key=repr)
+
+
+def test_odd_rows(spark):
+    df = odd_docs(spark).withColumn("shard", F.lit("mine"))
+    out = sharding.shuffle(df)
+    rows = out.collect()
+    law(rows)
+    assert sorted(((r["doc_id"], r["text"], r["source"]) for r in rows), key=repr) == \
+        sorted(((r["doc_id"], r["text"], r["source"]) for r in df.collect()), key=repr)
+    assert sharding.shuffle(empty_docs(spark)).count() == 0
+
+
+def test_order_is_independent_of_the_input_order_and_repeats(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    a = sharding.shuffle(docs, bucket_bytes=200_000).collect()
+    b = sharding.shuffle(docs.repartition(5).orderBy("text"), bucket_bytes=200_000).collect()
+    assert key(a) == key(b)
+    assert max(law(a)) == 125
+    other = sharding.shuffle(docs, bucket_bytes=200_000, seed=1).collect()
+    assert key(a) != key(other)
+
+
+def test_order_looks_random(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"))
+    rows = sharding.shuffle(docs, bucket_bytes=9 * 700).orderBy("shard", "slot").collect()
+    ids = np.array([r["doc_id"] for r in rows])
+    assert abs(np.corrcoef(ids, np.arange(len(ids)))[0, 1]) < 0.04
+    assert abs((np.diff(ids) > 0).mean() - 0.5) < 0.02
+
+
+def test_fisher_yates_is_uniform():
+    n = {}
+    for seed in range(6000):
+        p = tuple(sharding.fisher_yates(3, seed, 1))
+        n[p] = n.get(p, 0) + 1
+    assert len(n) == 6 and all(850 < v < 1150 for v in n.values())
+    assert len(sharding.fisher_yates(0, 1, 1)) == 0
+
+
+def test_written_shards_round_trip(spark, tmpdir_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = sharding.shuffle(docs, bucket_bytes=50_000)
+    sharding.write_shards(out, f"{tmpdir_path}/s")
+    for s in range(8):
+        files = sorted(glob.glob(f"{tmpdir_path}/s/shard={s}/*.parquet"))
+        slots = [x for f in files for x in pq.ParquetFile(f).read().column("slot").to_pylist()]
+        assert slots == list(range(25))
+    back = spark.read.parquet(f"{tmpdir_path}/s").agg(F.sum(F.crc32(F.col("text").cast("binary"))).alias("c")).first()["c"]
+    assert back == sum(zlib.crc32(r["text"].encode()) for r in docs.collect())
