@@ -21,14 +21,14 @@ def op1_simhash(spark, sf):
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
-def _remainder(column: str, m: int):
+def remainder(column: str, m: int):
     """crc32 of an id as text, modulo m; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % m
 
 
 def op2_langid(spark, sf):
     docs = _table(spark, sf, "documents")
-    held = _remainder("doc_id", 4) == 2
+    held = remainder("doc_id", 4) == 2
     model = langid.fit(docs.where(~held).select("doc_id", "text", "lang"))
     return langid.identify(docs.select("doc_id", held.alias("held_out"), "text"), model)
 
@@ -53,9 +53,9 @@ def op5_url_filter(spark, sf):
 
 def op6_toxicity(spark, sf):
     docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
-    model = toxicity.fit(docs.where(_remainder("doc_id", 5) != 0).select("doc_id", "text"),
-                         labels.where(_remainder("doc_id", 5) != 0).select("doc_id", "toxic"))
-    held = (_remainder("doc_id", 5) == 0).alias("held_out")
+    model = toxicity.fit(docs.where(remainder("doc_id", 5) != 0).select("doc_id", "text"),
+                         labels.where(remainder("doc_id", 5) != 0).select("doc_id", "toxic"))
+    held = (remainder("doc_id", 5) == 0).alias("held_out")
     rows = toxicity.score(docs.select("doc_id", held, "text"), model)
     nearest = F.array_join(F.transform("evidence", lambda e: e.id.cast("string")), ",")
     return rows.select("doc_id", "held_out", "score", "predicted", nearest.alias("nearest"))

@@ -59,7 +59,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The rows without their text, plus `fp` (the fingerprint as a signed long).
     Input columns with the names of results are replaced."""
-    others = [c for c in docs.columns if c not in (text_col, "fp", "fingerprint", "component_id")]
+    others = [c for c in docs.columns if c not in (text_col, "fp", "fingerprint", "component_id", "group_id")]
     src = docs.select(*[F.col(f"`{c}`") for c in others],
                       F.col(f"`{text_col}`").cast("binary").alias("__text"))
     schema = src.drop("__text").withColumn("fp", F.lit(0).cast("long")).schema
@@ -161,7 +161,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, list_rows: int = LIST_ROWS)
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """All rows without their text, plus `fingerprint` (16 hex digits), `fp` (the
-    same as a long) and `component_id`, the smallest id reachable over links.
+    same as a long), `component_id`, the smallest id reachable over links, and
+    `group_id`, the group's smallest `fp`.
 
     A null or wordless text has fingerprint zero and is linked like any other.
     Equal texts share a fingerprint and so a group. A group whose ids are all
@@ -175,5 +176,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("fp", "__id", F.coalesce("root", "fp").alias("__root"))
     nodes = cut(nodes)
     label = cut(nodes.groupBy("__root").agg(F.min("__id").alias("component_id")))
-    names = cut(nodes.select("fp", "__root").join(label, "__root").select("fp", "component_id"))
+    names = cut(nodes.select("fp", "__root").join(label, "__root").select("fp", "component_id", F.col("__root").alias("group_id")))
     return rows.join(names, "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))

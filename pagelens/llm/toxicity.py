@@ -221,9 +221,9 @@ def build(parts) -> Index:
     return Index(idf, ids, labels, [(t.tolist(), w.tolist()) for t, w in vectors])
 
 
-def score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """The rows without their text, plus `score` (0 to 1), `predicted` and `evidence`
-    (the nearest examples: id, label, cosine).
+def score(docs: DataFrame, model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """The rows (with their text only if `keep_text`), plus `score` (0 to 1), `predicted`
+    and `evidence` (the nearest examples: id, label, cosine).
 
     Null and empty texts, and texts without a term of the vocabulary, have no
     neighbours and get the label's rate among such examples. Whole texts are read.
@@ -231,7 +231,8 @@ def score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     others = [c for c in docs.columns if c not in (text_col, "score", "predicted", "evidence")]
     src = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`").alias("__text"))
     kind = "array<struct<id: bigint, label: int, cosine: double>>"
-    schema = src.drop("__text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0),
+    kept = src if keep_text else src.drop("__text")
+    schema = kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0),
                                              "evidence": F.lit(None).cast(kind)}).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by per_label examples and `size` terms
 
@@ -251,8 +252,8 @@ def score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
                 out.append((float(p), [{"id": int(index.ids[i]), "label": int(index.labels[i]), "cosine": float(x)}
                                        for i, x in zip(n, c)]))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(b.num_columns - 1)), pa.array([o[0] for o in out], pa.float64()),
-                 pa.array([int(o[0] >= 0.5) for o in out], pa.int32()), pa.array([o[1] for o in out], near)],
-                names=[*b.schema.names[:-1], "score", "predicted", "evidence"])
+                [*(b.column(i) for i in range(b.num_columns - (not keep_text))), pa.array([o[0] for o in out], pa.float64()),
+                 pa.array([int(o[0] >= 0.5) for o in out], pa.int32()), pa.array([o[1] for o in out], near)], names=names)
 
-    return src.mapInArrow(run, schema)
+    names = schema.names
+    return src.mapInArrow(run, schema).withColumnRenamed("__text", text_col)
