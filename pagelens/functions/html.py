@@ -16,14 +16,18 @@ import re as _re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagelens.functions.literals import long_string_map_sql, sql_string, string_map_sql
+from pagelens.functions.literals import long_string_map_sql, packed_map_sql, sql_string
 
 # --- fixed values -----------------------------------------------------------
-# Script and style bodies and comments carry no text and no tags.
-CLEAN_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# Script and style bodies and comments carry no text and no tags; the elements
+# themselves stay. A body that is never closed reaches to the end of the page.
+_RAW_OPEN = r"""(?=[\s/>])[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+CLEAN_RE = (r"(?is)(<script" + _RAW_OPEN + r").*?(</script\s*>|\z)|(<style" + _RAW_OPEN
+            + r").*?(</style\s*>|\z)|<!--.*?-->")
 # A tag (a '>' inside a quoted value does not end it), a lone '<' that starts
 # no tag, or a run of text. Written unrolled: Java's regex engine recurses per
-# repetition of an alternation and would overflow on long tags otherwise.
+# repetition of an alternation and would overflow on long tags otherwise. A tag
+# with a quote that is never closed is no tag: it stays text, as for the parser.
 TAG_RE = r"""<[a-zA-Z/!?][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
 TOK_RE = r"(?s)" + TAG_RE + r"|<|[^<]+"
 # Elements that never have content (the tree builder closes them at once).
@@ -38,7 +42,7 @@ FAST_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                  ("&middot;", "·"), ("&amp;", "&")]
 # Any reference that is not one of the above (also legacy ones without ';').
 RARE_ENTITY_RE = (r"&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)"
-                  r"(?:#[0-9]|#[xX][0-9a-fA-F]|[a-zA-Z])")
+                  r"(?:#[0-9]|#[xX][0-9a-fA-F]|[^\t\n\f <&#;])")
 # ---------------------------------------------------------------------------
 
 _TAGNAME_RE = r"^</?([a-zA-Z][^\s/>]*)"
@@ -49,7 +53,7 @@ _VALUE = r"""(?:\s*=+\s*("[^"]*"|'[^']*'|[^\s>"'][^\s>]*))?"""
 
 def clean_html(html: Column) -> Column:
     """Drop script/style bodies and comments (they hold no text or tags)."""
-    return F.regexp_replace(html, CLEAN_RE, "")
+    return F.regexp_replace(html, CLEAN_RE, "$1$2$3$4")
 
 
 def token_array(html: Column) -> Column:
@@ -70,6 +74,29 @@ def tag_name(tok: Column) -> Column:
     return F.lower(F.regexp_extract(tok, _TAGNAME_RE, 1))
 
 
+def tag_sql(tok: str) -> str:
+    return f"lower(regexp_extract({tok}, {sql_string(_TAGNAME_RE)}, 1))"
+
+
+TOKENS_SQL = f"regexp_extract_all(h, {sql_string(TOK_RE)}, 0)"
+
+
+def marks_sql(tokens: str) -> str:
+    """SQL of what each token does to the stack of open elements: the tag name
+    opens one, '/' and the name closes one, '' is an element without content,
+    null neither."""
+    tag = tag_sql("_t")
+    void = ", ".join(sql_string(v) for v in VOID_TAGS)
+    opens = f"CASE WHEN endswith(_t, '/>') OR {tag} IN ({void}) THEN '' ELSE {tag} END"
+    return (f"transform({tokens}, _t -> CASE WHEN _t RLIKE '^<[a-zA-Z]' THEN {opens} "
+            f"WHEN _t RLIKE '^</[a-zA-Z]' THEN concat('/', {tag}) END)")
+
+
+def text_sql(tokens: str) -> str:
+    """SQL of the decoded text of each token, '' for tags."""
+    return f"transform({tokens}, _t -> CASE WHEN NOT startswith(_t, '<') OR _t = '<' THEN {decode_sql('_t')} ELSE '' END)"
+
+
 def is_self_closing(tok: Column) -> Column:
     return tok.endswith("/>")
 
@@ -81,11 +108,13 @@ def _decode_common(s: Column) -> Column:
     return out
 
 
-_PIECE_RE = (r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]{0,31};|[^&]+|&")
-# Tables built from the standard library: named references of HTML 4 (with
-# the ';'), and the replacements the parser uses for invalid numeric ones.
-_NAMED = {f"&{k};": chr(v) for k, v in _entities.name2codepoint.items()}
-_NAMED["&apos;"] = "'"
+_PIECE_RE = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[^\t\n\f <&#;]{1,32};?|[^&]+|&"
+# Tables built from the standard library: all named references of HTML 5, those
+# that also count without ';' (the longest that fits), and the replacements the
+# parser uses for invalid numeric ones.
+_NAMED = {f"&{k}": v for k, v in _entities.html5.items()}
+_LEGACY = sorted((k for k in _entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+_LEGACY_RE = "^&(?:" + "|".join(_LEGACY) + ")"
 
 
 def _decode_common_sql(x: str) -> str:
@@ -98,8 +127,9 @@ def _decode_common_sql(x: str) -> str:
 def _numeric_ref_sql(p: str) -> str:
     """A numeric reference -> its character, with the parser's replacements
     for invalid code points (``_n`` is bound once by a one-element array)."""
-    digits = f"regexp_extract({p}, {sql_string(r'^&#[xX]?([0-9a-fA-F]+)')}, 1)"
-    n = (f"CASE WHEN length({digits}) > 8 THEN 1114112L "
+    # leading zeros say nothing; with more digits than that the number is out of range
+    digits = f"regexp_extract({p}, {sql_string(r'^&#[xX]?0*([0-9a-fA-F]*)')}, 1)"
+    n = (f"CASE WHEN {digits} = '' THEN 0L WHEN length({digits}) > 8 THEN 1114112L "
          f"WHEN {p} RLIKE '^&#[xX]' THEN CAST(conv({digits}, 16, 10) AS BIGINT) "
          f"ELSE CAST({digits} AS BIGINT) END")
     fixed = f"try_element_at({_charref_map_sql()}, _n)"
@@ -117,10 +147,13 @@ def decode_sql(x: str) -> str:
     variable): common names replaced natively in a single pass; a value with
     any other reference is split into references and plain runs and each
     reference is decoded by rule (numeric to its code point, named from the
-    HTML 4 table). Deterministic Catalyst expressions only."""
+    HTML 5 table, else the longest legacy name it begins with). Deterministic
+    Catalyst expressions only."""
     named = f"try_element_at({_named_map_sql()}, _p)"
-    one = (f"CASE WHEN _p RLIKE '^&#' THEN {_numeric_ref_sql('_p')} "
-           f"WHEN startswith(_p, '&') AND {named} IS NOT NULL THEN {named} ELSE _p END")
+    legacy = f"regexp_extract(_p, {sql_string(_LEGACY_RE)}, 0)"
+    one = (f"CASE WHEN NOT startswith(_p, '&') OR _p = '&' THEN _p WHEN _p RLIKE '^&#' THEN {_numeric_ref_sql('_p')} "
+           f"ELSE coalesce({named}, CASE WHEN {legacy} <> '' THEN "
+           f"concat(try_element_at({_named_map_sql()}, {legacy}), substring(_p, length({legacy}) + 1)) END, _p) END")
     rare = f"array_join(transform(regexp_extract_all({x}, {sql_string(_PIECE_RE)}, 0), _p -> {one}), '')"
     return (f"CASE WHEN {x} RLIKE {sql_string(RARE_ENTITY_RE)} THEN {rare} "
             f"WHEN instr({x}, '&') > 0 THEN {_decode_common_sql(x)} ELSE {x} END")
@@ -132,7 +165,7 @@ def decode_entities(col: str) -> Column:
 
 
 def _named_map_sql() -> str:
-    return string_map_sql(_NAMED)
+    return packed_map_sql(_NAMED)
 
 
 def _charref_map_sql() -> str:
@@ -163,7 +196,3 @@ def attr(tok: str, name: str) -> Column:
     """Attribute ``name`` of the start-tag column ``tok``: null if absent, ''
     if it has no value, quotes stripped, references decoded (H5)."""
     return F.expr(attr_sql(tok, name))
-
-
-def attr_present(tok: str, name: str) -> Column:
-    return F.col(tok).rlike(_walk(name))

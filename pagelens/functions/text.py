@@ -37,9 +37,15 @@ SPACE_TOKEN_RE = f"[^{WHITESPACE_CLASS}]{{1,{MAX_TOKEN_LENGTH}}}"
 LETTER_TOKEN_RE = f"\\p{{L}}{{1,{MAX_TOKEN_LENGTH}}}"
 
 
+def lower(text: Column) -> Column:
+    """Lower-case character by character, as the index's filters do: the two letters
+    whose lower case depends on their surroundings or grows are mapped first."""
+    return F.lower(F.translate(text, "\u0130\u03a3", "i\u03c3"))
+
+
 def letter_tokens(text: Column) -> Column:
     """Runs of letters, lower-cased."""
-    return F.regexp_extract_all(F.lower(text), F.lit(LETTER_TOKEN_RE), 0)
+    return F.regexp_extract_all(lower(text), F.lit(LETTER_TOKEN_RE), 0)
 
 
 def space_tokens(text: Column) -> Column:
@@ -49,7 +55,7 @@ def space_tokens(text: Column) -> Column:
 
 def lowercase(terms: Column) -> Column:
     """Lower-case every term."""
-    return F.transform(terms, lambda t: F.lower(t))
+    return F.transform(terms, lower)
 
 
 def stop_filter(terms: Column, words: list[str]) -> Column:
@@ -86,13 +92,14 @@ def distinct_terms(text: Column, analyzer: str = "words") -> Column:
     ``array_distinct(analyze(text, analyzer))`` but built from native array
     functions: ``array_except`` removes stop words and duplicates in one
     hash pass, leaving a single lambda (the apostrophe cut) over distinct
-    tokens only. Lower-casing the whole text equals lower-casing each token.
+    tokens only. ``lower`` works character by character, so the whole text may be
+    lower-cased before it is cut.
     """
     if analyzer == "letters":
-        toks = F.regexp_extract_all(F.lower(text), F.lit(LETTER_TOKEN_RE), 0)
+        toks = letter_tokens(text)
         return F.array_except(toks, string_array(STOP_ENGLISH))
     if analyzer == "words":
-        toks = F.regexp_extract_all(F.lower(text), F.lit(SPACE_TOKEN_RE), 0)
+        toks = space_tokens(lower(text))
         kept = F.array_except(toks, string_array(STOP_ENGLISH + STOP_CUSTOM + [""]))
         cut = F.transform(kept, lambda t: F.regexp_replace(t, APOSTROPHE_RE, ""))
         # the lambda and the second de-duplication only where a cut can happen
@@ -105,10 +112,20 @@ def list_join(arr: Column, sep: str = ", ") -> Column:
     return F.array_join(arr, sep)
 
 
+def _quoted(x: Column) -> Column:
+    """A string as Python prints it: double quotes only around a text that has an
+    apostrophe and no double quote; backslash and line breaks escaped."""
+    s = x
+    for plain, escaped in [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]:
+        s = F.replace(s, F.lit(plain), F.lit(escaped))
+    double = x.contains("'") & ~x.contains('"')
+    return F.when(double, F.concat(F.lit('"'), s, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(s, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
 def list_literal(arr: Column) -> Column:
-    """Render a list as a Python-style literal: ['a', 'b'] (S11 list form)."""
-    return F.when(F.size(arr) == 0, F.lit("[]")).otherwise(
-        F.concat(F.lit("['"), F.array_join(arr, "', '"), F.lit("']")))
+    """Render a list as a Python-style literal: ['a', "it's"] (S11 list form)."""
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, _quoted), ", "), F.lit("]"))
 
 
 def to_string(x: Column) -> Column:

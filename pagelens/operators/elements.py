@@ -2,17 +2,16 @@
 
 An element is ``(page_id, open_pos, close_pos, tag, tok)``: its start-tag
 token, and the position of the token that ends it. Content is every token
-strictly between the two. ``coff_open``/``coff_close`` are character offsets
-into the page text, so an element's text is one ``substring``.
+strictly between the two.
 
 How an element ends follows the tree builder of the reference's parser:
   * void tags and ``<x/>`` end where they start;
-  * an end tag closes the most recent open element of its tag; one with no
-    open element of its tag is ignored (depth per tag, floored at zero);
-  * an element never closed by its own tag ends where the innermost matched
-    element around it ends (an unclosed ``<p>`` inside ``<article>`` ends at
-    ``</article>``), else at the end of the page.
-All of it is window functions over the page partition: no self-join.
+  * an end tag closes the most recent open element of its tag and everything
+    opened after it; one with no open element of its tag is ignored;
+  * an element that nothing closes ends at the end of the page.
+The positions come with the page (``tokens.prepare_pages``). Elements and
+their texts are cut in-row, so there is no window, no join and no row that
+carries a page beside an element.
 """
 
 from __future__ import annotations
@@ -21,70 +20,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.functions import html as H
+from pagelens.functions.literals import sql_string
 
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
-
-
-def elements(tokens: DataFrame) -> DataFrame:
-    """All elements of all pages: (page_id, open_pos, close_pos, tag, tok,
-    coff_open, coff_close)."""
-    w_page = Window.partitionBy("page_id").orderBy("pos")
-    t = (tokens.withColumns({
-        "coff": F.coalesce(F.sum("tlen").over(w_page.rowsBetween(_UNB, -1)), F.lit(0)),
-        "end_pos": F.max("pos").over(w_page.rowsBetween(_UNB, _UNF)) + 1,
-        "end_coff": F.sum("tlen").over(w_page.rowsBetween(_UNB, _UNF))})
-         .where(F.col("kind") != "text"))
-
-    is_open = F.col("kind") == "open"
-    void = F.col("tag").isin(H.VOID_TAGS)
-    single = is_open & (void | H.is_self_closing(F.col("tok")))
-    pair = (is_open & ~single) | (~is_open & ~void)
-    t = t.withColumns({"single": single,
-                       "delta": F.when(pair & is_open, 1).when(pair, -1).otherwise(0)})
-
-    # depth per tag, floored at zero: D = S - min(0, running min of S)
-    w_tag = Window.partitionBy("page_id", "tag").orderBy("pos")
-    t = t.withColumn("s", F.sum("delta").over(w_tag.rowsBetween(_UNB, 0)))
-    t = t.withColumn("floor_prev", F.least(F.lit(0), F.coalesce(
-        F.min("s").over(w_tag.rowsBetween(_UNB, -1)), F.lit(0))))
-    depth = F.col("s") - F.least(F.col("floor_prev"), F.col("s"))
-    effective_close = (F.col("delta") == -1) & (F.col("s") >= F.col("floor_prev"))
-    t = t.withColumn("level", F.when(F.col("delta") == 1, depth)
-                     .when(effective_close, depth + 1))
-
-    # an open and the next row of its (tag, level) partition pair up
-    w_lvl = Window.partitionBy("page_id", "tag", "level").orderBy("pos")
-    nxt_close = (F.lead("delta").over(w_lvl) == -1) & F.col("level").isNotNull()
-    t = t.withColumns({
-        "match_pos": F.when((F.col("delta") == 1) & nxt_close, F.lead("pos").over(w_lvl)),
-        "match_coff": F.when((F.col("delta") == 1) & nxt_close, F.lead("coff").over(w_lvl)),
-        "matched_close": (F.col("delta") == -1) & F.col("level").isNotNull()
-                         & (F.lag("delta").over(w_lvl) == 1)})
-
-    # unclosed opens end with the innermost matched element around them:
-    # g = matched elements open here; that one ends at the first later
-    # matched close whose depth before it is g.
-    m = F.when(F.col("match_pos").isNotNull(), 1).when(F.col("matched_close"), -1).otherwise(0)
-    t = t.withColumn("g", F.sum(m).over(w_page.rowsBetween(_UNB, 0)))
-    unclosed = (F.col("delta") == 1) & F.col("match_pos").isNull()
-    t = t.withColumn("plvl", F.when(unclosed, F.col("g"))
-                     .when(F.col("matched_close"), F.col("g") + 1))
-    w_probe = Window.partitionBy("page_id", "plvl").orderBy("pos").rowsBetween(0, _UNF)
-    t = t.withColumns({
-        "enc_pos": F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("pos"))).over(w_probe)),
-        "enc_coff": F.when(unclosed, F.min(F.when(F.col("matched_close"), F.col("coff"))).over(w_probe))})
-
-    close_pos = (F.when(F.col("single"), F.col("pos"))
-                  .when(F.col("match_pos").isNotNull(), F.col("match_pos"))
-                  .otherwise(F.coalesce("enc_pos", "end_pos")))
-    close_coff = (F.when(F.col("single"), F.col("coff"))
-                   .when(F.col("match_pos").isNotNull(), F.col("match_coff"))
-                   .otherwise(F.coalesce("enc_coff", "end_coff")))
-    return (t.where(is_open)
-            .select("page_id", F.col("pos").alias("open_pos"), close_pos.alias("close_pos"),
-                    "tag", "tok", F.col("coff").alias("coff_open"),
-                    close_coff.alias("coff_close")))
+
+
+def elements(prepared: DataFrame, tags: list[str] | None = None, containing: list[str] | tuple[str, ...] = (),
+             text_of: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Elements of all pages: (page_id, open_pos, close_pos, tag, tok, text).
+
+    ``tags`` keeps these tags only, ``containing`` also start tags that contain
+    one of the strings (say, an id). ``text`` (H6) is all text under the element, in
+    order, for the tags in ``text_of``, else null: a slice of the page's token
+    texts, joined, so its cost is the number of tokens inside the element.
+    """
+    p = prepared.select("page_id", "ends", F.expr(H.TOKENS_SQL).alias("raw"))
+    keep = "_e.close_pos IS NOT NULL"
+    if tags is not None:
+        among = f"_e.tag IN ({', '.join(map(sql_string, tags))})" if tags else "false"
+        for s in containing:
+            among += f" OR contains(_e.tok, {sql_string(s)})"
+        keep += f" AND ({among})"
+    text = "CAST(NULL AS STRING)"
+    if text_of:
+        p = p.withColumn("txt", F.expr(H.text_sql("raw")))
+        text = (f"CASE WHEN _e.tag IN ({', '.join(map(sql_string, text_of))}) THEN "
+                "array_join(slice(txt, CAST(_e.open_pos AS INT) + 2, "
+                "greatest(CAST(_e.close_pos - _e.open_pos AS INT) - 1, 0)), '') END")
+    cut = (f"filter(transform(raw, (_t, _i) -> named_struct('open_pos', CAST(_i AS BIGINT), "
+           f"'close_pos', CAST(get(ends, _i) AS BIGINT), 'tag', {H.tag_sql('_t')}, 'tok', _t)), _e -> {keep})")
+    rows = (f"transform({cut}, _e -> named_struct('open_pos', _e.open_pos, 'close_pos', _e.close_pos, "
+            f"'tag', _e.tag, 'tok', _e.tok, 'text', {text}))")
+    return p.select("page_id", F.explode(F.expr(rows)).alias("_x")).select("page_id", "_x.*")
 
 
 def region_condition(by: str, value: str) -> Column:
@@ -136,31 +103,6 @@ def with_ancestor_flag(els: DataFrame, tag: str = "a", name: str = "in_a") -> Da
     return out.withColumn(name, (F.col("_depth") - own) > 0).drop("_e", "_depth")
 
 
-def element_text(els: DataFrame, texts: DataFrame) -> DataFrame:
-    """Add ``text``: all text under each element, in order (H6).
-
-    ``texts`` is ``tokens.page_text``; both sides are partitioned by page, so
-    this equi-join needs no exchange.
-    """
-    t = texts.withColumnRenamed("page_id", "_tp")
-    j = els.join(t, els["page_id"] == t["_tp"], "left")
-    txt = F.substring(F.col("page_text"), F.col("coff_open") + 1,
-                      F.col("coff_close") - F.col("coff_open"))
-    return j.withColumn("text", txt).drop("_tp", "page_text")
-
-
-def first_element(els: DataFrame, tag: str, cols: list[str]) -> DataFrame:
-    """First element of a tag per page, in document order (H4)."""
-    s = F.min_by(F.struct(*cols), F.col("open_pos"))
-    return (els.where(F.col("tag") == tag).groupBy("page_id")
-            .agg(s.alias("_f")).select("page_id", "_f.*"))
-
-
-def elements_by_tag(els: DataFrame, tags: list[str]) -> DataFrame:
-    """Elements of one or more tags, nested ones included (H3)."""
-    return els.where(F.col("tag").isin(tags))
-
-
 def structural_join(points: DataFrame, intervals: DataFrame, how: str = "inner",
                     pos: str = "pos") -> DataFrame:
     """Points strictly inside intervals of the same page (J1 with

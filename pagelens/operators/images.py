@@ -1,44 +1,13 @@
-"""Images of a page and the two de-duplications."""
+"""Image tags and the keyed upsert (D2); images themselves are in ``plans.label``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelens.functions import html as H
-from pagelens.functions import urls as U
-
 IMAGE_TAGS = ["img", "amp-img"]
 
 
-def image_rows(els: DataFrame, tags: list[str] | None = None,
-               link_mode: str = "http", skip_linked: bool = True) -> DataFrame:
-    """(page_id, pos, src, alt) of images, document order, with a link filter.
-
-    ``els`` must carry ``in_a`` (``elements.with_ancestor_flag``) when
-    ``skip_linked`` is set: images inside a link point elsewhere and are
-    dropped (H7). ``link_mode`` is 'https' (F1), 'http' (F2) or 'none' (F3).
-    """
-    tags = tags or IMAGE_TAGS
-    img = els.where(F.col("tag").isin(tags))
-    if skip_linked:
-        img = img.where(~F.col("in_a"))
-    img = img.select("page_id", F.col("open_pos").alias("pos"),
-                     H.attr("tok", "src").alias("src"),
-                     H.attr("tok", "alt").alias("alt"))
-    return img.where(U.link_filter(F.col("src"), link_mode))
-
-
-def ordered_distinct(df: DataFrame, keys: list[str], value: str,
-                     pos: str = "pos") -> DataFrame:
-    """Distinct values per key, keeping the first occurrence's position.
-
-    A hash aggregate with a map-side partial step; when ``df`` is already
-    partitioned by the first key there is no exchange.
-    """
-    return df.groupBy(*keys, value).agg(F.min(pos).alias(pos))
-
-
 def keyed_upsert(df: DataFrame, keys: list[str], key: str, value: str,
                  pos: str = "pos") -> DataFrame:
     """Last value per key at the position of the key's first occurrence (D2),

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelens.functions import html as H
 from pagelens.functions import urls as U
 
 
-def link_rows(els: DataFrame) -> DataFrame:
-    """(page_id, pos, href) of every ``<a>``, document order; href may be null."""
-    return (els.where(F.col("tag") == "a")
-            .select("page_id", F.col("open_pos").alias("pos"),
-                    H.attr("tok", "href").alias("href")))
-
-
 def tag_topic_first(links: DataFrame, topics: list[str], col: str = "href") -> DataFrame:
     """Tag each link with the first topic (list order) it contains; links with
     no topic are dropped (F6)."""
@@ -28,22 +20,31 @@ def filter_topic_any(links: DataFrame, topics: list[str], col: str = "href") ->
     return links.where(U.topic_any(F.col(col), topics))
 
 
-MAX_TOPICS = 10_000
-
-
-def tag_topic_join(links: DataFrame, topics: DataFrame, col: str = "href") -> DataFrame:
-    """Table form of F6 (J4): ``topics(topic, ord)`` is a configuration list.
-    Its size is checked, then it is broadcast (a substring test has no equi
-    key); each link keeps its first matching topic by ``ord``."""
-    n = topics.count()
-    if n > MAX_TOPICS:
-        raise ValueError(f"{n} topics: more than {MAX_TOPICS} cannot be broadcast")
-    t = F.broadcast(topics.select(F.col("topic").alias("_t"), F.col("ord").alias("_o")))
-    j = links.join(t, F.instr(links[col], F.col("_t")) > 0, "inner")
-    key = [c for c in links.columns]
-    w = Window.partitionBy(*key).orderBy("_o")
-    return (j.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-            .withColumnRenamed("_t", "topic").drop("_o", "_r"))
+def tag_topic_join(links: DataFrame, topics: DataFrame, col: str = "href",
+                   key: tuple[str, ...] = ("page_id", "pos")) -> DataFrame:
+    """Table form of F6 (J4): each link keeps its first matching topic of
+    ``topics(topic, ord)``, any number of them, by ``ord``.
+
+    A link is cut into its substrings of the lengths that occur among the topics
+    and these meet the topics by equality, so there is no link x topic product
+    and nothing is broadcast by force. ``key`` identifies a link row; rows with
+    equal keys are the same link and each keeps its row. Cutting goes by bytes:
+    a topic is in a text if its bytes are.
+    """
+    t = topics.select(F.col("topic"), F.col("topic").cast("binary").alias("_b"), F.col("ord").alias("_o"))
+    sizes = [r[0] for r in t.where("topic IS NOT NULL").select(F.octet_length("topic")).distinct().collect()]
+    if not sizes:
+        return links.select("*", F.lit(None).cast("string").alias("topic")).where(F.lit(False))
+    raw = F.col(col).cast("binary")
+
+    def pieces(n: int):
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(col) - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(raw, i, F.lit(n)))
+
+    cuts = F.array_distinct(F.concat(*[pieces(n) for n in sizes]))
+    parts = links.where(F.col(col).isNotNull()).select(*key, F.explode(cuts).alias("_b"))
+    hits = parts.join(t, "_b").groupBy(*key).agg(F.min_by("topic", "_o").alias("topic"))
+    return links.join(hits, list(key))
 
 
 def first_n(df: DataFrame, order: str, n: int) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.functions import text as X
-from pagelens.operators.tokens import page_partitions
 
 
 def line_terms(lines: DataFrame, analyzer: str = "words", text: str = "text") -> DataFrame:
@@ -35,19 +34,13 @@ def top_terms(counts: DataFrame, k: int = 3) -> DataFrame:
             .where(F.col("rk") <= k))
 
 
-def terms_list(top: DataFrame) -> DataFrame:
-    """(page_id, terms ARRAY<STRING>) in rank order."""
-    return (top.groupBy("page_id")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("rk", "term"))),
-                             lambda x: x["term"]).alias("terms")))
-
-
 def by_article(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Hash-partition article rows by their key once, before any per-line
     work: the line/term explosion then runs in parallel whatever the input
     file layout, and the (article, term) count and the rank window reuse
     this partitioning (one exchange instead of two)."""
-    return df.repartition(partitions or page_partitions(df, [c for c in df.columns if c != key][0]), key)
+    return df.repartition(
+        partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",

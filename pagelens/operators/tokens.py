@@ -1,11 +1,10 @@
-"""H1: pages -> tokens, and the concatenated text of a page.
+"""H1: pages -> tokens.
 
-``prepare_pages`` is the job's single exchange: cleaned page rows
-``(page_id, h)`` hash-partitioned by ``page_id``. Tokens and the page text are
-both derived from it inside the same tasks (narrow steps), and every later
-operator (windows over a page, per-page aggregates, joins on ``page_id``)
-reuses that partitioning, so no page data is shuffled again. Both branches
-read exactly ``(page_id, h)``, so the planner reuses one shuffle for both.
+``prepare_pages`` is the job's single exchange: page rows ``(page_id, h, ends)``,
+the cleaned HTML and the position where each of its elements ends,
+hash-partitioned by ``page_id``. Everything after it is native and keyed by
+page: tokens and elements are cut in-row from the page, and later windows,
+aggregates and joins on ``page_id`` reuse that partitioning.
 """
 
 from __future__ import annotations
@@ -14,47 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelens.functions import html as H
-from pagelens.functions.literals import sql_string
-
-
-# Target size of one page partition, in (estimated) bytes of HTML read.
-PAGE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PAGE_PARTITIONS = 1_000_000
-
-
-def page_partitions(pages: DataFrame, html: str = "html") -> int:
-    """Partition count for the page exchange: the session's
-    ``spark.sql.shuffle.partitions`` or, if more, one partition per
-    ``PAGE_PARTITION_BYTES`` of the planner's size estimate of the projected
-    scan (file sizes scaled to the read columns; no job is run). Inputs that
-    are not file scans keep the session setting."""
-    base = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        if not pages.inputFiles():  # in-memory or non-file input: no size to trust
-            return base
-        est = int(str(pages.select(html)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable (e.g. a streaming or remote plan)
-        return base
-    if est >= 2 ** 62:  # "unknown" (the planner's default size): keep the session's setting
-        return base
-    return int(min(MAX_PAGE_PARTITIONS, max(base, -(-est // PAGE_PARTITION_BYTES))))
+from pagelens.operators.stack import close_positions
 
 
 def prepare_pages(pages: DataFrame, key: str = "page_id", html: str = "html",
                   partition: bool = True, partitions: int | None = None) -> DataFrame:
-    """(page_id, h): script/style/comment-free HTML, partitioned by page.
-
-    The partition count is explicit (``partitions``, else ``page_partitions``):
-    everything after this exchange is CPU-bound per-page work that
-    multiplies the data several times (tokens, windows, element texts), so
-    letting AQE coalesce the partitions by the shuffled HTML bytes would
-    leave most cores idle, and too few partitions would not fit in memory.
+    """(page_id, h, ends): script/style/comment-free HTML with its element ends,
+    partitioned by page.
+
+    The partition count is explicit (``partitions``, else the session's
+    ``spark.sql.shuffle.partitions``): everything after this exchange is
+    CPU-bound per-page work that multiplies the data several times (tokens,
+    element texts), so letting AQE coalesce the partitions by the shuffled
+    HTML bytes would leave most cores idle. Set it to one partition per
+    128 MB or so of HTML.
     """
     p = pages.select(F.col(key).cast("bigint").alias("page_id"),
-                     H.clean_html(F.col(html)).alias("h"))
+                     H.clean_html(F.coalesce(F.col(html), F.lit(""))).alias("h"))
+    p = p.withColumn("ends", close_positions(F.expr(H.marks_sql(H.TOKENS_SQL))))
     if not partition:
         return p
-    return p.repartition(partitions or page_partitions(pages, html), "page_id")
+    n = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return p.repartition(n, "page_id")
 
 
 def html_tokens(prepared: DataFrame) -> DataFrame:
@@ -74,16 +54,3 @@ def html_tokens(prepared: DataFrame) -> DataFrame:
         F.when(is_text, F.lit("")).otherwise(H.tag_name(F.col("raw"))).alias("tag"),
         F.when(is_text, H.decode_entities("raw")).otherwise(F.col("raw")).alias("tok"))
     return t.withColumn("tlen", F.when(is_text, F.length("tok")).otherwise(F.lit(0)))
-
-
-def page_text(prepared: DataFrame) -> DataFrame:
-    """(page_id, page_text): all text of a page in document order, built
-    in-row from the same token array (no aggregation, no sort).
-
-    Element texts are substrings of it (``elements.element_text``), which
-    avoids joining every text token to every enclosing element.
-    """
-    # one SQL expression: pieces of text, each decoded, joined
-    text = F.expr(f"array_join(transform(filter(regexp_extract_all(h, {sql_string(H.TOK_RE)}, 0), "
-                  f"_t -> NOT startswith(_t, '<') OR _t = '<'), _t -> {H.decode_sql('_t')}), '')")
-    return prepared.select("page_id", text.alias("page_text"))

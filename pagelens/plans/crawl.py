@@ -41,7 +41,8 @@ def link_table(pages: DataFrame, region: tuple[str, str] | None = None,
         a = t.where((F.col("kind") == "open") & (F.col("tag") == "a")).select(
             "page_id", "pos", "tok")
     else:
-        els = with_region(elements(html_tokens(prepared)), *region)
+        els = with_region(elements(prepared, ["a", region[1]] if region[0] == "tag" else ["a"],
+                                   containing=[region[1]] if region[0] == "id" else ()), *region)
         a = els.where((F.col("tag") == "a") & inside("r")).select(
             "page_id", F.col("open_pos").alias("pos"), "tok")
     href = H.attr("tok", "href")
@@ -90,10 +91,10 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     again, so a page can be visited more than once (needs a budget). With
     ``include_seed=False`` the seeds only provide links (Q10).
 
-    FIFO order is carried as a key: the parent's key followed by the link
-    position (arrays compare lexicographically), so a level needs no sort;
-    the visited pages are numbered once at the end, and a level is sorted
-    only when the budget cuts it.
+    FIFO order within a level is (visit number of the parent, link position), so
+    the key has the same size at any depth: a level is sorted by it and numbered
+    on from the level before. Repeated seeds count once, and a URL that is
+    stored more than once is visited once (``stored_urls``).
     """
     if dedupe not in ("seen", "none"):
         raise ValueError(f"unknown dedupe {dedupe!r}")
@@ -104,28 +105,24 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     # every level looks URLs up in the stored pages: materialise (url, page_id)
     # once, hash-partitioned by url so each level's lookup shuffles only the
     # frontier
-    stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
-    stored = stored.repartition("url").checkpoint()
-    frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(seeds)],
-                                     "url string, key array<bigint>")
-    seen = frontier.select("url").checkpoint()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = stored_urls(pages).repartition(parts, "url").checkpoint()
+    frontier = spark.createDataFrame([(u, -1, i) for i, u in enumerate(dict.fromkeys(seeds))],
+                                     "url string, parent long, lpos long")
+    seen = frontier.select("url").repartition(parts, "url").checkpoint()
     # the link table is read once per level: materialise it once
     lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
                       F.col("url").alias("_out")).checkpoint()
     levels: list[DataFrame] = []
     n_visited, level = 0, 0
     while True:
-        fetched = frontier.join(stored, "url").withColumn("level", F.lit(level).cast("bigint"))
-        k = fetched.count()
+        fetched, k = dense_order(frontier.join(stored, "url"), [F.col("parent"), F.col("lpos")], n_visited)
         if k == 0:
             break
-        counted = include_seed or level > 0
-        if counted:
+        if include_seed or level > 0:
             if budget is not None and n_visited + k > budget:
-                fetched, _ = dense_order(fetched, [F.col("key")])
-                fetched = fetched.where(F.col("ord") < budget - n_visited).drop("ord")
-                k = budget - n_visited
-            levels.append(fetched.select("url", "page_id", "level", "key"))
+                fetched, k = fetched.where(F.col("ord") < budget), budget - n_visited
+            levels.append(fetched.select("url", "page_id", F.lit(level).cast("bigint").alias("level"), "ord"))
             n_visited += k
         if budget is not None and n_visited >= budget:
             break
@@ -133,23 +130,27 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
         if max_levels is not None and level > max_levels:
             break
         out = fetched.join(lk, fetched["page_id"] == lk["_src"]).select(
-            F.col("_out").alias("url"),
-            F.concat("key", F.array(F.col("_lpos").cast("bigint"))).alias("key"))
+            F.col("_out").alias("url"), F.col("ord").alias("parent"), F.col("_lpos").cast("bigint").alias("lpos"))
         if dedupe == "none":
             frontier = out.checkpoint()
             continue
-        cand = out.groupBy("url").agg(F.min("key").alias("key"))
-        frontier = cand.join(seen, "url", "left_anti").checkpoint()
-        # a union of checkpointed pieces: no recomputation; an empty frontier
-        # ends the next level
+        cand = out.groupBy("url").agg(F.min(F.struct("parent", "lpos")).alias("k")).repartition(parts, "url")
+        frontier = cand.join(seen, "url", "left_anti").select("url", "k.parent", "k.lpos").checkpoint()
+        # a union of checkpointed pieces, all hash-partitioned by url: no
+        # recomputation; an empty frontier ends the next level
         seen = seen.unionByName(frontier.select("url"))
     if not levels:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
     visited = levels[0]
     for part in levels[1:]:
         visited = visited.unionByName(part)
-    out, _ = dense_order(visited, [F.col("level"), F.col("key")])
-    return out.select("url", "page_id", "level", "ord")
+    return visited
+
+
+def stored_urls(pages: DataFrame) -> DataFrame:
+    """(url, page_id) with one row per URL: of pages stored under the same URL the
+    one with the smallest page_id stands for it."""
+    return pages.groupBy("url").agg(F.min(F.col("page_id").cast("bigint")).alias("page_id"))
 
 
 def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
@@ -160,18 +161,24 @@ def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
     Returns the article list (topic, url, ord): every link of the date pages
     that contains a topic, tagged with the first topic (F6), absolutised
     with ``base`` (F9), in (date order, link position) order. Duplicates are
-    kept unless ``distinct_links`` (Q7). Two joins, no loop.
+    kept unless ``distinct_links`` (Q7). Two joins, no loop; the archive page is
+    parsed first, then its date pages, and no other page.
     """
-    lt = link_table(pages, region=region, rewrite=lambda h: U.absolutise(h, base))
-    stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
+    stored = stored_urls(pages)
+
+    def links_of(urls: DataFrame) -> DataFrame:
+        """Links of a list of stored pages only: the rest is not parsed."""
+        ids = urls.select(F.col("page_id").alias("_id")).distinct()
+        listed = pages.join(ids, pages["page_id"].cast("bigint") == ids["_id"], "left_semi")
+        return link_table(listed, region=region, rewrite=lambda h: U.absolutise(h, base))
+
     archive = stored.where(F.col("url") == start_url)
-    days = (archive.select(F.col("page_id").alias("_arch"))
-            .join(lt.select(F.col("page_id").alias("_a"), "pos", "url"), F.col("_arch") == F.col("_a"))
-            .select(F.col("url").alias("day_url"), F.col("pos").alias("day_pos")))
-    days = days.join(stored, days["day_url"] == stored["url"]).select(
-        "day_url", "day_pos", "page_id")
+    days = links_of(archive).select(F.col("url"), F.col("pos").alias("day_pos")).join(stored, "url")
     if max_days is not None:
         days = days.orderBy("day_pos").limit(max_days)
+    checkpoint_dir(pages.sparkSession)
+    days = days.select(F.col("url").alias("day_url"), "day_pos", "page_id").checkpoint()
+    lt = links_of(days)
     rel = (days.join(lt.select(F.col("page_id").alias("_d"), F.col("pos").alias("lpos"), "href", "url"),
                      days["page_id"] == F.col("_d"))
            .withColumn("topic", U.topic_first(F.col("href"), topics))
@@ -180,14 +187,3 @@ def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
         rel = rel.groupBy("topic", "url").agg(F.min(F.struct("day_pos", "lpos")).alias("k")).select(
             "topic", "url", F.col("k.day_pos").alias("day_pos"), F.col("k.lpos").alias("lpos"))
     return rel.select("topic", "url", F.struct("day_pos", "lpos").alias("ord"))
-
-
-def frontier_fetch(frontier: DataFrame, pages: DataFrame) -> DataFrame:
-    """URLs to visit joined with the stored pages (equi join on url; the
-    planner broadcasts a small frontier on its measured size)."""
-    return frontier.join(pages, "url", "inner")
-
-
-def seen_anti(new: DataFrame, seen: DataFrame) -> DataFrame:
-    """New links minus links already queued or visited."""
-    return new.join(seen.select("url"), "url", "left_anti")

@@ -16,7 +16,7 @@ from pagelens.functions import urls as U
 from pagelens.operators.elements import elements, inside, with_region
 from pagelens.operators.images import keyed_upsert
 from pagelens.operators.tokens import html_tokens, prepare_pages
-from pagelens.plans.crawl import bfs_crawl, link_table, two_level_crawl
+from pagelens.plans.crawl import bfs_crawl, link_table, stored_urls, two_level_crawl
 from pagelens.plans.label import (V1, V2, V3, LabelOptions, article_images,
                                   article_lines, label_articles)
 from pagelens.sources import lists as L
@@ -37,12 +37,13 @@ def _page_image_links(pages: DataFrame, region: tuple[str, str] | None,
                       keep) -> DataFrame:
     """(page_id, pos, alt, src) of ``<img>`` (region-scoped if asked) whose src
     passes ``keep``."""
-    t = html_tokens(prepare_pages(pages))
     if region is None:
+        t = html_tokens(prepare_pages(pages))
         img = t.where((F.col("kind") == "open") & (F.col("tag") == "img")).select(
             "page_id", "pos", "tok")
     else:
-        els = with_region(elements(t), *region)
+        els = with_region(elements(prepare_pages(pages), ["img", region[1]] if region[0] == "tag" else ["img"],
+                                   containing=[region[1]] if region[0] == "id" else ()), *region)
         img = els.where((F.col("tag") == "img") & inside("r")).select(
             "page_id", F.col("open_pos").alias("pos"), "tok")
     img = img.select("page_id", "pos", H.attr("tok", "alt").alias("alt"),
@@ -50,18 +51,19 @@ def _page_image_links(pages: DataFrame, region: tuple[str, str] | None,
     return img.where(keep(F.col("src")))
 
 
-def crawl_images(pages: DataFrame, seed: str, budget: int = 1) -> DataFrame:
-    """Images of the pages a FIFO crawl visits: (url, ord, pos, link).
-    Links and images must start with 'https' (F1); the seed is visited."""
+def crawl_images(pages: DataFrame, seed: str, budget: int | None = None) -> DataFrame:
+    """Images of the pages a FIFO crawl visits (``budget`` of them, all if None):
+    (url, ord, pos, link). Links and images must start with 'https' (F1); the
+    seed is visited; a page without images has one row with a null link."""
     links = link_table(pages, keep=U.https_only)
     visited = bfs_crawl(pages, [seed], links, budget=budget)
-    imgs = _page_image_links(pages, None, U.https_only)
+    imgs = _page_image_links(_only(pages, visited), None, U.https_only)
     v = visited.select("url", "ord", F.col("page_id").alias("_vp"))
     return (v.join(imgs, v["_vp"] == imgs["page_id"], "left")
             .select("url", "ord", "pos", F.col("src").alias("link")))
 
 
-def label_by_url(pages: DataFrame, base: str, budget: int = 50,
+def label_by_url(pages: DataFrame, base: str, budget: int | None = None,
                  prefix: str = "/sport/", region: tuple[str, str] = ("id", "frameInner")) -> DataFrame:
     """Crawl links under ``prefix`` from the base page (which only gives
     links, Q10), label each visited page's https images by its URL path
@@ -69,7 +71,7 @@ def label_by_url(pages: DataFrame, base: str, budget: int = 50,
     links = link_table(pages, region=region, keep=lambda h: U.site_prefix(h, prefix),
                        rewrite=lambda h: U.rebase(h, base, prefix))
     visited = bfs_crawl(pages, [base], links, budget=budget, include_seed=False)
-    imgs = _page_image_links(pages, region, U.https_only)
+    imgs = _page_image_links(_only(pages, visited), region, U.https_only)
     v = visited.select("url", "ord", F.col("page_id").alias("_vp"))
     return (v.join(imgs, v["_vp"] == imgs["page_id"])
             .select(U.label_from_url(F.col("url"), base).alias("label"),
@@ -77,51 +79,52 @@ def label_by_url(pages: DataFrame, base: str, budget: int = 50,
 
 
 def extract_links(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
-                  max_days: int | None = 31) -> DataFrame:
-    """Links of the first date pages that contain any topic (F5), in
-    order: (url, ord)."""
-    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days)
+                  max_days: int | None = None, region: tuple[str, str] | None = ("id", "frameInner")) -> DataFrame:
+    """Links of the first ``max_days`` date pages (all if None) that contain
+    any topic (F5), in order: (url, ord)."""
+    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days, region=region)
     return arts.select("url", "ord")
 
 
+def _only(pages: DataFrame, visited: DataFrame) -> DataFrame:
+    """The pages that a crawl visited, so that no other page is parsed."""
+    v = visited.select(F.col("page_id").alias("_only")).distinct()
+    return pages.join(v, pages["page_id"].cast("bigint") == v["_only"], "left_semi")
+
+
 def _crawled_articles(pages: DataFrame, start_url: str, topics: list[str], base: str,
-                      max_days: int | None) -> DataFrame:
-    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days)
-    stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
-    return arts.join(stored, "url").select("page_id", "topic", "url", "ord")
+                      max_days: int | None, region: tuple[str, str] | None) -> DataFrame:
+    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days, region=region)
+    return arts.join(stored_urls(pages), "url").select("page_id", "topic", "url", "ord")
 
 
-def label_v1(pages: DataFrame, urls: DataFrame, budget: int | None = 10,
+def label_v1(pages: DataFrame, urls: DataFrame, budget: int | None = None,
              opts: LabelOptions = V1) -> DataFrame:
-    """P5: label the first ``budget`` URLs of a list (S3 output ``(url, ord)``)
-    under the topic 'test': letters analyzer, every image link, no title."""
-    stored = pages.select("url", F.col("page_id").cast("bigint").alias("page_id"))
-    arts = urls.join(stored, "url")
+    """P5: label the first ``budget`` URLs (all if None) of a list (S3 output
+    ``(url, ord)``) under the topic 'test': letters analyzer, every image link,
+    no title. A URL that is listed twice is labelled twice."""
+    arts = urls.join(stored_urls(pages), "url")
     if budget is not None:
         arts = arts.orderBy("ord").limit(budget)
     arts = arts.select("page_id", F.lit("test").alias("topic"), "url", "ord")
-    return _with_ord(label_articles(pages, arts.drop("ord"), opts), arts)
+    return label_articles(pages, arts, opts)
 
 
 def label_v2(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
-             max_days: int | None = 15, opts: LabelOptions = V2) -> DataFrame:
-    """Two-level crawl, then words analyzer, 'http' images, title."""
-    arts = _crawled_articles(pages, start_url, topics, base, max_days)
-    return _with_ord(label_articles(pages, arts.drop("ord"), opts), arts)
+             max_days: int | None = None, opts: LabelOptions = V2) -> DataFrame:
+    """Two-level crawl (the first ``max_days`` date pages, all if None), then
+    words analyzer, 'http' images, title. One row per topic link, in ``ord``; an
+    article linked from several date pages keeps each of its rows."""
+    return label_articles(pages, _crawled_articles(pages, start_url, topics, base, max_days, opts.region), opts)
 
 
 def label_v3(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
-             max_days: int | None = 15, opts: LabelOptions = V3) -> DataFrame:
+             max_days: int | None = None, opts: LabelOptions = V3) -> DataFrame:
     """P7 (flagship): v2 plus image stems, distinct images, alts and
     subtitle as text."""
     return label_v2(pages, start_url, topics, base, max_days, opts)
 
 
-def _with_ord(labelled: DataFrame, arts: DataFrame) -> DataFrame:
-    o = arts.select(F.col("page_id").alias("_op"), F.col("url").alias("_ou"), "ord")
-    return labelled.join(o, (labelled["page_id"] == o["_op"]) & (labelled["url"] == o["_ou"])).drop("_op", "_ou")
-
-
 def article_text(pages: DataFrame, region: tuple[str, str] = ("id", "frameInner"),
                  text_region: tuple[str, str] | None = ("id", "main")) -> DataFrame:
     """Paragraphs under the nested text region, then title and subtitle:

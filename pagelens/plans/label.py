@@ -2,10 +2,10 @@
 
 The whole job is one stream of element rows partitioned by page:
 
-  pages -> tokens -> [exchange by page_id] -> elements -> region / link
-  ancestry / first h1, h2 (windows) -> element text (join with the page text,
-  same partitioning) -> one row per (line, term) and one info row per kept
-  image or title (a single explode) -> group by (page_id, term) -> rank
+  pages (of the wanted articles: semi-join) -> element ends -> [exchange by
+  page_id] -> elements with their texts (in-row) -> region / link ancestry /
+  first h1, h2 (windows) -> one row per (line, term) and one info row per
+  kept image or title (a single explode) -> group by (page_id, term) -> rank
   (window) -> group by page_id -> articles (join on page_id).
 
 After the exchange every operator is keyed by ``page_id`` first, so the plan
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from pagelens.functions import html as H
 from pagelens.functions import text as X
 from pagelens.functions import urls as U
-from pagelens.operators.elements import (element_text, elements, inside,
+from pagelens.operators.elements import (elements, inside,
                                          region_condition, with_ancestor_flag,
                                          with_region)
 from pagelens.operators.images import IMAGE_TAGS
-from pagelens.operators.tokens import html_tokens, page_text, prepare_pages
+from pagelens.operators.tokens import prepare_pages
 
 
 @dataclass(frozen=True)
@@ -59,8 +59,12 @@ def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
 
     Columns: page_id, open_pos, close_pos, tag, tok, in_a, in_text, text.
     """
-    prepared = prepare_pages(pages)
-    els = with_ancestor_flag(elements(html_tokens(prepared)), "a")       # ancestors may lie outside the region
+    tags = tags or ["p", "h1", "h2", *opts.image_tags]
+    regions = [r for r in (opts.region, opts.text_region) if r is not None]
+    els = elements(prepare_pages(pages), sorted({*tags, "a", *(v for by, v in regions if by == "tag")}),
+                   containing=[v for by, v in regions if by == "id"],
+                   text_of=("p", "h1", "h2") if with_text else ())
+    els = with_ancestor_flag(els, "a")       # ancestors may lie outside the region
     if opts.region is not None:
         els = with_region(els, *opts.region)
         scope = inside("r")
@@ -76,13 +80,7 @@ def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
         in_text = inside("t")
     else:
         in_text = F.lit(True)
-    tags = tags or ["p", "h1", "h2", *opts.image_tags]
-    els = els.where(scope & F.col("tag").isin(tags)).withColumn("in_text", in_text)
-    if not with_text:
-        return els.withColumn("text", F.lit(None).cast("string"))
-    needs_text = F.col("tag").isin("p", "h1", "h2")
-    out = element_text(els, page_text(prepared))
-    return out.withColumn("text", F.when(needs_text, F.col("text")))
+    return els.where(scope & F.col("tag").isin(tags)).withColumn("in_text", in_text)
 
 
 def annotate(pages: DataFrame, opts: LabelOptions = V3, with_text: bool = True) -> DataFrame:
@@ -201,17 +199,28 @@ def assemble(articles: DataFrame, labels: DataFrame) -> DataFrame:
     lab = labels.withColumnRenamed("page_id", "_lp")
     j = articles.join(lab, articles["page_id"] == lab["_lp"], "left")
     empty = F.array().cast("array<string>")
-    return j.select("topic", "page_id",
+    return j.select("topic", articles["page_id"],
                     F.coalesce("terms", empty).alias("terms"),
                     F.coalesce("images", empty).alias("images"),
-                    "title", "url")
+                    "title", "url", *(["ord"] if "ord" in articles.columns else []))
 
 
 def label_articles(pages: DataFrame, articles: DataFrame,
                    opts: LabelOptions = V3) -> DataFrame:
-    """Label a list of articles ``(page_id, topic, url)`` from stored pages:
-    (topic, page_id, terms, images, title, url)."""
-    return assemble(articles, page_labels(pages, opts))
+    """Label a list of articles ``(page_id, topic, url[, ord])`` from stored pages:
+    (topic, page_id, terms, images, title, url[, ord]), one row per entry of the
+    list. Only the listed pages are parsed, each once; the measured size of the
+    list decides how the semi-join runs."""
+    wanted = articles.select(F.col("page_id").alias("_wp")).distinct()
+    listed = pages.join(wanted, pages["page_id"].cast("bigint") == wanted["_wp"], "left_semi")
+    return assemble(articles, page_labels(listed, opts))
+
+
+def label_by_topic(pages: DataFrame, topics: list[str], opts: LabelOptions = V3) -> DataFrame:
+    """Label every stored page whose URL contains a topic: the list is a filter of
+    the pages themselves, so it is applied to the scan and needs no join."""
+    listed = pages.where(U.topic_first(F.col("url"), topics).isNotNull())
+    return assemble(articles_by_url_topic(pages, topics), page_labels(listed, opts))
 
 
 def render_v3(df: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ that DuckDB runs over the same Parquet tables (views ``pages``,
 
 Text operators run on the stored ``pages`` (content region ``<article>``),
 ``documents`` (an article per document, a line per text line) and
-``conversations`` (an article per conversation, a line per turn). Image,
-region, link and crawl operators run on *decorated pages*: both engines
-build the HTML from ``page_id`` with the same SQL, and the oracle values
-follow from ``page_id`` in closed form, without parsing.
+``conversations`` (an article per conversation, a line per turn). The stored
+pages have no images, ids or links to one another, so image, region, link and
+crawl operators run on the stored HTML with a fragment spliced into its
+``<article>`` (``spliced``): both engines build it with the same SQL and parse the
+whole page.
 """
 
 from __future__ import annotations
@@ -24,18 +25,17 @@ from pagelens.functions import html as H
 from pagelens.functions import text as X
 from pagelens.functions import urls as U
 from pagelens.operators import terms as T
-from pagelens.operators.elements import (elements, element_text, inside,
-                                         structural_join, with_ancestor_flag,
-                                         with_region)
-from pagelens.operators.links import tag_topic_first
-from pagelens.operators.tokens import html_tokens, page_text, prepare_pages
+from pagelens.operators.elements import (elements, inside, structural_join,
+                                         with_ancestor_flag, with_region)
+from pagelens.operators.links import filter_topic_any, first_n, nth_item, tag_topic_first, tag_topic_join
+from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.plans import jobs
-from pagelens.plans.crawl import bfs_crawl, link_table
-from pagelens.plans.label import (V1, V2, V3, article_images,
-                                  article_lines, articles_by_url_topic,
-                                  label_articles, render_v1, render_v3)
+from pagelens.plans.crawl import bfs_crawl, link_table, two_level_crawl
+from pagelens.plans.label import (V1, V2, V3, article_images, article_lines,
+                                  label_by_topic, render_v1, render_v3)
 from pagelens.sources import lists as L
 from pagelens.sources import report as R
+from pagelens.sources.pages import read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,28 +43,63 @@ Query = Callable[[SparkSession, str], DataFrame]
 LANG_TOPICS = ["/en/", "/fr/", "/de/", "/es/"]
 ARTICLE = ("tag", "article")
 FRAME = ("id", "frameInner")
-MAIN = ("id", "main")
 LINK_TOPICS = ["/p/1", "/out", "/p/"]
-# Decorated pages (FIXTURES.md section 2), the same text in both engines.
-DECORATE_SQL = """select page_id, concat('/p/', cast(page_id as varchar(20))) as url, concat(
-'<nav><a href="/out">out</a></nav><div id="frameInner"><h1>Title ', cast(page_id as varchar(20)), '</h1><h2>Sub ', cast(page_id % 4 as varchar(20)), '</h2>',
-'<a href="/p/', cast(2*page_id+1 as varchar(20)), '"><img src="https://s.example/l', cast(page_id % 3 as varchar(20)), '.png?w=1"></a>',
-'<a href="/p/', cast(2*page_id+2 as varchar(20)), '">n</a>',
-'<div id="main"><p>alpha beta t', cast(page_id % 5 as varchar(20)), '</p><p>alpha you’re ', CASE WHEN page_id % 2 = 0 THEN 'beta' ELSE 'gamma' END, '</p></div>',
-'<img src="https://s.example/i', cast(page_id % 7 as varchar(20)), '.jpg?w=982&amp;h=1" alt="<p>Alt ', cast(page_id % 5 as varchar(20)), '</p>">',
-'<amp-img src="https://s.example/i', cast(page_id % 7 as varchar(20)), '.jpg?w=640"></amp-img>',
-'<img src="/rel.svg" alt=""><img alt="nosrc">',
-'<img src="http://s.example/j', cast(page_id % 2 as varchar(20)), '.jpg"></div><p>outside</p>') as html
-from pages"""
+BUDGET = 20
 # ---------------------------------------------------------------------------
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/pages.parquet")
+    return read_pages(spark, f"{sf}/pages.parquet")
+
+
+def _text(e: str) -> str:
+    return f"cast(({e}) as varchar(20))"
+
+
+def page_link(e: str) -> str:
+    return f"concat('/p/', {_text(e)})"
+
+
+def https_link(e: str) -> str:
+    return f"concat('https://s.example/p/', {_text(e)})"
+
 
+SPORT = "https://s.example/sport/"
+
+
+def sport_link(e: str) -> str:
+    return f"concat('/sport/l', {_text(f'({e}) % 3')}, '/p', {_text(e)})"
+
+
+def sport_url(e: str) -> str:
+    """Page 0 is the base page."""
+    return f"CASE WHEN {e} = 0 THEN '{SPORT}' ELSE concat('https://s.example', {sport_link(e)}) END"
+
+
+def splice_sql(link: Callable[[str], str] = page_link, url: Callable[[str], str] | None = None) -> str:
+    """(page_id, url, html): the stored pages with an id on the article and, in front
+    of its content, links (two children, one of them twice, and the parent), a nested
+    region, images of all kinds and elements whose tags cross. Runs on both engines."""
+    k = "page_id"
+    parent = f"CASE WHEN {k} = 0 THEN 0 ELSE ({k} - 1 - ({k} - 1) % 2) / 2 END"
+    parent = f"cast({parent} as bigint)"
+    return f"""select page_id, {(url or link)(k)} as url, replace(html, '<article>', concat(
+'<article id="frameInner"><h2>Sub ', {_text(f'{k} % 4')}, '</h2>',
+'<a href="', {link(f'2*{k}+1')}, '"><img src="https://s.example/l', {_text(f'{k} % 3')}, '.png?w=1"></a>',
+'<a href="', {link(f'2*{k}+2')}, '">n</a><a href="', {link(f'2*{k}+1')}, '">again</a><a href="', {link(parent)}, '">up</a>',
+'<a href="', {link('2')}, '">fixed</a><a href="/out">out</a><a name="none">no</a>',
+'<div id="main"><p>alpha beta t', {_text(f'{k} % 5')}, '</p><p>alpha you’re ', CASE WHEN {k} % 2 = 0 THEN 'beta' ELSE 'gamma' END, '</p></div>',
+'<div><p>one<b>two<p>three</b>four</p>five</div><ul><li><div>open</li></ul>',
+'<img src="https://s.example/i', {_text(f'{k} % 7')}, '.jpg?w=982&amp;h=1" alt="<p>Alt ', {_text(f'{k} % 5')}, '</p>">',
+'<amp-img src="https://s.example/i', {_text(f'{k} % 7')}, '.jpg?w=640"></amp-img>',
+'<img src="/rel.svg" alt=""><img alt="nosrc">',
+'<img src="http://s.example/j', {_text(f'{k} % 2')}, '.jpg" alt="<p>Alt ', {_text(f'{k} % 5')}, '</p>">')) as html
+from pages"""
 
-def decorated_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(DECORATE_SQL.replace("from pages", "from {pages}"), pages=_pages(spark, sf))
+
+def spliced(spark: SparkSession, sf: str, link: Callable[[str], str] = page_link,
+            url: Callable[[str], str] | None = None) -> DataFrame:
+    return spark.sql(splice_sql(link, url).replace("from pages", "from {pages}"), pages=_pages(spark, sf))
 
 
 def _article_opts(base=V3):
@@ -76,21 +111,16 @@ def _article_opts(base=V3):
 
 def q_h1_html_tokens(spark, sf):
     t = html_tokens(prepare_pages(_pages(spark, sf)))
-    return t.groupBy("page_id", "kind").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("pos").alias("pos_sum"),
-        F.sum("tlen").alias("text_chars"))
+    return t.select("page_id", "pos", "kind", "tag", "tok", F.col("tlen").cast("bigint").alias("tlen"))
 
 
 def q_h3_elements_by_tag(spark, sf):
-    e = elements(html_tokens(prepare_pages(_pages(spark, sf))))
-    return e.select("page_id", "open_pos", "close_pos", "tag")
+    return elements(prepare_pages(spliced(spark, sf))).select("page_id", "open_pos", "close_pos", "tag")
 
 
 def _scoped(spark, sf, tags):
-    prepared = prepare_pages(_pages(spark, sf))
-    e = with_region(elements(html_tokens(prepared)), *ARTICLE)
-    e = e.where(inside("r") & F.col("tag").isin(tags))
-    return element_text(e, page_text(prepared))
+    e = elements(prepare_pages(_pages(spark, sf)), [*tags, ARTICLE[1]], text_of=tags)
+    return with_region(e, *ARTICLE).where(inside("r") & F.col("tag").isin(tags))
 
 
 def q_h6_element_text(spark, sf):
@@ -118,30 +148,22 @@ def q_t2_top_buckets(spark, sf):
     return T.top_terms(T.term_doc_count(article_lines(_pages(spark, sf), _article_opts())), 10)
 
 
-def _lang_articles(pages):
-    return articles_by_url_topic(pages, LANG_TOPICS)
-
-
 def q_p7_label_v3(spark, sf):
-    p = _pages(spark, sf)
-    return render_v3(label_articles(p, _lang_articles(p), _article_opts()))
+    return render_v3(label_by_topic(_pages(spark, sf), LANG_TOPICS, _article_opts()))
 
 
 def q_p6_label_v2(spark, sf):
-    p = _pages(spark, sf)
-    return render_v3(label_articles(p, _lang_articles(p), _article_opts(V2)))
+    return render_v3(label_by_topic(_pages(spark, sf), LANG_TOPICS, _article_opts(V2)))
 
 
 def q_p5_label_v1(spark, sf):
     p = _pages(spark, sf)
-    arts = p.select(F.col("page_id").cast("bigint").alias("page_id"),
-                    F.lit("test").alias("topic"), "url")
-    return render_v1(label_articles(p, arts, _article_opts(V1)))
+    urls = p.select("url", F.col("page_id").alias("ord"))
+    return render_v1(jobs.label_v1(p, urls, opts=_article_opts(V1)))
 
 
 def q_s10_topic_sections(spark, sf):
-    p = _pages(spark, sf)
-    lab = label_articles(p, _lang_articles(p), _article_opts())
+    lab = label_by_topic(_pages(spark, sf), LANG_TOPICS, _article_opts())
     return R.topic_sections(lab.withColumn("ord", F.col("page_id")))
 
 
@@ -167,64 +189,70 @@ def q_a1_conversation_terms(spark, sf):
 
 
 def q_f14_keyword_copy(spark, sf):
-    lines = _doc_lines(spark, sf)
-    k = X.keyword_copy(F.col("text"))
-    return lines.groupBy("page_id").agg(
-        F.count(k).alias("n_keyword"), F.coalesce(F.sum(F.length(k)), F.lit(0)).alias("keyword_chars"))
+    return _doc_lines(spark, sf).select("page_id", F.col("line_id").cast("bigint").alias("line_id"),
+                                        X.keyword_copy(F.col("text")).alias("keyword"))
 
 
 def q_f_url_functions(spark, sf):
-    p = _pages(spark, sf)
-    u = F.col("url")
-    return p.select("page_id", U.url_stem(u).alias("stem"),
-                    U.label_from_url(u, "https://").alias("label"),
-                    U.url_valid(u).alias("valid"),
-                    U.rebase(U.url_stem(u), "https://x.example", "/en/").alias("rebased"),
-                    U.topic_first(u, LANG_TOPICS).alias("topic"))
+    """The urls tested for F12 are made from the stored ones: as they are, with one
+    more segment, and without their scheme."""
+    u, k = F.col("url"), F.col("page_id") % 3
+    tested = F.when(k == 0, u).when(k == 1, F.concat(u, F.lit("/x"))).otherwise(F.substring_index(u, "//", -1))
+    return _pages(spark, sf).select(
+        "page_id", U.url_stem(u).alias("stem"), U.label_from_url(u, "https://").alias("label"),
+        U.url_valid(tested).alias("valid"), U.rebase(U.url_stem(u), "https://x.example", "/en/").alias("rebased"),
+        U.absolutise(u, "https://y.example").alias("absolute"), U.https_only(u).alias("https"),
+        U.site_prefix(u, "http://").alias("prefixed"), U.topic_first(u, LANG_TOPICS).alias("topic"))
+
 
+# --------------------------------------------------------- spliced pages
 
-# ------------------------------------------------------- decorated pages
+
+def _frame_elements(spark, sf, tags):
+    return elements(prepare_pages(spliced(spark, sf)), tags, containing=[FRAME[1]])
 
 
 def q_h2_region_by_id(spark, sf):
-    d = decorated_pages(spark, sf)
-    e = with_region(elements(html_tokens(prepare_pages(d))), *FRAME)
+    e = with_region(elements(prepare_pages(spliced(spark, sf))), *FRAME)
     return e.where(inside("r")).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _img_rank(df, pos="open_pos"):
-    w = Window.partitionBy("page_id").orderBy(pos)
+def _rank(df, pos="open_pos", by=("page_id",)):
+    w = Window.partitionBy(*by).orderBy(pos)
     return df.withColumn("ord", F.row_number().over(w).cast("bigint"))
 
 
 def q_h5_attribute(spark, sf):
-    d = decorated_pages(spark, sf)
-    e = elements(html_tokens(prepare_pages(d))).where(F.col("tag").isin("img", "amp-img"))
-    return _img_rank(e).select("page_id", "ord", "tag", H.attr("tok", "src").alias("src"),
-                               H.attr("tok", "alt").alias("alt"))
+    e = elements(prepare_pages(spliced(spark, sf)), ["img", "amp-img"])
+    return _rank(e).select("page_id", "ord", "tag", H.attr("tok", "src").alias("src"),
+                           H.attr("tok", "alt").alias("alt"))
 
 
 def q_h7_not_inside_link(spark, sf):
-    d = decorated_pages(spark, sf)
-    e = with_region(with_ancestor_flag(elements(html_tokens(prepare_pages(d))), "a"), *FRAME)
+    e = with_region(with_ancestor_flag(_frame_elements(spark, sf, ["a", "img", "amp-img"]), "a"), *FRAME)
     e = e.where(inside("r") & F.col("tag").isin("img", "amp-img") & ~F.col("in_a"))
-    return _img_rank(e).select("page_id", "ord", H.attr("tok", "src").alias("src"))
+    return _rank(e).select("page_id", "ord", H.attr("tok", "src").alias("src"))
+
+
+def q_h8_entity_decode(spark, sf):
+    refs = ("concat(url, ' &amp;amp; &eacute;&notit; &copy2020 &#0000', cast(65 + page_id % 26 as varchar(20)), "
+            "';&#x', CASE WHEN page_id % 2 = 0 THEN '1F600' ELSE '80' END, '; &lbrace;&unknown; &#99999999999; & &')")
+    return _pages(spark, sf).select("page_id", F.expr(refs).alias("t")).select(
+        "page_id", H.decode_entities("t").alias("text"))
 
 
 def q_j1_structural_anti(spark, sf):
-    d = decorated_pages(spark, sf)
-    e = with_region(elements(html_tokens(prepare_pages(d))), *FRAME)
+    e = with_region(_frame_elements(spark, sf, ["a", "img", "amp-img"]), *FRAME)
     imgs = e.where(inside("r") & F.col("tag").isin("img", "amp-img")).withColumnRenamed("open_pos", "pos")
     a = e.where(F.col("tag") == "a").select("page_id", "open_pos", "close_pos")
     kept = structural_join(imgs, a, "left_anti", pos="pos")
-    return _img_rank(kept, "pos").select("page_id", "ord", H.attr("tok", "src").alias("src"))
+    return _rank(kept, "pos").select("page_id", "ord", H.attr("tok", "src").alias("src"))
 
 
 def q_j2_structural_containment(spark, sf):
-    d = decorated_pages(spark, sf)
-    t = html_tokens(prepare_pages(d))
-    e = elements(t).where(F.col("tag") == "p").select("page_id", "open_pos", "close_pos")
-    txt = t.where(F.col("kind") == "text")
+    prepared = prepare_pages(spliced(spark, sf))
+    e = elements(prepared, ["p"]).select("page_id", "open_pos", "close_pos")
+    txt = html_tokens(prepared).where(F.col("kind") == "text")
     j = structural_join(txt, e, "inner", pos="pos")
     return j.groupBy("page_id", F.col("outer_open_pos").alias("p_pos")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "tok"))),
@@ -232,46 +260,144 @@ def q_j2_structural_containment(spark, sf):
 
 
 def q_p9_article_images(spark, sf):
-    a = article_images(decorated_pages(spark, sf), replace(V3, region=FRAME))
+    a = article_images(spliced(spark, sf), replace(V3, region=FRAME))
     return a.select("page_id", X.list_join(F.col("images")).alias("images"))
 
 
 def q_p1_page_images(spark, sf):
-    rows = jobs.page_images(decorated_pages(spark, sf))
-    lines = R.alt_src_lines(rows)
-    return _img_rank(lines, "pos").select("page_id", "ord", "line")
+    lines = R.alt_src_lines(jobs.page_images(spliced(spark, sf)))
+    return _rank(lines, "pos").select("page_id", "ord", "line")
 
 
 def q_p8_article_text(spark, sf):
-    return jobs.article_text(decorated_pages(spark, sf))
+    return jobs.article_text(spliced(spark, sf))
+
+
+def q_p7_label_v3_spliced(spark, sf):
+    return render_v3(label_by_topic(spliced(spark, sf), ["/p/"], V3))
+
+
+def q_p6_label_v2_spliced(spark, sf):
+    return render_v3(label_by_topic(spliced(spark, sf), ["/p/"], V2))
+
 
+def q_p5_label_v1_list(spark, sf):
+    """P5 over a list that names every page of an odd id twice, in falling order."""
+    p = spliced(spark, sf)
+    urls = p.select("url", F.explode(F.sequence(F.lit(0), F.col("page_id") % 2)).alias("i"), "page_id") \
+        .select("url", (-2 * F.col("page_id") + F.col("i")).alias("ord"))
+    lab = jobs.label_v1(p, urls)
+    return render_v1(lab).select("*").withColumnRenamed("topic", "label")
 
-def q_p7_label_v3_decorated(spark, sf):
-    d = decorated_pages(spark, sf)
-    arts = articles_by_url_topic(d, ["/p/"])
-    return render_v3(label_articles(d, arts, replace(V3, region=FRAME)))
+
+def q_s9_label_sections(spark, sf):
+    rows = jobs.label_by_url(spliced(spark, sf, sport_link, sport_url), SPORT)
+    rep = R.label_sections(rows)
+    return rep.select("part", F.col("section_ord.ord").alias("section_ord"), F.col("row_ord.ord").alias("page_ord"), "line")
+
+
+def q_p3_label_by_url(spark, sf):
+    rows = jobs.label_by_url(spliced(spark, sf, sport_link, sport_url), SPORT)
+    rows = rows.select("label", F.col("ord.ord").alias("page_ord"), F.col("ord.pos").alias("pos"), "alt", "src")
+    return _rank(rows, "pos", ("label", "page_ord")).drop("pos")
+
+
+def q_p2_crawl_images(spark, sf):
+    rows = jobs.crawl_images(spliced(spark, sf, https_link), "https://s.example/p/0")
+    return _rank(rows.withColumnRenamed("ord", "visit"), "pos", ("url",)).select("url", "visit", "ord", "link")
 
 
 def q_c1_link_table(spark, sf):
-    lt = link_table(decorated_pages(spark, sf))
-    w = Window.partitionBy("page_id").orderBy("pos")
-    return lt.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "href")
+    return _rank(link_table(spliced(spark, sf)), "pos").select("page_id", "ord", "href")
+
+
+def q_f5_topic_any(spark, sf):
+    lt = link_table(spliced(spark, sf))
+    return filter_topic_any(_rank(lt, "pos"), LINK_TOPICS[:2]).select("page_id", "ord", "href")
 
 
 def q_f6_topic_first(spark, sf):
-    lt = link_table(decorated_pages(spark, sf))
-    return tag_topic_first(lt, LINK_TOPICS).select("page_id", "href", "topic")
+    lt = _rank(link_table(spliced(spark, sf)), "pos")
+    return tag_topic_first(lt, LINK_TOPICS).select("page_id", "ord", "href", "topic")
+
+
+def q_j4_topic_table(spark, sf):
+    """Every page's own url is a topic, so their number grows with the table."""
+    p = spliced(spark, sf)
+    topics = p.select(F.col("url").alias("topic"), (-F.col("page_id")).alias("ord"))
+    lt = _rank(link_table(p), "pos").drop("url")
+    return tag_topic_join(lt, topics).select("page_id", "ord", "href", "topic")
 
 
 def q_c2_bfs_crawl(spark, sf):
-    d = decorated_pages(spark, sf)
-    lt = link_table(d, region=FRAME)
-    return bfs_crawl(d, ["/p/0"], lt).select("url", "level", "ord")
+    d = spliced(spark, sf)
+    return bfs_crawl(d, ["/p/0"], link_table(d, region=FRAME)).select("url", "level", "ord")
+
+
+def q_c2_bfs_budget(spark, sf):
+    """Repeated seeds, every url stored twice, and a budget; the seeds do not count."""
+    d = spliced(spark, sf)
+    d = d.unionByName(d.withColumn("page_id", F.col("page_id") + 1_000_000))
+    v = bfs_crawl(d, ["/p/0", "/p/0"], link_table(d, region=FRAME), budget=BUDGET, include_seed=False)
+    return v.select("url", "page_id", "level", "ord")
+
+
+def _crawl_rows(df):
+    return df.select("topic", "url", F.col("ord.day_pos").alias("day_pos"), F.col("ord.lpos").alias("lpos"))
+
+
+def q_c3_two_level_crawl(spark, sf):
+    return _crawl_rows(two_level_crawl(spliced(spark, sf), "/p/0", LINK_TOPICS))
+
+
+def q_p4_extract_links(spark, sf):
+    rows = jobs.extract_links(spliced(spark, sf), "/p/0", LINK_TOPICS, max_days=2)
+    return rows.select("url")
+
+
+def q_p7_label_v3_crawl(spark, sf):
+    """P7 through the crawl; the article /p/2 is linked from every date page."""
+    return render_v3(jobs.label_v3(spliced(spark, sf), "/p/0", LINK_TOPICS))
+
+
+def q_p6_label_v2_crawl(spark, sf):
+    return render_v3(jobs.label_v2(spliced(spark, sf), "/p/0", LINK_TOPICS, max_days=2))
+
+
+def q_l2_first_days(spark, sf):
+    lt = link_table(spliced(spark, sf), region=FRAME).where(F.col("page_id") == 3)
+    return first_n(lt, "pos", 4).select("href")
+
+
+def q_l3_nth_item(spark, sf):
+    lt = link_table(spliced(spark, sf), region=FRAME).where(F.col("page_id") == 3)
+    return nth_item(lt, "pos", 2).select("href")
+
+
+def q_s3_url_cells(spark, sf):
+    """Lines of a URL list, one per page, of 1 to 100 cells, quoted ones among them."""
+    line = ("concat(url, ',,\"', replace(url, '/', '\"\"'), ',q\"', repeat(concat(',', url), cast(page_id % 98 as int)))")
+    rows = _pages(spark, sf).select("page_id", F.expr(line).alias("line"))
+    return L.url_cells(rows, "line", ["page_id"]).select(F.col("ord.page_id").alias("page_id"),
+                                                         F.col("ord._c").cast("bigint").alias("cell"), "url")
+
+
+def q_s6_bulk_source(spark, sf):
+    """The payload of each article read back, its first document sent a second time."""
+    pay = L.bulk_payload(article_lines(_pages(spark, sf), _article_opts()))
+    again = pay.where("line_no <= 2").withColumn("line_no", F.col("line_no") + 1_000_000_000)
+    docs = L.bulk_documents(pay.unionByName(again), "page_id", "line_no", "json")
+    return docs.select(F.col("source").alias("page_id"), F.col("_id").alias("id"), "pos", "content")
+
+
+def q_s12_match_all(spark, sf):
+    lines = article_lines(_pages(spark, sf), _article_opts())
+    return L.match_all(lines).select("page_id", "line_id", "text")
 
 
 def q_s8_page_sections(spark, sf):
-    d = decorated_pages(spark, sf)
-    imgs = _img_rank(jobs._page_image_links(d, None, U.https_only), "pos").select(
+    d = spliced(spark, sf)
+    imgs = _rank(jobs._page_image_links(d, None, U.https_only), "pos").select(
         F.col("page_id").alias("_ip"), F.col("ord").alias("pos"), F.col("src").alias("link"))
     v = d.select("url", F.col("page_id").cast("bigint").alias("ord"))
     rows = v.join(imgs, v["ord"] == imgs["_ip"], "left").select(
@@ -281,37 +407,5 @@ def q_s8_page_sections(spark, sf):
                       F.col("row_ord.pos").alias("row_ord"), "line")
 
 
-QUERIES: dict[str, Query] = {
-    "h1_html_tokens": q_h1_html_tokens,
-    "h3_elements_by_tag": q_h3_elements_by_tag,
-    "h6_element_text": q_h6_element_text,
-    "h4_first_element": q_h4_first_element,
-    "u1_line_union": q_u1_line_union,
-    "a1_term_doc_count": q_a1_term_doc_count,
-    "t1_top_terms": q_t1_top_terms,
-    "t2_top_buckets": q_t2_top_buckets,
-    "p7_label_v3": q_p7_label_v3,
-    "p6_label_v2": q_p6_label_v2,
-    "p5_label_v1": q_p5_label_v1,
-    "s10_topic_sections": q_s10_topic_sections,
-    "s5_bulk_payload": q_s5_bulk_payload,
-    "x8_documents_top_terms": q_x8_documents_top_terms,
-    "x7_documents_letter_terms": q_x7_documents_letter_terms,
-    "a1_conversation_terms": q_a1_conversation_terms,
-    "f14_keyword_copy": q_f14_keyword_copy,
-    "f_url_functions": q_f_url_functions,
-    "h2_region_by_id": q_h2_region_by_id,
-    "h5_attribute": q_h5_attribute,
-    "h7_not_inside_link": q_h7_not_inside_link,
-    "j1_structural_anti": q_j1_structural_anti,
-    "j2_structural_containment": q_j2_structural_containment,
-    "p9_article_images": q_p9_article_images,
-    "p1_page_images": q_p1_page_images,
-    "p8_article_text": q_p8_article_text,
-    "p7_label_v3_decorated": q_p7_label_v3_decorated,
-    "c1_link_table": q_c1_link_table,
-    "f6_topic_first": q_f6_topic_first,
-    "c2_bfs_crawl": q_c2_bfs_crawl,
-    "s8_page_sections": q_s8_page_sections,
-}
-
+# every q_<name> above, under its name
+QUERIES: dict[str, Query] = {n[2:]: f for n, f in list(globals().items()) if n.startswith("q_")}

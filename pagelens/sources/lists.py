@@ -8,18 +8,29 @@ from pyspark.sql import functions as F
 from pagelens.functions import text as X
 
 
-def read_url_list(spark: SparkSession, path: str, max_cols: int = 64) -> DataFrame:
-    """S3: every non-empty cell of every row of a CSV file of URLs, flattened
-    in file order: (url, ord). ``ord`` is (file, block, row id, cell)."""
-    schema = ", ".join(f"c{i} STRING" for i in range(max_cols))
-    df = spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE").csv(path)
-    df = df.select("*", F.col("_metadata.file_path").alias("_f"),
-                   F.col("_metadata.file_block_start").alias("_b"),
-                   F.monotonically_increasing_id().alias("_r"))
-    cells = F.posexplode(F.array(*[F.col(f"c{i}") for i in range(max_cols)]))
-    out = df.select("_f", "_b", "_r", cells.alias("_c", "url")).where(
-        F.col("url").isNotNull() & (F.col("url") != ""))
-    return out.select("url", F.struct("_f", "_b", "_r", "_c").alias("ord"))
+# One cell of a CSV row that has a comma put before it.
+CELL_RE = r',("(?:[^"]|"")*+"|[^,]*+)'
+
+
+def url_cells(rows: DataFrame, line: str, order: list[str]) -> DataFrame:
+    """S3 over lines: every non-empty cell of every CSV line, flattened in order:
+    (url, ord), ``ord`` being the ``order`` columns and the cell number. A line
+    may have any number of cells; quoted cells may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), F.col(line)), F.lit(CELL_RE), 1)
+    out = rows.select(*order, F.posexplode(cells).alias("_c", "_v"))
+    quoted = F.col("_v").rlike('(?s)^".*"$')
+    url = F.when(quoted, F.replace(F.expr("substring(_v, 2, length(_v) - 2)"), F.lit('""'), F.lit('"'))) \
+        .otherwise(F.col("_v"))
+    out = out.select(*order, "_c", url.alias("url")).where(F.col("url") != "")
+    return out.select("url", F.struct(*order, "_c").alias("ord"))
+
+
+def read_url_list(spark: SparkSession, path: str) -> DataFrame:
+    """S3: the cells of a CSV file of URLs, in file order: (url, ord)."""
+    df = spark.read.text(path)
+    df = df.select(F.regexp_replace("value", "\\r$", "").alias("value"), F.col("_metadata.file_path").alias("_f"),
+                   F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_r"))
+    return url_cells(df, "value", ["_f", "_b", "_r"])
 
 
 def write_url_list(urls: DataFrame, path: str, order: str = "ord") -> None:
@@ -59,16 +70,13 @@ ACTION_SCHEMA = "index STRUCT<_id: STRING>"
 DOC_SCHEMA = "content STRING"
 
 
-def read_bulk_payload(spark: SparkSession, path: str) -> DataFrame:
-    """NDJSON pair files -> documents (source, _id, content), as the index
-    stores them: an action line applies to the next line; a repeated _id
-    replaces the earlier document but keeps its place (D2). A pair file is
-    one article's payload (as the index receives it), so the pairing window
-    per file is bounded by one article."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source"), "value")
-    lines = raw.select("source", F.posexplode(F.split("value", "\n")).alias("pos", "line")).where(
-        F.trim("line") != "")
+def bulk_documents(lines: DataFrame, source: str = "source", pos: str = "pos", line: str = "line") -> DataFrame:
+    """S6 over lines: NDJSON pair lines -> documents (source, _id, pos, content), as
+    the index stores them: an action line applies to the next line; a repeated _id
+    replaces the earlier document but keeps its place (D2). ``source`` is one
+    article's payload, so the pairing window is bounded by one article."""
+    lines = lines.select(F.col(source).alias("source"), F.col(pos).alias("pos"), F.col(line).alias("line")) \
+        .where(F.trim("line") != "")
     w = Window.partitionBy("source").orderBy("pos")
     paired = lines.withColumn("prev", F.lag("line").over(w)).withColumn(
         "prev_pos", F.lag("pos").over(w))
@@ -83,6 +91,20 @@ def read_bulk_payload(spark: SparkSession, path: str) -> DataFrame:
             .select("source", "_id", "pos", F.col("_last.content").alias("content")))
 
 
+def read_bulk_payload(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of a payload written by ``write_bulk_payload`` (JSON records
+    page_id, line_no, json): (source, _id, pos, content), source being the page."""
+    rows = spark.read.schema("page_id BIGINT, line_no BIGINT, json STRING").json(path)
+    return bulk_documents(rows, "page_id", "line_no", "json")
+
+
+def read_bulk_files(spark: SparkSession, path: str) -> DataFrame:
+    """S6 in the reference's exact form: one NDJSON pair file per article."""
+    raw = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("source"), "value")
+    return bulk_documents(raw.select("source", F.posexplode(F.split("value", "\n")).alias("pos", "line")))
+
+
 def match_all(docs: DataFrame, key: str = "page_id", order: str = "line_id",
               hits: int = 10) -> DataFrame:
     """The first ``hits`` stored documents of each article (the index's

@@ -1,4 +1,4 @@
-"""Page scans (S1, S2) and URL lookups."""
+"""Page scans."""
 
 from __future__ import annotations
 
@@ -22,8 +22,3 @@ def read_html_files(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.xxhash64(fp).alias("page_id"), fp.alias("url"),
                      F.col("value").alias("html"))
 
-
-def pages_for_urls(pages: DataFrame, urls: DataFrame) -> DataFrame:
-    """Pages of a list of URLs (equi join on url; a short list is
-    broadcast by the planner on its measured size)."""
-    return urls.join(pages, "url", "inner")

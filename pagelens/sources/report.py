@@ -119,6 +119,16 @@ def topic_sections(articles: DataFrame, list_form: str = "joined") -> DataFrame:
                           headers=[lambda k: csv_row(k), lambda k: header], trailer='""')
 
 
+#: Articles that one file of the topic tables holds, about.
+FILE_ROWS = 1_000_000
+
+
 def write_topic_tables(articles: DataFrame, path: str) -> None:
-    """Everyday sink: the labelled articles as Parquet partitioned by topic."""
-    articles.write.mode("overwrite").partitionBy("topic").parquet(path)
+    """Everyday sink: the labelled articles as Parquet partitioned by topic. Rows are
+    dealt by topic and a salt in proportion to the topic's size, so a topic has a
+    few full files and a large one is written by many tasks."""
+    size = articles.groupBy(F.col("topic").alias("_t")).agg(F.ceil(F.count(F.lit(1)) / FILE_ROWS).alias("_n"))
+    salted = articles.join(size, articles["topic"].eqNullSafe(size["_t"])).withColumn(
+        "_salt", F.pmod(F.xxhash64("page_id", "url"), F.col("_n")))
+    (salted.repartition("topic", "_salt").drop("_t", "_n", "_salt")
+     .write.mode("overwrite").partitionBy("topic").parquet(path))

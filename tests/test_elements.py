@@ -5,10 +5,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from pagelens.operators.elements import (element_text, elements, inside,
-                                         structural_join, with_ancestor_flag,
-                                         with_region)
-from pagelens.operators.tokens import html_tokens, page_text, prepare_pages
+from pagelens.operators.elements import elements, inside, structural_join, with_ancestor_flag, with_region
+from pagelens.operators.tokens import prepare_pages
 from pagelens.plans.label import V3, article_images, article_lines
 from treebuilder import parse
 
@@ -31,8 +29,7 @@ def pages(spark):
 
 
 def test_p_texts_match_tree_builder(spark, pages):
-    prepared = prepare_pages(pages)
-    els = element_text(elements(html_tokens(prepared)).where(F.col("tag") == "p"), page_text(prepared))
+    els = elements(prepare_pages(pages), ["p"], text_of=["p"])
     got = {}
     for r in els.orderBy("page_id", "open_pos").collect():
         got.setdefault(r.page_id, []).append(r.text)
@@ -42,24 +39,28 @@ def test_p_texts_match_tree_builder(spark, pages):
 
 
 def test_region_and_link_ancestor(spark, pages):
-    els = with_region(with_ancestor_flag(elements(html_tokens(prepare_pages(pages))), "a"), "tag", "div")
+    els = with_region(with_ancestor_flag(elements(prepare_pages(pages)), "a"), "tag", "div")
     imgs = els.where(inside("r") & (F.col("tag") == "img")).select("page_id", "in_a").collect()
     assert sorted((r.page_id, r.in_a) for r in imgs) == [(2, False), (2, True)]
     # join form of the same test
-    e = elements(html_tokens(prepare_pages(pages)))
+    e = elements(prepare_pages(pages))
     im = e.where(F.col("tag") == "img").withColumnRenamed("open_pos", "pos")
     a = e.where(F.col("tag") == "a")
     assert structural_join(im, a, "left_anti").count() == 1
 
 
-def test_lines_and_images_of_decorated_page(spark):
-    from pagelens.registry import DECORATE_SQL
-    base = spark.createDataFrame([(6, "x", "y")], "page_id long, url string, html string")
-    dec = spark.sql(DECORATE_SQL.replace("from pages", "from {pages}"), pages=base)
-    lines = [r.text for r in article_lines(dec, replace(V3, region=("id", "frameInner")))
-             .orderBy("line_id").collect()]
-    assert lines == ["alpha beta t1", "alpha you’re beta", "Title 6", "Sub 2", "<p>Alt 1</p>"]
-    imgs = article_images(dec, replace(V3, region=("id", "frameInner"))).first().images
+def _spliced(spark, ids):
+    from pagelens.registry import splice_sql
+    base = spark.createDataFrame([(i, "x", "<p>before</p><article><h1>T</h1><p>last</p></article><p>after</p>") for i in ids],
+                                 "page_id long, url string, html string")
+    return spark.sql(splice_sql().replace("from pages", "from {pages}"), pages=base)
+
+
+def test_lines_and_images_of_spliced_page(spark):
+    page = _spliced(spark, [6])
+    lines = [r.text for r in article_lines(page, replace(V3, region=("id", "frameInner"))).orderBy("line_id").collect()]
+    assert lines == ["alpha beta t1", "alpha you’re beta", "onetwothreefour", "three", "last", "T", "Sub 2", "<p>Alt 1</p>"]
+    imgs = article_images(page, replace(V3, region=("id", "frameInner"))).first().images
     assert imgs == ["https://s.example/i6.jpg", "http://s.example/j0.jpg"]
 
 
@@ -69,8 +70,19 @@ def test_single_exchange_in_label_plan(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # exactly one shuffle of page rows, reused by the page-text branch
+    # exactly one shuffle of page rows, and no window frame that looks ahead
     final = plan.split("== Initial Plan ==")[0]
-    page_shuffles = [ln for ln in final.splitlines() if "REPARTITION_BY" in ln]
-    assert len([ln for ln in page_shuffles if "ReusedExchange" not in ln]) == 1
-    assert any("ReusedExchange" in ln for ln in page_shuffles)
+    assert len([ln for ln in final.splitlines() if "REPARTITION_BY" in ln]) == 1
+    assert "unboundedfollowing" not in final.lower().replace("unboundedpreceding$(), unboundedfollowing$()", "")
+
+
+def test_only_listed_pages_are_parsed(spark):
+    """The article list meets the pages below the page exchange."""
+    from pagelens.plans.label import label_articles
+    pages = _spliced(spark, range(30))
+    arts = pages.where("page_id IN (3, 5)").select("page_id", F.lit("t").alias("topic"), "url")
+    df = label_articles(pages, arts.unionAll(arts), replace(V3, region=("id", "frameInner")))
+    assert sorted(r.page_id for r in df.collect()) == [3, 3, 5, 5]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "LeftSemi" in below

@@ -1,4 +1,5 @@
 import html
+import html.entities
 
 from pyspark.sql import functions as F
 
@@ -9,10 +10,14 @@ from pagelens.functions import urls as U
 
 def test_entity_decoding_matches_stdlib(spark):
     cases = ["a &amp; b", "&amp;lt;", "caf&eacute; &#8217;s &#x41;&#65;", "&#146; &#0; &#xD800;",
-             "AT&T &copy; &middot; &quot;q&quot;", "&nbsp;x&unknown;", "plain", "&lt;p&gt;"]
+             "AT&T &copy; &middot; &quot;q&quot;", "&nbsp;x&unknown;", "plain", "&lt;p&gt;",
+             "&nbsp x", "&amp b", "&copy2020", "&notit;", "&ampamp;", "&#000000065;", "&#x00041 &#65a", "&#;&#x;&;& &",
+             "&#99999999999;", "&#x110000;", "&#1;&#128;", "x&y=z &ltx"]
+    # every named reference of the standard library, with and without what follows
+    cases += [f"a &{n} b" for n in html.entities.html5] + [f"&{n.rstrip(';')}x1" for n in html.entities.html5]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     got = [r.d for r in df.select(H.decode_entities("s").alias("d")).collect()]
-    assert got == [html.unescape(c) for c in cases]
+    assert [(c, g) for c, g in zip(cases, got) if g != html.unescape(c)] == []
 
 
 def test_attributes_last_wins_and_quotes(spark):
@@ -40,6 +45,13 @@ def test_letters_analyzer(spark):
         "sony", "s", "new", "tv", "hit"]
 
 
+def test_letters_are_lower_cased_one_by_one(spark):
+    df = spark.createDataFrame([("İstanbul ΟΔΟΣ",)], "t string")
+    r = df.select(X.letter_tokens(F.col("t")).alias("l"), X.distinct_terms(F.col("t"), "letters").alias("d"),
+                  X.lowercase(X.space_tokens(F.col("t"))).alias("s"), X.distinct_terms(F.col("t"), "words").alias("w")).first()
+    assert r.l == r.d == r.s == r.w == ["istanbul", "οδοσ"]
+
+
 def test_url_functions(spark):
     df = spark.createDataFrame([("https://www.x.co.uk/sport/football/a.html?x=1",)], "u string")
     r = df.select(U.url_stem(F.col("u")).alias("stem"),
@@ -53,9 +65,10 @@ def test_url_functions(spark):
 
 
 def test_list_render(spark):
-    df = spark.createDataFrame([(["a", "b"],), ([],)], "x array<string>")
-    rows = df.select(X.list_join(F.col("x")).alias("j"), X.list_literal(F.col("x")).alias("l")).collect()
-    assert [(r.j, r.l) for r in rows] == [("a, b", "['a', 'b']"), ("", "[]")]
+    lists = [["a", "b"], [], ["it's", "b"], ['say "x"'], ["it's \"x\""], ["back\\slash", "line\nbreak\t"]]
+    df = spark.createDataFrame([(x,) for x in lists], "x array<string>")
+    rows = df.select("x", X.list_join(F.col("x")).alias("j"), X.list_literal(F.col("x")).alias("l")).collect()
+    assert [(r.j, r.l) for r in rows] == [(", ".join(r.x), repr(r.x)) for r in rows]
 
 
 def test_long_tokens_cut_at_255(spark):

@@ -53,8 +53,11 @@ def test_bulk_payload_roundtrip(spark, tmpdir_path):
     recs = os.path.join(tmpdir_path, "records")
     L.write_bulk_payload(L.bulk_payload(lines), recs)
     assert spark.read.json(recs).count() == 6
-    docs = L.read_bulk_payload(spark, out + "/*/*.txt").orderBy("source", "pos").collect()
-    assert sorted((d._id, d.content) for d in docs) == [("1", "Apple’s \"quote\""), ("1", "other"), ("2", "second")]
+    want = [("1", "Apple’s \"quote\""), ("1", "other"), ("2", "second")]
+    docs = L.read_bulk_files(spark, out + "/*/*.txt").orderBy("source", "pos").collect()
+    assert sorted((d._id, d.content) for d in docs) == want
+    docs = L.read_bulk_payload(spark, recs).collect()
+    assert sorted((d._id, d.content) for d in docs) == want and {d.source for d in docs} == {7, 8}
 
 
 def test_bulk_source_repeated_id_replaces(spark, tmpdir_path):
@@ -62,9 +65,9 @@ def test_bulk_source_repeated_id_replaces(spark, tmpdir_path):
     with open(p, "w") as f:
         f.write('{"index":{"_id":"1"}}\n{"content": "a"}\n{"index":{"_id":"2"}}\n{"content": "b"}\n'
                 '{"index":{"_id":"1"}}\n{"content": "c"}\n')
-    docs = L.read_bulk_payload(spark, p).orderBy("pos").collect()
+    docs = L.read_bulk_files(spark, p).orderBy("pos").collect()
     assert [(d._id, d.content) for d in docs] == [("1", "c"), ("2", "b")]
-    assert L.match_all(L.read_bulk_payload(spark, p).withColumn("page_id", F.lit(1)), order="pos",
+    assert L.match_all(L.read_bulk_files(spark, p).withColumn("page_id", F.lit(1)), order="pos",
                        hits=1).count() == 1
 
 
@@ -79,6 +82,25 @@ def test_url_list_source_and_sink(spark, tmpdir_path):
     assert [r.value for r in spark.read.text(out).collect()] == ["https://a/1", "https://a/2", "https://a/3"]
 
 
+def test_a_row_of_a_thousand_urls(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "wide.csv")
+    row = [f"https://a/{i}" for i in range(1000)] + ["", "https://b/x,y", 'https://c/"q"']
+    with open(p, "w", newline="") as f:
+        csv.writer(f).writerows([row, [], ["https://last"]])
+    got = [r.url for r in L.read_url_list(spark, p).orderBy("ord").collect()]
+    assert got == [c for c in row if c] + ["https://last"]
+
+
+def test_topic_tables_hold_every_row(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(R, "FILE_ROWS", 10)
+    arts = spark.range(105).select(F.when(F.col("id") < 100, "big").when(F.col("id") < 104, "small").alias("topic"),
+                                   F.col("id").alias("page_id"), F.lit("u").alias("url"))
+    out = os.path.join(tmpdir_path, "t")
+    R.write_topic_tables(arts, out)
+    back = spark.read.parquet(out)
+    assert back.columns.count("topic") == 1 and sorted(r.page_id for r in back.collect()) == list(range(105))
+
+
 def test_html_file_scan(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "windfall.html")
     with open(p, "w") as f:
