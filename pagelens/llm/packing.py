@@ -38,7 +38,8 @@ def pieces(text: bytes, longest: int):
 
 def best_fit(sizes: list[int], opening: int, lengths=LENGTHS):
     """Best-fit over sizes in falling order, opening bins of `opening` (or the
-    least length that holds the piece). Returns the bin of each piece and the fills."""
+    least length that holds the piece). Returns the bin of each piece, the fills and
+    the lengths opened."""
     where, fills, caps = [], [], []
     rooms: dict[int, list[int]] = {}
     mask = 0
@@ -59,7 +60,7 @@ def best_fit(sizes: list[int], opening: int, lengths=LENGTHS):
         if room - s:
             rooms.setdefault(room - s, []).append(b)
             mask |= 1 << (room - s)
-    return where, fills
+    return where, fills, caps
 
 
 def pack_sizes(sizes: list[int], lengths=LENGTHS, overhead: int = OVERHEAD):
@@ -68,7 +69,7 @@ def pack_sizes(sizes: list[int], lengths=LENGTHS, overhead: int = OVERHEAD):
     capacities); cost is the sum of capacity plus overhead over the bins."""
     best = None
     for opening in lengths:
-        where, fills = best_fit(sizes, opening, lengths)
+        where, fills, _ = best_fit(sizes, opening, lengths)
         caps = [lengths[bisect_left(lengths, f)] for f in fills]
         cost = sum(caps) + overhead * len(caps)
         if best is None or cost < best[0]:

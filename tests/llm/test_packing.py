@@ -51,7 +51,8 @@ def test_same_result_for_any_input_order(spark):
 
 
 def naive(sizes, opening, lengths):
-    """Best-fit by trying every bin."""
+    """Best-fit by trying every bin: the rooms that are left, in order. Which of the
+    bins with equal room is taken does not change them."""
     fills, caps, where = [], [], []
     for s in sizes:
         fits = [(caps[b] - fills[b], b) for b in range(len(fills)) if caps[b] - fills[b] >= s]
@@ -66,7 +67,7 @@ def naive(sizes, opening, lengths):
             fills.append(s)
         else:
             fills[b[0]] += s
-    return sorted(fills)
+    return sorted(c - f for c, f in zip(caps, fills))
 
 
 def test_best_fit_against_trying_every_bin():
@@ -74,8 +75,8 @@ def test_best_fit_against_trying_every_bin():
     for _ in range(40):
         sizes = sorted((rnd.randint(1, 64) for _ in range(rnd.randint(0, 80))), reverse=True)
         for opening in (16, 32, 64):
-            where, fills = packing.best_fit(sizes, opening, (16, 32, 64))
-            assert sorted(fills) == naive(sizes, opening, (16, 32, 64))
+            where, fills, caps = packing.best_fit(sizes, opening, (16, 32, 64))
+            assert sorted(c - f for c, f in zip(caps, fills)) == naive(sizes, opening, (16, 32, 64))
             assert len(where) == len(sizes)
 
 
