@@ -27,8 +27,11 @@ TERMS = 4000
 LEAST_TEXTS = 4
 #: Standard errors between a term's shares of toxic and clean texts, at least.
 SIGNIFICANCE = 5.0
+#: Times a term's share of clean texts that its share of toxic texts is, at least: a
+#: word that is merely frequent in the language of most toxic texts says nothing.
+RATIO = 3.0
 #: Beginnings of words that are terms beside the whole word, in characters.
-STEMS = (4, 5)
+STEMS = (4, 5, 6, 7, 8)
 NEAREST = 15
 BLOCK = 64
 MEMO = 300_000
@@ -83,17 +86,22 @@ class Index:
         first, ties to the smaller id; `leave` is left out."""
         if not len(ts):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = ws @ self.blockmax[ts]
+        # cosines count to 12 digits, so that equal ones are equal however they were summed
+        bound = np.round(ws @ self.blockmax[ts] + 1e-13, 12)
         best: list[tuple] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] * -1 - 1e-12:
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0]:
                 break
+            # examples lie in order of id: a block that can only tie comes too late if its ids are larger
+            if len(best) == k and bound[b] == -best[-1][0] and self.ids[b * BLOCK] > best[-1][1]:
+                continue
             score = np.zeros(BLOCK)
             for t, w in zip(ts, ws):
                 d, x, at = self.lists[t]
                 i, j = at[b], at[b + 1]
                 if j > i:
                     score[d[i:j] - b * BLOCK] += w * x[i:j]
+            score = np.round(score, 12)
             hit = np.flatnonzero(score > 0)
             best += [(-score[i], self.ids[b * BLOCK + i], b * BLOCK + i) for i in hit if b * BLOCK + i != leave]
             best = sorted(best)[:k]
@@ -160,6 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # stand in more toxic than clean texts, beyond what chance gives among all terms.
     z = (p1 - p0) / F.sqrt(mean * (1 - mean) * (1 / max(n1, 1) + 1 / max(n0, 1)) + 1e-12)
     top = df.where(F.col("c0") + F.col("c1") >= LEAST_TEXTS).withColumn("z", z).where(F.col("z") >= SIGNIFICANCE) \
+        .where((F.col("c1") + 0.5) / max(n1, 1) >= RATIO * (F.col("c0") + 0.5) / max(n0, 1)) \
         .orderBy(F.col("z").desc(), "w").limit(size)
     vocab = [(r["w"], r["c0"] + r["c1"]) for r in top.collect()]
     at = {w: i for i, (w, _) in enumerate(vocab)}
