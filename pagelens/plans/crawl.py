@@ -13,6 +13,7 @@ and per-partition row counts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from pagelens.operators.elements import elements, inside, with_region
 from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.session import checkpoint_dir
 
+#: Pieces that the set of queued urls of a crawl lies in, at most.
+SEEN_PIECES = 8
+
 LinkRewrite = Callable[[Column], Column]
 
 
@@ -109,7 +113,9 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     stored = stored_urls(pages).repartition(parts, "url").checkpoint()
     frontier = spark.createDataFrame([(u, -1, i) for i, u in enumerate(dict.fromkeys(seeds))],
                                      "url string, parent long, lpos long")
-    seen = frontier.select("url").repartition(parts, "url").checkpoint()
+    # what was queued so far, in pieces hash-partitioned by url: a level meets each
+    # piece where it lies, and only every SEEN_PIECES levels are they dealt anew
+    seen = [frontier.select("url").repartition(parts, "url").checkpoint()]
     # the link table is read once per level: materialise it once
     lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
                       F.col("url").alias("_out")).checkpoint()
@@ -134,11 +140,14 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
         if dedupe == "none":
             frontier = out.checkpoint()
             continue
-        cand = out.groupBy("url").agg(F.min(F.struct("parent", "lpos")).alias("k")).repartition(parts, "url")
-        frontier = cand.join(seen, "url", "left_anti").select("url", "k.parent", "k.lpos").checkpoint()
-        # a union of checkpointed pieces, all hash-partitioned by url: no
-        # recomputation; an empty frontier ends the next level
-        seen = seen.unionByName(frontier.select("url"))
+        frontier = out.groupBy("url").agg(F.min(F.struct("parent", "lpos")).alias("k"))
+        for piece in seen:
+            frontier = frontier.join(piece, "url", "left_anti")
+        # an empty frontier ends the next level
+        frontier = frontier.select("url", "k.parent", "k.lpos").checkpoint()
+        seen.append(frontier.select("url"))
+        if len(seen) > SEEN_PIECES:
+            seen = [reduce(DataFrame.unionByName, seen).repartition(parts, "url").checkpoint()]
     if not levels:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
     visited = levels[0]
