@@ -10,7 +10,8 @@ import sys
 
 sys.path.insert(0, "/root/repo")
 
-KEEP = re.compile(r"Exchange|Reused|Join|Aggregate|Window|Generate|Scan|Sort \[|Union|TakeOrdered")
+KEEP = re.compile(r"(\*\(\d+\) )?(\w*Exchange|Reused|\w*Join|\w*Aggregate|Window|Generate|\w*Scan|Scan|Sort \[|Union|TakeOrdered|"
+                  r"\w*Python|\w*InArrow)")
 
 
 def main():
@@ -23,8 +24,8 @@ def main():
     df.collect()  # executes this DataFrame's own plan, so the final plan is printed
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     for line in plan.splitlines():
-        if KEEP.search(line):
-            body = line.lstrip(" :+-")
+        body = line.lstrip(" :+-")
+        if KEEP.match(body):
             depth = (len(line) - len(body)) // 3
             print(f"{depth:3d} " + re.sub(r"\[.{100,}", "[...]", body)[:140])
 
