@@ -9,7 +9,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.slow
 def test_all_queries_match_oracles(spark):
-    res = run(spark, SF, verbose=False)
+    from pagelens.registry import QUERIES
+    res = run(spark, SF, list(QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] is not True}
     assert not bad, bad
 
