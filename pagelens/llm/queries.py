@@ -94,6 +94,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op9_pii, op10_topk)}
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op5_url_filter": url_filter.oracle_sql(),
     "op8_mixing": mixing.ORACLE,
+    "op9_pii": pii.oracle_sql(),
     "op10_topk": topk.ORACLE,
 }

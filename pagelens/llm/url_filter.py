@@ -129,3 +129,46 @@ def merged(nodes: DataFrame) -> DataFrame:
     name = F.array_join(F.sort_array(F.collect_set("s").over(Window.partitionBy("host", "t", "g"))), "|")
     m = m.withColumn("branch", name).select("host", "t", "s", "branch")
     return m.unionByName(nodes.where(~known).select("host", "t", "s", F.col("s").alias("branch")))
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of query op5: the same tree, level by level, written on its own."""
+    rules = ", ".join(f"('{h}', '{p}', '{v}', {int(v != 'block')})" for h, p, v in RULES)
+    sql = f"""WITH
+u AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+r(h, p, v, o) AS (VALUES {rules}),
+f AS (SELECT u.page_id, h || p AS rule, v, row_number() OVER (PARTITION BY u.page_id ORDER BY length(h || p) DESC, o, h || p) AS k
+      FROM u JOIN r ON (u.host = h OR ends_with(u.host, '.' || h)) AND starts_with(u.path, p)),
+a AS (SELECT u.*, f.rule, f.v, list_filter(string_split(u.path, '/'), lambda x: x <> '') AS segs
+      FROM u LEFT JOIN f ON f.page_id = u.page_id AND f.k = 1),
+hosts AS (SELECT host, count(*) AS hn FROM a GROUP BY host),
+t0 AS (SELECT page_id, host, segs, v, '' AS t FROM a)"""
+    for k in range(DEPTH):
+        seg = f"coalesce(segs[{k + 1}], '')" if k < DEPTH - 1 else f"array_to_string(segs[{k + 1}:], '/')"
+        sql += f""",
+s{k} AS (SELECT *, {seg} AS s FROM t{k}),
+n{k} AS (SELECT host, t, s, count(v) AS e, count(*) FILTER (WHERE v = 'block') AS b FROM s{k} JOIN hosts USING (host) WHERE s <> ''
+         GROUP BY host, t, s HAVING count(*) >= {LEAST_URLS} AND count(*) >= any_value(hn) * {LEAST_SHARE}),
+l{k} AS (SELECT *, b::DOUBLE / e AS p, lag(b::DOUBLE / e) OVER w AS lp, lag(e) OVER w AS le, lag(b) OVER w AS lb
+         FROM n{k} WHERE e >= {LEAST_EXAMPLES} WINDOW w AS (PARTITION BY host, t ORDER BY b::DOUBLE / e, s)),
+g{k} AS (SELECT *, sum(CASE WHEN lp IS NULL OR p - lp > {ALIKE} * sqrt((b + lb)::DOUBLE / (e + le) * (1 - (b + lb)::DOUBLE / (e + le))
+             * (1.0::DOUBLE / e + 1.0::DOUBLE / le)) THEN 1 ELSE 0 END) OVER (PARTITION BY host, t ORDER BY p, s) AS g FROM l{k}),
+b{k} AS (SELECT host, t, s, string_agg(s, '|') OVER (PARTITION BY host, t, g ORDER BY s
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS branch FROM g{k}
+         UNION ALL SELECT host, t, s, s FROM n{k} WHERE e < {LEAST_EXAMPLES}),
+t{k + 1} AS (SELECT s{k}.page_id, s{k}.host, s{k}.segs, s{k}.v, s{k}.t || CASE WHEN s{k}.s = '' THEN '' ELSE '/' || coalesce(branch,
+             CASE WHEN regexp_matches(stem, '^[0-9]+$') THEN '{{n}}'
+                  WHEN regexp_matches(stem, '^[0-9a-fA-F-]{{8,}}$') AND regexp_matches(stem, '[0-9]') THEN '{{x}}'
+                  WHEN regexp_matches(stem, '[0-9]') THEN '{{m}}' ELSE '{{s}}' END || lower(ext)) END AS t
+           FROM (SELECT *, regexp_extract(s, '^(.*?)(\\.[A-Za-z]{{1,5}})?$', 1) AS stem,
+                        regexp_extract(s, '^(.*?)(\\.[A-Za-z]{{1,5}})?$', 2) AS ext FROM s{k}) s{k}
+           LEFT JOIN b{k} USING (host, t, s))"""
+    return sql + f""",
+pr AS (SELECT coalesce(count(*) FILTER (WHERE v = 'block')::DOUBLE / nullif(count(v), 0), 0) AS prior FROM a),
+j AS (SELECT host, t, count(v) AS examples, (count(*) FILTER (WHERE v = 'block') + {PSEUDO} * any_value(prior)) / (count(v) + {PSEUDO}) AS purity
+      FROM t{DEPTH}, pr GROUP BY host, t)
+SELECT a.page_id, a.host, a.path, a.rule, coalesce(a.v, CASE WHEN examples >= {LEAST_EXAMPLES} AND purity >= {PURITY}
+         THEN 'block' ELSE 'allow' END) AS verdict, j.t AS template, j.examples, j.purity
+FROM a JOIN t{DEPTH} t ON t.page_id = a.page_id JOIN j ON j.host = t.host AND j.t = t.t"""
