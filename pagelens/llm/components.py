@@ -29,10 +29,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = _state(e)
     while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
-        big = e.join(low, "v").select("u", F.col("m").alias("v"))
-        low = big.groupBy("u").agg(F.min("v").alias("m"))
+        # the small sides are materialised, so that a join may split the rows of a hub
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m")))
+        big = cut(e.join(low, "v").select("u", F.col("m").alias("v")))
+        low = cut(big.groupBy("u").agg(F.min("v").alias("m")))
         small = big.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
