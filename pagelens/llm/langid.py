@@ -110,8 +110,10 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     part = F.create_map(*[F.lit(v) for x, n in size for v in (x, min(1.0, texts / n))])
     u = F.pmod(F.xxhash64(F.lit("langid"), id_col), F.lit(1 << 30)) / float(1 << 30)
     sample = train.where(u < F.element_at(part, F.col(lang_col))) \
-        .select(F.element_at(at, F.col(lang_col)).alias("l"), F.col(text_col).cast("binary").alias("t"))
-    sample = sample.repartition(max(8, int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))), F.xxhash64("t"))
+        .select(F.element_at(at, F.col(lang_col)).alias("l"), F.col(text_col).cast("binary").alias("t"),
+                F.xxhash64(id_col, text_col).alias("h"))
+    # dealt by id and text, so that copies of a text lie apart
+    sample = sample.repartition(max(8, int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "h").drop("h")
 
     def count(batches):  # texts per n-gram and language within a task
         held: dict[int, list[np.ndarray]] = {}
