@@ -1,8 +1,8 @@
 """Language identification with bit-sliced Bloom filters over n-grams.
 
 Every language has a Bloom filter over its frequent byte n-grams. The filters lie
-across one table: row r holds bit r of all filters, one bit per language, so the
-AND of an n-gram's k rows is the mask of all languages that contain it. The set
+across one table: row r holds bit r of all filters, one bit per language (64 to a
+mask), so the AND of an n-gram's k rows is the mask of all languages that contain it. The set
 bits are counted per language over the n-grams of a text, corrected for the
 filter's false positives, and the highest count decides.
 """
@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelens.llm.common import cut
+
 #: Lengths of the n-grams in bytes (of the text with A-Z lower-cased).
 GRAMS = (3, 4, 5)
 #: Rows of the filter table and probes per n-gram.
@@ -24,8 +26,8 @@ SHARE = 0.02
 #: Texts of each language that the filters are learnt from, the first by hash of
 #: the id; documented bound of the training sample.
 TRAIN_TEXTS = 3000
-#: The filter masks have 64 bits; beyond it the languages with most texts stay.
-MAX_LANGS = 64
+#: Languages per mask; with more of them the table has one mask after another.
+BITS = 64
 CHUNK = 1 << 20
 
 
@@ -53,15 +55,20 @@ def probes(codes: np.ndarray, rows: int = ROWS, k: int = PROBES):
     return [((a + np.uint64(i) * b) % np.uint64(rows)).astype(np.int64) for i in range(k)]
 
 
+def bits_of(masks: np.ndarray, n: int) -> np.ndarray:
+    """The first n bits of each mask, as a row of zeros and ones."""
+    return (masks[:, None] >> np.arange(n, dtype=np.uint64)) & np.uint64(1)
+
+
 class Model:
     """Languages, filter table, false positive rate and mean share of members."""
 
-    def __init__(self, langs, table, fill, base):
-        self.langs, self.table, self.fill, self.base = langs, table, fill, base
+    def __init__(self, langs, tables, fill, base):
+        self.langs, self.tables, self.fill, self.base = langs, tables, fill, base
 
     def shared(self, spark):
-        """Broadcast of the parts; its size is fixed by ROWS and MAX_LANGS."""
-        return spark.sparkContext.broadcast((self.langs, self.table, self.fill, self.base))
+        """Broadcast of the parts: ROWS masks per 64 languages."""
+        return spark.sparkContext.broadcast((self.langs, self.tables, self.fill, self.base))
 
     def counts(self, text: bytes) -> tuple[np.ndarray, int]:
         """Members per language, corrected for false positives, and the n-grams."""
@@ -69,14 +76,16 @@ class Model:
         for at in range(0, len(text), CHUNK):
             codes = grams(text[at:at + CHUNK + max(GRAMS) - 1], CHUNK)
             n += len(codes)
-            mask = None
-            for rows in probes(codes):
-                m = self.table[rows]
-                mask = m if mask is None else mask & m
-            if mask is not None and len(mask):
+            if not len(codes):
+                continue
+            places = probes(codes)
+            for w, table in enumerate(self.tables):
+                mask = table[places[0]]
+                for rows in places[1:]:
+                    mask = mask & table[rows]
                 kinds, times = np.unique(mask, return_counts=True)
-                bits = (kinds[:, None] >> np.arange(len(self.langs), dtype=np.uint64)) & np.uint64(1)
-                found += times @ bits.astype(np.int64)
+                part = found[w * BITS:(w + 1) * BITS]
+                part += times @ bits_of(kinds, len(part)).astype(np.int64)
         return np.maximum(0, found - n * self.fill) / (1 - self.fill), n
 
     def decide(self, text: bytes) -> tuple[str, float]:
@@ -97,13 +106,14 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
 
     Per language a sample of at most about `texts` rows is read (drawn by hash of
     the id). Counting n-grams and setting bits are aggregations; the driver gets the
-    filter table, whose size is fixed (`ROWS` masks), and one row per language.
+    filter table, whose size is fixed (`ROWS` masks per 64 languages), and one row
+    per language.
     """
     train = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     size = train.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()
+        .collect()
     if not size:
-        return Model([], np.zeros(ROWS, dtype=np.uint64), np.zeros(0), np.ones(0))
+        return Model([], [], np.zeros(0), np.ones(0))
     size = sorted((r["lang"], r["n"]) for r in size)
     langs = [x for x, _ in size]
     at = F.create_map(*[F.lit(v) for i, (x, _) in enumerate(size) for v in (x, i)])
@@ -114,6 +124,7 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
                 F.xxhash64(id_col, text_col).alias("h"))
     # dealt by id and text, so that copies of a text lie apart
     sample = sample.repartition(max(8, int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "h").drop("h")
+    sample = cut(sample)  # read several times; its size is bounded by `texts` per language
 
     def count(batches):  # texts per n-gram and language within a task
         held: dict[int, list[np.ndarray]] = {}
@@ -136,20 +147,21 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     least = F.element_at(F.create_map(*[F.lit(v) for l, n in seen.items() for v in (l, max(1, int(n * SHARE)))]), F.col("l"))
     common = sample.mapInArrow(count, "l int, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n")) \
         .where(F.col("n") >= least)
-    masks = common.groupBy("g").agg(F.bit_or(F.expr("shiftleft(1L, l)")).alias("m"))
+    masks = common.groupBy("g", F.expr(f"l div {BITS}").cast("int").alias("w")) \
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, l % {BITS})")).alias("m"))
 
     def place(batches):
         for b in batches:
-            codes, m = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+            codes, w, m = b.column(0).to_numpy().view(np.uint64), b.column(1), b.column(2)
             for rows in probes(codes):
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(m)], names=["r", "m"])
-
-    table = np.zeros(ROWS, dtype=np.uint64)
-    bits = masks.mapInArrow(place, "r long, m long").groupBy("r").agg(F.bit_or("m").alias("m")).toPandas()
-    table[bits["r"].to_numpy(dtype=np.int64)] = bits["m"].to_numpy(dtype=np.int64).view(np.uint64)
-    set_bits = (table[:, None] >> np.arange(len(langs), dtype=np.uint64)) & np.uint64(1)
-    model = Model(langs, table, set_bits.mean(axis=0) ** PROBES, np.ones(len(langs)))
-
+                yield pa.RecordBatch.from_arrays([w, pa.array(rows), m], names=["w", "r", "m"])
+
+    tables = [np.zeros(ROWS, dtype=np.uint64) for _ in range(-(-len(langs) // BITS))]
+    placed = masks.mapInArrow(place, "w int, r long, m long").groupBy("w", "r").agg(F.bit_or("m").alias("m")).toPandas()
+    for w, part in placed.groupby("w"):
+        tables[w][part["r"].to_numpy(dtype=np.int64)] = part["m"].to_numpy(dtype=np.int64).view(np.uint64)
+    set_bits = np.concatenate([bits_of(t, min(BITS, len(langs) - w * BITS)) for w, t in enumerate(tables)], axis=1)
+    model = Model(langs, tables, set_bits.mean(axis=0) ** PROBES, np.ones(len(langs)))
     shared = model.shared(train.sparkSession)
 
     def reach(batches):

@@ -19,7 +19,7 @@ def test_held_out_labels_are_not_read(spark):
     held = remainder("doc_id", 4) == 2
     noisy = docs.withColumn("lang", F.when(held, "zz").otherwise(F.col("lang")))
     a, b = langid.fit(docs.where(~held)), langid.fit(noisy.where(~held))
-    assert a.langs == b.langs and (a.table == b.table).all()
+    assert a.langs == b.langs and all((x == y).all() for x, y in zip(a.tables, b.tables))
 
 
 def test_filters_against_plain_sets(spark):
@@ -34,7 +34,7 @@ def test_filters_against_plain_sets(spark):
         sets[lang] = codes[n >= max(1, int(len(lists) * langid.SHARE))]
     bits = {lang: np.uint64(1 << i) for i, lang in enumerate(model.langs)}
     for lang, codes in sets.items():
-        mask = np.bitwise_and.reduce([model.table[p] for p in langid.probes(codes)])
+        mask = np.bitwise_and.reduce([model.tables[0][p] for p in langid.probes(codes)])
         assert (mask & bits[lang] != 0).all()
     for r in docs.limit(30).collect():
         codes = langid.grams(r["text"].encode())
@@ -64,3 +64,16 @@ def test_odd_rows(spark):
     none = langid.fit(empty_docs(spark))
     assert langid.identify(odd_docs(spark), none).count() == 12
     langid.identify(odd_docs(spark), langid.fit(odd_docs(spark))).collect()
+
+
+def test_more_languages_than_a_mask_holds(spark):
+    """150 languages with words of their own: each is found again."""
+    def word(i, j):
+        return "".join(chr(97 + (i * 7 + j * 3 + d * (i + 3)) % 26) for d in range(6)) + chr(97 + i % 26) + chr(97 + i // 26)
+
+    rows = [(i * 10 + k, " ".join(word(i, (j + k) % 9) for j in range(30)), f"l{i:03d}") for i in range(150) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.tables) == 3
+    got = langid.identify(df, model).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.97 * len(got)
