@@ -40,7 +40,8 @@ LETTER_TOKEN_RE = f"\\p{{L}}{{1,{MAX_TOKEN_LENGTH}}}"
 def lower(text: Column) -> Column:
     """Lower-case character by character, as the index's filters do: the two letters
     whose lower case depends on their surroundings or grows are mapped first."""
-    return F.lower(F.translate(text, "\u0130\u03a3", "i\u03c3"))
+    special = text.contains("\u0130") | text.contains("\u03a3")
+    return F.when(special, F.lower(F.translate(text, "\u0130\u03a3", "i\u03c3"))).otherwise(F.lower(text))
 
 
 def letter_tokens(text: Column) -> Column:
