@@ -8,7 +8,7 @@ to intervals, and crawls in closed form from ``page_id``.
 
 from __future__ import annotations
 
-from pagelens.registry import (BUDGET, LANG_TOPICS, LINK_TOPICS, https_link, page_link, splice_sql,
+from pagelens.registry import (BASE, BUDGET, LANG_TOPICS, LINK_TOPICS, https_link, page_link, splice_sql,
                                sport_link, sport_url)
 
 # --- fixed values, stated independently of the code under test ----------------
@@ -241,12 +241,13 @@ def spliced_sql(select: str, *more: str, parts=("p", "h1", "h2"), nested: str |
     return _with(dec(), parse_ctes("dec"), article_ctes(parts, FRAME, nested), *more) + select
 
 
-def crawl_ctes(days: int | None = None) -> tuple[str, ...]:
-    """Two-level crawl from /p/0: ar(topic, url, day_pos, lpos)."""
+def crawl_ctes(days: int | None = None, base: str = "") -> tuple[str, ...]:
+    """Two-level crawl from /p/0: ar(topic, url, day_pos, lpos). A page's url is its
+    link with ``base`` in front."""
     limit = f"LIMIT {days}" if days else ""
     return FRAME_LINKS, STORED, f"""
 dy AS (SELECT f.pos AS day_pos, su.page_id FROM fl f JOIN su ON su.url = f.href WHERE f.page_id = 0 ORDER BY f.pos {limit}),
-ar AS (SELECT * FROM (SELECT {_LINK_TOPIC} AS topic, href AS url, dy.day_pos, f.pos AS lpos FROM dy JOIN fl f ON f.page_id = dy.page_id)
+ar AS (SELECT * FROM (SELECT {_LINK_TOPIC} AS topic, '{base}' || href AS url, dy.day_pos, f.pos AS lpos FROM dy JOIN fl f ON f.page_id = dy.page_id)
        WHERE topic IS NOT NULL)"""
 
 
@@ -345,7 +346,7 @@ SELECT al.page_id, al.ord, al.href, arg_max(d.url, d.page_id) AS topic FROM al J
     "c2_bfs_budget": f"""
 SELECT {page_link('page_id')} AS url, page_id, {_LEVEL}, page_id - 1 AS ord FROM pages WHERE page_id BETWEEN 1 AND {BUDGET}""",
     "c3_two_level_crawl": spliced_sql("SELECT topic, url, day_pos, lpos FROM ar", *crawl_ctes()),
-    "p4_extract_links": spliced_sql("SELECT url FROM ar", *crawl_ctes(2)),
+    "p4_extract_links": spliced_sql("SELECT url, day_pos, lpos FROM ar", *crawl_ctes(2, BASE)),
     "p7_label_v3_crawl": crawl_label_sql(3),
     "p6_label_v2_crawl": crawl_label_sql(2, 2),
     "l2_first_days": _with(LINKS) + "SELECT href FROM lk WHERE page_id = 3 AND ord <= 4",

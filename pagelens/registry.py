@@ -45,6 +45,7 @@ ARTICLE = ("tag", "article")
 FRAME = ("id", "frameInner")
 LINK_TOPICS = ["/p/1", "/out", "/p/"]
 BUDGET = 20
+BASE = "https://b.example"
 # ---------------------------------------------------------------------------
 
 
@@ -351,8 +352,10 @@ def q_c3_two_level_crawl(spark, sf):
 
 
 def q_p4_extract_links(spark, sf):
-    rows = jobs.extract_links(spliced(spark, sf), "/p/0", LINK_TOPICS, max_days=2)
-    return rows.select("url")
+    """Relative links, absolute urls: the base is put in front at both levels."""
+    p = spliced(spark, sf, page_link, lambda k: f"concat('{BASE}', {page_link(k)})")
+    rows = jobs.extract_links(p, f"{BASE}/p/0", LINK_TOPICS, base=BASE, max_days=2)
+    return rows.select("url", F.col("ord.day_pos").alias("day_pos"), F.col("ord.lpos").alias("lpos"))
 
 
 def q_p7_label_v3_crawl(spark, sf):
