@@ -24,6 +24,8 @@ from pagelens.operators.elements import elements, inside, with_region
 from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.session import checkpoint_dir
 
+#: Link positions that a page's place in the queue is made of, at most.
+KEY_STEPS = 8
 #: Pieces that the set of queued urls of a crawl lies in, at most.
 SEEN_PIECES = 8
 
@@ -95,9 +97,11 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     again, so a page can be visited more than once (needs a budget). With
     ``include_seed=False`` the seeds only provide links (Q10).
 
-    FIFO order within a level is (visit number of the parent, link position), so
-    the key has the same size at any depth: a level is sorted by it and numbered
-    on from the level before. Repeated seeds count once, and a URL that is
+    FIFO order is carried as a key: the parent's key followed by the link
+    position (arrays compare lexicographically), so a level needs no sort. Every
+    KEY_STEPS levels the level's pages are numbered in order and the number
+    becomes their key, so it does not grow with depth; the visited pages are
+    numbered once at the end. Repeated seeds count once, and a URL that is
     stored more than once is visited once (``stored_urls``).
     """
     if dedupe not in ("seen", "none"):
@@ -111,8 +115,8 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     # frontier
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored = stored_urls(pages).repartition(parts, "url").checkpoint()
-    frontier = spark.createDataFrame([(u, -1, i) for i, u in enumerate(dict.fromkeys(seeds))],
-                                     "url string, parent long, lpos long")
+    frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(dict.fromkeys(seeds))],
+                                     "url string, key array<bigint>")
     # what was queued so far, in pieces hash-partitioned by url: a level meets each
     # piece where it lies, and only every SEEN_PIECES levels are they dealt anew
     seen = [frontier.select("url").repartition(parts, "url").checkpoint()]
@@ -120,40 +124,45 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
                       F.col("url").alias("_out")).checkpoint()
     levels: list[DataFrame] = []
-    n_visited, level = 0, 0
+    n_visited, level, steps = 0, 0, 1
     while True:
-        fetched, k = dense_order(frontier.join(stored, "url"), [F.col("parent"), F.col("lpos")], n_visited)
+        fetched = frontier.join(stored, "url")
+        if steps == KEY_STEPS:
+            fetched, k = dense_order(fetched, [F.col("key")])
+            fetched, steps = fetched.withColumn("key", F.array("ord")).drop("ord"), 1
+        else:
+            k = fetched.count()
         if k == 0:
             break
         if include_seed or level > 0:
             if budget is not None and n_visited + k > budget:
-                fetched, k = fetched.where(F.col("ord") < budget), budget - n_visited
-            levels.append(fetched.select("url", "page_id", F.lit(level).cast("bigint").alias("level"), "ord"))
+                fetched, _ = dense_order(fetched, [F.col("key")])
+                k = budget - n_visited
+                fetched = fetched.where(F.col("ord") < k).drop("ord")
+            levels.append(fetched.select("url", "page_id", F.lit(level).cast("bigint").alias("level"), "key"))
             n_visited += k
         if budget is not None and n_visited >= budget:
             break
-        level += 1
+        level, steps = level + 1, steps + 1
         if max_levels is not None and level > max_levels:
             break
         out = fetched.join(lk, fetched["page_id"] == lk["_src"]).select(
-            F.col("_out").alias("url"), F.col("ord").alias("parent"), F.col("_lpos").cast("bigint").alias("lpos"))
+            F.col("_out").alias("url"), F.concat("key", F.array(F.col("_lpos").cast("bigint"))).alias("key"))
         if dedupe == "none":
             frontier = out.checkpoint()
             continue
-        frontier = out.groupBy("url").agg(F.min(F.struct("parent", "lpos")).alias("k"))
+        frontier = out.groupBy("url").agg(F.min("key").alias("key"))
         for piece in seen:
             frontier = frontier.join(piece, "url", "left_anti")
         # an empty frontier ends the next level
-        frontier = frontier.select("url", "k.parent", "k.lpos").checkpoint()
+        frontier = frontier.checkpoint()
         seen.append(frontier.select("url"))
         if len(seen) > SEEN_PIECES:
             seen = [reduce(DataFrame.unionByName, seen).repartition(parts, "url").checkpoint()]
     if not levels:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
-    visited = levels[0]
-    for part in levels[1:]:
-        visited = visited.unionByName(part)
-    return visited
+    out, _ = dense_order(reduce(DataFrame.unionByName, levels), [F.col("level"), F.col("key")])
+    return out.select("url", "page_id", "level", "ord")
 
 
 def stored_urls(pages: DataFrame) -> DataFrame:
