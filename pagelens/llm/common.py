@@ -18,7 +18,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: A side of a join is broadcast only when it was counted and has at most this
 #: many rows (of a few dozen bytes each); beyond it the join is a shuffle join.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 
 def ascii_lower(col):

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelens.llm.common import cut
+
 #: Bound of the training sample: labelled texts per label, the first by hash of the id.
 TRAIN_TEXTS = 4000
 #: Terms of the vocabulary, by strength of their relation to the label.
@@ -34,7 +36,7 @@ RATIO = 3.0
 STEMS = (4, 5, 6, 7, 8)
 NEAREST = 15
 BLOCK = 64
-MEMO = 300_000
+MEMO = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -55,7 +57,7 @@ def counted(text: str | None, vocabulary=None, memo: dict | None = None) -> Coun
             if ts is None:
                 if len(memo) > MEMO:
                     memo.clear()
-                ts = memo[w] = [vocabulary[t] for t in terms(w) if t in vocabulary]
+                ts = memo[w] = tuple(vocabulary[t] for t in terms(w) if t in vocabulary)
         for t in ts:
             out[t] += n
     return out
@@ -143,7 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if sample is None:
         return None
     parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sample = sample.groupBy(id_col).agg(F.max("y").alias("y"), F.max("t").alias("t")).repartition(parts, F.xxhash64(id_col))
+    # read several times, so materialised; its size is bounded by per_label
+    sample = cut(sample.groupBy(id_col).agg(F.max("y").alias("y"), F.max("t").alias("t")).repartition(parts, F.xxhash64(id_col)))
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
 
