@@ -3,9 +3,9 @@
 Texts and examples are TF-IDF vectors over a vocabulary of label-bearing terms
 (words and word beginnings). The examples lie in an inverted index cut into
 blocks; per term and block the index keeps the largest weight, so the bound of a
-block is one small dot product. Blocks are scored exactly in falling order of
-their bounds until no bound exceeds the k-th best cosine, which makes the k
-nearest exact. Their votes, weighted by cosine, are turned into a probability by
+block is one small dot product. The blocks with the highest bounds are scored
+first, then those whose bounds reach the k-th best cosine so far, which makes
+the k nearest exact. Their votes, weighted by cosine, are turned into a probability by
 a map learnt from the examples' own votes.
 """
 
@@ -36,6 +36,8 @@ RATIO = 3.0
 STEMS = (4, 5, 6, 7, 8)
 NEAREST = 15
 BLOCK = 64
+#: Blocks that are scored first, for a k-th best cosine to hold the bounds against.
+PROBE = 4
 MEMO = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -69,45 +71,59 @@ class Index:
     def __init__(self, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, vectors: list):
         self.idf, self.ids, self.labels = idf, ids, labels
         n, v = len(ids), len(idf)
-        blocks = -(-n // BLOCK) if n else 0
         postings: list[list] = [[] for _ in range(v)]
         for d, (ts, ws) in enumerate(vectors):
             for t, w in zip(ts, ws):
                 postings[t].append((d, w))
+        blocks = -(-n // BLOCK)
+        self.first = ids[::BLOCK]  # smallest id of each block, as examples lie in order of id
         self.blockmax = np.zeros((v, blocks))
         self.lists = []
         for t, p in enumerate(postings):
             d = np.array([x for x, _ in p], dtype=np.int64)
             w = np.array([x for _, x in p], dtype=np.float64)
             np.maximum.at(self.blockmax[t], d // BLOCK, w)
-            # where each block's postings of the term begin
-            self.lists.append((d, w, np.searchsorted(d, np.arange(blocks + 1) * BLOCK)))
+            self.lists.append((d, w, d // BLOCK))
+
+    def scored(self, ts, ws, blocks):
+        """(example numbers, cosines above 0) of whole blocks. Cosines count to 12
+        digits, so that equal ones are equal however they were summed."""
+        alive = np.zeros(self.blockmax.shape[1], dtype=bool)
+        alive[blocks] = True
+        score = np.zeros(len(self.ids))
+        for t, w in zip(ts, ws):
+            d, x, block = self.lists[t]
+            here = alive[block]
+            score[d[here]] += w * x[here]
+        hit = np.flatnonzero(score > 0)
+        return hit, np.round(score[hit], 12)
 
     def nearest(self, ts: np.ndarray, ws: np.ndarray, k: int = NEAREST, leave: int = -1):
         """(example numbers, cosines) of the k nearest with a cosine above 0, best
-        first, ties to the smaller id; `leave` is left out."""
+        first, ties to the smaller id; `leave` is left out.
+
+        The blocks with the highest bounds give a k-th best cosine; of the others
+        only those whose bound reaches it (at the same cosine: that hold a smaller
+        id) are scored.
+        """
         if not len(ts):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        # cosines count to 12 digits, so that equal ones are equal however they were summed
         bound = np.round(ws @ self.blockmax[ts] + 1e-13, 12)
-        best: list[tuple] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0]:
-                break
-            # examples lie in order of id: a block that can only tie comes too late if its ids are larger
-            if len(best) == k and bound[b] == -best[-1][0] and self.ids[b * BLOCK] > best[-1][1]:
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        near, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
+        for blocks in (order[:PROBE], order[PROBE:]):
+            if len(near) == k:
+                level, last = cosines[-1], self.ids[near[-1]]
+                b = bound[blocks]
+                blocks = blocks[(b > level) | (b == level) & (self.first[blocks] < last)]
+            if not len(blocks):
                 continue
-            score = np.zeros(BLOCK)
-            for t, w in zip(ts, ws):
-                d, x, at = self.lists[t]
-                i, j = at[b], at[b + 1]
-                if j > i:
-                    score[d[i:j] - b * BLOCK] += w * x[i:j]
-            score = np.round(score, 12)
-            hit = np.flatnonzero(score > 0)
-            best += [(-score[i], self.ids[b * BLOCK + i], b * BLOCK + i) for i in hit if b * BLOCK + i != leave]
-            best = sorted(best)[:k]
-        return np.array([x[2] for x in best], dtype=np.int64), np.array([-x[0] for x in best])
+            hit, c = self.scored(ts, ws, blocks)
+            near, cosines = np.concatenate((near, hit[hit != leave])), np.concatenate((cosines, c[hit != leave]))
+            best = np.lexsort((self.ids[near], -cosines))[:k]
+            near, cosines = near[best], cosines[best]
+        return near, cosines
 
     def vector(self, counts: Counter):
         """Terms and unit weights of a text, (1 + ln tf) * idf."""

@@ -40,14 +40,19 @@ def test_nearest_are_those_of_a_full_scan(spark):
         assert len(near) == len(best)
 
 
-def test_blocks_beyond_the_bound_are_not_scored(spark, monkeypatch):
-    parts = model_of(spark)
-    index = toxicity.build(parts)
+def test_blocks_beyond_the_bound_are_not_scored(spark):
+    """One term: the blocks whose largest weight is below the best one are left out."""
+    n = 40 * toxicity.BLOCK
+    ids, labels = np.arange(n), np.zeros(n)
+    vectors = [([0], [1.0 if d < 3 else 0.2 + 0.5 * (d % 7) / 7]) for d in range(n)]
+    index = toxicity.Index(np.ones(1), ids, labels, vectors)
     seen = []
-    real = np.zeros
-    monkeypatch.setattr(toxicity.np, "zeros", lambda n, **k: seen.append(n) or real(n, **k))
-    index.nearest(np.array([0]), np.array([1.0]), k=1)
-    assert 0 < len(seen) < index.blockmax.shape[1]
+    real = index.scored
+    index.scored = lambda ts, ws, blocks: seen.append(len(blocks)) or real(ts, ws, blocks)
+    near, cosines = index.nearest(np.array([0]), np.array([1.0]), k=3)
+    assert near.tolist() == [0, 1, 2] and cosines.tolist() == [1, 1, 1] and sum(seen) == toxicity.PROBE
+    near, _ = index.nearest(np.array([0]), np.array([1.0]), k=3, leave=1)
+    assert near.tolist()[:2] == [0, 2] and near[2] == 6
 
 
 def test_held_out_labels_are_not_read(spark):
