@@ -35,6 +35,7 @@ RATIO = 3.0
 #: Beginnings of words that are terms beside the whole word, in characters.
 STEMS = (4, 5, 6, 7, 8)
 NEAREST = 15
+LONELY = 3.0
 BLOCK = 64
 #: Blocks that are scored first, for a k-th best cosine to hold the bounds against.
 PROBE = 4
@@ -134,8 +135,10 @@ class Index:
         return ts, ws / np.linalg.norm(ws)
 
     def vote(self, near, cosines) -> float:
-        """Share of the cosine weight that the toxic neighbours hold, -1 without neighbours."""
-        return float(cosines @ self.labels[near] / cosines.sum()) if len(near) else -1.0
+        """Share of the cosine weight that the toxic neighbours hold, -1 without
+        neighbours; LONELY of weight goes to no label, so that few or distant
+        neighbours say little."""
+        return float(cosines @ self.labels[near] / (cosines.sum() + LONELY)) if len(near) else -1.0
 
 
 def _sample(docs, labels, id_col, text_col, label_col, per_label):
@@ -161,8 +164,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if sample is None:
         return None
     parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # read several times, so materialised; its size is bounded by per_label
-    sample = cut(sample.groupBy(id_col).agg(F.max("y").alias("y"), F.max("t").alias("t")).repartition(parts, F.xxhash64(id_col)))
+    # read several times, so materialised; its size is bounded by per_label;
+    # and copies of a text count once, lest its words seem to be in many toxic texts
+    sample = sample.groupBy(id_col).agg(F.max("y").alias("y"), F.max("t").alias("t"))
+    sample = sample.groupBy(F.sha2(F.col("t").cast("binary"), 256).alias("d")).agg(
+        F.min(id_col).alias(id_col), F.max("y").alias("y"), F.max("t").alias("t"))
+    sample = cut(sample.repartition(parts, "d"))
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
 
@@ -220,7 +227,7 @@ def size_of(labels, label_col, y):
     return labels.where(F.col(label_col) == y).count()
 
 
-def calibrate(votes, weight, bins: int = 10):
+def calibrate(votes, weight, bins: int = 20):
     """Probability of the toxic label per vote: the smoothed, rising rate of the label
     in bins of the examples' own leave-one-out votes, with the sample drawn back to the
     label's true share. Bin 0 holds the texts without neighbours."""
