@@ -1,10 +1,12 @@
 """Toxicity scores from the nearest labelled examples.
 
-Texts and examples are TF-IDF vectors over a vocabulary of label-bearing terms
-(words and word beginnings). The examples lie in an inverted index cut into
-blocks; per term and block the index keeps the largest weight, so the bound of a
-block is one small dot product. The blocks with the highest bounds are scored
-first, then those whose bounds reach the k-th best cosine so far, which makes
+Texts and examples are TF-IDF vectors over all words of the examples. Words that
+stand in more toxic than clean examples weigh more; no word is left out. The examples
+lie in an inverted index cut into blocks; per word and block the index keeps the
+largest weight. Words that many examples share are rows of a matrix instead, whose
+product with a batch of texts is exact, so the bound of a block is the best of that
+part in the block plus one small dot product. The blocks with the highest bounds are
+scored first, then those whose bounds reach the k-th best cosine so far, which makes
 the k nearest exact. Their votes, weighted by cosine, are turned into a probability by
 a map learnt from the examples' own votes.
 """
@@ -12,7 +14,9 @@ a map learnt from the examples' own votes.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,85 +27,104 @@ from pagelens.llm.common import cut
 
 #: Bound of the training sample: labelled texts per label, the first by hash of the id.
 TRAIN_TEXTS = 4000
-#: Terms of the vocabulary, by strength of their relation to the label.
-TERMS = 4000
-#: A term of the vocabulary is in at least this many training texts.
+#: A word that weighs more is in at least this many training texts.
 LEAST_TEXTS = 4
-#: Standard errors between a term's shares of toxic and clean texts, at least.
+#: Standard errors between such a word's shares of toxic and clean texts, at least.
 SIGNIFICANCE = 5.0
-#: Times a term's share of clean texts that its share of toxic texts is, at least: a
-#: word that is merely frequent in the language of most toxic texts says nothing.
+#: Times its share of clean texts that its share of toxic texts is, at least: a word
+#: that is merely frequent in the language of most toxic texts says nothing.
 RATIO = 3.0
-#: Beginnings of words that are terms beside the whole word, in characters.
-STEMS = (4, 5, 6, 7, 8)
+#: Times the weight of any other word of the same frequency.
+STRESS = 3.0
 NEAREST = 15
 LONELY = 3.0
 BLOCK = 64
 #: Blocks that are scored first, for a k-th best cosine to hold the bounds against.
 PROBE = 4
-MEMO = 200_000
+#: A word that at least one in this many examples holds is a row of the matrix.
+COMMON = 16
+#: Texts whose matrix product is taken at once.
+BATCH = 256
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms(word: str) -> list[str]:
-    """A lower-cased word and its beginnings, marked by a trailing star."""
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+def counted(text: str | None) -> Counter:
+    """Occurrences of each lower-cased word."""
+    return Counter(WORD.findall((text or "").lower()))
 
 
-def counted(text: str | None, vocabulary=None, memo: dict | None = None) -> Counter:
-    """Occurrences of each term (of the vocabulary: term -> number) in a text."""
-    words = Counter(WORD.findall((text or "").lower()))
-    out: Counter = Counter()
-    for w, n in words.items():
-        if vocabulary is None:
-            ts = terms(w)
-        else:
-            ts = memo.get(w)
-            if ts is None:
-                if len(memo) > MEMO:
-                    memo.clear()
-                ts = memo[w] = tuple(vocabulary[t] for t in terms(w) if t in vocabulary)
-        for t in ts:
-            out[t] += n
-    return out
+def numbered(counts: Counter, vocabulary: dict) -> dict:
+    """Occurrences by number of the word, words outside the vocabulary left out."""
+    return {vocabulary[w]: n for w, n in counts.items() if w in vocabulary}
+
+
+def ranges(first, end):
+    """The numbers first[0] .. end[0] - 1, first[1] .. end[1] - 1, ..., and the lengths."""
+    size = end - first
+    last = np.cumsum(size)
+    return np.arange(last[-1] if len(last) else 0) + np.repeat(first - last + size, size), size
 
 
 class Index:
     """Block-max inverted index over unit TF-IDF vectors of the examples."""
 
     def __init__(self, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, vectors: list):
-        self.idf, self.ids, self.labels = idf, ids, labels
         n, v = len(ids), len(idf)
-        postings: list[list] = [[] for _ in range(v)]
-        for d, (ts, ws) in enumerate(vectors):
-            for t, w in zip(ts, ws):
-                postings[t].append((d, w))
         blocks = -(-n // BLOCK)
-        self.first = ids[::BLOCK]  # smallest id of each block, as examples lie in order of id
-        self.blockmax = np.zeros((v, blocks))
-        self.lists = []
-        for t, p in enumerate(postings):
-            d = np.array([x for x, _ in p], dtype=np.int64)
-            w = np.array([x for _, x in p], dtype=np.float64)
-            np.maximum.at(self.blockmax[t], d // BLOCK, w)
-            self.lists.append((d, w, d // BLOCK))
+        size = [len(ts) for ts, _ in vectors] + [0] * (n - len(vectors))  # read twice, never held at once
+        d = np.repeat(np.arange(n, dtype=np.int32), size)
+        t, w = np.zeros(len(d), dtype=np.int32), np.zeros(len(d))
+        for end, (ts, ws) in zip(np.cumsum(size).tolist(), vectors):
+            t[end - len(ts):end], w[end - len(ts):end] = ts, ws
+        often = np.flatnonzero(np.bincount(t, minlength=v) * COMMON >= max(n, 1))
+        row = np.full(v, -1, dtype=np.int64)
+        row[often] = np.arange(len(often))
+        dense, held = np.zeros((len(often), n)), row[t] >= 0
+        dense[row[t[held]], d[held]] = w[held]
+        order = np.argsort(t[~held], kind="stable")
+        t, d, w = t[~held][order], d[~held][order], w[~held][order]
+        key = t.astype(np.int64) * max(blocks, 1) + d // BLOCK
+        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, dtype=np.int64)
+        best = np.maximum.reduceat(w, at) if len(at) else np.zeros(0)
+        entries = np.concatenate(([0], np.cumsum(np.bincount(t[at], minlength=v))))
+        smallest = np.minimum.reduceat(ids, np.arange(0, n, BLOCK)) if n else ids
+        self.restore((idf, ids, labels, smallest, row, dense, entries, (d // BLOCK)[at], best,
+                      np.concatenate(([0], np.cumsum(np.bincount(t, minlength=v)))), d, w))
+
+    def restore(self, arrays):
+        """idf, ids, labels, smallest id of each block, row of each common term, the matrix
+        (term row, example); of the other terms: first entry of each, block and largest
+        weight of each entry; first posting of each, example and weight of each posting."""
+        self.arrays = arrays
+        (self.idf, self.ids, self.labels, self.first, self.row, self.dense, self.entries, self.block, self.best,
+         self.at, self.doc, self.weight) = arrays
+        return self
+
+    def common(self, vectors) -> np.ndarray:
+        """The part of the cosines that the common terms give: a row for each vector."""
+        q = np.zeros((len(vectors), len(self.dense)))
+        for i, (ts, ws) in enumerate(vectors):
+            held = self.row[ts] >= 0
+            q[i, self.row[ts[held]]] = ws[held]
+        return q @ self.dense
 
     def scored(self, ts, ws, blocks):
-        """(example numbers, cosines above 0) of whole blocks. Cosines count to 12
-        digits, so that equal ones are equal however they were summed."""
-        alive = np.zeros(self.blockmax.shape[1], dtype=bool)
+        """(example numbers, cosines above 0) of whole blocks, those surely below the
+        k-th best so far left out. Cosines count to 12 digits, so that equal ones are
+        equal however they were summed."""
+        part, doc, x, level = self.query
+        alive = np.zeros(len(self.first), dtype=bool)
         alive[blocks] = True
-        score = np.zeros(len(self.ids))
-        for t, w in zip(ts, ws):
-            d, x, block = self.lists[t]
-            here = alive[block]
-            score[d[here]] += w * x[here]
-        hit = np.flatnonzero(score > 0)
+        here = np.repeat(alive, BLOCK)[:len(part)]
+        held = here[doc]
+        score = part + np.bincount(doc[held], x[held], len(part))
+        hit = np.flatnonzero((score > max(0.0, level - 1e-11)) & here)
         return hit, np.round(score[hit], 12)
 
-    def nearest(self, ts: np.ndarray, ws: np.ndarray, k: int = NEAREST, leave: int = -1):
+    def nearest(self, ts: np.ndarray, ws: np.ndarray, k: int = NEAREST, leave: int = -1, part=None):
         """(example numbers, cosines) of the k nearest with a cosine above 0, best
-        first, ties to the smaller id; `leave` is left out.
+        first, ties to the smaller id; `leave` is left out. `part` is the row that
+        `common` gives for the vector.
 
         The blocks with the highest bounds give a k-th best cosine; of the others
         only those whose bound reaches it (at the same cosine: that hold a smaller
@@ -109,10 +132,15 @@ class Index:
         """
         if not len(ts):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = np.round(ws @ self.blockmax[ts] + 1e-13, 12)
+        part = self.common([(ts, ws)])[0] if part is None else part
+        entry, size = ranges(self.entries[ts], self.entries[ts + 1])
+        bound = np.bincount(self.block[entry], np.repeat(ws, size) * self.best[entry], len(self.first))
+        posting, size = ranges(self.at[ts], self.at[ts + 1])
+        doc, x = self.doc[posting], np.repeat(ws, size) * self.weight[posting]
+        bound = np.round(bound + np.maximum.reduceat(part, np.arange(0, len(part), BLOCK)) + 1e-12, 12)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        near, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
+        near, cosines, level = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
         for blocks in (order[:PROBE], order[PROBE:]):
             if len(near) == k:
                 level, last = cosines[-1], self.ids[near[-1]]
@@ -120,18 +148,32 @@ class Index:
                 blocks = blocks[(b > level) | (b == level) & (self.first[blocks] < last)]
             if not len(blocks):
                 continue
+            self.query = part, doc, x, level
             hit, c = self.scored(ts, ws, blocks)
             near, cosines = np.concatenate((near, hit[hit != leave])), np.concatenate((cosines, c[hit != leave]))
+            if len(near) > k:  # only what reaches the k-th best is sorted
+                good = cosines >= np.partition(cosines, -k)[-k]
+                near, cosines = near[good], cosines[good]
             best = np.lexsort((self.ids[near], -cosines))[:k]
             near, cosines = near[best], cosines[best]
         return near, cosines
 
-    def vector(self, counts: Counter):
+    def all_nearest(self, vectors, leave=None):
+        """`nearest` of each vector, the common terms taken for BATCH vectors at once."""
+        every = iter(vectors)
+        for a in range(0, len(vectors), BATCH):
+            some = list(islice(every, BATCH))
+            for i, (v, part) in enumerate(zip(some, self.common(some))):
+                yield self.nearest(*v, leave=-1 if leave is None else leave[a + i], part=part)
+
+    def vector(self, counts: dict):
         """Terms and unit weights of a text, (1 + ln tf) * idf."""
-        ts = np.array(sorted(counts), dtype=np.int64)
+        ts = np.fromiter(counts, np.int64, len(counts))
         if not len(ts):
             return ts, np.zeros(0)
-        ws = (1 + np.log(np.array([counts[t] for t in ts.tolist()], dtype=np.float64))) * self.idf[ts]
+        order = np.argsort(ts)
+        ts = ts[order]
+        ws = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts))[order])) * self.idf[ts]
         return ts, ws / np.linalg.norm(ws)
 
     def vote(self, near, cosines) -> float:
@@ -153,10 +195,12 @@ def _sample(docs, labels, id_col, text_col, label_col, per_label):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_label: int = TRAIN_TEXTS, size: int = TERMS):
-    """Learn vocabulary, index and calibration from the labelled rows given.
+        label_col: str = "toxic", per_label: int = TRAIN_TEXTS):
+    """Learn index and calibration from the labelled rows given, and document
+    frequencies from all rows of `docs`.
 
-    Returns plain parts for `score` (bounded by per_label examples and `size` terms).
+    Returns plain parts for `score` (bounded by per_label examples and their words).
+    Every example of the sample is in the index, with all its words.
     A document with several labels counts as toxic if one says so; null labels and
     labels beside 0 and 1 are left out. Without labelled rows everything scores 0.
     """
@@ -173,54 +217,62 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
 
-    def frequencies(batches):
-        held = (Counter(), Counter())
-        for b in batches:
-            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held[y].update(set(counted(t)))
-        for y in (0, 1):
-            items = list(held[y].items())
-            for i in range(0, len(items), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in items[i:i + 50_000]], pa.string()),
-                     pa.array([c if y == 0 else 0 for _, c in items[i:i + 50_000]], pa.int64()),
-                     pa.array([c if y == 1 else 0 for _, c in items[i:i + 50_000]], pa.int64())], names=["w", "c0", "c1"])
-
-    df = sample.select(F.col("y").cast("int"), "t").mapInArrow(frequencies, "w string, c0 long, c1 long") \
-        .groupBy("w").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    p1, p0 = F.col("c1") / max(n1, 1), F.col("c0") / max(n0, 1)
-    mean = (F.col("c0") + F.col("c1")) / max(n0 + n1, 1)
-    # A text is toxic for what it has, not for what it lacks: the terms are those that
-    # stand in more toxic than clean texts, beyond what chance gives among all terms.
-    z = (p1 - p0) / F.sqrt(mean * (1 - mean) * (1 / max(n1, 1) + 1 / max(n0, 1)) + 1e-12)
-    top = df.where(F.col("c0") + F.col("c1") >= LEAST_TEXTS).withColumn("z", z).where(F.col("z") >= SIGNIFICANCE) \
-        .where((F.col("c1") + 0.5) / max(n1, 1) >= RATIO * (F.col("c0") + 0.5) / max(n0, 1)) \
-        .orderBy(F.col("z").desc(), "w").limit(size)
-    vocab = [(r["w"], r["c0"] + r["c1"]) for r in top.collect()]
-    at = {w: i for i, (w, _) in enumerate(vocab)}
-    idf = np.log((1 + n0 + n1) / (1 + np.array([c for _, c in vocab], dtype=np.float64))) + 1
-
     def examples(batches):
-        memo: dict = {}
         for b in batches:
-            out = [(i, y, counted(t, at, memo)) for i, y, t in zip(*(b.column(j).to_pylist() for j in range(3)))]
-            yield pa.RecordBatch.from_arrays(
+            out = [(i, y, counted(t)) for i, y, t in zip(*(b.column(j).to_pylist() for j in range(3)))]
+            yield pa.RecordBatch.from_arrays(  # words are letters only, so a space parts them
                 [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
-                 pa.array([list(x[2]) for x in out], pa.list_(pa.int32())),
-                 pa.array([list(x[2].values()) for x in out], pa.list_(pa.int32()))], names=["id", "y", "ts", "ns"])
+                 pa.array([" ".join(x[2]) for x in out], pa.string()),
+                 pa.array([array("i", x[2].values()).tobytes() for x in out], pa.binary())], names=["id", "y", "ws", "ns"])
 
     rows = sample.select(F.col(id_col).cast("long").alias("id"), F.col("y").cast("int"), "t") \
-        .mapInArrow(examples, "id long, y int, ts array<int>, ns array<int>").collect()
+        .mapInArrow(examples, "id long, y int, ws string, ns binary").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["id"] is None, r["id"] or 0))
-    own = [r for r in rows if r["ts"]]
-    parts = (at, idf, np.array([r["id"] or 0 for r in own], dtype=np.int64), np.array([r["y"] for r in own], dtype=np.float64),
-             [(list(r["ts"]), list(r["ns"])) for r in own])
+    at: dict = {}
+    own = []
+    for r in rows:
+        pairs = sorted(zip(r.pop("ws").split(), array("i", r.pop("ns"))))
+        own.append((array("i", [at.setdefault(w, len(at)) for w, _ in pairs]), array("i", [n for _, n in pairs])))
+    y = np.array([r["y"] for r in rows], dtype=np.float64)
+    seen = np.concatenate([np.asarray(ts, dtype=np.int32) for ts, _ in own]) if own else np.zeros(0, dtype=np.int32)
+    c1 = np.bincount(seen, np.repeat(y, [len(ts) for ts, _ in own]), len(at))
+    c0 = np.bincount(seen, minlength=len(at)) - c1
+    # A text is toxic for what it has, not for what it lacks: the words that weigh more
+    # stand in more toxic than clean texts, beyond what chance gives among all words.
+    p1, p0, mean = c1 / max(n1, 1), c0 / max(n0, 1), (c0 + c1) / max(n0 + n1, 1)
+    z = (p1 - p0) / np.sqrt(mean * (1 - mean) * (1 / max(n1, 1) + 1 / max(n0, 1)) + 1e-12)
+    bearing = (c0 + c1 >= LEAST_TEXTS) & (z >= SIGNIFICANCE) & ((c1 + 0.5) / max(n1, 1) >= RATIO * (c0 + 0.5) / max(n0, 1))
+    total, n = document_frequencies(docs.select(F.col(text_col).alias("t")), at)
+    idf = (np.log((1 + total) / (1 + n)) + 1) * np.where(bearing, STRESS, 1.0)
+    parts = (at, idf, np.array([r["id"] or 0 for r in rows], dtype=np.int64), y, own)
     index = build(parts)
-    votes = [(index.vote(*index.nearest(*index.vector(Counter(dict(zip(r["ts"], r["ns"])))), leave=i)), r["y"])
-             for i, r in enumerate(own)]
-    votes += [(-1.0, r["y"]) for r in rows if not r["ts"]]
+    votes = [(index.vote(*near), r["y"]) for near, r in zip(index.all_nearest(
+        Vectors(index, own), range(len(own))), rows)]
     weight = {0: size_of(labels, label_col, 0) / max(n0, 1), 1: size_of(labels, label_col, 1) / max(n1, 1)}
-    return (*parts, calibrate(votes, weight))
+    return (*parts, calibrate(votes, weight), index.arrays)
+
+
+def document_frequencies(texts: DataFrame, at: dict):
+    """(texts, how many of them hold each word of `at`), over all texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(at)  # bounded by the words of the examples
+
+    def run(batches):
+        held, n = Counter(), 0
+        known = shared.value.keys()
+        for b in batches:
+            n += b.num_rows
+            for t in b.column(0):
+                held.update(known & set(WORD.findall((t.as_py() or "").lower())))
+        numbers = [(shared.value[w], c) for w, c in held.items()] + [(-1, n)]
+        for i in range(0, len(numbers), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in numbers[i:i + 50_000]], pa.int32()),
+                                              pa.array([x[1] for x in numbers[i:i + 50_000]], pa.int64())], names=["w", "n"])
+
+    got = texts.mapInArrow(run, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
+    out = np.zeros(len(at) + 1)  # the last one is -1, all texts
+    out[got.column("w").to_numpy()] = got.column("n").to_numpy()
+    return out[-1], out[:-1]
 
 
 def size_of(labels, label_col, y):
@@ -252,15 +304,27 @@ def calibrate(votes, weight, bins: int = 20):
 def build(parts) -> Index:
     _, idf, ids, labels, counts = parts[:5]
     index = Index(idf, ids, labels, [])
-    vectors = [index.vector(Counter(dict(zip(ts, ns)))) for ts, ns in counts]
-    return Index(idf, ids, labels, [(t.tolist(), w.tolist()) for t, w in vectors])
+    return Index(idf, ids, labels, Vectors(index, counts))
+
+
+class Vectors:
+    """The vectors of (terms, counts) pairs, each made when it is read."""
+
+    def __init__(self, index: Index, counts):
+        self.index, self.counts = index, counts
+
+    def __len__(self):
+        return len(self.counts)
+
+    def __iter__(self):
+        return (self.index.vector(dict(zip(ts, ns))) for ts, ns in self.counts)
 
 
 def score(docs: DataFrame, model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """The rows (with their text only if `keep_text`), plus `score` (0 to 1), `predicted`
     and `evidence` (the nearest examples: id, label, cosine).
 
-    Null and empty texts, and texts without a term of the vocabulary, have no
+    Null and empty texts, and texts without a word of the examples, have no
     neighbours and get the label's rate among such examples. Whole texts are read.
     """
     others = [c for c in docs.columns if c not in (text_col, "score", "predicted", "evidence")]
@@ -269,23 +333,24 @@ def score(docs: DataFrame, model, text_col: str = "text", keep_text: bool = Fals
     kept = src if keep_text else src.drop("__text")
     schema = kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0),
                                              "evidence": F.lit(None).cast(kind)}).schema
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by per_label examples and `size` terms
+    # bounded by per_label examples and their words
+    shared = docs.sparkSession.sparkContext.broadcast((model[0], model[6], model[5]) if model else None)
 
     def run(batches):
         parts = shared.value
-        index, memo = build(parts) if parts else None, {}
+        index = Index.__new__(Index).restore(parts[1]) if parts else None
         near = pa.list_(pa.struct([("id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         for b in batches:
-            out = []
-            for t in b.column(b.num_columns - 1):
-                if index is None:
-                    out.append((0.0, []))
-                    continue
-                n, c = index.nearest(*index.vector(counted(t.as_py(), parts[0], memo)))
-                v, rate = index.vote(n, c), parts[5]
-                p = rate[0] if v < 0 else rate[1 + int(v * (len(rate) - 2))]
-                out.append((float(p), [{"id": int(index.ids[i]), "label": int(index.labels[i]), "cosine": float(x)}
-                                       for i, x in zip(n, c)]))
+            texts, out = b.column(b.num_columns - 1), []
+            if index is None:
+                out = [(0.0, [])] * len(texts)
+            for a in range(0, 0 if index is None else len(texts), BATCH):
+                vectors = [index.vector(numbered(counted(t.as_py()), parts[0])) for t in texts[a:a + BATCH]]
+                for n, c in index.all_nearest(vectors):
+                    v, rate = index.vote(n, c), parts[2]
+                    p = rate[0] if v < 0 else rate[1 + int(v * (len(rate) - 2))]
+                    out.append((float(p), [{"id": i, "label": int(y), "cosine": x} for i, y, x in
+                                           zip(index.ids[n].tolist(), index.labels[n].tolist(), c.tolist())]))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(b.num_columns - (not keep_text))), pa.array([o[0] for o in out], pa.float64()),
                  pa.array([int(o[0] >= 0.5) for o in out], pa.int32()), pa.array([o[1] for o in out], near)], names=names)

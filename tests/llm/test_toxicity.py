@@ -65,6 +65,23 @@ def test_held_out_labels_are_not_read(spark):
     assert a[0] == b[0] and a[4] == b[4] and (a[5] == b[5]).all()
 
 
+def test_every_example_is_in_the_index(spark):
+    """Each labelled text, with all its words, is found as its own nearest example."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fold = remainder("doc_id", 5) != 0
+    used = docs.where(fold).join(labels.where(fold & F.col("toxic").isin(0, 1)).select("doc_id", "toxic"), "doc_id").cache()
+    parts = model_of(spark, sf)
+    assert len(parts[2]) == used.select(F.coalesce("text", F.lit(""))).distinct().count()
+    rows = toxicity.score(used.where(F.col("text").rlike("[a-z]")).select("doc_id", "text", "toxic"), parts).collect()
+    assert sum(r["toxic"] for r in rows) >= 40
+    assert all(r["evidence"] and abs(r["evidence"][0]["cosine"] - 1) < 1e-9 for r in rows)
+    texts = [r["t"] for r in docs.where(fold).select(F.coalesce("text", F.lit("")).alias("t")).collect()]
+    known = [set(toxicity.counted(t)) for t in texts]
+    total, n = toxicity.document_frequencies(docs.where(fold).select("text"), parts[0])
+    assert total == len(texts) and all(n[i] == sum(w in k for k in known) for w, i in list(parts[0].items())[::500])
+
+
 def test_odd_rows(spark):
     model = model_of(spark, "/root/testdata/sf0.01")
     df = odd_docs(spark).withColumn("score", F.lit("old"))
