@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelens.llm import (cover_tree, exact_dedup, hard_negatives, langid, mixing, packing, pii, sharding, simhash, topk,
+from pagelens.llm import (collocations, cover_tree, exact_dedup, hard_negatives, langid, mixing, packing, pii, sharding, simhash, topk,
                           toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,10 @@ def op10_topk(spark, sf):
     return topk.top_k(v.where("id % 50 = 0"), v)
 
 
+def op11_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
 def op12_hard_negatives(spark, sf):
     e = _table(spark, sf, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -103,13 +107,14 @@ def op13_cover_tree(spark, sf):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_langid, op3_exact_dedup, op4_sharding, op5_url_filter, op6_toxicity, op7_packing, op8_mixing,
-    op9_pii, op10_topk, op12_hard_negatives, op13_cover_tree)}
+    op9_pii, op10_topk, op11_collocations, op12_hard_negatives, op13_cover_tree)}
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op5_url_filter": url_filter.oracle_sql(),
     "op8_mixing": mixing.ORACLE,
     "op9_pii": pii.oracle_sql(),
     "op10_topk": topk.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_cover_tree": cover_tree.ORACLE,
 }
