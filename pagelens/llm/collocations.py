@@ -10,7 +10,7 @@ What reached the threshold when is known to the scans through a table of `slots`
 a phrase is hashed to a slot, and the slot holds the step from which it is usable. A slot
 is written once, so the step at which a phrase starts is the same in every scan. Phrases
 that share a slot can only make others start that need not have: these see a full cycle
-like all, and exact counts decide at the end. The table's size is fixed; a fuller table
+like all, and exact counts decide at the end. The table's size is bounded; a fuller table
 costs counters, never a phrase.
 """
 
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,9 +37,10 @@ TABLE = bytes.maketrans((UPPER + PIECE_ENDS).encode(), LOWER.encode() + b"\n" *
 #: Words of the longest phrase, and how often a candidate occurs at least.
 WORDS = 5
 LEAST = 100
-#: Shards of a cycle (50 at most) and bytes of the slot table.
+#: Shards of a cycle, 50 at most.
 SHARDS = 4
-SLOTS = 1 << 24
+#: Bytes of the slot table: a power of two, one for some 64 bytes of text, within these.
+FEWEST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 24
 #: Bytes of text that a task counts at a time.
 SEGMENT = 8 << 20
 TOP = 2000
@@ -128,9 +130,8 @@ def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, sha
                 names=["lang", "phrase", "words", "slot", "begin", "c"])
 
 
-def scan(shard: DataFrame, step: int, usable: np.ndarray, shards: int, longest: int, segment: int) -> DataFrame:
+def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, longest: int, segment: int) -> DataFrame:
     """Counts of the phrases that are active at a step, over one shard."""
-    held = shard.sparkSession.sparkContext.broadcast(usable)
 
     def run(batches):
         for b in batches:
@@ -155,7 +156,7 @@ def reached(phrases: DataFrame, slots: int) -> np.ndarray:
 
 
 def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = WORDS,
-             shards: int = SHARDS, slots: int = SLOTS, segment: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
+             shards: int = SHARDS, slots: int | None = None, segment: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, c) of every phrase of 1 to `longest` words seen `least` times,
     (lang, n) with the number of word occurrences). See `collocations`."""
     if not 1 <= shards <= 50:
@@ -168,16 +169,21 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     path = shared_path(spark, "shards")
     src.where("text is not null").write.partitionBy("shard").parquet(path)
     corpus = spark.read.schema("lang string, text binary, shard int").parquet(path)
+    if slots is None:
+        size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        slots = min(max(1 << (size // 64).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
     usable = np.zeros(slots, dtype=np.uint8)
     keys = ["lang", "phrase", "words", "slot", "begin"]
     state, whole, step, until = None, [], 0, shards
     while step < until:
-        seen = scan(corpus.where(F.col("shard") == step % shards), step, usable, shards, longest, segment) \
+        held = spark.sparkContext.broadcast(usable)
+        seen = scan(corpus.where(F.col("shard") == step % shards), step, held, shards, longest, segment) \
             .withColumn("since", F.lit(None).cast("int"))
         if state is not None:  # what has not seen every shard yet
             seen = state.where(F.col("begin") + shards > step).unionByName(seen)
         seen = seen.groupBy(*keys).agg(F.sum("c").alias("c"), F.min("since").alias("since"))
         state = stored(seen.withColumn("since", F.coalesce("since", F.when(F.col("c") >= least, step))), "phrases")
+        held.destroy()
         if step == shards - 1:
             words = cut(state.where("words = 1").groupBy("lang").agg(F.sum("c").alias("n")))
         whole.append(state.where((F.col("begin") + shards - 1 == step) & (F.col("c") >= least)))
