@@ -6,12 +6,13 @@ subphrases (all words but the last, all but the first) have reached the threshol
 counted wherever it occurs until it has seen every shard once. So phrases of all lengths
 are counted in the same scans, and a cycle ends for each phrase on its own.
 
-What reached the threshold when is known to the scans through a table of `slots` bytes:
-a phrase is hashed to a slot, and the slot holds the step from which it is usable. A slot
+What reached the threshold when is known to the scans through a table of slots for each
+length: a phrase is hashed to a slot, a byte with the step from which it is usable. A slot
 is written once, so the step at which a phrase starts is the same in every scan. Phrases
 that share a slot can only make others start that need not have: these see a full cycle
 like all, and exact counts decide at the end. The table's size is bounded; a fuller table
-costs counters, never a phrase.
+costs counters, never a phrase. Counts of a step are written once and summed only for
+phrases that had their share of the threshold in some shard of the cycle.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ WORDS = 5
 LEAST = 100
 #: Shards of a cycle, 50 at most.
 SHARDS = 4
-#: Bytes of the slot table: a power of two, one for some 64 bytes of text, within these.
-FEWEST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 24
+#: Slots for each length of a subphrase: a power of two, one for some 256 bytes of text, within these.
+FEWEST_SLOTS, MOST_SLOTS = 1 << 15, 1 << 22
 #: Bytes of text that a task counts at a time.
-SEGMENT = 8 << 20
+SEGMENT = 4 << 20
 TOP = 2000
 #: A phrase goes if a longer candidate around it is seen in this share of its places, in per cent.
 COVERED = 100
@@ -75,14 +76,13 @@ def tokens(data: bytes):
     """(distinct words, code of each word, its piece, its place) of translated text."""
     arr = np.frombuffer(data, dtype=np.uint8)
     end = arr == 10
-    gap = end | (arr == 32) | (arr == 9)
-    start = ~gap
-    start[1:] &= gap[:-1]
-    at = np.flatnonzero(start)
-    offsets = np.append(np.cumsum(~gap)[at] - 1, np.count_nonzero(~gap)).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(arr[~gap])])
+    inside = ~(end | (arr == 32) | (arr == 9))
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    at, stop = edge[::2], edge[1::2]
+    offsets = np.concatenate(([0], np.cumsum(stop - at))).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(arr[inside])])
     coded = words.dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.cumsum(end)[at], at
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.cumsum(end, dtype=np.int32)[at], at
 
 
 def spread(h: np.ndarray, slots: int) -> np.ndarray:
@@ -90,8 +90,14 @@ def spread(h: np.ndarray, slots: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) % np.uint64(slots)).astype(np.int64)
 
 
-def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, shards: int, longest: int):
-    """Counts of the active phrases of one segment: batches of (lang, phrase, words, slot, begin, c)."""
+def active(usable: np.ndarray, step: int, shards: int) -> list[int]:
+    """The lengths of phrases that can be active at a step: a subphrase became usable within the last cycle."""
+    return [1] * (step < shards) + [i + 2 for i, part in enumerate(usable) if (part > max(step - shards, 0)).any()]
+
+
+def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, shards: int, sizes: list[int]):
+    """Counts of the active phrases of one segment: batches of (lang, phrase, words, slot,
+    begin, c). `usable` has one row of slots per length of a subphrase."""
     words, code, piece, at = tokens(data)
     n, v = len(code), len(words)
     if not n:
@@ -99,20 +105,20 @@ def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, sha
     seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
     of_word = np.array([xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()], dtype=np.uint64)
     h = of_word[code]
-    last = None  # usable step of the phrases one word shorter, 0 where there is none
-    for size in range(1, min(longest, n) + 1):
+    slots = usable.shape[1]
+    for size in range(1, min(max(sizes, default=0), n) + 1):
         m = n - size + 1
         if size > 1:
-            h = h[:m] * np.uint64(0x100000001B3) + of_word[code[size - 1:]]
-        slot = spread(h, len(usable))
+            sub, h = h, h[:m] * np.uint64(0x100000001B3) + of_word[code[size - 1:]]
+        if size not in sizes:
+            continue
         here = (piece[:m] == piece[size - 1:]) & (at[:m] < limit)
         if size == 1:
-            begin = np.zeros(n, dtype=np.int64)
-            here &= step < shards
+            begin = np.zeros(n, dtype=np.uint8)
         else:
-            begin = np.maximum(last[:-1], last[1:])
-            here &= (last[:-1] > 0) & (last[1:] > 0) & (step < begin + shards)
-        last = usable[slot].astype(np.int64)
+            since = usable[size - 2][spread(sub, slots)]
+            begin = np.maximum(since[:-1], since[1:])
+            here &= (since[:-1] > 0) & (since[1:] > 0) & (begin > step - shards)
         i = np.flatnonzero(here)
         if len(i):
             key = code[i]
@@ -126,33 +132,46 @@ def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, sha
             phrase = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(i), pa.string()), phrase, pa.array(np.full(len(i), size, dtype=np.int32)),
-                 pa.array(slot[i]), pa.array(begin[i].astype(np.int32)), pa.array(c.astype(np.int64))],
+                 pa.array(spread(h[i], slots)), pa.array(begin[i].astype(np.int32)), pa.array(c.astype(np.int64))],
                 names=["lang", "phrase", "words", "slot", "begin", "c"])
 
 
-def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, longest: int, segment: int) -> DataFrame:
+def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, sizes: list[int], longest: int, segment: int) -> DataFrame:
     """Counts of the phrases that are active at a step, over one shard."""
 
     def run(batches):
+        texts: dict[str, list[bytes]] = {}
+        size: dict[str, int] = {}
+
+        def counted(lang):
+            size.pop(lang)
+            for data, limit in segments(b"\n".join(texts.pop(lang)).translate(TABLE), segment, longest):
+                yield from count(data, limit, lang, step, held.value, shards, sizes)
+
         for b in batches:
-            texts: dict[str, list[bytes]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for lang, text in zip(b.column(0), b.column(1)):
+                lang, text = lang.as_py(), text.as_py()
                 texts.setdefault(lang, []).append(text)
-            for lang, some in texts.items():
-                for data, limit in segments(b"\n".join(some).translate(TABLE), segment, longest):
-                    yield from count(data, limit, lang, step, held.value, shards, longest)
+                size[lang] = size.get(lang, 0) + len(text) + 1
+                if size[lang] >= segment:
+                    yield from counted(lang)
+                elif sum(size.values()) >= 2 * segment:  # many languages: the fullest goes
+                    yield from counted(max(size, key=size.get))
+        for lang in list(texts):
+            yield from counted(lang)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
 
 
-def reached(phrases: DataFrame, slots: int) -> np.ndarray:
-    """The slots of a table of phrases, as flags: bitmaps of 4 KB, `slots` / 8 bytes in all."""
+def reached(phrases: DataFrame, lengths: int, slots: int) -> np.ndarray:
+    """Flags of the slots of a table of phrases, a row per length: gathered as bitmaps of
+    4 KB, `lengths * slots / 8` bytes in all."""
     bits = F.col("slot") % 32768
-    rows = phrases.groupBy((F.col("slot") / 32768).cast("long").alias("b")).agg(F.bitmap_construct_agg(bits).alias("m")).collect()
-    flags = np.zeros(-(-slots // 32768) * 32768, dtype=bool)
+    rows = phrases.groupBy("words", (F.col("slot") / 32768).cast("long").alias("b")).agg(F.bitmap_construct_agg(bits).alias("m")).collect()
+    flags = np.zeros((lengths, -(-slots // 32768) * 32768), dtype=bool)
     for r in rows:
-        flags[r["b"] * 32768:(r["b"] + 1) * 32768] = np.unpackbits(np.frombuffer(r["m"], dtype=np.uint8), bitorder="little")
-    return flags[:slots]
+        flags[r["words"] - 1, r["b"] * 32768:(r["b"] + 1) * 32768] = np.unpackbits(np.frombuffer(r["m"], dtype=np.uint8), bitorder="little")
+    return flags[:, :slots]
 
 
 def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = WORDS,
@@ -171,27 +190,28 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     corpus = spark.read.schema("lang string, text binary, shard int").parquet(path)
     if slots is None:
         size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        slots = min(max(1 << (size // 64).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
-    usable = np.zeros(slots, dtype=np.uint8)
+        slots = min(max(1 << (size // 256).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
+    usable = np.zeros((longest - 1, slots), dtype=np.uint8)
     keys = ["lang", "phrase", "words", "slot", "begin"]
-    state, whole, step, until = None, [], 0, shards
+    counts, whole, step, until = [], [], 0, shards
     while step < until:
         held = spark.sparkContext.broadcast(usable)
-        seen = scan(corpus.where(F.col("shard") == step % shards), step, held, shards, longest, segment) \
-            .withColumn("since", F.lit(None).cast("int"))
-        if state is not None:  # what has not seen every shard yet
-            seen = state.where(F.col("begin") + shards > step).unionByName(seen)
-        seen = seen.groupBy(*keys).agg(F.sum("c").alias("c"), F.min("since").alias("since"))
-        state = stored(seen.withColumn("since", F.coalesce("since", F.when(F.col("c") >= least, step))), "phrases")
+        seen = scan(corpus.where(F.col("shard") == step % shards), step, held, shards,
+                    active(usable, step, shards), longest, segment)
+        counts.append(stored(seen.groupBy(*keys).agg(F.sum("c").alias("c")), "counts"))
         held.destroy()
-        if step == shards - 1:
-            words = cut(state.where("words = 1").groupBy("lang").agg(F.sum("c").alias("n")))
-        whole.append(state.where((F.col("begin") + shards - 1 == step) & (F.col("c") >= least)))
-        new = reached(state.where((F.col("since") == step) & (F.col("words") < longest)), slots) & (usable == 0)
+        # a phrase seen `least` times in a cycle has its share of them in one of the shards
+        live = reduce(DataFrame.unionByName, counts[-shards:]).where(F.col("begin") > step - shards)
+        hot = cut(live.where(F.col("c") >= -(-least // shards)).select("lang", "phrase").distinct())
+        enough = cut(checked_join(live, hot, ["lang", "phrase"], "left_semi").groupBy(*keys)
+                     .agg(F.sum("c").alias("c")).where(F.col("c") >= least))
+        whole.append(enough.where(F.col("begin") == step - shards + 1))
+        new = reached(enough.where(F.col("words") < longest), longest - 1, slots) & (usable == 0)
         if new.any():
             usable[new] = step + 1
             until = max(until, step + 1 + shards)
         step += 1
+    words = cut(reduce(DataFrame.unionByName, counts[:shards]).where("words = 1").groupBy("lang").agg(F.sum("c").alias("n")))
     return cut(reduce(DataFrame.unionByName, whole).select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "c")), words
 
 
