@@ -12,7 +12,7 @@ is written once, so the step at which a phrase starts is the same in every scan.
 that share a slot can only make others start that need not have: these see a full cycle
 like all, and exact counts decide at the end. The table's size is bounded; a fuller table
 costs counters, never a phrase. Counts of a step are written once and summed only for
-phrases that had their share of the threshold in some shard of the cycle.
+slots of phrases that had their share of the threshold in some shard of the cycle.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ TABLE = bytes.maketrans((UPPER + PIECE_ENDS).encode(), LOWER.encode() + b"\n" *
 WORDS = 5
 LEAST = 100
 #: Shards of a cycle, 50 at most.
-SHARDS = 4
+SHARDS = 2
 #: Slots for each length of a subphrase: a power of two, one for some 256 bytes of text, within these.
 FEWEST_SLOTS, MOST_SLOTS = 1 << 15, 1 << 22
 #: Bytes of text that a task counts at a time.
@@ -48,6 +48,7 @@ TOP = 2000
 #: A phrase goes if a longer candidate around it is seen in this share of its places, in per cent.
 COVERED = 100
 SEED = 42
+POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
 COUNTS = "lang string, phrase binary, words int, slot long, begin int, c long"
 
 
@@ -85,6 +86,15 @@ def tokens(data: bytes):
     return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.cumsum(end, dtype=np.int32)[at], at
 
 
+def word_hashes(words: pa.BinaryArray, seed: int) -> np.ndarray:
+    """A hash of each word by its bytes and their places; it only chooses slots."""
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(raw)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
+    h = np.add.reduceat(raw * POWERS[place & 4095], offsets[:-1] - offsets[0]) ^ np.uint64(seed)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def spread(h: np.ndarray, slots: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return ((h ^ (h >> np.uint64(29))) % np.uint64(slots)).astype(np.int64)
@@ -102,8 +112,7 @@ def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, sha
     n, v = len(code), len(words)
     if not n:
         return
-    seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-    of_word = np.array([xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()], dtype=np.uint64)
+    of_word = word_hashes(words, xxhash.xxh64_intdigest(lang.encode(), SEED))
     h = of_word[code]
     slots = usable.shape[1]
     for size in range(1, min(max(sizes, default=0), n) + 1):
@@ -163,6 +172,18 @@ def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, sizes: list[
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
 
 
+def likely(live: DataFrame, step: int, least: int) -> DataFrame:
+    """The counts of phrases that may have reached the threshold: a phrase seen `least` times
+    in a number of shards has its share of them in one. Which slots hold such phrases goes
+    out as masks of 64 slots, at most WORDS * MOST_SLOTS / 64 rows of two longs."""
+    at = F.struct((F.col("words") * F.lit(1 << 40) + (F.col("slot") / 64).cast("long")).alias("k"),
+                  (F.col("slot") % 64).cast("int").alias("bit"))
+    live = live.withColumn("at", at)
+    share = F.col("c") * (F.lit(step + 1) - F.col("begin")) >= least
+    masks = live.where(share).groupBy(F.col("at.k").alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at.bit)")).alias("mask"))
+    return live.join(F.broadcast(masks), live["at.k"] == masks["k"]).where(F.expr("bit_get(mask, at.bit) = 1"))
+
+
 def reached(phrases: DataFrame, lengths: int, slots: int) -> np.ndarray:
     """Flags of the slots of a table of phrases, a row per length: gathered as bitmaps of
     4 KB, `lengths * slots / 8` bytes in all."""
@@ -200,11 +221,8 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
                     active(usable, step, shards), longest, segment)
         counts.append(stored(seen.groupBy(*keys).agg(F.sum("c").alias("c")), "counts"))
         held.destroy()
-        # a phrase seen `least` times in a cycle has its share of them in one of the shards
         live = reduce(DataFrame.unionByName, counts[-shards:]).where(F.col("begin") > step - shards)
-        hot = cut(live.where(F.col("c") >= -(-least // shards)).select("lang", "phrase").distinct())
-        enough = cut(checked_join(live, hot, ["lang", "phrase"], "left_semi").groupBy(*keys)
-                     .agg(F.sum("c").alias("c")).where(F.col("c") >= least))
+        enough = cut(likely(live, step, least).groupBy(*keys).agg(F.sum("c").alias("c")).where(F.col("c") >= least))
         whole.append(enough.where(F.col("begin") == step - shards + 1))
         new = reached(enough.where(F.col("words") < longest), longest - 1, slots) & (usable == 0)
         if new.any():
