@@ -18,12 +18,18 @@ from pagelens.llm.queries import remainder
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5. The scorer learns as query op6 does,
-    from `labels` outside the held-out fold; without any label all documents stay."""
+    """Documents whose toxicity score is below 0.5, all columns as they are. The scorer
+    learns as query op6 does, from `labels` outside the held-out fold; without any label
+    all documents stay. Null and empty texts have no neighbours and stay unless such
+    examples are mostly toxic. Only texts and places go through Python, and the places of
+    what is rejected come back."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     fold = remainder("doc_id", 5) != 0
     model = toxicity.fit(docs.where(fold).select("doc_id", "text"), labels.where(fold))
-    return toxicity.score(docs, model, keep_text=True).where("predicted = 0").select(*docs.columns)
+    src = with_locator(docs, "__loc")
+    scored = toxicity.score(src.select("__loc", "text"), model)
+    gone = cut(scored.where("predicted = 1").select("__loc"))
+    return checked_join(src, gone, "__loc", "left_anti").drop("__loc")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
