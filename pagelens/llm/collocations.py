@@ -49,7 +49,8 @@ TOP = 2000
 COVERED = 100
 SEED = 42
 POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
-COUNTS = "lang string, phrase binary, words int, slot long, begin int, c long"
+#: `key` is language, newline, phrase (which holds no newline); `meta` packs slot, step of begin and words.
+COUNTS = "key binary, meta long, c long"
 
 
 def segments(data: bytes, size: int, words: int = WORDS):
@@ -106,8 +107,8 @@ def active(usable: np.ndarray, step: int, shards: int) -> list[int]:
 
 
 def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, shards: int, sizes: list[int]):
-    """Counts of the active phrases of one segment: batches of (lang, phrase, words, slot,
-    begin, c). `usable` has one row of slots per length of a subphrase."""
+    """Counts of the active phrases of one segment: batches of (key, meta, c). `usable` has
+    one row of slots per length of a subphrase."""
     words, code, piece, at = tokens(data)
     n, v = len(code), len(words)
     if not n:
@@ -139,10 +140,9 @@ def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, sha
             i = i[first]
             parts = [words.take(pa.array(code[i + j])) for j in range(size)]
             phrase = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(i), pa.string()), phrase, pa.array(np.full(len(i), size, dtype=np.int32)),
-                 pa.array(spread(h[i], slots)), pa.array(begin[i].astype(np.int32)), pa.array(c.astype(np.int64))],
-                names=["lang", "phrase", "words", "slot", "begin", "c"])
+            meta = (spread(h[i], slots) << 11) | (begin[i].astype(np.int64) << 3) | size
+            key = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.binary()), phrase, b"\n")
+            yield pa.RecordBatch.from_arrays([key, pa.array(meta), pa.array(c.astype(np.int64))], names=["key", "meta", "c"])
 
 
 def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, sizes: list[int], longest: int, segment: int) -> DataFrame:
@@ -213,13 +213,16 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
         size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         slots = min(max(1 << (size // 256).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
     usable = np.zeros((longest - 1, slots), dtype=np.uint8)
-    keys = ["lang", "phrase", "words", "slot", "begin"]
+    keys = ["key", "words", "slot", "begin"]
     counts, whole, step, until = [], [], 0, shards
     while step < until:
         held = spark.sparkContext.broadcast(usable)
         seen = scan(corpus.where(F.col("shard") == step % shards), step, held, shards,
                     active(usable, step, shards), longest, segment)
-        counts.append(stored(seen.groupBy(*keys).agg(F.sum("c").alias("c")), "counts"))
+        seen = seen.groupBy("key", "meta").agg(F.sum("c").alias("c")).select(
+            "key", (F.col("meta") % 8).cast("int").alias("words"), F.shiftright("meta", 11).alias("slot"),
+            F.shiftright("meta", 3).bitwiseAND(F.lit(255)).cast("int").alias("begin"), "c")
+        counts.append(stored(seen, "counts"))
         held.destroy()
         live = reduce(DataFrame.unionByName, counts[-shards:]).where(F.col("begin") > step - shards)
         enough = cut(likely(live, step, least).groupBy(*keys).agg(F.sum("c").alias("c")).where(F.col("c") >= least))
@@ -229,8 +232,15 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
             usable[new] = step + 1
             until = max(until, step + 1 + shards)
         step += 1
-    words = cut(reduce(DataFrame.unionByName, counts[:shards]).where("words = 1").groupBy("lang").agg(F.sum("c").alias("n")))
-    return cut(reduce(DataFrame.unionByName, whole).select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "c")), words
+    key = F.col("key").cast("string")
+    phrase = F.substring_index(key, "\n", -1)
+    lang = F.left(key, F.char_length(key) - F.char_length(phrase) - 1)
+
+    def named(df):
+        return df.select(lang.alias("lang"), phrase.alias("phrase"), "words", "c")
+
+    words = cut(named(reduce(DataFrame.unionByName, counts[:shards]).where("words = 1")).groupBy("lang").agg(F.sum("c").alias("n")))
+    return cut(named(reduce(DataFrame.unionByName, whole))), words
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, top: int = TOP,

@@ -81,7 +81,7 @@ def test_segments_lose_no_phrase():
         out = Counter()
         for part, limit in co.segments(data, size):
             for b in co.count(part, limit, "x", 1, usable, 4, [1, 2, 3, 4, 5]):
-                out.update(dict(zip(b.column("phrase").to_pylist(), b.column("c").to_pylist())))
+                out.update(dict(zip(b.column("key").to_pylist(), b.column("c").to_pylist())))
         return out
     assert counts(1 << 20) and all(counts(n) == counts(1 << 20) for n in (1, 7, 20, 64, 333))
 
