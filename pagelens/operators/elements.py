@@ -32,7 +32,9 @@ def elements(prepared: DataFrame, tags: list[str] | None = None, containing: lis
     ``tags`` keeps these tags only, ``containing`` also start tags that contain
     one of the strings (say, an id). ``text`` (H6) is all text under the element, in
     order, for the tags in ``text_of``, else null: a slice of the page's token
-    texts, joined, so its cost is the number of tokens inside the element.
+    texts, joined behind the explode, so that one text at a time is held and a page of
+    nested elements never lies in one row with all their texts. Jobs that only count
+    terms do not write texts out at all (``operators.sweep``).
     """
     p = prepared.select("page_id", "ends", F.expr(H.TOKENS_SQL).alias("raw"))
     keep = "_e.close_pos IS NOT NULL"
@@ -41,17 +43,18 @@ def elements(prepared: DataFrame, tags: list[str] | None = None, containing: lis
         for s in containing:
             among += f" OR contains(_e.tok, {sql_string(s)})"
         keep += f" AND ({among})"
-    text = "CAST(NULL AS STRING)"
+    text = F.lit(None).cast("string")
     if text_of:
         p = p.withColumn("txt", F.expr(H.text_sql("raw")))
-        text = (f"CASE WHEN _e.tag IN ({', '.join(map(sql_string, text_of))}) THEN "
-                "array_join(slice(txt, CAST(_e.open_pos AS INT) + 2, "
-                "greatest(CAST(_e.close_pos - _e.open_pos AS INT) - 1, 0)), '') END")
-    cut = (f"filter(transform(raw, (_t, _i) -> named_struct('open_pos', CAST(_i AS BIGINT), "
-           f"'close_pos', CAST(get(ends, _i) AS BIGINT), 'tag', {H.tag_sql('_t')}, 'tok', _t)), _e -> {keep})")
-    rows = (f"transform({cut}, _e -> named_struct('open_pos', _e.open_pos, 'close_pos', _e.close_pos, "
-            f"'tag', _e.tag, 'tok', _e.tok, 'text', {text}))")
-    return p.select("page_id", F.explode(F.expr(rows)).alias("_x")).select("page_id", "_x.*")
+        own = F.slice("txt", (F.col("_x.open_pos") + 2).cast("int"),
+                      F.greatest(F.col("_x.close_pos") - F.col("_x.open_pos") - 1, F.lit(0)).cast("int"))
+        text = F.when(F.col("_x.tag").isin(list(text_of)), F.array_join(own, ""))
+    rows = (f"filter(transform(raw, (_t, _i) -> named_struct('open_pos', CAST(_i AS BIGINT), "
+            f"'close_pos', CAST(get(ends, _i) AS BIGINT), 'tag', {H.tag_sql('_t')}, 'tok', _t)), _e -> {keep})")
+    # the array is a column of its own, so that explode and slice are one generated loop
+    # and no row carries the page's texts
+    x = p.withColumn("els", F.expr(rows)).select("page_id", *(["txt"] if text_of else []), F.explode("els").alias("_x"))
+    return x.select("page_id", "_x.*", text.alias("text"))
 
 
 def region_condition(by: str, value: str) -> Column:

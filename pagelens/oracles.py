@@ -266,6 +266,8 @@ pi AS (SELECT * FROM (SELECT 'l' || (e.page_id % 3)::VARCHAR AS label, e.page_id
 
 _LEVEL = "(bit_length(bin(page_id + 1)) / 8 - 1)::BIGINT AS level"
 
+UNCLOSED = "unclosed AS (SELECT page_id, url, replace(html, '</p>', '') AS html FROM pages)"
+
 ORACLES: dict[str, str] = {
     "h1_html_tokens": _with(parse_ctes("pages")) + "SELECT page_id, pos, kind, tag, tok, tlen FROM tkw",
     "h3_elements_by_tag": _with(dec(), parse_ctes("dec")) + "SELECT page_id, open_pos, close_pos, tag FROM el",
@@ -276,6 +278,9 @@ ORACLES: dict[str, str] = {
     "t1_top_terms": PAGES_TEXT + "SELECT page_id, term, n, rk::BIGINT AS rk FROM rk WHERE rk <= 3",
     "t2_top_buckets": PAGES_TEXT + "SELECT page_id, term, n, rk::BIGINT AS rk FROM rk WHERE rk <= 10",
     "p7_label_v3": label_sql(3, LANG_ARTS),
+    "a1_unclosed_terms": _with(UNCLOSED, parse_ctes("unclosed"), article_ctes(), term_ctes()) +
+        "SELECT page_id, term, n FROM cnt",
+    "p7_label_v3_unclosed": label_sql(3, LANG_ARTS, "unclosed", head=(UNCLOSED,)),
     "p6_label_v2": label_sql(2, LANG_ARTS),
     "p5_label_v1": label_sql(1, "SELECT page_id, url, 'test' AS topic FROM pages"),
     "s10_topic_sections": TOPIC_SECTIONS,

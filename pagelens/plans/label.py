@@ -3,10 +3,10 @@
 The whole job is one stream of element rows partitioned by page:
 
   pages (of the wanted articles: semi-join) -> element ends -> [exchange by
-  page_id] -> elements with their texts (in-row) -> region / link ancestry /
-  first h1, h2 (windows) -> one row per (line, term) and one info row per
-  kept image or title (a single explode) -> group by (page_id, term) -> rank
-  (window) -> group by page_id -> articles (join on page_id).
+  page_id] -> elements (in-row) -> region / link ancestry / first h1, h2
+  (windows) -> lines, images and title of each page (group by page_id) -> the
+  page's texts again (join on page_id, the same exchange) -> terms counted by
+  one sweep over them -> top terms (in-row) -> articles (join on page_id).
 
 After the exchange every operator is keyed by ``page_id`` first, so the plan
 has no second shuffle of page data; a huge page is one task's work, never a
@@ -27,6 +27,7 @@ from pagelens.operators.elements import (elements, inside,
                                          region_condition, with_ancestor_flag,
                                          with_region)
 from pagelens.operators.images import IMAGE_TAGS
+from pagelens.operators.sweep import line_term_counts
 from pagelens.operators.tokens import prepare_pages
 
 
@@ -53,15 +54,15 @@ V2 = LabelOptions(analyzer="words", link_mode="http", stems=False,
 V3 = LabelOptions()
 
 
-def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
+def scoped_elements(prepared: DataFrame, opts: LabelOptions = V3,
                     tags: list[str] | None = None, with_text: bool = True) -> DataFrame:
-    """Element rows inside the content region, with ``in_a`` and ``text``.
+    """Element rows of prepared pages inside the content region, with ``in_a`` and ``text``.
 
     Columns: page_id, open_pos, close_pos, tag, tok, in_a, in_text, text.
     """
     tags = tags or ["p", "h1", "h2", *opts.image_tags]
     regions = [r for r in (opts.region, opts.text_region) if r is not None]
-    els = elements(prepare_pages(pages), sorted({*tags, "a", *(v for by, v in regions if by == "tag")}),
+    els = elements(prepared, sorted({*tags, "a", *(v for by, v in regions if by == "tag")}),
                    containing=[v for by, v in regions if by == "id"],
                    text_of=("p", "h1", "h2") if with_text else ())
     els = with_ancestor_flag(els, "a")       # ancestors may lie outside the region
@@ -83,12 +84,12 @@ def scoped_elements(pages: DataFrame, opts: LabelOptions = V3,
     return els.where(scope & F.col("tag").isin(tags)).withColumn("in_text", in_text)
 
 
-def annotate(pages: DataFrame, opts: LabelOptions = V3, with_text: bool = True) -> DataFrame:
-    """Scoped element rows with what the jobs select on: ``src``/``alt``,
+def annotate(prepared: DataFrame, opts: LabelOptions = V3, with_text: bool = True) -> DataFrame:
+    """Scoped element rows of prepared pages with what the jobs select on: ``src``/``alt``,
     ``kept`` (image passing H7 and the link filter), ``is_title``/``is_sub``
     (first h1/h2 of the region), ``is_line`` (U1 membership) and ``line``
     (its text; the alt for an alt line)."""
-    s = scoped_elements(pages, opts, with_text=with_text)
+    s = scoped_elements(prepared, opts, with_text=with_text)
     w_page = Window.partitionBy("page_id")
     is_img = F.col("tag").isin(list(opts.image_tags))
     alt = H.attr("tok", "alt")
@@ -124,7 +125,7 @@ def annotate(pages: DataFrame, opts: LabelOptions = V3, with_text: bool = True)
 def article_lines(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     """(page_id, line_id, text): the lines an article is counted on (U1),
     numbered from 1 per article in payload order."""
-    a = annotate(pages, opts).where(F.col("is_line"))
+    a = annotate(prepare_pages(pages), opts).where(F.col("is_line"))
     w = Window.partitionBy("page_id").orderBy("part", "open_pos")
     return a.select("page_id", F.row_number().over(w).cast("bigint").alias("line_id"),
                     F.col("line").alias("text"))
@@ -133,7 +134,7 @@ def article_lines(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
 def article_images(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     """(page_id, images ARRAY<STRING>): kept images in document order, as
     stems and distinct when the options say so (P9)."""
-    a = annotate(pages, opts, with_text=False).where(F.col("kept"))
+    a = annotate(prepare_pages(pages), opts, with_text=False).where(F.col("kept"))
     image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
     imgs = F.transform(F.array_sort(F.collect_list(F.struct("open_pos", image.alias("i")))),
                        lambda x: x["i"])
@@ -142,47 +143,47 @@ def article_images(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
     return a.groupBy("page_id").agg(imgs.alias("images"))
 
 
-def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
-    """(page_id, terms ARRAY, images ARRAY, title) for every page that has a
-    content region; ``terms`` holds the top ``opts.top_k`` terms."""
-    s = annotate(pages, opts)
-    info = F.col("kept") | (F.col("is_title") if opts.with_title else F.lit(False))
-    # one explode: a row per distinct term of a line, plus one info row
-    # (term null) per kept image / title element
-    terms = F.when(F.col("is_line"), X.distinct_terms(F.col("line"), opts.analyzer))
-    items = F.concat(F.coalesce(terms, F.array().cast("array<string>")),
-                     F.when(info, F.array(F.lit(None).cast("string")))
-                      .otherwise(F.array().cast("array<string>")))
+def line_counts(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """One row per page with scoped elements: page_id, counts (ARRAY<STRUCT<term, n>>, in how
+    many lines each term occurs), imgs (kept images with their positions), title.
+
+    Lines are element positions here; their terms are counted by one sweep over the
+    page's token texts, so nested paragraphs are never written out. The pages meet their
+    own lines again on ``page_id``, behind the exchange that both come from.
+    """
+    prepared = prepare_pages(pages)
+    s = annotate(prepared, opts, with_text=False)
     image = U.url_stem(F.col("src")) if opts.stems else F.col("src")
-    # an info row carries its payload in the grouping key (it is unique per
-    # element), so the (page, term) aggregation is a plain count
-    g = (s.select("page_id", "open_pos", "kept", image.alias("image"),
-                  F.when(F.col("is_title"), F.col("text")).alias("title_text"),
-                  F.explode(items).alias("term"))
-          .select("page_id", "term",
-                  F.when(F.col("term").isNull() & F.col("kept"), F.lit("img"))
-                   .when(F.col("term").isNull(), F.lit("title")).alias("info"),
-                  F.when(F.col("term").isNull(), F.col("open_pos")).alias("info_pos"),
-                  F.when(F.col("term").isNull() & F.col("kept"), F.col("image"))
-                   .when(F.col("term").isNull(), F.col("title_text")).alias("info_value")))
-    agg = g.groupBy("page_id", "term", "info", "info_pos", "info_value").agg(
-        F.count(F.lit(1)).alias("n"))
-    w_rank = Window.partitionBy("page_id").orderBy(
-        F.col("term").isNull(), F.col("n").desc(), F.col("term").asc())
-    ranked = (agg.withColumn("rk", F.row_number().over(w_rank))
-              .where(F.col("term").isNull() | (F.col("rk") <= opts.top_k)))
-    per_page = (ranked.groupBy("page_id")
-                .agg(F.transform(F.array_sort(F.collect_list(
-                         F.when(F.col("term").isNotNull(), F.struct("rk", "term")))),
-                         lambda x: x["term"]).alias("terms"),
-                     F.collect_list(F.when(F.col("info") == "img", F.struct(
-                         F.col("info_pos").alias("open_pos"), F.col("info_value").alias("image")))).alias("imgs"),
-                     F.max(F.when(F.col("info") == "title", F.col("info_value"))).alias("title")))
-    images = F.transform(F.array_sort(F.col("imgs")), lambda x: x["image"])
+    is_img = F.col("tag").isin(list(opts.image_tags))
+    per_page = s.groupBy("page_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("is_line") & ~is_img, F.col("open_pos").cast("int")))).alias("opens"),
+        F.collect_list(F.when(F.col("is_line") & is_img, F.col("alt"))).alias("alts"),
+        F.collect_list(F.when(F.col("kept"), F.struct("open_pos", image.alias("image")))).alias("imgs"),
+        F.min(F.when(F.col("is_title"), F.struct("open_pos", "close_pos"))).alias("h1"))
+    p = prepared.withColumn("txt", F.expr(H.text_sql(H.TOKENS_SQL))).join(per_page, "page_id")
+    title = F.array_join(F.slice("txt", (F.col("h1.open_pos") + 2).cast("int"),
+                                 F.greatest(F.col("h1.close_pos") - F.col("h1.open_pos") - 1, F.lit(0)).cast("int")), "")
+    return p.select("page_id", line_term_counts(F.col("txt"), F.col("ends"), F.col("opens"), F.col("alts"),
+                                                opts.analyzer).alias("counts"),
+                    "imgs", F.when(F.col("h1").isNotNull(), title).alias("title"))
+
+
+def page_term_counts(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """(page_id, term, n) of the pages' own lines (A1), by the sweep."""
+    return line_counts(pages, opts).select("page_id", F.explode("counts").alias("c")).select("page_id", "c.*")
+
+
+def page_labels(pages: DataFrame, opts: LabelOptions = V3) -> DataFrame:
+    """(page_id, terms ARRAY, images ARRAY, title) for every page with elements in its
+    content region; ``terms`` holds the top ``opts.top_k`` terms (T1)."""
+    p = line_counts(pages, opts)
+    ranked = F.array_sort(F.transform("counts", lambda c: F.struct((-c.n).alias("n"), c.term.alias("term"))))
+    terms = F.transform(F.slice(ranked, 1, opts.top_k), lambda c: c.term)
+    images = F.transform(F.array_sort("imgs"), lambda x: x["image"])
     if opts.distinct_images:
         images = F.array_distinct(images)
     title = F.col("title") if opts.with_title else F.lit("")
-    return per_page.select("page_id", "terms", images.alias("images"), title.alias("title"))
+    return p.select("page_id", terms.alias("terms"), images.alias("images"), title.alias("title"))
 
 
 def articles_by_url_topic(pages: DataFrame, topics: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.plans import jobs
 from pagelens.plans.crawl import bfs_crawl, link_table, two_level_crawl
 from pagelens.plans.label import (V1, V2, V3, article_images, article_lines,
-                                  label_by_topic, render_v1, render_v3)
+                                  label_by_topic, page_term_counts, render_v1, render_v3)
 from pagelens.sources import lists as L
 from pagelens.sources import report as R
 from pagelens.sources.pages import read_pages
@@ -142,11 +142,24 @@ def q_a1_term_doc_count(spark, sf):
 
 
 def q_t1_top_terms(spark, sf):
-    return T.top_terms(T.term_doc_count(article_lines(_pages(spark, sf), _article_opts())), 3)
+    return T.top_terms(page_term_counts(_pages(spark, sf), _article_opts()), 3)
 
 
 def q_t2_top_buckets(spark, sf):
-    return T.top_terms(T.term_doc_count(article_lines(_pages(spark, sf), _article_opts())), 10)
+    return T.top_terms(page_term_counts(_pages(spark, sf), _article_opts()), 10)
+
+
+def unclosed(pages: DataFrame) -> DataFrame:
+    """The pages without the end tags of their paragraphs, which then nest."""
+    return pages.withColumn("html", F.replace("html", F.lit("</p>"), F.lit("")))
+
+
+def q_a1_unclosed_terms(spark, sf):
+    return page_term_counts(unclosed(_pages(spark, sf)), _article_opts())
+
+
+def q_p7_label_v3_unclosed(spark, sf):
+    return render_v3(label_by_topic(unclosed(_pages(spark, sf)), LANG_TOPICS, _article_opts()))
 
 
 def q_p7_label_v3(spark, sf):
