@@ -8,8 +8,8 @@ to intervals, and crawls in closed form from ``page_id``.
 
 from __future__ import annotations
 
-from pagelens.registry import (BASE, BUDGET, LANG_TOPICS, LINK_TOPICS, https_link, page_link, splice_sql,
-                               sport_link, sport_url)
+from pagelens.registry import (ARCHIVE_EVERY, BASE, BUDGET, LANG_TOPICS, LINK_TOPICS, archive_sql, https_link, page_link,
+                               splice_sql, sport_link, sport_url)
 
 # --- fixed values, stated independently of the code under test ----------------
 _ATTRS = r"""(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)?>"""
@@ -256,6 +256,29 @@ def crawl_label_sql(version: int, days: int | None = None) -> str:
                      "dec", FRAME, (dec(),), crawl_ctes(days))
 
 
+def archive_ctes(days: int | None = None) -> tuple[str, ...]:
+    """The crawl from every archive at once: ar(root, topic, url, day_pos, lpos)."""
+    keep = f"QUALIFY row_number() OVER (PARTITION BY f.page_id ORDER BY f.pos) <= {days}" if days else ""
+    return FRAME_LINKS, STORED, f"""
+dy AS (SELECT {page_link('f.page_id')} AS root, f.pos AS day_pos, su.page_id FROM fl f JOIN su ON su.url = f.href
+       WHERE f.page_id % {ARCHIVE_EVERY} = 0 {keep}),
+ar AS (SELECT * FROM (SELECT dy.root, {_LINK_TOPIC} AS topic, href AS url, dy.day_pos, f.pos AS lpos FROM dy JOIN fl f ON f.page_id = dy.page_id)
+       WHERE topic IS NOT NULL)"""
+
+
+ARCHIVES = f"dec AS ({archive_sql()})"
+
+
+def archive_oracle(select: str, days: int | None = None) -> str:
+    return _with(ARCHIVES, parse_ctes("dec"), article_ctes(region=FRAME), *archive_ctes(days)) + select
+
+
+def archive_label_sql(version: int) -> str:
+    labels = label_sql(version, "SELECT ar.root, su.page_id, ar.topic, ar.url FROM ar JOIN su ON su.url = ar.url",
+                       "dec", FRAME, (ARCHIVES,), archive_ctes())
+    return labels.replace("SELECT a.topic,", "SELECT a.root, a.topic,")
+
+
 def sport_sql(select: str, *more: str) -> str:
     """Image rows pi of the crawl below the base page, which itself only gives links."""
     return _with(dec(sport_link, sport_url), parse_ctes("dec"), article_ctes(region=FRAME), f"""
@@ -354,8 +377,13 @@ SELECT {page_link('page_id')} AS url, page_id, {_LEVEL}, page_id - 1 AS ord FROM
     "p4_extract_links": spliced_sql("SELECT url, day_pos, lpos FROM ar", *crawl_ctes(2, BASE)),
     "p7_label_v3_crawl": crawl_label_sql(3),
     "p6_label_v2_crawl": crawl_label_sql(2, 2),
-    "l2_first_days": _with(LINKS) + "SELECT href FROM lk WHERE page_id = 3 AND ord <= 4",
-    "l3_nth_item": _with(LINKS) + "SELECT href FROM lk WHERE page_id = 3 AND ord = 3",
+    "c3_many_archives": archive_oracle("SELECT root, topic, url, day_pos, lpos FROM ar"),
+    "p4_many_archives": archive_oracle("SELECT root, url, day_pos, lpos FROM ar", 3),
+    "p6_label_v2_archives": archive_label_sql(2),
+    "p7_label_v3_archives": archive_label_sql(3),
+    "l2_first_days": _with(LINKS) + "SELECT page_id, href FROM lk WHERE ord <= 4",
+    "l3_nth_item": _with(LINKS) + "SELECT page_id, href FROM lk WHERE ord = 3",
+    "l3_nth_of_all": _with(LINKS) + "SELECT page_id, href FROM lk ORDER BY page_id, ord LIMIT 1 OFFSET 100",
     "s8_page_sections": spliced_sql(f"""
 SELECT page_id::BIGINT AS section_ord, 0 AS part, NULL::BIGINT AS row_ord, url || ':' AS line FROM dec
 UNION ALL SELECT page_id, 1, row_number() OVER (PARTITION BY page_id ORDER BY open_pos), src

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pagelens.functions import html as H
 from pagelens.functions import urls as U
 from pagelens.operators.elements import elements, inside, with_region
+from pagelens.operators.links import first_n
 from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.session import checkpoint_dir
 
@@ -171,37 +172,47 @@ def stored_urls(pages: DataFrame) -> DataFrame:
     return pages.groupBy("url").agg(F.min(F.col("page_id").cast("bigint")).alias("page_id"))
 
 
-def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
-                    base: str = "", region: tuple[str, str] | None = ("id", "frameInner"),
-                    max_days: int | None = None, distinct_links: bool = False) -> DataFrame:
-    """Archive page -> date pages (first ``max_days``, L2) -> topic links.
+def archive_crawls(pages: DataFrame, roots: DataFrame, topics: list[str], base: str = "",
+                   region: tuple[str, str] | None = ("id", "frameInner"), max_days: int | None = None,
+                   distinct_links: bool = False) -> DataFrame:
+    """C3 over any number of archives at once: archive page -> its date pages (the first
+    ``max_days`` of each, L2) -> topic links.
 
-    Returns the article list (topic, url, ord): every link of the date pages
-    that contains a topic, tagged with the first topic (F6), absolutised
-    with ``base`` (F9), in (date order, link position) order. Duplicates are
-    kept unless ``distinct_links`` (Q7). Two joins, no loop; the archive page is
-    parsed first, then its date pages, and no other page.
+    ``roots`` has the archives' URLs as ``url``; a repeated one counts once, one that is
+    not stored gives nothing. Returns (root, topic, url, ord): every link of an archive's
+    date pages that contains a topic, tagged with the first topic (F6), absolutised with
+    ``base`` (F9), ``ord`` = (place of the date link, link position). Duplicates are kept
+    unless ``distinct_links`` (Q7, per archive). All archives advance together: two
+    rounds of joins whatever their number. A page is parsed once a round however many
+    archives list it, archives first, then date pages, and no other page.
     """
     stored = stored_urls(pages)
+    checkpoint_dir(pages.sparkSession)
 
-    def links_of(urls: DataFrame) -> DataFrame:
+    def links_of(listed: DataFrame) -> DataFrame:
         """Links of a list of stored pages only: the rest is not parsed."""
-        ids = urls.select(F.col("page_id").alias("_id")).distinct()
-        listed = pages.join(ids, pages["page_id"].cast("bigint") == ids["_id"], "left_semi")
-        return link_table(listed, region=region, rewrite=lambda h: U.absolutise(h, base))
+        ids = listed.select(F.col("page_id").alias("_id")).distinct()
+        some = pages.join(ids, pages["page_id"].cast("bigint") == ids["_id"], "left_semi")
+        return link_table(some, region=region, rewrite=lambda h: U.absolutise(h, base))
 
-    archive = stored.where(F.col("url") == start_url)
-    days = links_of(archive).select(F.col("url"), F.col("pos").alias("day_pos")).join(stored, "url")
+    archives = roots.select("url").distinct().join(stored, "url").select(F.col("url").alias("root"), "page_id")
+    days = archives.join(links_of(archives).select("page_id", "url", F.col("pos").alias("day_pos")), "page_id") \
+        .select("root", "url", "day_pos").join(stored, "url").select("root", "day_pos", "page_id")
     if max_days is not None:
-        days = days.orderBy("day_pos").limit(max_days)
-    checkpoint_dir(pages.sparkSession)
-    days = days.select(F.col("url").alias("day_url"), "day_pos", "page_id").checkpoint()
-    lt = links_of(days)
-    rel = (days.join(lt.select(F.col("page_id").alias("_d"), F.col("pos").alias("lpos"), "href", "url"),
-                     days["page_id"] == F.col("_d"))
-           .withColumn("topic", U.topic_first(F.col("href"), topics))
+        days = first_n(days, "day_pos", max_days, "root")
+    days = days.checkpoint()
+    links = links_of(days).select("page_id", F.col("pos").alias("lpos"), "href", "url")
+    rel = (days.join(links, "page_id").withColumn("topic", U.topic_first(F.col("href"), topics))
            .where(F.col("topic").isNotNull()))
     if distinct_links:
-        rel = rel.groupBy("topic", "url").agg(F.min(F.struct("day_pos", "lpos")).alias("k")).select(
-            "topic", "url", F.col("k.day_pos").alias("day_pos"), F.col("k.lpos").alias("lpos"))
-    return rel.select("topic", "url", F.struct("day_pos", "lpos").alias("ord"))
+        rel = rel.groupBy("root", "topic", "url").agg(F.min(F.struct("day_pos", "lpos")).alias("ord"))
+        return rel.select("root", "topic", "url", "ord")
+    return rel.select("root", "topic", "url", F.struct("day_pos", "lpos").alias("ord"))
+
+
+def two_level_crawl(pages: DataFrame, start_url: str, topics: list[str],
+                    base: str = "", region: tuple[str, str] | None = ("id", "frameInner"),
+                    max_days: int | None = None, distinct_links: bool = False) -> DataFrame:
+    """C3 from one archive page: (topic, url, ord), see ``archive_crawls``."""
+    root = pages.sparkSession.createDataFrame([(start_url,)], "url string")
+    return archive_crawls(pages, root, topics, base, region, max_days, distinct_links).drop("root")

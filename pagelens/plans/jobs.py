@@ -16,7 +16,7 @@ from pagelens.functions import urls as U
 from pagelens.operators.elements import elements, inside, with_region
 from pagelens.operators.images import keyed_upsert
 from pagelens.operators.tokens import html_tokens, prepare_pages
-from pagelens.plans.crawl import bfs_crawl, link_table, stored_urls, two_level_crawl
+from pagelens.plans.crawl import archive_crawls, bfs_crawl, link_table, stored_urls
 from pagelens.plans.label import (V1, V2, V3, LabelOptions, article_images,
                                   article_lines, label_articles)
 from pagelens.sources import lists as L
@@ -78,12 +78,20 @@ def label_by_url(pages: DataFrame, base: str, budget: int | None = None,
                     F.struct("ord", "pos").alias("ord"), "alt", "src"))
 
 
-def extract_links(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
+def _crawl(pages: DataFrame, start: str | DataFrame, *args, **options) -> DataFrame:
+    """C3 from one archive's URL (no ``root`` column) or from a table of them."""
+    one = isinstance(start, str)
+    roots = pages.sparkSession.createDataFrame([(start,)], "url string") if one else start
+    rows = archive_crawls(pages, roots, *args, **options)
+    return rows.drop("root") if one else rows
+
+
+def extract_links(pages: DataFrame, start_url: str | DataFrame, topics: list[str], base: str = "",
                   max_days: int | None = None, region: tuple[str, str] | None = ("id", "frameInner")) -> DataFrame:
     """Links of the first ``max_days`` date pages (all if None) that contain
-    any topic (F5), in order: (url, ord)."""
-    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days, region=region)
-    return arts.select("url", "ord")
+    any topic (F5), in order: (url, ord); with a table of archives (``url``) as start,
+    those of every archive under its ``root``."""
+    return _crawl(pages, start_url, topics, base=base, max_days=max_days, region=region).drop("topic")
 
 
 def _only(pages: DataFrame, visited: DataFrame) -> DataFrame:
@@ -92,10 +100,10 @@ def _only(pages: DataFrame, visited: DataFrame) -> DataFrame:
     return pages.join(v, pages["page_id"].cast("bigint") == v["_only"], "left_semi")
 
 
-def _crawled_articles(pages: DataFrame, start_url: str, topics: list[str], base: str,
+def _crawled_articles(pages: DataFrame, start_url: str | DataFrame, topics: list[str], base: str,
                       max_days: int | None, region: tuple[str, str] | None) -> DataFrame:
-    arts = two_level_crawl(pages, start_url, topics, base=base, max_days=max_days, region=region)
-    return arts.join(stored_urls(pages), "url").select("page_id", "topic", "url", "ord")
+    arts = _crawl(pages, start_url, topics, base=base, max_days=max_days, region=region)
+    return arts.join(stored_urls(pages), "url")
 
 
 def label_v1(pages: DataFrame, urls: DataFrame, budget: int | None = None,
@@ -110,15 +118,16 @@ def label_v1(pages: DataFrame, urls: DataFrame, budget: int | None = None,
     return label_articles(pages, arts, opts)
 
 
-def label_v2(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
+def label_v2(pages: DataFrame, start_url: str | DataFrame, topics: list[str], base: str = "",
              max_days: int | None = None, opts: LabelOptions = V2) -> DataFrame:
     """Two-level crawl (the first ``max_days`` date pages, all if None), then
     words analyzer, 'http' images, title. One row per topic link, in ``ord``; an
-    article linked from several date pages keeps each of its rows."""
+    article linked from several date pages keeps each of its rows. With a table of
+    archives (``url``) as start, one row per archive's link, under its ``root``."""
     return label_articles(pages, _crawled_articles(pages, start_url, topics, base, max_days, opts.region), opts)
 
 
-def label_v3(pages: DataFrame, start_url: str, topics: list[str], base: str = "",
+def label_v3(pages: DataFrame, start_url: str | DataFrame, topics: list[str], base: str = "",
              max_days: int | None = None, opts: LabelOptions = V3) -> DataFrame:
     """P7 (flagship): v2 plus image stems, distinct images, alts and
     subtitle as text."""

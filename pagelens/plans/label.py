@@ -203,7 +203,7 @@ def assemble(articles: DataFrame, labels: DataFrame) -> DataFrame:
     return j.select("topic", articles["page_id"],
                     F.coalesce("terms", empty).alias("terms"),
                     F.coalesce("images", empty).alias("images"),
-                    "title", "url", *(["ord"] if "ord" in articles.columns else []))
+                    "title", "url", *[c for c in ("ord", "root") if c in articles.columns])
 
 
 def label_articles(pages: DataFrame, articles: DataFrame,
@@ -225,8 +225,9 @@ def label_by_topic(pages: DataFrame, topics: list[str], opts: LabelOptions = V3)
 
 
 def render_v3(df: DataFrame) -> DataFrame:
-    """Output columns of the third version: lists joined with ', ' (X9)."""
-    return df.select("topic",
+    """Output columns of the third version: lists joined with ', ' (X9); of crawls over
+    many archives also the archive."""
+    return df.select(*[c for c in ("root",) if c in df.columns], "topic",
                      X.list_join(F.col("terms")).alias("descriptors"),
                      X.list_join(F.col("images")).alias("image_links"),
                      F.col("title").alias("article_name"),

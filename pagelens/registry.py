@@ -30,7 +30,7 @@ from pagelens.operators.elements import (elements, inside, structural_join,
 from pagelens.operators.links import filter_topic_any, first_n, nth_item, tag_topic_first, tag_topic_join
 from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.plans import jobs
-from pagelens.plans.crawl import bfs_crawl, link_table, two_level_crawl
+from pagelens.plans.crawl import archive_crawls, bfs_crawl, link_table, two_level_crawl
 from pagelens.plans.label import (V1, V2, V3, article_images, article_lines,
                                   label_by_topic, page_term_counts, render_v1, render_v3)
 from pagelens.sources import lists as L
@@ -380,14 +380,62 @@ def q_p6_label_v2_crawl(spark, sf):
     return render_v3(jobs.label_v2(spliced(spark, sf), "/p/0", LINK_TOPICS, max_days=2))
 
 
+#: Every so many pages, one is an archive that lists the pages up to the next.
+ARCHIVE_EVERY = 20
+
+
+def archive_sql() -> str:
+    """The spliced pages, each ARCHIVE_EVERY-th with links to the pages that follow it."""
+    days = ", ".join(f"""'<a href="', {page_link(f'page_id + {i}')}, '">day</a>'""" for i in range(1, ARCHIVE_EVERY))
+    mark = '<a name="none">no</a>'
+    return (f"select page_id, url, replace(html, '{mark}', concat('{mark}', CASE WHEN page_id % {ARCHIVE_EVERY} = 0 "
+            f"THEN concat({days}) ELSE '' END)) as html from ({splice_sql()}) s")
+
+
+def archives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(pages, the archives' URLs): their number grows with the table."""
+    pages = spark.sql(archive_sql().replace("from pages", "from {pages}"), pages=_pages(spark, sf))
+    return pages, pages.where(F.col("page_id") % ARCHIVE_EVERY == 0).select("url")
+
+
+def _placed(rows):
+    return rows.select("*", F.col("ord.day_pos").alias("day_pos"), F.col("ord.lpos").alias("lpos")).drop("ord")
+
+
+def q_c3_many_archives(spark, sf):
+    pages, roots = archives(spark, sf)
+    return _placed(archive_crawls(pages, roots, LINK_TOPICS))
+
+
+def q_p4_many_archives(spark, sf):
+    """The first three date pages of every archive."""
+    pages, roots = archives(spark, sf)
+    return _placed(jobs.extract_links(pages, roots, LINK_TOPICS, max_days=3))
+
+
+def q_p6_label_v2_archives(spark, sf):
+    pages, roots = archives(spark, sf)
+    return render_v3(jobs.label_v2(pages, roots, LINK_TOPICS))
+
+
+def q_p7_label_v3_archives(spark, sf):
+    pages, roots = archives(spark, sf)
+    return render_v3(jobs.label_v3(pages, roots, LINK_TOPICS))
+
+
 def q_l2_first_days(spark, sf):
-    lt = link_table(spliced(spark, sf), region=FRAME).where(F.col("page_id") == 3)
-    return first_n(lt, "pos", 4).select("href")
+    """The first links of every page's region."""
+    return first_n(link_table(spliced(spark, sf), region=FRAME), "pos", 4, "page_id").select("page_id", "href")
 
 
 def q_l3_nth_item(spark, sf):
-    lt = link_table(spliced(spark, sf), region=FRAME).where(F.col("page_id") == 3)
-    return nth_item(lt, "pos", 2).select("href")
+    """The third link of every page's region."""
+    return nth_item(link_table(spliced(spark, sf), region=FRAME), "pos", 2, "page_id").select("page_id", "href")
+
+
+def q_l3_nth_of_all(spark, sf):
+    """One link of the list of all pages' links."""
+    return nth_item(link_table(spliced(spark, sf), region=FRAME), ["page_id", "pos"], 100).select("page_id", "href")
 
 
 def q_s3_url_cells(spark, sf):

@@ -31,14 +31,15 @@ def section_report(body: DataFrame, key: str, order: str, line: Column,
     """Grouped rows -> report lines (section_ord, part, row_ord, line).
 
     ``part`` numbers the header lines 0..h-1, the rows h and the trailer
-    h+1; ``row_ord`` orders the rows (null for headers and trailer)."""
+    h+1; ``row_ord`` orders the rows (null for headers and trailer). A null key is a
+    section like any other."""
     headers = headers or []
     h = len(headers)
     # the per-section table is built from renamed columns and joined on an
     # explicit key, so the self-join never has to re-resolve body columns
     sec = (body.select(F.col(key).alias("_sk"), F.col(order).alias("_so"))
            .groupBy("_sk").agg(F.min("_so").alias("section_ord")))
-    rows = body.join(sec, body[key] == sec["_sk"]).select(
+    rows = body.join(sec, body[key].eqNullSafe(sec["_sk"])).select(  # a null key is a section of its own
         "section_ord", F.lit(h).alias("part"), F.col(order).alias("row_ord"), line.alias("line"))
     # header and trailer lines of every section from one explode of the
     # per-section table
@@ -57,7 +58,9 @@ def section_report(body: DataFrame, key: str, order: str, line: Column,
 
 
 def write_lines(report: DataFrame, path: str, line_sep: str = "\n") -> None:
-    """Write report lines in order as text (``\\r\\n`` for the CSV reports)."""
+    """Write report lines in order as text (``\\r\\n`` for the CSV reports). Each file
+    holds a range of the order and ends with a line end, so the files joined by name are
+    the report."""
     (report.orderBy("section_ord", "part", "row_ord").select("line")
      .write.mode("overwrite").option("lineSep", line_sep).text(path))
 
@@ -95,7 +98,7 @@ def page_sections(images: DataFrame) -> DataFrame:
                             F.lit(None).cast("string").alias("link"))
     allrows = body.unionByName(sec_src)
     rep = section_report(allrows, "url", "o", F.col("link"),
-                         headers=[lambda k: F.concat(k, F.lit(":"))], trailer="")
+                         headers=[lambda k: F.concat(X.to_string(k), F.lit(":"))], trailer="")
     return rep.where(F.col("line").isNotNull())
 
 
@@ -103,7 +106,7 @@ def label_sections(rows: DataFrame) -> DataFrame:
     """Per label: the label, ``alt,src`` lines (not quoted, null alt as
     None), a blank line. ``rows`` is (label, ord, alt, src)."""
     line = F.concat(X.to_string(F.col("alt")), F.lit(","), F.col("src"))
-    return section_report(rows, "label", "ord", line, headers=[lambda k: k], trailer="")
+    return section_report(rows, "label", "ord", line, headers=[X.to_string], trailer="")
 
 
 def topic_sections(articles: DataFrame, list_form: str = "joined") -> DataFrame:

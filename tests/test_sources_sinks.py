@@ -118,3 +118,38 @@ def test_topic_report_over_self_joined_labels(spark):
     rows = q_s10_topic_sections(spark, "/root/testdata/sf0.001").collect()
     topics = [r for r in rows if r.part == 0]
     assert rows and len(topics) == len({r.section_ord for r in rows})
+
+
+def test_a_null_section_keeps_its_rows(spark):
+    rows = spark.createDataFrame([("a", 1, "x", "u1"), (None, 2, None, "u2"), ("a", 3, "y", "u3"), (None, 4, "z", "u4")],
+                                 "label string, ord long, alt string, src string")
+    rep = R.label_sections(rows).orderBy("section_ord", "part", "row_ord").collect()
+    assert [r.line for r in rep] == ["a", "x,u1", "y,u3", "", "None", "None,u2", "z,u4", ""]
+
+
+def test_the_files_of_a_report_join_to_the_csv_writers(spark, tmpdir_path):
+    """Many files, written by many tasks: joined by name they are what csv.writer writes."""
+    arts = [(f"/t{i % 7}/" if i % 11 else None, i, [f"w{i}", 'say "x"'], [f"https://i/{i}.jpg"], f"Title, {i}", f"https://x/{i}")
+            for i in range(3_000)]
+    df = spark.createDataFrame(arts, "topic string, ord long, terms array<string>, images array<string>, title string, url string")
+    path = os.path.join(tmpdir_path, "report")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        R.write_lines(R.topic_sections(df.repartition(5)), path, "\r\n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(files) > 2
+    got = "".join(open(os.path.join(path, f), newline="").read() for f in files)
+    want = io.StringIO()
+    w = csv.writer(want)
+    groups: dict = {}
+    for a in arts:
+        groups.setdefault(a[0], []).append(a)
+    for topic, rows in groups.items():
+        w.writerow([topic or ""])
+        w.writerow(R.ARTICLE_FIELDS)
+        for _, _, terms, images, title, url in rows:
+            w.writerow([", ".join(terms), ", ".join(images), title, url])
+        w.writerow([""])
+    assert got == want.getvalue()
