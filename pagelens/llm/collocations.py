@@ -10,7 +10,8 @@ What reached the threshold when is known to the scans through a table of slots f
 length: a phrase is hashed to a slot, a byte with the step from which it is usable. A slot
 is written once, so the step at which a phrase starts is the same in every scan. Phrases
 that share a slot can only make others start that need not have: these see a full cycle
-like all, and exact counts decide at the end. The table's size is bounded; a fuller table
+like all, and exact counts decide at the end. Counters are kept by the phrases' hashes; one
+more scan counts the texts behind the counters that reached the threshold. The table's size is bounded; a fuller table
 costs counters, never a phrase. Counts of a step are written once and summed only for
 slots of phrases that had their share of the threshold in some shard of the cycle.
 """
@@ -24,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,8 +49,10 @@ TOP = 2000
 COVERED = 100
 SEED = 42
 POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
-#: `key` is language, newline, phrase (which holds no newline); `meta` packs slot, step of begin and words.
-COUNTS = "key binary, meta long, c long"
+#: A counter: hash of a phrase, step at which it began and words as one number, occurrences.
+COUNTERS = "h long, meta long, c long"
+#: An exact count: language, newline, phrase (which holds no newline); no words: all occurrences of words.
+EXACT = "key binary, words int, c long"
 
 
 def segments(data: bytes, size: int, words: int = WORDS):
@@ -96,9 +98,45 @@ def word_hashes(words: pa.BinaryArray, seed: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def spread(h: np.ndarray, slots: int) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h ^ (h >> np.uint64(29))) % np.uint64(slots)).astype(np.int64)
+    return h ^ (h >> np.uint64(29))
+
+
+def slot_of(m: np.ndarray, slots: int) -> np.ndarray:
+    return (m & np.uint64(slots - 1)).astype(np.int64)
+
+
+class Segment:
+    """The words of a segment, and the hashes of the phrases that start at each."""
+
+    def __init__(self, data: bytes, limit: int, lang: str):
+        self.words, self.code, self.piece, at = tokens(data)
+        self.starts = at < limit
+        if len(at):
+            self.of_word = word_hashes(self.words, xxhash.xxh64_intdigest(lang.encode(), SEED))
+
+    def phrases(self, longest: int):
+        """(words, hashes, hashes of the phrases one word shorter, which places start one) by length."""
+        if not len(self.code):
+            return
+        h, shorter = self.of_word[self.code], None
+        for size in range(1, min(longest, len(self.code)) + 1):
+            m = len(self.code) - size + 1
+            if size > 1:
+                shorter, h = mixed(h), h[:m] * np.uint64(0x100000001B3) + self.of_word[self.code[size - 1:]]
+            yield size, h, shorter, (self.piece[:m] == self.piece[size - 1:]) & self.starts[:m]
+
+    def texts(self, i: np.ndarray, size: int):
+        """(distinct phrases of `size` words at places i, occurrences)."""
+        key = self.code[i]
+        for j in range(1, size):
+            if j > 1:
+                key = np.unique(key, return_inverse=True)[1]
+            key = key * len(self.words) + self.code[i + j]
+        _, first, c = np.unique(key, return_index=True, return_counts=True)
+        parts = [self.words.take(pa.array(self.code[i[first] + j])) for j in range(size)]
+        return pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0], c
 
 
 def active(usable: np.ndarray, step: int, shards: int) -> list[int]:
@@ -106,56 +144,56 @@ def active(usable: np.ndarray, step: int, shards: int) -> list[int]:
     return [1] * (step < shards) + [i + 2 for i, part in enumerate(usable) if (part > max(step - shards, 0)).any()]
 
 
-def count(data: bytes, limit: int, lang: str, step: int, usable: np.ndarray, shards: int, sizes: list[int]):
-    """Counts of the active phrases of one segment: batches of (key, meta, c). `usable` has
-    one row of slots per length of a subphrase."""
-    words, code, piece, at = tokens(data)
-    n, v = len(code), len(words)
-    if not n:
-        return
-    of_word = word_hashes(words, xxhash.xxh64_intdigest(lang.encode(), SEED))
-    h = of_word[code]
+def count(seg: Segment, step: int, usable: np.ndarray, shards: int, sizes: list[int]):
+    """Counters of the active phrases of one segment. `usable` has one row of slots per
+    length of a subphrase."""
     slots = usable.shape[1]
-    for size in range(1, min(max(sizes, default=0), n) + 1):
-        m = n - size + 1
-        if size > 1:
-            sub, h = h, h[:m] * np.uint64(0x100000001B3) + of_word[code[size - 1:]]
+    for size, h, shorter, here in seg.phrases(max(sizes, default=0)):
         if size not in sizes:
             continue
-        here = (piece[:m] == piece[size - 1:]) & (at[:m] < limit)
         if size == 1:
-            begin = np.zeros(n, dtype=np.uint8)
+            begin = np.zeros(len(h), dtype=np.uint8)
         else:
-            since = usable[size - 2][spread(sub, slots)]
+            since = usable[size - 2][slot_of(shorter, slots)]
             begin = np.maximum(since[:-1], since[1:])
-            here &= (since[:-1] > 0) & (since[1:] > 0) & (begin > step - shards)
+            here = here & (since[:-1] > 0) & (since[1:] > 0) & (begin > step - shards)
         i = np.flatnonzero(here)
         if len(i):
-            key = code[i]
-            for j in range(1, size):
-                if j > 1:
-                    key = np.unique(key, return_inverse=True)[1]
-                key = key * v + code[i + j]
-            _, first, c = np.unique(key, return_index=True, return_counts=True)
-            i = i[first]
-            parts = [words.take(pa.array(code[i + j])) for j in range(size)]
-            phrase = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
-            meta = (spread(h[i], slots) << 11) | (begin[i].astype(np.int64) << 3) | size
-            key = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.binary()), phrase, b"\n")
-            yield pa.RecordBatch.from_arrays([key, pa.array(meta), pa.array(c.astype(np.int64))], names=["key", "meta", "c"])
-
-
-def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, sizes: list[int], longest: int, segment: int) -> DataFrame:
-    """Counts of the phrases that are active at a step, over one shard."""
+            m, first, c = np.unique(mixed(h[i]), return_index=True, return_counts=True)
+            meta = (begin[i[first]].astype(np.int64) << 3) | size
+            yield pa.RecordBatch.from_arrays([pa.array(m.view(np.int64)), pa.array(meta), pa.array(c.astype(np.int64))],
+                                             names=["h", "meta", "c"])
+
+
+def exactly(seg: Segment, lang: str, flags: np.ndarray):
+    """Exact counts of the phrases of one segment whose slots are flagged, a row of slots
+    per length, and the number of its words."""
+    prefix = pa.scalar(lang.encode() + b"\n", pa.binary())
+
+    def batch(keys, size, c):
+        return pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(c), size, dtype=np.int32)), pa.array(c.astype(np.int64))],
+                                          names=["key", "words", "c"])
+
+    yield batch(pa.array([prefix.as_py()], pa.binary()), 0, np.array([np.count_nonzero(seg.starts)]))
+    for size, h, _, here in seg.phrases(len(flags)):
+        i = np.flatnonzero(here)
+        i = i[flags[size - 1][slot_of(mixed(h[i]), flags.shape[1])]]
+        if len(i):
+            phrase, c = seg.texts(i, size)
+            yield batch(pc.binary_join_element_wise(prefix, phrase, b""), size, c)
+
+
+def scan(shard: DataFrame, schema: str, counted, longest: int, segment: int) -> DataFrame:
+    """What `counted(segment, language)` gives for the texts of (lang, text), segment by segment."""
 
     def run(batches):
         texts: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
 
-        def counted(lang):
+        def done(lang):
             size.pop(lang)
             for data, limit in segments(b"\n".join(texts.pop(lang)).translate(TABLE), segment, longest):
-                yield from count(data, limit, lang, step, held.value, shards, sizes)
+                yield from counted(Segment(data, limit, lang), lang)
 
         for b in batches:
             for lang, text in zip(b.column(0), b.column(1)):
@@ -163,13 +201,13 @@ def scan(shard: DataFrame, step: int, held: Broadcast, shards: int, sizes: list[
                 texts.setdefault(lang, []).append(text)
                 size[lang] = size.get(lang, 0) + len(text) + 1
                 if size[lang] >= segment:
-                    yield from counted(lang)
+                    yield from done(lang)
                 elif sum(size.values()) >= 2 * segment:  # many languages: the fullest goes
-                    yield from counted(max(size, key=size.get))
+                    yield from done(max(size, key=size.get))
         for lang in list(texts):
-            yield from counted(lang)
+            yield from done(lang)
 
-    return shard.select("lang", "text").mapInArrow(run, COUNTS)
+    return shard.select("lang", "text").mapInArrow(run, schema)
 
 
 def likely(live: DataFrame, step: int, least: int) -> DataFrame:
@@ -181,6 +219,7 @@ def likely(live: DataFrame, step: int, least: int) -> DataFrame:
     live = live.withColumn("at", at)
     share = F.col("c") * (F.lit(step + 1) - F.col("begin")) >= least
     masks = live.where(share).groupBy(F.col("at.k").alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at.bit)")).alias("mask"))
+    # the bound holds whatever the input: MOST_SLOTS slots a length
     return live.join(F.broadcast(masks), live["at.k"] == masks["k"]).where(F.expr("bit_get(mask, at.bit) = 1"))
 
 
@@ -209,19 +248,21 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     path = shared_path(spark, "shards")
     src.where("text is not null").write.partitionBy("shard").parquet(path)
     corpus = spark.read.schema("lang string, text binary, shard int").parquet(path)
+    if slots is not None and slots & (slots - 1):
+        raise ValueError("a power of two of slots")
     if slots is None:
         size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         slots = min(max(1 << (size // 256).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
     usable = np.zeros((longest - 1, slots), dtype=np.uint8)
-    keys = ["key", "words", "slot", "begin"]
+    keys = ["h", "words", "begin", "slot"]
     counts, whole, step, until = [], [], 0, shards
     while step < until:
-        held = spark.sparkContext.broadcast(usable)
-        seen = scan(corpus.where(F.col("shard") == step % shards), step, held, shards,
-                    active(usable, step, shards), longest, segment)
-        seen = seen.groupBy("key", "meta").agg(F.sum("c").alias("c")).select(
-            "key", (F.col("meta") % 8).cast("int").alias("words"), F.shiftright("meta", 11).alias("slot"),
-            F.shiftright("meta", 3).bitwiseAND(F.lit(255)).cast("int").alias("begin"), "c")
+        held, sizes, now = spark.sparkContext.broadcast(usable), active(usable, step, shards), step
+        seen = scan(corpus.where(F.col("shard") == step % shards), COUNTERS,
+                    lambda seg, _: count(seg, now, held.value, shards, sizes), longest, segment)
+        seen = seen.groupBy("h", "meta").agg(F.sum("c").alias("c")).select(
+            "h", (F.col("meta") % 8).cast("int").alias("words"), F.shiftright("meta", 3).cast("int").alias("begin"),
+            F.col("h").bitwiseAND(F.lit(slots - 1)).alias("slot"), "c")
         counts.append(stored(seen, "counts"))
         held.destroy()
         live = reduce(DataFrame.unionByName, counts[-shards:]).where(F.col("begin") > step - shards)
@@ -232,15 +273,17 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
             usable[new] = step + 1
             until = max(until, step + 1 + shards)
         step += 1
+    # a counter is a hash, so it is never below its phrase's count; the phrases behind those
+    # that reached the threshold are counted by their texts in one more scan
+    held = spark.sparkContext.broadcast(reached(reduce(DataFrame.unionByName, whole), longest, slots))
+    exact = scan(corpus, EXACT, lambda seg, lang: exactly(seg, lang, held.value), longest, segment) \
+        .groupBy("key", "words").agg(F.sum("c").alias("c")).where((F.col("words") == 0) | (F.col("c") >= least))
     key = F.col("key").cast("string")
     phrase = F.substring_index(key, "\n", -1)
-    lang = F.left(key, F.char_length(key) - F.char_length(phrase) - 1)
-
-    def named(df):
-        return df.select(lang.alias("lang"), phrase.alias("phrase"), "words", "c")
-
-    words = cut(named(reduce(DataFrame.unionByName, counts[:shards]).where("words = 1")).groupBy("lang").agg(F.sum("c").alias("n")))
-    return cut(named(reduce(DataFrame.unionByName, whole))), words
+    exact = cut(exact.select(F.left(key, F.char_length(key) - F.char_length(phrase) - 1).alias("lang"),
+                             phrase.alias("phrase"), "words", "c"))
+    held.destroy()
+    return exact.where("words > 0"), exact.where("words = 0").select("lang", F.col("c").alias("n"))
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, top: int = TOP,

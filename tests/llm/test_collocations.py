@@ -75,12 +75,12 @@ def test_a_phrase_that_becomes_frequent_in_the_last_shard(spark):
 def test_segments_lose_no_phrase():
     rnd = random.Random(4)
     data = "".join(rnd.choice(["a ", "bb ", "ccc\t", "dd\n", "e" * 50 + " ", " ", "\n"]) for _ in range(600)).encode()
-    usable = np.ones((4, 1 << 12), dtype=np.uint8)
+    flags = np.ones((5, 1 << 12), dtype=bool)
 
     def counts(size):
         out = Counter()
         for part, limit in co.segments(data, size):
-            for b in co.count(part, limit, "x", 1, usable, 4, [1, 2, 3, 4, 5]):
+            for b in co.exactly(co.Segment(part, limit, "x"), "x", flags):
                 out.update(dict(zip(b.column("key").to_pylist(), b.column("c").to_pylist())))
         return out
     assert counts(1 << 20) and all(counts(n) == counts(1 << 20) for n in (1, 7, 20, 64, 333))
