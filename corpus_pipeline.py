@@ -13,10 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelens.llm import exact_dedup, mixing, packing, simhash, toxicity
-from pagelens.llm.common import checked_join, cut, stored, with_locator
+from pagelens.llm.common import checked_join, cut, settings, stored, with_locator
 from pagelens.llm.queries import remainder
 
 
+#: Rows of whole texts that go to Python at a time: the stages share executors, and each
+#: batch is held by both sides.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5, all columns as they are. The scorer
     learns as query op6 does, from `labels` outside the held-out fold; without any label
@@ -25,10 +30,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     what is rejected come back."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     fold = remainder("doc_id", 5) != 0
-    model = toxicity.fit(docs.where(fold).select("doc_id", "text"), labels.where(fold))
     src = with_locator(docs, "__loc")
-    scored = toxicity.score(src.select("__loc", "text"), model)
-    gone = cut(scored.where("predicted = 1").select("__loc"))
+    with settings(spark, SMALL_BATCHES):
+        model = toxicity.fit(docs.where(fold).select("doc_id", "text"), labels.where(fold))
+        scored = toxicity.score(src.select("__loc", "text"), model)
+        gone = cut(scored.where("predicted = 1").select("__loc"))
     return checked_join(src, gone, "__loc", "left_anti").drop("__loc")
 
 
@@ -42,8 +48,9 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     several the one with the smallest place in the input); a group whose ids are all
     null keeps its first document."""
     src = with_locator(docs, "__loc")
-    rows = simhash.near_duplicates(src.select("doc_id", "text", "__loc"))
-    rows = cut(rows.select("doc_id", "__loc", F.col("group_id")))
+    with settings(spark, SMALL_BATCHES):
+        rows = simhash.near_duplicates(src.select("doc_id", "text", "__loc"))
+        rows = cut(rows.select("doc_id", "__loc", F.col("group_id")))
     first = rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__loc")).alias("f"))
     gone = rows.join(cut(first), "group_id").where(F.col("__loc") != F.col("f.__loc")).select("__loc")
     return checked_join(src, cut(gone), "__loc", "left_anti").drop("__loc")
