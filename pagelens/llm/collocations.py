@@ -44,6 +44,8 @@ SHARDS = 2
 FEWEST_SLOTS, MOST_SLOTS = 1 << 15, 1 << 22
 #: Bytes of text that a task counts at a time.
 SEGMENT = 4 << 20
+#: Distinct phrases that a task adds up before it hands them on.
+COMBINED = 1 << 18
 TOP = 2000
 #: A phrase goes if a longer candidate around it is seen in this share of its places, in per cent.
 COVERED = 100
@@ -183,10 +185,35 @@ def exactly(seg: Segment, lang: str, flags: np.ndarray):
             yield batch(pc.binary_join_element_wise(prefix, phrase, b""), size, c)
 
 
-def scan(shard: DataFrame, schema: str, counted, longest: int, segment: int) -> DataFrame:
-    """What `counted(segment, language)` gives for the texts of (lang, text), segment by segment."""
+def combined(batches, most: int = COMBINED):
+    """Exact counts with those of equal keys added up, over at most about `most` keys at a time."""
+    held, rows = [], 0
+
+    def added():
+        t = pa.Table.from_batches(held).group_by(["key", "words"]).aggregate([("c", "sum")])
+        return pa.table({"key": t["key"], "words": t["words"], "c": t["c_sum"]}).combine_chunks().to_batches()
+
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows > most:
+            held = added()
+            rows = sum(x.num_rows for x in held)
+            if rows > most // 2:
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from added()
+
+
+def scan(shard: DataFrame, schema: str, counted, longest: int, segment: int, gather=iter) -> DataFrame:
+    """What `counted(segment, language)` gives for the texts of (lang, text), segment by
+    segment, as `gather` hands the batches on."""
 
     def run(batches):
+        yield from gather(counts(batches))
+
+    def counts(batches):
         texts: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
 
@@ -276,7 +303,7 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     # a counter is a hash, so it is never below its phrase's count; the phrases behind those
     # that reached the threshold are counted by their texts in one more scan
     held = spark.sparkContext.broadcast(reached(reduce(DataFrame.unionByName, whole), longest, slots))
-    exact = scan(corpus, EXACT, lambda seg, lang: exactly(seg, lang, held.value), longest, segment) \
+    exact = scan(corpus, EXACT, lambda seg, lang: exactly(seg, lang, held.value), longest, segment, combined) \
         .groupBy("key", "words").agg(F.sum("c").alias("c")).where((F.col("words") == 0) | (F.col("c") >= least))
     key = F.col("key").cast("string")
     phrase = F.substring_index(key, "\n", -1)

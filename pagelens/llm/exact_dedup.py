@@ -23,6 +23,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "3s",  # stores are unloaded soon after the stream ends
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no space ahead of use
 }
 

@@ -109,3 +109,20 @@ def test_large_counts_are_exact(spark, monkeypatch):
     monkeypatch.setattr(co, "frequent", lambda *a, **k: (big, n))
     a, l, r = 3 * 10 ** 14 + 1, 10 ** 15 + 7, 3 * 10 ** 14 + 9
     assert run(None) == {("en", 1, "a b", a, l, r, 10 ** 16 + 1, 1000 * a * (10 ** 16 + 1) // (l * r))}
+
+
+def test_counts_are_added_up_in_bounded_batches():
+    import pyarrow as pa
+    rnd = random.Random(6)
+    rows = [(f"k{rnd.randint(0, 300)}".encode(), 1, rnd.randint(1, 5)) for _ in range(3000)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("key", "words", "c"), r)) for r in rows[i:i + 100]]) for i in range(0, 3000, 100)]
+    want = Counter()
+    for k, _, c in rows:
+        want[k] += c
+    for most in (50, 400, 10_000):
+        got = Counter()
+        out = list(co.combined(iter(batches), most))
+        for b in out:
+            got.update(Counter({r["key"]: r["c"] for r in b.to_pylist()}))
+        assert got == want and sum(b.num_rows for b in out) < 3000
+    assert list(co.combined(iter([]))) == []
