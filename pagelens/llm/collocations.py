@@ -177,9 +177,13 @@ def exactly(seg: Segment, lang: str, flags: np.ndarray):
                                           names=["key", "words", "c"])
 
     yield batch(pa.array([prefix.as_py()], pa.binary()), 0, np.array([np.count_nonzero(seg.starts)]))
+    shorter = None
     for size, h, _, here in seg.phrases(len(flags)):
-        i = np.flatnonzero(here)
-        i = i[flags[size - 1][slot_of(mixed(h[i]), flags.shape[1])]]
+        flagged = flags[size - 1][slot_of(mixed(h), flags.shape[1])]
+        if size > 1:  # both subphrases of a frequent phrase are frequent
+            flagged &= shorter[:-1] & shorter[1:]
+        shorter = flagged
+        i = np.flatnonzero(here & flagged)
         if len(i):
             phrase, c = seg.texts(i, size)
             yield batch(pc.binary_join_element_wise(prefix, phrase, b""), size, c)
