@@ -52,8 +52,10 @@ def elements(prepared: DataFrame, tags: list[str] | None = None, containing: lis
     rows = (f"filter(transform(raw, (_t, _i) -> named_struct('open_pos', CAST(_i AS BIGINT), "
             f"'close_pos', CAST(get(ends, _i) AS BIGINT), 'tag', {H.tag_sql('_t')}, 'tok', _t)), _e -> {keep})")
     # the array is a column of its own, so that explode and slice are one generated loop
-    # and no row carries the page's texts
-    x = p.withColumn("els", F.expr(rows)).select("page_id", *(["txt"] if text_of else []), F.explode("els").alias("_x"))
+    # and no row carries the page's texts; outer, lest a filter on its size be inferred,
+    # which would cut the page a second time, below the page exchange
+    x = p.withColumn("els", F.expr(rows)).select("page_id", *(["txt"] if text_of else []), F.explode_outer("els").alias("_x"))
+    x = x.where("_x IS NOT NULL")
     return x.select("page_id", "_x.*", text.alias("text"))
 
 
