@@ -34,25 +34,29 @@ def top_terms(counts: DataFrame, k: int = 3) -> DataFrame:
             .where(F.col("rk") <= k))
 
 
-def by_article(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition article rows by their key once, before any per-line
-    work: the line/term explosion then runs in parallel whatever the input
-    file layout, and the (article, term) count and the rank window reuse
-    this partitioning (one exchange instead of two)."""
-    return df.repartition(
-        partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+def dealt(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows evenly before any per-line work, whatever the input's file layout. An
+    article has no part in it, so one that holds most of the rows is spread like any
+    other: each task counts the terms of its own lines (the map side of A1), the counts
+    meet by (article, term), and the rank window gets at most k terms an article from
+    each of these tasks. ``partitions=0`` leaves the rows where the scan put them, so
+    that no text is shuffled: right for a table of many splits."""
+    if partitions == 0:
+        return df
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
-               sep: str = "\n") -> DataFrame:
+               sep: str = "\n", partitions: int | None = None) -> DataFrame:
     """(page_id, line_id, text): one line per text line of each document,
     numbered from 0; the article is the document."""
-    d = by_article(docs.select(F.col(key).alias("page_id"), F.col(text).alias("_t")), "page_id")
+    d = dealt(docs.select(F.col(key).alias("page_id"), F.col(text).alias("_t")), partitions)
     return d.select("page_id", F.posexplode(F.split("_t", sep)).alias("line_id", "text"))
 
 
-def row_lines(rows: DataFrame, key: str, line: str, text: str = "text") -> DataFrame:
+def row_lines(rows: DataFrame, key: str, line: str, text: str = "text",
+              partitions: int | None = None) -> DataFrame:
     """(page_id, line_id, text) when each row already is a line (a
     conversation turn): article = ``key``, line = ``line``."""
-    return by_article(rows.select(F.col(key).alias("page_id"), F.col(line).alias("line_id"),
-                                  F.col(text).alias("text")), "page_id")
+    return dealt(rows.select(F.col(key).alias("page_id"), F.col(line).alias("line_id"),
+                             F.col(text).alias("text")), partitions)
