@@ -393,6 +393,16 @@ UNION ALL SELECT page_id, 2, NULL, '' FROM dec"""),
 SELECT url, page_id AS visit, row_number() OVER (PARTITION BY page_id ORDER BY open_pos) AS ord, src AS link
 FROM (SELECT dec.url, el.page_id, open_pos, {attr('src')} AS src FROM el JOIN dec USING (page_id) WHERE tag = 'img')
 WHERE starts_with(src, 'https')""",
+    "a4_revisited_images": _with(dec(https_link), parse_ctes("dec")) + f"""
+SELECT url, CASE WHEN page_id % 3 = 1 THEN page_id - 1000000000 ELSE page_id END AS visit,
+  row_number() OVER (PARTITION BY page_id ORDER BY open_pos) AS ord,
+  CASE WHEN page_id % 3 = 0 THEN replace(src, 'https://s.example/i', 'https://s.example/again') ELSE src END AS link
+FROM (SELECT dec.url, el.page_id, open_pos, {attr('src')} AS src FROM el JOIN dec USING (page_id) WHERE tag = 'img')
+WHERE starts_with(src, 'https')""",
+    "s2_html_files": "SELECT page_id, true AS keyed, length(html) AS chars, sha256(html) AS sha256 FROM pages",
+    "s4_url_list": _with(dec(), parse_ctes("dec"), ALL_LINKS) + f"""
+SELECT row_number() OVER (ORDER BY page_id, ord) - 1 AS ord, href AS url FROM al
+WHERE contains(href, '{LINK_TOPICS[0]}') OR contains(href, '{LINK_TOPICS[1]}')""",
     "p3_label_by_url": sport_sql(
         "SELECT label, page_ord, alt, src, row_number() OVER (PARTITION BY page_ord ORDER BY pos) AS ord FROM pi"),
     "s9_label_sections": sport_sql("""

@@ -30,12 +30,14 @@ from pagelens.operators.elements import (elements, inside, structural_join,
 from pagelens.operators.links import filter_topic_any, first_n, nth_item, tag_topic_first, tag_topic_join
 from pagelens.operators.tokens import html_tokens, prepare_pages
 from pagelens.plans import jobs
-from pagelens.plans.crawl import archive_crawls, bfs_crawl, link_table, two_level_crawl
+from pagelens.plans.crawl import archive_crawls, bfs_crawl, dense_order, link_table, two_level_crawl
 from pagelens.plans.label import (V1, V2, V3, article_images, article_lines,
                                   label_by_topic, page_term_counts, render_v1, render_v3)
 from pagelens.sources import lists as L
 from pagelens.sources import report as R
-from pagelens.sources.pages import read_pages
+from pagelens.session import scratch_path
+from pagelens.sources.pages import read_html_files, read_pages
+from pagelens.streaming import image_stream as I
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -446,6 +448,25 @@ def q_s3_url_cells(spark, sf):
                                                          F.col("ord._c").cast("bigint").alias("cell"), "url")
 
 
+def q_s2_html_files(spark, sf):
+    """Every page written as an HTML file of its own and read back as a page."""
+    path = scratch_path(spark, "html")
+    _pages(spark, sf).repartition("page_id").select("page_id", "html").write.partitionBy("page_id").text(path)
+    files = read_html_files(spark, path)
+    text = F.expr("substring(html, 1, length(html) - 1)")  # the sink ends a file with a line end
+    return files.select(F.regexp_extract("url", "/page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+                        (F.col("page_id") == F.xxhash64("url")).alias("keyed"),
+                        F.length(text).cast("bigint").alias("chars"), F.sha2(text, 256).alias("sha256"))
+
+
+def q_s4_url_list(spark, sf):
+    """The topic links of all pages written as a URL list (P4's sink) and read back in order."""
+    links = filter_topic_any(link_table(spliced(spark, sf)), LINK_TOPICS[:2])
+    path = scratch_path(spark, "urls")
+    L.write_url_list(links.select(F.col("href").alias("url"), F.struct("page_id", "pos").alias("ord")), path)
+    return dense_order(L.read_url_list(spark, path), [F.col("ord")])[0].select("ord", "url")
+
+
 def q_s6_bulk_source(spark, sf):
     """The payload of each article read back, its first document sent a second time."""
     pay = L.bulk_payload(article_lines(_pages(spark, sf), _article_opts()))
@@ -471,5 +492,16 @@ def q_s8_page_sections(spark, sf):
                       F.col("row_ord.pos").alias("row_ord"), "line")
 
 
+def q_a4_revisited_images(spark, sf):
+    """Every page visited once; of three, one is visited again later and has other
+    images then, one was visited before. The keyed state of the stream, over a table."""
+    first = spliced(spark, sf, https_link).withColumn("visit", F.col("page_id").cast("bigint"))
+    later = first.where("page_id % 3 = 0").withColumn("visit", F.col("visit") + 1_000_000_000) \
+        .withColumn("html", F.replace("html", F.lit("https://s.example/i"), F.lit("https://s.example/again")))
+    before = first.where("page_id % 3 = 1").withColumn("visit", F.col("visit") - 1_000_000_000)
+    rows = I.image_rows(I.latest_images(I.image_lists(first.unionByName(later).unionByName(before))))
+    return _rank(rows.withColumnRenamed("ord", "visit"), "pos", ("url",)).select("url", "visit", "ord", "link")
+
+
 # every q_<name> above, under its name
 QUERIES: dict[str, Query] = {n[2:]: f for n, f in list(globals().items()) if n.startswith("q_")}

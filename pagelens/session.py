@@ -7,6 +7,7 @@ run locally; on a cluster the session comes from the caller.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="pagelens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
