@@ -23,16 +23,51 @@ from pagelens.functions import urls as U
 from pagelens.operators.elements import elements, inside, with_region
 from pagelens.operators.links import first_n
 from pagelens.operators.tokens import html_tokens, prepare_pages
-from pagelens.session import checkpoint_dir
+from pagelens.session import checkpoint_dir, placed, release
 
 #: Link positions that a page's place in the queue is made of, at most.
 KEY_STEPS = 8
-#: Pieces that the set of queued urls of a crawl lies in, at most.
-SEEN_PIECES = 8
 
 LinkRewrite = Callable[[Column], Column]
 
 
+class QueuedUrls:
+    """What a crawl queued so far, in pieces hash-partitioned by url, in which a level's
+    frontier is looked up where they lie: a level shuffles its own rows only.
+
+    Pieces are kept like the runs of a merge sort: a piece that has not at least twice
+    the rows of the next one is merged with it. So there are at most about log2 of the
+    urls of them, a url is dealt anew about as often however many levels the crawl has,
+    and the files of merged pieces are removed.
+    """
+
+    def __init__(self, partitions: int):
+        self.partitions = partitions
+        self.pieces: list[tuple[DataFrame, int, bool]] = []  # (urls, rows, made by a merge)
+
+    def add(self, urls: DataFrame, rows: int) -> None:
+        """``urls`` is a checkpoint placed by url; its files belong to the caller."""
+        self.pieces.append((urls, rows, False))
+        while len(self.pieces) > 1 and self.pieces[-2][1] < 2 * self.pieces[-1][1]:
+            two = [self.pieces.pop(), self.pieces.pop()]
+            both = placed(two[1][0].unionByName(two[0][0]), self.partitions, "url")
+            for piece, _, merged in two:
+                if merged:
+                    release(piece)
+            self.pieces.append((both, two[0][1] + two[1][1], True))
+
+    def unseen(self, urls: DataFrame) -> DataFrame:
+        for piece, _, _ in self.pieces:
+            urls = urls.join(piece, "url", "left_anti")
+        return urls
+
+    def close(self) -> None:
+        for piece, _, merged in self.pieces:
+            if merged:
+                release(piece)
+        self.pieces = []
+
+
 def link_table(pages: DataFrame, region: tuple[str, str] | None = None,
                keep: Callable[[Column], Column] | None = None,
                rewrite: LinkRewrite | None = None) -> DataFrame:
@@ -59,17 +94,19 @@ def link_table(pages: DataFrame, region: tuple[str, str] | None = None,
 
 
 def dense_order(df: DataFrame, key: list[Column], offset: int = 0,
-                name: str = "ord") -> tuple[DataFrame, int]:
+                name: str = "ord", spent: list[DataFrame] | None = None) -> tuple[DataFrame, int]:
     """Number rows 0.. in ``key`` order (plus ``offset``) without a
     single-partition window: a global sort, per-partition counts (one small
     row per partition to the driver), then offsets added in place. Returns
-    the numbered rows and their count."""
+    the numbered rows and their count; the checkpoint they lie in is added to ``spent``."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     s = (df.orderBy(*key)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id())
          .checkpoint())
+    if spent is not None:
+        spent.append(s)
     counts = sorted((r["_pid"], r["n"]) for r in
                     s.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     starts, acc = [], offset
@@ -115,21 +152,23 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
     # once, hash-partitioned by url so each level's lookup shuffles only the
     # frontier
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stored = stored_urls(pages).repartition(parts, "url").checkpoint()
+    stored = placed(stored_urls(pages), parts, "url")
     frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(dict.fromkeys(seeds))],
                                      "url string, key array<bigint>")
-    # what was queued so far, in pieces hash-partitioned by url: a level meets each
-    # piece where it lies, and only every SEEN_PIECES levels are they dealt anew
-    seen = [frontier.select("url").repartition(parts, "url").checkpoint()]
-    # the link table is read once per level: materialise it once
-    lk = links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
-                      F.col("url").alias("_out")).checkpoint()
+    start = placed(frontier.select("url"), parts, "url")
+    spent = [stored, start]  # checkpoints that are read until the visited pages are numbered
+    seen = QueuedUrls(parts)
+    seen.add(start, len(set(seeds)))
+    # the link table is read once per level: materialise it once, placed by its page
+    lk = placed(links.select(F.col("page_id").alias("_src"), F.col("pos").alias("_lpos"),
+                             F.col("url").alias("_out")), parts, "_src")
+    spent.append(lk)
     levels: list[DataFrame] = []
     n_visited, level, steps = 0, 0, 1
     while True:
         fetched = frontier.join(stored, "url")
         if steps == KEY_STEPS:
-            fetched, k = dense_order(fetched, [F.col("key")])
+            fetched, k = dense_order(fetched, [F.col("key")], spent=spent)
             fetched, steps = fetched.withColumn("key", F.array("ord")).drop("ord"), 1
         else:
             k = fetched.count()
@@ -137,7 +176,7 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
             break
         if include_seed or level > 0:
             if budget is not None and n_visited + k > budget:
-                fetched, _ = dense_order(fetched, [F.col("key")])
+                fetched, _ = dense_order(fetched, [F.col("key")], spent=spent)
                 k = budget - n_visited
                 fetched = fetched.where(F.col("ord") < k).drop("ord")
             levels.append(fetched.select("url", "page_id", F.lit(level).cast("bigint").alias("level"), "key"))
@@ -150,19 +189,23 @@ def bfs_crawl(pages: DataFrame, seeds: list[str], links: DataFrame,
         out = fetched.join(lk, fetched["page_id"] == lk["_src"]).select(
             F.col("_out").alias("url"), F.concat("key", F.array(F.col("_lpos").cast("bigint"))).alias("key"))
         if dedupe == "none":
-            frontier = out.checkpoint()
+            frontier = placed(out)
+            spent.append(frontier)
             continue
-        frontier = out.groupBy("url").agg(F.min("key").alias("key"))
-        for piece in seen:
-            frontier = frontier.join(piece, "url", "left_anti")
-        # an empty frontier ends the next level
-        frontier = frontier.checkpoint()
-        seen.append(frontier.select("url"))
-        if len(seen) > SEEN_PIECES:
-            seen = [reduce(DataFrame.unionByName, seen).repartition(parts, "url").checkpoint()]
-    if not levels:
+        frontier = placed(seen.unseen(out.groupBy("url").agg(F.min("key").alias("key"))))
+        spent.append(frontier)
+        rows = frontier.count()
+        if rows == 0:
+            break
+        seen.add(frontier.select("url"), rows)
+    out = None
+    if levels:
+        out, _ = dense_order(reduce(DataFrame.unionByName, levels), [F.col("level"), F.col("key")])
+    seen.close()
+    for df in spent:
+        release(df)
+    if out is None:
         return spark.createDataFrame([], "url string, page_id long, level long, ord long")
-    out, _ = dense_order(reduce(DataFrame.unionByName, levels), [F.col("level"), F.col("key")])
     return out.select("url", "page_id", "level", "ord")
 
 

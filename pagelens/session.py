@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "pagelens", master: str | None = None,
@@ -58,3 +58,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def release(df: DataFrame) -> None:
+    """Remove the files of a checkpointed DataFrame that no later plan reads. Only the
+    folder that ``checkpoint`` made for it goes."""
+    rdd = df._jdf.queryExecution().analyzed().rdd()
+    file = rdd.getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def placed(df: DataFrame, partitions: int | None = None, *by: str) -> DataFrame:
+    """Checkpoint that keeps its hash partitioning (by ``by``, else as the plan leaves
+    it), so that later joins on these columns do not shuffle it. An adaptive plan does
+    not tell its partitioning, so this one is made without."""
+    checkpoint_dir(df.sparkSession)
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return (df.repartition(partitions, *by) if by else df.select("*")).checkpoint()
+    finally:
+        conf.set(name, before)

@@ -1,8 +1,12 @@
+import os
+import random
+
 from pyspark.sql import functions as F
 
 from pagelens.functions import urls as U
 from pagelens.plans import jobs
-from pagelens.plans.crawl import bfs_crawl, link_table, two_level_crawl
+from pagelens.plans.crawl import QueuedUrls, bfs_crawl, link_table, two_level_crawl
+from pagelens.session import placed
 from pagelens.registry import https_link, page_link, splice_sql
 
 
@@ -35,6 +39,56 @@ def test_bfs_order_on_a_long_chain(spark):
     assert [(r.url, r.level, r.ord) for r in v] == [(f"/{i}", i, i) for i in range(12)]
 
 
+def _checkpoints(spark):
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return {f for f in os.listdir(root) if f.startswith("rdd-")}
+
+
+def test_a_deep_crawl_leaves_no_files_behind(spark):
+    pages = spark.createDataFrame([(i, f"/{i}", f'<a href="/{i + 1}">n</a><a href="/{i // 2}">b</a>') for i in range(20)],
+                                  "page_id long, url string, html string")
+    before = _checkpoints(spark)
+    v = bfs_crawl(pages, ["/0"], link_table(pages))
+    assert len(_checkpoints(spark) - before) == 1  # the numbered result
+    assert [r.url for r in v.orderBy("ord").collect()] == [f"/{i}" for i in range(20)]
+    before = _checkpoints(spark)
+    v = bfs_crawl(pages, ["/0"], link_table(pages), budget=30, dedupe="none")
+    assert len(_checkpoints(spark) - before) == 1 and v.count() == 30
+    assert bfs_crawl(pages, ["/none"], link_table(pages)).count() == 0
+
+
+def test_queued_urls_lie_in_few_pieces(spark):
+    rnd, seen, all_, left = random.Random(3), QueuedUrls(4), set(), 0
+    for size in (1, 1, 1, 50, 3, 9, 2, 2, 400, 1, 1):
+        urls = [f"/{rnd.random()}" for _ in range(size)]
+        all_ |= set(urls)
+        seen.add(spark.createDataFrame([(u,) for u in urls], "url string").repartition(4, "url").checkpoint(), size)
+        sizes = [n for _, n, _ in seen.pieces]
+        assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:])) and sum(sizes) == len(all_)
+    tried = spark.createDataFrame([(u,) for u in [*all_, "/new"]], "url string")
+    assert [r.url for r in seen.unseen(tried).collect()] == ["/new"]
+    before = _checkpoints(spark)
+    seen.close()
+    assert before - _checkpoints(spark) and not seen.pieces
+
+
+def test_a_lookup_shuffles_the_frontier_only(spark):
+    seen = QueuedUrls(8)
+    for n in (900, 800):
+        seen.add(spark.range(n).select(F.col("id").cast("string").alias("url")).checkpoint(), n)
+    assert len(seen.pieces) == 1
+    seen.add(placed(spark.range(3).select((F.col("id") + 1000).cast("string").alias("url")), 8, "url"), 3)
+    assert len(seen.pieces) == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        level = spark.range(2000).select(F.col("id").cast("string").alias("url"), F.array("id").alias("key"))
+        found = seen.unseen(level.groupBy("url").agg(F.min("key").alias("key")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and found.count() == 1097
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_two_level_crawl_and_label(spark):
     d = _dec(spark)
     arts = two_level_crawl(d, "/p/0", ["/p/3", "/p/5"], region=("id", "frameInner"))
