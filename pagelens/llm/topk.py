@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 1024
 #: A query stops once at most this many vectors can still be among its k best.
 POSSIBLE = 64
+#: Copies of a query that one array stands for.
+RUN = 4096
 
 
 def integers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -52,10 +55,15 @@ def matrix(col: pa.ChunkedArray, dims: int) -> np.ndarray:
 
 
 class ImpactIndex:
-    """Postings of a block of vectors, cut in segments by quantised impact."""
+    """Postings of a block of different rows (id, vector), cut in segments by quantised
+    impact. ``sizes`` are the lengths before the filling with zeros, ``copies`` how often
+    the table holds each row."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, levels: int = LEVELS):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, levels: int = LEVELS, sizes: np.ndarray | None = None,
+                 copies: np.ndarray | None = None):
         self.ids, self.x = ids, x
+        self.sizes = np.full(len(x), x.shape[1]) if sizes is None else sizes
+        self.copies = np.ones(len(x), dtype=np.int64) if copies is None else copies
         size = np.abs(x).astype(np.float64)
         level = np.floor(size * levels / (size.max() + 1)) if x.size else size
         self.segments, self.rest = [], []
@@ -67,11 +75,20 @@ class ImpactIndex:
                 left = np.where(part, 0, left)
                 self.rest.append(np.sqrt(left.sum(axis=1)))
 
-    def search(self, qids: np.ndarray, q: np.ndarray, k: int = K):
-        """(query numbers, vector numbers, scores) of the k best other rows per query."""
+    def same(self, qids: np.ndarray, q: np.ndarray, qsizes: np.ndarray | None = None):
+        """(query numbers, vector numbers) of equal rows: a query's own and its copies."""
+        i, j = np.nonzero(qids[:, None] == self.ids[None, :])
+        equal = (q[i] == self.x[j]).all(axis=1) & ((q.shape[1] if qsizes is None else qsizes[i]) == self.sizes[j])
+        return i[equal], j[equal]
+
+    def search(self, qids: np.ndarray, q: np.ndarray, k: int = K, qsizes: np.ndarray | None = None):
+        """(query numbers, vector numbers, scores) of the k best other rows per query; a
+        query's equal row is among them where the table holds it more than once."""
         qf = q.astype(np.float64)
         norm = np.linalg.norm(qf, axis=1)
-        own = qids[:, None] == self.ids[None, :]
+        own = np.zeros((len(q), len(self.ids)), dtype=bool)
+        i, j = self.same(qids, q, qsizes)
+        own[i, j] = self.copies[j] < 2
         open_ = np.arange(len(q))
         done: list[tuple] = []
         acc = np.zeros((len(q), len(self.ids)))
@@ -114,43 +131,58 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = K, block_vectors: int
           block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """The k best vectors of each query: query_id, rank (from 1), vec_id, score.
 
-    Both sides are tables (id, v) as `integers` makes them. Vectors and queries are
-    dealt into blocks by a hash of the id, and every pair of blocks is one group:
-    each row is sent once per block of the other side, and a group is bounded by
-    the two block sizes. A vector with the query's id is its own and no candidate;
-    of queries with one id the largest vector is taken. Shorter vectors count as
-    filled with zeros. Ties go to the smaller id. Empty tables give an empty table.
+    Both sides are tables (id, v) as `integers` makes them, with or without columns of
+    other names, which are left out. Candidates of a query are all rows but one that
+    equals it, its own: other rows with its id stay, and so do its copies. Equal rows are
+    counted first, searched once and come back as often as they are there, queries as
+    well. Vectors and queries are dealt into blocks by a hash of id and vector, so rows
+    of one id spread, and every pair of blocks is one group: each row is sent once per
+    block of the other side, and a group is bounded by the two block sizes. Shorter
+    vectors count as filled with zeros. Ties go to the smaller id. Empty tables give an
+    empty table.
     """
-    queries = cut(queries.groupBy("id").agg(F.max("v").alias("v")))
+    counted = lambda t: cut(t.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")))
+    queries, vectors = counted(queries), counted(vectors)
+    queries = queries.withColumn("row", F.monotonically_increasing_id())  # over fixed files: the same in every scan
     nq = max(1, -(-queries.count() // block_queries))
     nv = max(1, -(-vectors.count() // block_vectors))
-    cell = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    left = vectors.select("id", "v", cell(nv).alias("vb"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"))
-    right = queries.select("id", "v", cell(nq).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(nv - 1))).alias("vb"))
+    cell = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
+    left = vectors.select("id", "v", "n", cell(nv).alias("vb"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"))
+    right = queries.select("id", "v", "n", "row", cell(nq).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(nv - 1))).alias("vb"))
 
     def search(x: pa.Table, q: pa.Table) -> pa.Table:
-        kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        names = ["row", "queries", "query_id", "vec_id", "score", "copies"]
+        kind = pa.schema([(c, pa.int64()) for c in names])
         if not x.num_rows or not q.num_rows:
             return kind.empty_table()
-        dims = max(len(v) for t in (x, q) for v in t.column("v"))
+        sizes, qsizes = (pc.list_value_length(t.column("v")).to_numpy() for t in (x, q))
+        dims = max(sizes.max(), qsizes.max())
         ids, qids = x.column("id").to_numpy(), q.column("id").to_numpy()
-        i, j, s = ImpactIndex(ids, matrix(x.column("v"), dims)).search(qids, matrix(q.column("v"), dims), k)
-        return pa.table([pa.array(qids[i]), pa.array(ids[j]), pa.array(s.astype(np.int64))], schema=kind)
+        copies, qx = x.column("n").to_numpy(), matrix(q.column("v"), dims)
+        index = ImpactIndex(ids, matrix(x.column("v"), dims), sizes=sizes, copies=copies)
+        i, j, s = index.search(qids, qx, k, qsizes)
+        own = np.isin(i * len(ids) + j, (lambda a, b: a * len(ids) + b)(*index.same(qids, qx, qsizes)))
+        cols = [q.column("row").to_numpy()[i], q.column("n").to_numpy()[i], qids[i], ids[j], s, copies[j] - own]
+        return pa.table([pa.array(c.astype(np.int64)) for c in cols], schema=kind)
 
     found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")) \
-        .applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+        .applyInArrow(search, "row long, queries long, query_id long, vec_id long, score long, copies long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
+    best = found.select("*", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))).alias("copy")) \
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # as often as the query is there, in runs that bound the arrays
+    runs = best.select("*", F.explode(F.expr(f"sequence(0L, queries - 1, {RUN}L)")).alias("run"))
+    return runs.select("query_id", "rank", "vec_id", "score",
+                       F.explode(F.expr(f"sequence(1L, least({RUN}L, queries - run))")).alias("again")).drop("again")
 
 
 ORACLE = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-p AS (SELECT q.vec_id AS query_id, v.vec_id,
+p AS (SELECT q.r, q.vec_id AS query_id, v.vec_id,
     CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * v.e[i])) AS BIGINT) AS score
-  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.r <> v.r),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5
 """
