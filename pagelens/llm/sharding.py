@@ -13,9 +13,8 @@ SEED = 23
 SHARDS = 8
 #: UTF-8 bytes of text that a bucket holds on average; one task holds one bucket.
 BUCKET_BYTES = 32 << 20
-#: The counting pass returns one row per cell, at most this many; a bucket is a
-#: run of cells.
-CELLS = 1 << 16
+#: What a record counts for besides its text, so that rows without text fill buckets too.
+ROW_BYTES = 64
 
 
 def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
@@ -32,11 +31,12 @@ def shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str
             text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows in a seeded random order, with `shard` and `slot` added.
 
-    Pass one scatters whole records into buckets of about `bucket_bytes` by a
-    seeded hash of the id and a hash of the text; the counts of the buckets give
-    each one its place in the global order. Pass two holds one bucket per task,
-    orders it by id and record and shuffles it with Fisher-Yates. The global
-    order is cut in equal runs, so shard sizes are at most one row apart and slots
+    The number of buckets follows from the size of the table, without a limit, so
+    that a bucket holds about `bucket_bytes` at any size. Pass one scatters whole
+    records into them by a seeded hash of the id and a hash of the text; the counts
+    of the buckets give each one its place in the global order. Pass two holds one
+    bucket per task, orders it by id and record and shuffles it with Fisher-Yates.
+    The global order is cut in equal runs, so shard sizes are at most one row apart and slots
     have no gaps. Reruns agree. Equal rows (all columns) fall into one bucket;
     copies with different ids do not. Null ids and texts are hashed like any
     other value; an empty table gives an empty table; input columns named `shard`
@@ -44,16 +44,16 @@ def shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str
     """
     docs = docs.drop("shard", "slot")
     h = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.crc32(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
-    cell = F.pmod(h, F.lit(CELLS)).cast("int")
-    counted = docs.select(cell.alias("c"), F.octet_length(F.col(f"`{text_col}`")).alias("b")).groupBy("c") \
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).toPandas()
-    size = int(counted["b"].fillna(0).sum())
-    total = int(counted["n"].sum())
-    buckets = min(CELLS, max(1, -(-size // bucket_bytes)))
+    held = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)) + ROW_BYTES
+    size = docs.agg(F.sum(held.cast("long")).alias("b")).first()["b"] or 0
+    buckets = max(1, -(-size // bucket_bytes))
+    bucket = F.pmod(h, F.lit(buckets)).cast("int")
+    # one number per bucket, so 8 bytes here for every `bucket_bytes` of text
+    counted = docs.groupBy(bucket.alias("c")).agg(F.count(F.lit(1)).alias("n")).toPandas()
     rows = np.zeros(buckets, dtype=np.int64)
-    np.add.at(rows, counted["c"].to_numpy(dtype=np.int64) * buckets // CELLS, counted["n"].to_numpy(dtype=np.int64))
+    rows[counted["c"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
+    total = int(rows.sum())
     first = np.concatenate(([0], np.cumsum(rows)))
-    bucket = F.floor(cell.cast("long") * buckets / CELLS).cast("int")
     dealt = docs.withColumn("__bucket", bucket).repartitionById(buckets, F.col("__bucket"))
     schema = docs.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long")).schema
     names = schema.names

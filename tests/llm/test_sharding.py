@@ -1,8 +1,10 @@
 import glob
+import struct
 import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
+import xxhash
 from pyspark.sql import functions as F
 
 from pagelens.llm import sharding
@@ -43,6 +45,50 @@ def test_order_is_independent_of_the_input_order_and_repeats(spark):
     assert key(a) != key(other)
 
 
+def brute(rows, bucket_bytes, seed=23, shards=8):
+    """(id, text) rows -> their (shard, slot): buckets by the chained hash of seed, id and
+    checksum, each sorted and then shuffled by swaps from the end, laid one behind the other."""
+    def bucket(i, t):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        for v in (i, zlib.crc32((t or "").encode())):
+            h = h if v is None else xxhash.xxh64_intdigest(struct.pack("<q", v), h)
+        return (h - 2 ** 64 if h >= 2 ** 63 else h) % count
+    count = max(1, -(-sum(len((t or "").encode()) + 64 for _, t in rows) // bucket_bytes))
+    held: dict = {b: [] for b in range(count)}
+    for r in rows:
+        held[bucket(*r)].append(r)
+    order = []
+    for b in range(count):
+        part = sorted(held[b], key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, (r[1] or "").encode()))
+        rng = np.random.Generator(np.random.PCG64([seed, b]))
+        picks = rng.integers(0, np.arange(len(part), 0, -1)) if part else []
+        for n, j in enumerate(picks):
+            i = len(part) - 1 - n
+            if i > 0:
+                part[i], part[j] = part[j], part[i]
+        order += part
+    cuts = [-(-s * len(order) // shards) for s in range(shards + 1)]
+    return sorted(((s, at - cuts[s], *order[at]) for s in range(shards) for at in range(cuts[s], cuts[s + 1])), key=repr)
+
+
+def test_order_equals_brute_force(spark):
+    """Places of all rows, in one bucket and in many, with null ids, null texts and copies."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(None, "x"), (None, None), (3, None), (7, "é"), (7, "é"), (7, "")], docs.schema)
+    rows = docs.unionByName(more)
+    plain = [(r["doc_id"], r["text"]) for r in rows.collect()]
+    for size in (1 << 30, 30_000, 2_000):
+        assert key(sharding.shuffle(rows, bucket_bytes=size).collect()) == brute(plain, size)
+
+
+def test_rows_without_text_fill_buckets_too(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    out = sharding.shuffle(docs, bucket_bytes=64 * 500)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 700
+    law(out.collect())
+
+
 def test_order_looks_random(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"))
     rows = sharding.shuffle(docs, bucket_bytes=9 * 700).orderBy("shard", "slot").collect()
