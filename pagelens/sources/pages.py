@@ -16,8 +16,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_html_files(spark: SparkSession, path: str) -> DataFrame:
     """local/shared HTML files as pages: one row per file, the file path
-    as URL, a stable 64-bit hash of it as ``page_id``."""
-    df = spark.read.text(path, wholetext=True)
+    as URL, a stable 64-bit hash of it as ``page_id``. Folders are listed by a few
+    tasks a core: by default each folder, which may hold a single file, takes a task."""
+    conf, name = spark.conf, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = conf.get(name)
+    conf.set(name, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        df = spark.read.text(path, wholetext=True)
+    finally:
+        conf.set(name, before)
     fp = F.col("_metadata.file_path")
     return df.select(F.xxhash64(fp).alias("page_id"), fp.alias("url"),
                      F.col("value").alias("html"))
