@@ -18,9 +18,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelens.functions import html as H
 from pagelens.functions.literals import sql_string
+from pagelens.operators.stack import pairs
 
 _UNB = Window.unboundedPreceding
 
@@ -110,20 +112,44 @@ def with_ancestor_flag(els: DataFrame, tag: str = "a", name: str = "in_a") -> Da
 
 def structural_join(points: DataFrame, intervals: DataFrame, how: str = "inner",
                     pos: str = "pos") -> DataFrame:
-    """Points strictly inside intervals of the same page (J1 with
-    how='left_anti', J2 with how='inner').
-
-    Equi key ``page_id`` plus a range residual: a sort-merge join on the page
-    (co-partitioned, no exchange), never a cartesian product.
+    """Points strictly inside intervals of the same page: J1 with how='left_anti' (or
+    'left_semi'), J2 with how='inner'.
+
+    One sweep over the page in position order, in time proportional to points, intervals
+    and pairs. Whether a point is inside anything is a running count of open intervals, a
+    window and no pairs. The pairs come from a merge of points and starts that holds the
+    intervals still open (``operators.stack.pairs``); both need the rows of a page in
+    order and shuffle only where they do not lie by page already. Intervals may also cross.
+
+    Inner rows are the point's columns, then outer_open_pos, outer_close_pos and the
+    interval's other columns as outer_*. Null pages and positions are inside nothing;
+    intervals without content and those with a null end hold nothing. Repeated points
+    and intervals count as often as they occur.
     """
-    iv = intervals.select(F.col("page_id").alias("_ip"),
-                          F.col("open_pos").alias("_io"), F.col("close_pos").alias("_ic"),
-                          *[F.col(c).alias(f"outer_{c}") for c in intervals.columns
-                            if c not in ("page_id", "open_pos", "close_pos")])
-    cond = ((points["page_id"] == iv["_ip"]) & (iv["_io"] < points[pos])
-            & (points[pos] < iv["_ic"]))
-    out = points.join(iv, cond, how)
-    if how in ("left_anti", "left_semi"):
-        return out
-    return out.withColumnRenamed("_io", "outer_open_pos").withColumnRenamed(
-        "_ic", "outer_close_pos").drop("_ip")
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"unknown kind of structural join {how!r}")
+    more = [c for c in intervals.columns if c not in ("page_id", "open_pos", "close_pos")]
+    added = ["outer_open_pos", "outer_close_pos", *(f"outer_{c}" for c in more)]
+    spans = intervals.where("page_id IS NOT NULL AND open_pos < close_pos")
+    start, end = F.col("open_pos").cast("bigint"), F.col("close_pos").cast("bigint")
+    row = F.struct(*(F.col(f"`{c}`") for c in points.columns)).alias("pt")
+    if how != "inner":
+        # at one position: ends, then points, then starts
+        marks = F.explode(F.array(F.struct(start.alias("at"), F.lit(1).alias("d")), F.struct(end.alias("at"), F.lit(-1).alias("d"))))
+        events = points.select("page_id", F.col(f"`{pos}`").cast("bigint").alias("at"), F.lit(0).alias("d"), row) \
+            .unionByName(spans.select("page_id", marks.alias("m")).select("page_id", "m.at", "m.d"), allowMissingColumns=True)
+        w = Window.partitionBy("page_id").orderBy("at", "d").rowsBetween(_UNB, 0)
+        found = events.withColumn("open", F.sum("d").over(w)).where("d = 0")
+        return found.where("open > 0" if how == "left_semi" else "open = 0").select("pt.*")
+    clash = set(added) & set(points.columns)
+    if clash:
+        raise ValueError(f"columns of the points named as those of the join: {sorted(clash)}")
+    span = F.struct(start.alias(added[0]), end.alias(added[1]), *(F.col(f"`{c}`").alias(f"outer_{c}") for c in more))
+    events = points.where(F.col("page_id").isNotNull() & F.col(f"`{pos}`").isNotNull()).select(
+        "page_id", F.col(f"`{pos}`").cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("until"), row) \
+        .unionByName(spans.select("page_id", start.alias("at"), end.alias("until"), span.alias("iv")), allowMissingColumns=True)
+    # at one position: points, then starts; the number tells the sweep where a page begins
+    w = Window.partitionBy("page_id").orderBy("at", F.col("until").asc_nulls_first())
+    events = events.select(F.row_number().over(w).alias("n"), "at", "until", "pt", "iv")
+    out = T.StructType([events.schema["pt"], events.schema["iv"]])
+    return events.mapInArrow(pairs, out).select("pt.*", "iv.*")

@@ -1,15 +1,18 @@
-"""Where elements end: one pass over a page's tags with a stack.
+"""Where elements end and what lies inside them: one pass over a page, in order.
 
 The tree builder closes everything opened after the element that an end tag
 names, so a close tag must see only the elements still open at that point.
 That is inherently sequential within a page; the pass works on one small
 array of marks per page (``functions.html.marks_sql``) in Arrow batches and
 returns positions only. Token text, attributes and all counting stay native.
+``pairs`` is the merge of points and intervals behind ``elements.structural_join``.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -53,5 +56,54 @@ def close_positions(marks: Column) -> Column:
     return run(marks)
 
 
+#: Pairs that one batch of ``pairs`` holds, about.
+PAIRS = 8192
+
+
+def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pt, iv) for every point and every interval it lies strictly inside.
+
+    Rows are (n, at, until, pt, iv): an interval (``at``, ``until``) with a null pt, a
+    point at ``at`` with a null ``until``; in order of page and position, points before
+    the intervals that start where they are, ``n`` counting from 1 in each page. Held are
+    the rows of a batch and the intervals still open, never a page.
+    """
+    open_, until, held, last = {}, [], None, None
+    for b in batches:
+        n, at, end = (b.column(c).to_pylist() for c in ("n", "at", "until"))
+        points = b.column("pt")
+        pool, base = (b.column("iv"), 0) if held is None else (pa.concat_arrays([held, b.column("iv")]), len(held))
+        left, right = [], []
+        for r, k in enumerate(n):
+            if k == 1:
+                open_.clear()
+                until.clear()
+            elif last is not None and k != last + 1:
+                raise ValueError("the rows of a page are not in order")
+            last = k
+            while until and until[0][0] <= at[r]:
+                del open_[heappop(until)[1]]
+            if end[r] is not None:
+                open_[base + r] = None
+                heappush(until, (end[r], base + r))
+            elif open_:
+                left.extend([r] * len(open_))
+                right.extend(open_)
+                while len(left) >= PAIRS:
+                    yield _pairs(points, left[:PAIRS], pool, right[:PAIRS])
+                    del left[:PAIRS], right[:PAIRS]
+        if left:
+            yield _pairs(points, left, pool, right)
+        held = pool.take(pa.array(list(open_), pa.int64()))
+        place = {j: i for i, j in enumerate(open_)}
+        open_ = dict.fromkeys(range(len(place)))
+        until = [(e, place[j]) for e, j in until]
+        heapify(until)
+
+
+def _pairs(points: pa.Array, left: list[int], pool: pa.Array, right: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([points.take(pa.array(left)), pool.take(pa.array(right))], names=["pt", "iv"])
+
+
 # The function travels by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
