@@ -35,6 +35,7 @@ from pagelens.plans.label import (V1, V2, V3, article_images, article_lines,
                                   label_by_topic, page_term_counts, render_v1, render_v3)
 from pagelens.sources import lists as L
 from pagelens.sources import report as R
+from pagelens.sources.bulk import read_bulk_pairs, write_bulk_pairs
 from pagelens.session import scratch_path
 from pagelens.sources.pages import read_html_files, read_pages
 from pagelens.streaming import image_stream as I
@@ -475,6 +476,14 @@ def q_s6_bulk_source(spark, sf):
     return docs.select(F.col("source").alias("page_id"), F.col("_id").alias("id"), "pos", "content")
 
 
+def q_s6_bulk_pairs(spark, sf):
+    """The lines of all articles written as bulk pair files and read back."""
+    path = scratch_path(spark, "bulk")
+    write_bulk_pairs(article_lines(_pages(spark, sf), _article_opts()), path)
+    docs = read_bulk_pairs(spark, path)
+    return docs.select(F.col("source").cast("bigint").alias("page_id"), F.col("_id").alias("id"), "ord", "content")
+
+
 def q_s12_match_all(spark, sf):
     lines = article_lines(_pages(spark, sf), _article_opts())
     return L.match_all(lines).select("page_id", "line_id", "text")
