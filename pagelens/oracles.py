@@ -315,7 +315,7 @@ SELECT page_id, ((line_id - 1) * 2 + 2)::BIGINT, json_object('content', text)::V
     "s6_bulk_source": PAGES_TEXT + """
 SELECT page_id, cast(line_id as varchar) AS id, ((line_id - 1) * 2 + 1)::BIGINT AS pos, text AS content FROM lines""",
     "s6_bulk_pairs": PAGES_TEXT + """
-SELECT page_id, cast(line_id as varchar) AS id, line_id::BIGINT AS ord, text AS content FROM lines""",
+SELECT page_id, cast(line_id as varchar) AS id, text AS content FROM lines""",
     "s12_match_all": PAGES_TEXT + "SELECT page_id, line_id, text FROM lines WHERE line_id <= 10",
     "s3_url_cells": """
 SELECT page_id, v.cell::BIGINT AS cell, v.url FROM pages, (VALUES (0, url), (2, replace(url, '/', '"') || ',q')) v(cell, url)

@@ -29,11 +29,12 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from pagelens.functions import text as X
+from pagelens.session import checkpoint_dir
 
 SCHEMA = "file STRING, pos BIGINT, action STRING, document STRING"
 ARROW = pa.schema([("file", pa.string()), ("pos", pa.int64()), ("action", pa.string()), ("document", pa.string())])
@@ -41,6 +42,8 @@ ACTION = re.compile(rb'\s*\{\s*"index"\s*:')
 #: Bytes that one range of a file holds, and that a batch of lines holds, about.
 SPLIT_BYTES = 128 << 20
 BATCH_BYTES = 4 << 20
+#: Repeated ids are broadcast up to this many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 #: The list of valid files, and the ending of a payload file.
 LIST, ENDING = "_committed", ".ndjson"
 
@@ -204,30 +207,43 @@ class BulkPairs(DataSource):
         return PairWriter(self.options, overwrite)
 
 
-def write_bulk_pairs(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_bulk_pairs(lines: DataFrame, path: str, mode: str = "overwrite", by_page: bool = False) -> None:
     """Lines (page_id, line_id, text) as pair files, each article's pairs together and
-    in line order; ``_index`` is the article, so a file holds many. A null text is a document
-    without content; an empty table is an empty payload."""
+    in line order; ``_index`` is the article, so a file holds many. ``by_page`` says that
+    the rows of a page lie in one partition already, as ``article_lines`` gives them. A null
+    text is a document without content; an empty table is an empty payload."""
     lines.sparkSession.dataSource.register(BulkPairs)
     index = F.struct(F.col("page_id").cast("string").alias("_index"), F.col("line_id").cast("string").alias("_id"))
-    (lines.repartition("page_id").sortWithinPartitions("page_id", "line_id")
+    lines = lines if by_page else lines.repartition("page_id")
+    (lines.sortWithinPartitions("page_id", "line_id")
      .select(F.to_json(F.struct(index.alias("index"))).alias("action"), X.json_document(F.col("text")).alias("document"))
      .write.format("bulk_pairs").mode(mode).save(path))
 
 
 def read_bulk_pairs(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Documents (source, _id, ord, content) of pair files, as the index stores them: a
+    """Documents (source, _id, at, content) of pair files, as the index stores them: a
     repeated _id of an article replaces the earlier document but keeps its place (D2).
-    ``ord`` counts an article's documents from 1 in the order of the files. Actions without
-    ``_index`` belong to the file they stand in."""
+    ``at`` is that place, struct<file, pos>, in the order of the files. Actions without
+    ``_index`` belong to the file they stand in; those without ``_id`` replace nothing.
+
+    Documents are not shuffled to find what is replaced: only keys and places are counted
+    per id, and what that leaves, the ids that repeat, meets the documents: by
+    broadcast if counted to be small, else by a shuffle join."""
     spark.dataSource.register(BulkPairs)
     rows = spark.read.format("bulk_pairs").option("splitBytes", split_bytes).load(path)
     act = F.from_json("action", "index STRUCT<_index: STRING, _id: STRING>")["index"]
     docs = rows.select(F.coalesce(act["_index"], "file").alias("source"), act["_id"].alias("_id"),
-                       F.struct("file", "pos").alias("at"), F.from_json("document", "content STRING")["content"].alias("content"))
-    docs = docs.groupBy("source", "_id").agg(F.min("at").alias("at"), F.max_by(F.struct("content"), F.col("at")).alias("last"))
-    place = F.row_number().over(Window.partitionBy("source").orderBy("at")).cast("bigint")
-    return docs.select("source", "_id", place.alias("ord"), F.col("last.content").alias("content"))
+                       F.struct("file", "pos").alias("at"), "document")
+    checkpoint_dir(spark)
+    again = (docs.where("_id IS NOT NULL").groupBy(F.col("source").alias("_s"), F.col("_id").alias("_i"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("at").alias("_first"), F.max("at").alias("_last"))
+             .where("_n > 1").checkpoint())
+    n, size = again.agg(F.count(F.lit(1)), F.sum(F.octet_length("_s") + F.octet_length("_i"))).first()
+    if n:
+        again = F.broadcast(again) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else again
+        docs = docs.join(again, (F.col("source") == F.col("_s")) & (F.col("_id") == F.col("_i")), "left") \
+            .where("_last IS NULL OR at = _last").withColumn("at", F.coalesce("_first", "at"))
+    return docs.select("source", "_id", "at", F.from_json("document", "content STRING")["content"].alias("content"))
 
 
 # The source travels by value, so executors need no copy of this package.

@@ -44,20 +44,26 @@ def test_round_trip_order_and_splits(spark, tmpdir_path):
     for split in (97, 1 << 20):
         docs = B.read_bulk_pairs(spark, path, split).collect()
         assert sorted((int(d.source), int(d._id), d.content) for d in docs if d.content is not None) == rows[:-1]
-        assert all(int(d._id) == d.ord for d in docs if d.content is not None)
+        by_place = [(int(d.source), int(d._id)) for d in sorted(docs, key=lambda d: d["at"])]
+        starts = [i for i, (p, _) in enumerate(by_place) if i == 0 or by_place[i - 1][0] != p]
+        assert len(starts) == 9  # an article's pairs lie together, in line order
+        assert all(a[0] != b[0] or a[1] < b[1] for a, b in zip(by_place, by_place[1:]))
     raw = spark.read.format("bulk_pairs").option("splitBytes", 97).load(path)
     seen = [(r.file, r.pos) for r in raw.collect()]
     assert seen == sorted(seen) and len(seen) == len(rows)  # partitions come in file order
     assert raw.rdd.getNumPartitions() > 50
 
 
-def test_repeated_ids_and_foreign_files(spark, tmpdir_path):
+def test_repeated_ids_and_foreign_files(spark, tmpdir_path, monkeypatch):
     """A payload this source did not write: no list, no _index; a repeated id replaces."""
     with open(os.path.join(tmpdir_path, "a.ndjson"), "w") as f:
         f.write('{"index":{"_id":"1"}}\r\n{"content": "a"}\r\n\n{ "index" : {"_id":"2"}}\n{"content": "b"}\n'
-                '{"index":{"_id":"1"}}\n{"content": "c"}')
-    docs = B.read_bulk_pairs(spark, tmpdir_path).orderBy("ord").collect()
-    assert [(d.source, d._id, d.ord, d.content) for d in docs] == [("a.ndjson", "1", 1, "c"), ("a.ndjson", "2", 2, "b")]
+                '{"index":{"_id":"1"}}\n{"content": "c"}\n{"index":{}}\n{"content": "d"}\n{"index":{}}\n{"content": "e"}')
+    for rows in (B.BROADCAST_ROWS, 0):  # by broadcast and by shuffle
+        monkeypatch.setattr(B, "BROADCAST_ROWS", rows)
+        docs = B.read_bulk_pairs(spark, tmpdir_path).orderBy("at").collect()
+        assert [(d.source, d._id, d.content) for d in docs] == [
+            ("a.ndjson", "1", "c"), ("a.ndjson", "2", "b"), ("a.ndjson", None, "d"), ("a.ndjson", None, "e")]
 
 
 def test_modes_and_empty(spark, tmpdir_path):
