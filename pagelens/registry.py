@@ -477,9 +477,9 @@ def q_s6_bulk_source(spark, sf):
 
 
 def q_s6_bulk_pairs(spark, sf):
-    """The lines of all articles written as bulk pair files and read back."""
+    """The lines of all articles written as compressed bulk pair files and read back."""
     path = scratch_path(spark, "bulk")
-    write_bulk_pairs(article_lines(_pages(spark, sf), _article_opts()), path, by_page=True)
+    write_bulk_pairs(article_lines(_pages(spark, sf), _article_opts()), path, by_page=True, compression="zstd")
     docs = read_bulk_pairs(spark, path)
     return docs.select(F.col("source").cast("bigint").alias("page_id"), F.col("_id").alias("id"), "content")
 

@@ -7,7 +7,8 @@ is made and read by Catalyst; the source only moves lines between files and Arro
 Reading: files are cut into byte ranges, in order of name and offset. A range owns the
 pairs whose action line begins in it. That needs no scan from the start of the file, as an
 action line is told by its ``{"index":`` and no document may begin so (an error, as are
-a document without an action and an action at the end without a document).
+a document without an action and an action at the end without a document). A compressed
+file is one range; the writer begins a new file every ``fileBytes``, so a range is bounded.
 
 Writing in two steps: each task writes files of its own under a name that no reader sees;
 the commit moves the files of the tasks that Spark counts and then replaces the list
@@ -41,11 +42,13 @@ ARROW = pa.schema([("file", pa.string()), ("pos", pa.int64()), ("action", pa.str
 ACTION = re.compile(rb'\s*\{\s*"index"\s*:')
 #: Bytes that one range of a file holds, and that a batch of lines holds, about.
 SPLIT_BYTES = 128 << 20
+#: Bytes of lines after which a task begins its next file.
+FILE_BYTES = 128 << 20
 BATCH_BYTES = 4 << 20
 #: Repeated ids are broadcast up to this many rows and bytes.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
-#: The list of valid files, and the ending of a payload file.
-LIST, ENDING = "_committed", ".ndjson"
+#: The list of valid files, and the endings of payload files by compression.
+LIST, ENDINGS = "_committed", {"none": ".ndjson", "zstd": ".ndjson.zst", "gzip": ".ndjson.gz"}
 
 
 def located(path: str) -> tuple[fs.FileSystem, str]:
@@ -59,7 +62,7 @@ def located(path: str) -> tuple[fs.FileSystem, str]:
 
 def valid_files(files: fs.FileSystem, folder: str) -> list[tuple[str, int]]:
     """(name, size) of the payload files of a folder by name: those of the list, without
-    one all with the ending."""
+    one all with an ending of payload files."""
     if files.get_file_info(folder).type == fs.FileType.NotFound:
         return []
     found = {i.base_name: i.size for i in files.get_file_info(fs.FileSelector(folder)) if i.is_file}
@@ -67,7 +70,7 @@ def valid_files(files: fs.FileSystem, folder: str) -> list[tuple[str, int]]:
         with files.open_input_file(f"{folder}/{LIST}") as f:
             names = json.loads(f.read())
         return sorted((n, found[n]) for n in names)
-    return sorted((n, s) for n, s in found.items() if n.endswith(ENDING))
+    return sorted((n, s) for n, s in found.items() if n.endswith(tuple(ENDINGS.values())))
 
 
 @dataclass
@@ -79,7 +82,7 @@ class Range(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
-    name: str | None
+    names: list[str]
 
 
 def pairs(f, start: int, end: int) -> Iterator[tuple[int, bytes, bytes]]:
@@ -118,14 +121,21 @@ class PairReader(DataSourceReader):
 
     def partitions(self):
         files, folder = located(self.path)
-        return [Range(name, at, min(at + self.split, size)) for name, size in valid_files(files, folder)
-                for at in range(0, size, self.split)] or [Range("", 0, 0)]
+        ranges = []
+        for name, size in valid_files(files, folder):
+            if name.endswith(ENDINGS["none"]):
+                ranges += [Range(name, at, min(at + self.split, size)) for at in range(0, size, self.split)]
+            else:
+                ranges.append(Range(name, 0, sys.maxsize))
+        return ranges or [Range("", 0, 0)]
 
     def read(self, part):
         if not part.name:
             return
         files, folder = located(self.path)
-        with io.BufferedReader(files.open_input_file(f"{folder}/{part.name}"), 1 << 20) as raw:
+        path = f"{folder}/{part.name}"
+        plain = part.name.endswith(ENDINGS["none"])
+        with io.BufferedReader(files.open_input_file(path) if plain else files.open_input_stream(path), 1 << 20) as raw:
             rows, held = [], 0
             for at, action, document in pairs(raw, part.start, part.end):
                 rows.append((part.name, at, action.decode(), document.decode()))
@@ -141,30 +151,43 @@ class PairWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path = options["path"]
         self.overwrite = overwrite
+        self.compression = options.get("compression", "none")
+        if self.compression not in ENDINGS:
+            raise ValueError(f"compression is one of {sorted(ENDINGS)}")
+        self.file_bytes = int(options.get("filebytes", FILE_BYTES))
         self.job = uuid.uuid4().hex
         self.waiting = f"_waiting-{self.job}"
 
     def write(self, iterator):
         task = TaskContext.get()
         files, folder = located(self.path)
-        name = f"part-{task.partitionId():06d}-{self.job}{ENDING}"
-        own = f"{folder}/{self.waiting}/{task.taskAttemptId()}-{name}"
         files.create_dir(f"{folder}/{self.waiting}", recursive=True)
-        rows = 0
+        names, out, held = [], None, 0
         try:
-            with files.open_output_stream(own) as out:
-                for b in iterator:
-                    for a, d in zip(b.column("action").to_pylist(), b.column("document").to_pylist()):
-                        if a is None or d is None or "\n" in a or "\n" in d:
-                            raise ValueError("a pair is two lines, neither null nor broken")
-                        out.write(f"{a}\n{d}\n".encode())
-                    rows += b.num_rows
+            for b in iterator:
+                for a, d in zip(b.column("action").to_pylist(), b.column("document").to_pylist()):
+                    if a is None or d is None or "\n" in a or "\n" in d:
+                        raise ValueError("a pair is two lines, neither null nor broken")
+                    if out is None:
+                        names.append(f"{task.taskAttemptId()}-part-{task.partitionId():06d}-{len(names):06d}-{self.job}"
+                                     f"{ENDINGS[self.compression]}")
+                        out, held = files.open_output_stream(f"{folder}/{self.waiting}/{names[-1]}",
+                                                             None if self.compression == "none" else self.compression), 0
+                    pair = f"{a}\n{d}\n".encode()
+                    out.write(pair)
+                    held += len(pair)
+                    if held >= self.file_bytes:
+                        out.close()
+                        out = None
+            if out is not None:
+                out.close()
         except BaseException:
-            files.delete_file(own)
+            if out is not None:
+                out.close()
+            for n in names:
+                files.delete_file(f"{folder}/{self.waiting}/{n}")
             raise
-        if not rows:
-            files.delete_file(own)
-        return Written(f"{task.taskAttemptId()}-{name}" if rows else None)
+        return Written(names)
 
     def commit(self, messages):
         files, folder = located(self.path)
@@ -172,9 +195,9 @@ class PairWriter(DataSourceArrowWriter):
         before = [n for n, _ in valid_files(files, folder)]
         new = []
         for m in messages:
-            if m is not None and m.name:
-                new.append(m.name.split("-", 1)[1])
-                files.move(f"{folder}/{self.waiting}/{m.name}", f"{folder}/{new[-1]}")
+            for n in m.names if m is not None else ():
+                new.append(n.split("-", 1)[1])
+                files.move(f"{folder}/{self.waiting}/{n}", f"{folder}/{new[-1]}")
         with files.open_output_stream(f"{folder}/{self.waiting}/{LIST}") as f:
             f.write(json.dumps(sorted(new if self.overwrite else before + new)).encode())
         files.move(f"{folder}/{self.waiting}/{LIST}", f"{folder}/{LIST}")
@@ -191,7 +214,7 @@ class PairWriter(DataSourceArrowWriter):
 
 class BulkPairs(DataSource):
     """Rows (file, pos, action, document); written are ``action`` and ``document``.
-    Options: path, splitBytes."""
+    Options: path; splitBytes to read; compression (none, zstd, gzip) and fileBytes to write."""
 
     @classmethod
     def name(cls):
@@ -207,7 +230,8 @@ class BulkPairs(DataSource):
         return PairWriter(self.options, overwrite)
 
 
-def write_bulk_pairs(lines: DataFrame, path: str, mode: str = "overwrite", by_page: bool = False) -> None:
+def write_bulk_pairs(lines: DataFrame, path: str, mode: str = "overwrite", by_page: bool = False,
+                     compression: str = "none") -> None:
     """Lines (page_id, line_id, text) as pair files, each article's pairs together and
     in line order; ``_index`` is the article, so a file holds many. ``by_page`` says that
     the rows of a page lie in one partition already, as ``article_lines`` gives them. A null
@@ -217,7 +241,7 @@ def write_bulk_pairs(lines: DataFrame, path: str, mode: str = "overwrite", by_pa
     lines = lines if by_page else lines.repartition("page_id")
     (lines.sortWithinPartitions("page_id", "line_id")
      .select(F.to_json(F.struct(index.alias("index"))).alias("action"), X.json_document(F.col("text")).alias("document"))
-     .write.format("bulk_pairs").mode(mode).save(path))
+     .write.format("bulk_pairs").option("compression", compression).mode(mode).save(path))
 
 
 def read_bulk_pairs(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:

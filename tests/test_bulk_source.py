@@ -66,6 +66,22 @@ def test_repeated_ids_and_foreign_files(spark, tmpdir_path, monkeypatch):
             ("a.ndjson", "1", "c"), ("a.ndjson", "2", "b"), ("a.ndjson", None, "d"), ("a.ndjson", None, "e")]
 
 
+@pytest.mark.parametrize("compression", ["none", "zstd", "gzip"])
+def test_files_are_bounded(spark, tmpdir_path, compression):
+    """A task begins a new file every so many bytes; a compressed file is one range."""
+    path = os.path.join(tmpdir_path, "out")
+    rows = spark.range(0, 3000, 1, 2).select(F.to_json(F.struct(F.struct(F.col("id").cast("string").alias("_id")).alias("index")))
+                                             .alias("action"), F.to_json(F.struct(F.repeat(F.lit("x"), 100).alias("content"))).alias("document"))
+    (rows.write.format("bulk_pairs").option("compression", compression).option("fileBytes", 20_000).mode("overwrite").save(path))
+    ending = B.ENDINGS[compression]
+    files = [f for f in _files(path) if f != B.LIST and not f.startswith(".")]
+    assert len(files) > 15 and all(f.endswith(ending) for f in files)
+    raw = spark.read.format("bulk_pairs").load(path)
+    assert raw.rdd.getNumPartitions() == len(files)
+    got = [json.loads(r.action)["index"]["_id"] for r in raw.collect()]
+    assert got == [str(i) for i in range(3000)]
+
+
 def test_modes_and_empty(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "out")
     one = spark.createDataFrame([(1, 1, "a")], LINES)
@@ -74,7 +90,7 @@ def test_modes_and_empty(spark, tmpdir_path):
     assert sorted(d.source for d in B.read_bulk_pairs(spark, path).collect()) == ["1", "2"]
     B.write_bulk_pairs(one.withColumn("page_id", F.lit(3)), path)
     assert [d.source for d in B.read_bulk_pairs(spark, path).collect()] == ["3"]
-    assert len([f for f in _files(path) if f.endswith(B.ENDING)]) == 1
+    assert len([f for f in _files(path) if f.endswith(B.ENDINGS["none"])]) == 1
     B.write_bulk_pairs(one.limit(0), path)
     assert B.read_bulk_pairs(spark, path).count() == 0
 
