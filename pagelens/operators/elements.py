@@ -18,11 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagelens.functions import html as H
 from pagelens.functions.literals import sql_string
-from pagelens.operators.stack import pairs
 
 _UNB = Window.unboundedPreceding
 
@@ -115,12 +113,16 @@ def structural_join(points: DataFrame, intervals: DataFrame, how: str = "inner",
     """Points strictly inside intervals of the same page: J1 with how='left_anti' (or
     'left_semi'), J2 with how='inner'.
 
-    One sweep over the page in position order, in time proportional to points, intervals
-    and pairs. Whether a point is inside anything is a running count of open intervals, a
-    window and no pairs. The pairs come from a merge of points and starts that holds the
-    intervals still open (``operators.stack.pairs``); both need the rows of a page in
-    order and shuffle only where they do not lie by page already. Intervals may also cross.
+    All windows over the page in position order, in time proportional to points,
+    intervals and pairs. How many intervals a point is inside is a running count and makes
+    no pairs. Intervals that nest have a level, the count at their start; a point inside n
+    of them is put in n rows, and what it is inside at each level is the last interval
+    that started there. Rows stay where their page lies: nothing is shuffled that lies
+    by page already, and what follows by page needs no shuffle either.
 
+    Intervals of a page must nest, as elements do, for 'inner'. That is checked on every
+    pair: the last starts at n levels that all hold the point are all that hold it. So
+    crossing ones are an error, never a wrong row; the other two take them as they are.
     Inner rows are the point's columns, then outer_open_pos, outer_close_pos and the
     interval's other columns as outer_*. Null pages and positions are inside nothing;
     intervals without content and those with a null end hold nothing. Repeated points
@@ -129,27 +131,32 @@ def structural_join(points: DataFrame, intervals: DataFrame, how: str = "inner",
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unknown kind of structural join {how!r}")
     more = [c for c in intervals.columns if c not in ("page_id", "open_pos", "close_pos")]
-    added = ["outer_open_pos", "outer_close_pos", *(f"outer_{c}" for c in more)]
-    spans = intervals.where("page_id IS NOT NULL AND open_pos < close_pos")
-    start, end = F.col("open_pos").cast("bigint"), F.col("close_pos").cast("bigint")
-    row = F.struct(*(F.col(f"`{c}`") for c in points.columns)).alias("pt")
-    if how != "inner":
-        # at one position: ends, then points, then starts
-        marks = F.explode(F.array(F.struct(start.alias("at"), F.lit(1).alias("d")), F.struct(end.alias("at"), F.lit(-1).alias("d"))))
-        events = points.select("page_id", F.col(f"`{pos}`").cast("bigint").alias("at"), F.lit(0).alias("d"), row) \
-            .unionByName(spans.select("page_id", marks.alias("m")).select("page_id", "m.at", "m.d"), allowMissingColumns=True)
-        w = Window.partitionBy("page_id").orderBy("at", "d").rowsBetween(_UNB, 0)
-        found = events.withColumn("open", F.sum("d").over(w)).where("d = 0")
-        return found.where("open > 0" if how == "left_semi" else "open = 0").select("pt.*")
+    added = ["outer_open_pos", "outer_close_pos", *(f"outer_{c}" for c in more)] if how == "inner" else []
     clash = set(added) & set(points.columns)
     if clash:
         raise ValueError(f"columns of the points named as those of the join: {sorted(clash)}")
-    span = F.struct(start.alias(added[0]), end.alias(added[1]), *(F.col(f"`{c}`").alias(f"outer_{c}") for c in more))
-    events = points.where(F.col("page_id").isNotNull() & F.col(f"`{pos}`").isNotNull()).select(
-        "page_id", F.col(f"`{pos}`").cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("until"), row) \
-        .unionByName(spans.select("page_id", start.alias("at"), end.alias("until"), span.alias("iv")), allowMissingColumns=True)
-    # at one position: points, then starts; the number tells the sweep where a page begins
-    w = Window.partitionBy("page_id").orderBy("at", F.col("until").asc_nulls_first())
-    events = events.select(F.row_number().over(w).alias("n"), "at", "until", "pt", "iv")
-    out = T.StructType([events.schema["pt"], events.schema["iv"]])
-    return events.mapInArrow(pairs, out).select("pt.*", "iv.*")
+    # at one position: ends, then points, then starts
+    start, end = F.col("open_pos").cast("bigint"), F.col("close_pos").cast("bigint")
+    # columns go by number: names may hold dots or be those used here
+    iv = F.struct(start.alias("v0"), end.alias("v1"), *(F.col(f"`{c}`").alias(f"v{i + 2}") for i, c in enumerate(more)))
+    marks = F.explode(F.array(
+        F.struct(start.alias("at"), F.lit(1).alias("d"), end.alias("until"), iv.alias("iv")),
+        F.struct(end.alias("at"), F.lit(-1).alias("d"), F.lit(None).cast("bigint").alias("until"),
+                 F.when(F.lit(False), iv).alias("iv")))).alias("m")
+    spans = intervals.where("page_id IS NOT NULL AND open_pos < close_pos").select("page_id", marks).select("page_id", "m.*")
+    pt = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(points.columns) if c != "page_id"]
+    events = points.select("page_id", F.col(f"`{pos}`").cast("bigint").alias("at"), F.lit(0).alias("d"), *pt) \
+        .unionByName(spans, allowMissingColumns=True)
+    order = ["at", "d", F.col("until").desc()]
+    w = Window.partitionBy("page_id").orderBy(*order).rowsBetween(_UNB, 0)
+    events = events.withColumn("depth", F.sum("d").over(w))
+    own = [F.col("page_id") if c == "page_id" else F.col(f"c{i}").alias(c) for i, c in enumerate(points.columns)]
+    if how != "inner":
+        return events.where("d = 0").where("depth > 0" if how == "left_semi" else "depth = 0").select(*own)
+    levels = F.when(F.col("d") == 0, F.sequence(F.lit(1).cast("bigint"), F.col("depth"))).otherwise(F.array("depth"))
+    events = events.where("d >= 0 AND depth > 0").select("*", F.explode(levels).alias("level"))
+    w = Window.partitionBy("page_id", "level").orderBy(*order).rowsBetween(_UNB, 0)
+    found = events.withColumn("iv", F.last("iv", ignorenulls=True).over(w)).where("d = 0")
+    crossing = F.raise_error(F.lit("intervals of a page cross, which an inner structural join does not take")).cast("boolean")
+    return found.where(F.when(F.col("iv.v1") > F.col("at"), True).otherwise(crossing)) \
+        .select(*own, *(F.col(f"iv.v{i}").alias(c) for i, c in enumerate(added)))

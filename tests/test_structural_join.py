@@ -6,7 +6,6 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pagelens.operators import stack
 from pagelens.operators.elements import elements, structural_join
 from pagelens.operators.tokens import html_tokens, prepare_pages
 
@@ -23,8 +22,19 @@ def _tables(seed, crossing):
     r = random.Random(seed)
     points = [(r.randrange(4), r.randrange(40), str(i)) for i in range(150)]
     points += [(None, 5, "x"), (1, None, "y"), points[0], points[0]]
-    spans = [(r.randrange(5), o, o + r.randrange(30 if crossing else 2), "p") for o in (r.randrange(40) for _ in range(40))]
-    spans += [(p, lo, hi, "n") for p in range(3) for lo, hi in ((0, 39), (3, 30), (3, 30), (4, 9), (10, 28))]
+    if crossing:
+        spans = [(r.randrange(5), o, o + r.randrange(30), "p") for o in (r.randrange(40) for _ in range(40))]
+    else:
+        def nested(page, lo, hi):  # spans within lo..hi, some equal, some that begin or end together
+            if hi - lo > 1:
+                a = r.randrange(lo, hi)
+                b = r.randrange(a, hi) + 1
+                m = r.randrange(a, b + 1)
+                yield from ((page, a, b, f"n{i}") for i in range(r.randrange(1, 3)))
+                for x, y in ((lo, a), (a, m), (m, b), (b, hi)):
+                    if (x, y) != (lo, hi):
+                        yield from nested(page, x, y)
+        spans = [x for p in range(5) for x in nested(p, 0, 40)]
     return points, spans + [(None, 0, 50, "x"), (1, 3, None, "y"), (2, None, 9, "z"), (2, 9, 9, "void"), (2, 9, 3, "back")]
 
 
@@ -35,7 +45,11 @@ def test_equals_all_pairs(spark, crossing):
     want = _pairs(points, spans)
     got = structural_join(p, s)
     assert got.columns == ["page_id", "pos", "tok", "outer_open_pos", "outer_close_pos", "outer_tag"]
-    assert sorted(map(tuple, got.collect())) == want
+    if crossing:
+        with pytest.raises(Exception, match="intervals of a page cross"):
+            got.collect()
+    else:
+        assert sorted(map(tuple, got.collect())) == want
     held = {w[:3] for w in want}
     key = lambda x: tuple(str(v) for v in x)
     for how, inside in (("left_semi", True), ("left_anti", False)):
@@ -51,47 +65,33 @@ def test_empty_tables_and_names(spark):
     q = p.select("page_id", F.col("pos").alias("at"), F.lit(7).alias("n"), F.lit(8).alias("d"), F.lit(9).alias("a.b"))
     assert [tuple(x) for x in structural_join(q, s, pos="at").collect()] == [(1, 2, 7, 8, 9, 1, 9, "p")]
     assert structural_join(q, s, "left_semi", pos="at").columns == q.columns
+    dotted = structural_join(q, s.withColumn("x.y", F.lit(3)), pos="at")
+    assert dotted.columns[-2:] == ["outer_tag", "outer_x.y"] and dotted.collect()[0][-1] == 3
     with pytest.raises(ValueError):
         structural_join(p.withColumn("outer_tag", F.lit(1)), s)
     with pytest.raises(ValueError):
         structural_join(p, s, "left")
 
 
-def test_open_intervals_carry_over_batches(spark):
-    """Intervals opened in one batch of rows and closed many batches later."""
-    points = [(1, i, str(i)) for i in range(1, 400)]
-    spans = [(1, 0, 400, "all"), (1, 50, 300, "most"), (1, 100, 101, "none"), (1, 200, 202, "one")]
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = structural_join(spark.createDataFrame(points, POINTS), spark.createDataFrame(spans, SPANS)).collect()
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+def test_deep_nesting(spark):
+    """A point inside very many intervals, and repeated points."""
+    spans = [(1, i, 1000 - i, "s") for i in range(300)]
+    points = [(1, 301, "deep"), (1, 1, "flat"), (1, 1, "flat")]
+    got = structural_join(spark.createDataFrame(points, POINTS), spark.createDataFrame(spans, SPANS)).collect()
     assert sorted(map(tuple, got)) == _pairs(points, spans)
 
 
-def test_batches_of_pairs_are_bounded():
-    """A point inside very many intervals: its pairs come in batches."""
-    import pyarrow as pa
-    k = 3 * stack.PAIRS
-    iv = pa.array([{"o": i} for i in range(k)] + [None])
-    b = pa.RecordBatch.from_arrays([pa.array(range(1, k + 2)), pa.array([*range(k), k]), pa.array([10 * k] * k + [None]),
-                                    pa.array([None] * k + [{"x": 1}]), iv], names=["n", "at", "until", "pt", "iv"])
-    out = list(stack.pairs(iter([b])))
-    assert sum(x.num_rows for x in out) == k and max(x.num_rows for x in out) <= stack.PAIRS
-
-
 def test_rows_lie_by_page_already(spark):
-    """Behind the page exchange the join adds none of its own."""
+    """Behind the page exchange neither the join nor a group by page adds one of its own."""
     pages = spark.createDataFrame([(1, "u", "<p>a</p><a><img></a>")], "page_id long, url string, html string")
     e = elements(prepare_pages(pages))
     im, a = e.where("tag = 'img'").withColumnRenamed("open_pos", "pos"), e.where("tag = 'a'")
     for how in ("inner", "left_anti"):
         j = structural_join(im, a.select("page_id", "open_pos", "close_pos"), how)
         assert j.count() == (1 if how == "inner" else 0)
-        plan = j._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2  # the page exchange of either side
+        plan = j.groupBy("page_id", "pos").count()._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
+        assert "InArrow" not in plan and plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2  # the page exchange of either side
 
 
 def test_time_grows_with_points_and_pairs(spark):
