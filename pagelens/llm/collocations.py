@@ -11,7 +11,9 @@ length: a phrase is hashed to a slot, a byte with the step from which it is usab
 is written once, so the step at which a phrase starts is the same in every scan. Phrases
 that share a slot can only make others start that need not have: these see a full cycle
 like all, and exact counts decide at the end. Counters are kept by the phrases' hashes; one
-more scan counts the texts behind the counters that reached the threshold. The table's size is bounded; a fuller table
+more scan holds the texts behind the counters that reached the threshold against the text
+known for each counter, learnt from a share of the rows. A counter behind which all texts are equal
+is that text's exact count; other texts are counted by themselves. The table's size is bounded; a fuller table
 costs counters, never a phrase. Counts of a step are written once and summed only for
 slots of phrases that had their share of the threshold in some shard of the cycle.
 """
@@ -46,6 +48,9 @@ FEWEST_SLOTS, MOST_SLOTS = 1 << 15, 1 << 22
 SEGMENT = 4 << 20
 #: Distinct phrases that a task adds up before it hands them on.
 COMBINED = 1 << 18
+#: Texts of counters are learnt from about so many bytes, at least one row in LEARN_SHARE, and
+#: at most so many are held in a task; the others are counted by their texts in every task.
+LEARN_BYTES, LEARN_SHARE, MOST_KNOWN = 32 << 20, 16, 1 << 20
 TOP = 2000
 #: A phrase goes if a longer candidate around it is seen in this share of its places, in per cent.
 COVERED = 100
@@ -54,7 +59,10 @@ POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
 #: A counter: hash of a phrase, step at which it began and words as one number, occurrences.
 COUNTERS = "h long, meta long, c long"
 #: An exact count: language, newline, phrase (which holds no newline); no words: all occurrences of words.
+#: A negative number of words: the known phrase is not the only one behind its counter.
 EXACT = "key binary, words int, c long"
+#: The text of a flagged phrase, by its counter's hash.
+TEXTS = "h long, words int, key binary"
 
 
 def segments(data: bytes, size: int, words: int = WORDS):
@@ -130,7 +138,7 @@ class Segment:
             yield size, h, shorter, (self.piece[:m] == self.piece[size - 1:]) & self.starts[:m]
 
     def texts(self, i: np.ndarray, size: int):
-        """(distinct phrases of `size` words at places i, occurrences)."""
+        """(distinct phrases of `size` words at places i, occurrences, which of i is the first)."""
         key = self.code[i]
         for j in range(1, size):
             if j > 1:
@@ -138,7 +146,7 @@ class Segment:
             key = key * len(self.words) + self.code[i + j]
         _, first, c = np.unique(key, return_index=True, return_counts=True)
         parts = [self.words.take(pa.array(self.code[i[first] + j])) for j in range(size)]
-        return pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0], c
+        return pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0], c, first
 
 
 def active(usable: np.ndarray, step: int, shards: int) -> list[int]:
@@ -167,9 +175,58 @@ def count(seg: Segment, step: int, usable: np.ndarray, shards: int, sizes: list[
                                              names=["h", "meta", "c"])
 
 
-def exactly(seg: Segment, lang: str, flags: np.ndarray):
+class Known:
+    """Counters by length of the phrase: hashes in rising order, and the one text known for each."""
+
+    def __init__(self, rows: pa.Table):
+        self.of = {}
+        words, hashes = rows["words"].to_numpy(), rows["h"].to_numpy().view(np.uint64)
+        keys = rows["key"].combine_chunks()
+        for size in np.unique(words).tolist():
+            i = np.flatnonzero(words == size)
+            i = i[np.argsort(hashes[i])]
+            self.of[size] = hashes[i], keys.take(pa.array(i))
+
+    def places(self, size: int, m: np.ndarray) -> np.ndarray:
+        """Place of each hash among the known ones, -1 if it is not one."""
+        if size not in self.of:
+            return np.full(len(m), -1)
+        h = self.of[size][0]
+        at = np.minimum(np.searchsorted(h, m), len(h) - 1)
+        return np.where(h[at] == m, at, -1)
+
+
+def flagged_phrases(seg: Segment, flags: np.ndarray, known: Known | None = None):
+    """(words, hashes, places) of the phrases of one segment whose slots are flagged, a row of
+    slots per length, and whose subphrases' are; and of all that share a known counter's hash."""
+    shorter = None
+    for size, h, _, here in seg.phrases(len(flags)):
+        m = mixed(h)
+        flagged = slot = flags[size - 1][slot_of(m, flags.shape[1])]
+        if size > 1:  # both subphrases of a frequent phrase are frequent
+            flagged = slot & shorter[:-1] & shorter[1:]
+        shorter = flagged
+        i = np.flatnonzero(here & (flagged if known is None else slot))
+        at = np.full(len(i), -1) if known is None else known.places(size, m[i])
+        keep = flagged[i] | (at >= 0)
+        if keep.any():
+            yield size, m, i[keep], at[keep]
+
+
+def learnt(seg: Segment, lang: str, flags: np.ndarray):
+    """Texts of the flagged phrases of one segment."""
+    prefix = pa.scalar(lang.encode() + b"\n", pa.binary())
+    for size, m, i, _ in flagged_phrases(seg, flags):
+        phrase, _, first = seg.texts(i, size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(m[i[first]].view(np.int64)), pa.array(np.full(len(first), size, dtype=np.int32)),
+             pc.binary_join_element_wise(prefix, phrase, b"")], names=["h", "words", "key"])
+
+
+def exactly(seg: Segment, lang: str, flags: np.ndarray, known: Known | None = None):
     """Exact counts of the phrases of one segment whose slots are flagged, a row of slots
-    per length, and the number of its words."""
+    per length, and the number of its words. Phrases that are the text known for their
+    counter are left to it; a known text that shares its counter with another one is named."""
     prefix = pa.scalar(lang.encode() + b"\n", pa.binary())
 
     def batch(keys, size, c):
@@ -177,16 +234,18 @@ def exactly(seg: Segment, lang: str, flags: np.ndarray):
                                           names=["key", "words", "c"])
 
     yield batch(pa.array([prefix.as_py()], pa.binary()), 0, np.array([np.count_nonzero(seg.starts)]))
-    shorter = None
-    for size, h, _, here in seg.phrases(len(flags)):
-        flagged = flags[size - 1][slot_of(mixed(h), flags.shape[1])]
-        if size > 1:  # both subphrases of a frequent phrase are frequent
-            flagged &= shorter[:-1] & shorter[1:]
-        shorter = flagged
-        i = np.flatnonzero(here & flagged)
-        if len(i):
-            phrase, c = seg.texts(i, size)
-            yield batch(pc.binary_join_element_wise(prefix, phrase, b""), size, c)
+    for size, _, i, at in flagged_phrases(seg, flags, known):
+        phrase, c, first = seg.texts(i, size)
+        key, at = pc.binary_join_element_wise(prefix, phrase, b""), at[first]
+        if (at >= 0).any():
+            text = known.of[size][1].take(pa.array(at, mask=at < 0))
+            own = pc.fill_null(pc.equal(key, text), False).to_numpy(zero_copy_only=False)
+            shared = np.unique(at[~own & (at >= 0)])
+            if len(shared):
+                yield batch(known.of[size][1].take(pa.array(shared)), -size, np.ones(len(shared)))
+            key, c = key.filter(pa.array(~own)), c[~own]
+        if len(c):
+            yield batch(key, size, c)
 
 
 def combined(batches, most: int = COMBINED):
@@ -281,8 +340,8 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
     corpus = spark.read.schema("lang string, text binary, shard int").parquet(path)
     if slots is not None and slots & (slots - 1):
         raise ValueError("a power of two of slots")
+    size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if slots is None:
-        size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         slots = min(max(1 << (size // 256).bit_length(), FEWEST_SLOTS), MOST_SLOTS)
     usable = np.zeros((longest - 1, slots), dtype=np.uint8)
     keys = ["h", "words", "begin", "slot"]
@@ -305,10 +364,27 @@ def frequent(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", le
             until = max(until, step + 1 + shards)
         step += 1
     # a counter is a hash, so it is never below its phrase's count; the phrases behind those
-    # that reached the threshold are counted by their texts in one more scan
-    held = spark.sparkContext.broadcast(reached(reduce(DataFrame.unionByName, whole), longest, slots))
-    exact = scan(corpus, EXACT, lambda seg, lang: exactly(seg, lang, held.value), longest, segment, combined) \
-        .groupBy("key", "words").agg(F.sum("c").alias("c")).where((F.col("words") == 0) | (F.col("c") >= least))
+    # that reached the threshold are compared by their texts in one more scan
+    whole = cut(reduce(DataFrame.unionByName, whole))
+    held = spark.sparkContext.broadcast(reached(whole, longest, slots))
+    alone = whole.groupBy("h", "words").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).where("k = 1").drop("k")
+    share = max(min(size // LEARN_BYTES, LEARN_SHARE), 1)
+    some = corpus.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).repartition(max(-(-size // share // segment), 1))
+    known = scan(some, TEXTS, lambda seg, lang: learnt(seg, lang, held.value), longest, segment) \
+        .groupBy("h", "words").agg(F.min("key").alias("key"))
+    known = cut(known.join(alone, ["h", "words"]))
+    if known.count() > MOST_KNOWN:  # the most frequent ones
+        known = cut(known.orderBy(F.col("c").desc(), "h").limit(MOST_KNOWN))
+    while True:
+        texts = spark.sparkContext.broadcast(Known(known.toArrow()))  # at most MOST_KNOWN
+        exact = cut(scan(corpus, EXACT, lambda seg, lang: exactly(seg, lang, held.value, texts.value), longest, segment, combined)
+                    .groupBy("key", "words").agg(F.sum("c").alias("c")).where((F.col("words") <= 0) | (F.col("c") >= least)))
+        texts.destroy()
+        shared = exact.where("words < 0").select("key", (-F.col("words")).alias("words"))
+        if shared.isEmpty():
+            break
+        known = cut(known.join(shared, ["key", "words"], "left_anti"))  # these are counted by their texts as well
+    exact = exact.unionByName(known.select("key", "words", "c"))
     key = F.col("key").cast("string")
     phrase = F.substring_index(key, "\n", -1)
     exact = cut(exact.select(F.left(key, F.char_length(key) - F.char_length(phrase) - 1).alias("lang"),

@@ -126,3 +126,34 @@ def test_counts_are_added_up_in_bounded_batches():
             got.update(Counter({r["key"]: r["c"] for r in b.to_pylist()}))
         assert got == want and sum(b.num_rows for b in out) < 3000
     assert list(co.combined(iter([]))) == []
+
+
+def scanned(monkeypatch):
+    """The rows that the scans hand on, by the names of their columns."""
+    out, scan = [], co.scan
+
+    def kept(shard, schema, *args, **options):
+        df = co.cut(scan(shard, schema, *args, **options))
+        out.append((schema, df))
+        return df
+    monkeypatch.setattr(co, "scan", kept)
+    return out
+
+
+def test_known_phrases_are_not_handed_on_by_every_task(spark, monkeypatch):
+    rows = [("en", " ".join(f"w{(i * j) % 200}" for j in range(400))) for i in range(1, 65)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(16)
+    made = scanned(monkeypatch)
+    assert run(df, least=20) == brute(rows, 20)
+    frequent = sum(c >= 20 for c in Counter(w for _, t in rows for w in t.split()).values())
+    exact = [d for schema, d in made if schema == co.EXACT]
+    assert frequent == 200 and len(exact) == 1 and exact[0].where("words = 1").count() < frequent
+
+
+@pytest.mark.parametrize("bits", [0, 3, 40])
+def test_counters_that_several_phrases_share(spark, monkeypatch, bits):
+    """Hashes of few bits: no count may go by the hash."""
+    hashed = co.word_hashes
+    monkeypatch.setattr(co, "word_hashes", lambda words, seed: hashed(words, seed) & np.uint64((1 << bits) - 1))
+    rows = corpus(3, 60)
+    assert run(spark.createDataFrame(rows, "lang string, text string").repartition(3), least=4) == brute(rows, 4)
