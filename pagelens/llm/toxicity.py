@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,16 +46,24 @@ COMMON = 16
 #: Texts whose matrix product is taken at once.
 BATCH = 256
 WORD = re.compile(r"[^\W\d_]+")
+#: What is not a letter of ASCII becomes a space.
+LETTERS = {c: chr(c) if chr(c).isalpha() else " " for c in range(128)}
+
+
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words of a text; of plain ASCII they are split without the pattern."""
+    text = (text or "").lower()
+    return text.translate(LETTERS).split() if text.isascii() else WORD.findall(text)
 
 
 def counted(text: str | None) -> Counter:
     """Occurrences of each lower-cased word."""
-    return Counter(WORD.findall((text or "").lower()))
+    return Counter(words_of(text))
 
 
 def numbered(counts: Counter, vocabulary: dict) -> dict:
     """Occurrences by number of the word, words outside the vocabulary left out."""
-    return {vocabulary[w]: n for w, n in counts.items() if w in vocabulary}
+    return {t: n for t, n in zip(map(vocabulary.get, counts), counts.values()) if t is not None}
 
 
 def ranges(first, end):
@@ -88,6 +96,7 @@ class Index:
         best = np.maximum.reduceat(w, at) if len(at) else np.zeros(0)
         entries = np.concatenate(([0], np.cumsum(np.bincount(t[at], minlength=v))))
         smallest = np.minimum.reduceat(ids, np.arange(0, n, BLOCK)) if n else ids
+        d = d.astype(np.intp)  # what bincount takes without a copy
         self.restore((idf, ids, labels, smallest, row, dense, entries, (d // BLOCK)[at], best,
                       np.concatenate(([0], np.cumsum(np.bincount(t, minlength=v)))), d, w))
 
@@ -116,8 +125,10 @@ class Index:
         alive = np.zeros(len(self.first), dtype=bool)
         alive[blocks] = True
         here = np.repeat(alive, BLOCK)[:len(part)]
-        held = here[doc]
-        score = part + np.bincount(doc[held], x[held], len(part))
+        if 2 * len(blocks) < len(alive):  # else what is left out costs more to find than to add
+            held = here[doc]
+            doc, x = doc[held], x[held]
+        score = part + np.bincount(doc, x, len(part))
         hit = np.flatnonzero((score > max(0.0, level - 1e-11)) & here)
         return hit, np.round(score[hit], 12)
 
@@ -257,13 +268,15 @@ def document_frequencies(texts: DataFrame, at: dict):
     shared = texts.sparkSession.sparkContext.broadcast(at)  # bounded by the words of the examples
 
     def run(batches):
-        held, n = Counter(), 0
-        known = shared.value.keys()
+        held, n, number = np.zeros(len(shared.value) + 1, dtype=np.int64), 0, shared.value.get
         for b in batches:
             n += b.num_rows
-            for t in b.column(0):
-                held.update(known & set(WORD.findall((t.as_py() or "").lower())))
-        numbers = [(shared.value[w], c) for w, c in held.items()] + [(-1, n)]
+            for a in range(0, b.num_rows, BATCH):
+                seen: list[int] = []  # words outside `at` get the last number
+                for t in b.column(0)[a:a + BATCH].to_pylist():
+                    seen.extend(map(number, set(words_of(t)), repeat(len(held) - 1)))
+                held += np.bincount(np.array(seen, dtype=np.intp), minlength=len(held))
+        numbers = [(w, c) for w, c in enumerate(held[:-1].tolist()) if c] + [(-1, n)]
         for i in range(0, len(numbers), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in numbers[i:i + 50_000]], pa.int32()),
                                               pa.array([x[1] for x in numbers[i:i + 50_000]], pa.int64())], names=["w", "n"])

@@ -95,3 +95,21 @@ def test_odd_rows(spark):
     assert toxicity.score(odd_docs(spark), tiny).count() == 12
     nothing = toxicity.fit(odd_docs(spark), labels.limit(0))
     assert {r["score"] for r in toxicity.score(odd_docs(spark), nothing).collect()} == {0.0}
+
+
+def test_words_are_read_and_looked_up_once(monkeypatch):
+    texts = [None, "", "It's 2 fine_days, NO-one\x00at Émile's ½ ² naïve", "Plain ASCII: a1b2_c\tD\n" + "".join(map(chr, range(128))),
+             "".join(map(chr, range(0x250)))]
+    assert [toxicity.words_of(t) for t in texts] == [toxicity.WORD.findall((t or "").lower()) for t in texts]
+
+    class Once(dict):
+        asked = 0
+
+        def get(self, *args):
+            Once.asked += 1
+            return dict.get(self, *args)
+
+        __contains__ = __getitem__ = None
+    assert toxicity.numbered(toxicity.counted("b a b c"), Once(a=4, b=7)) == {7: 2, 4: 1} and Once.asked == 3
+    monkeypatch.setattr(toxicity, "WORD", None)  # plain ASCII does without the pattern
+    assert toxicity.counted("Ab, ab; c") == {"ab": 2, "c": 1}
