@@ -37,7 +37,7 @@ from pagelens.sources import lists as L
 from pagelens.sources import report as R
 from pagelens.sources.bulk import read_bulk_pairs, write_bulk_pairs
 from pagelens.session import scratch_path
-from pagelens.sources.pages import read_html_files, read_pages
+from pagelens.sources.pages import read_html_files, read_pages, write_html_files
 from pagelens.streaming import image_stream as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -452,10 +452,10 @@ def q_s3_url_cells(spark, sf):
 def q_s2_html_files(spark, sf):
     """Every page written as an HTML file of its own and read back as a page."""
     path = scratch_path(spark, "html")
-    _pages(spark, sf).repartition("page_id").select("page_id", "html").write.partitionBy("page_id").text(path)
+    write_html_files(_pages(spark, sf), path)
     files = read_html_files(spark, path)
     text = F.expr("substring(html, 1, length(html) - 1)")  # the sink ends a file with a line end
-    return files.select(F.regexp_extract("url", "/page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+    return files.select(F.regexp_extract("url", "/page_id=([0-9]+)[.]html", 1).cast("bigint").alias("page_id"),
                         (F.col("page_id") == F.xxhash64("url")).alias("keyed"),
                         F.length(text).cast("bigint").alias("chars"), F.sha2(text, 256).alias("sha256"))
 

@@ -153,3 +153,17 @@ def test_the_files_of_a_report_join_to_the_csv_writers(spark, tmpdir_path):
             w.writerow([", ".join(terms), ", ".join(images), title, url])
         w.writerow([""])
     assert got == want.getvalue()
+
+
+def test_html_files_are_written_by_the_tasks(spark, tmpdir_path, monkeypatch):
+    """A file per id in folders of many, none moved at the end; rows of one id in one file."""
+    monkeypatch.setattr(P, "FOLDER_FILES", 50)
+    rows = [(i, f"<p>é{i}\n</p>") for i in range(400)] + [(7, "again"), (500, None), (501, "")]
+    out = os.path.join(tmpdir_path, "html")
+    P.write_html_files(spark.createDataFrame(rows, "page_id long, html string").repartition(7), out)
+    names = [(d, f) for d, _, fs in os.walk(out) for f in fs]
+    assert len(names) == 402 and len({d for d, _ in names}) <= 9 and not any(f.startswith(".") for _, f in names)
+    got = {int(r.url.split("page_id=")[1][:-len(".html")]): r.html for r in P.read_html_files(spark, out).collect()}
+    want = {i: f"{t or ''}\n" for i, t in rows} | {500: "\n", 501: "\n"}
+    assert sorted(got.pop(7).splitlines()) == sorted(f"{rows[7][1]}\nagain\n".splitlines()) and want.pop(7)
+    assert got == want
