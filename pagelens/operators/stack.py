@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
@@ -43,12 +45,24 @@ def ends(marks: list[str | None]) -> list[int | None]:
     return out
 
 
+def pylists(lists: pa.Array) -> list[list]:
+    """The lists of a batch, their values converted all at once; a null list is empty, a
+    null number -1."""
+    stop = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+    flat = lists.flatten()
+    if pa.types.is_integer(flat.type):
+        flat = flat.fill_null(-1)
+    values = flat.to_numpy(zero_copy_only=False).tolist()
+    return [values[a:b] for a, b in zip([0, *stop], stop)]
+
+
 def close_positions(marks: Column) -> Column:
     """``ends`` of a column of mark arrays."""
 
     @arrow_udf(ArrayType(IntegerType()))
     def run(batch: pa.Array) -> pa.Array:
-        return pa.array([ends(m.as_py()) if m.is_valid else None for m in batch], pa.list_(pa.int32()))
+        return pa.array([ends(m) if ok else None for m, ok in zip(pylists(batch), batch.is_valid().to_pylist())],
+                        pa.list_(pa.int32()))
 
     return run(marks)
 

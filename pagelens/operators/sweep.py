@@ -6,7 +6,7 @@ the page. Here the page's text is read once, token by token, with a stack of the
 are open. A word gives its terms to all open lines at once: those that opened after the
 term's last occurrence have not counted it yet, and as the stack is sorted by where lines
 open, a binary search tells how many they are. Only a word that a line cuts in two, at its
-start or end, is told apart for that line.
+start or end, is told apart for that line. A line in which no other opens is counted by itself.
 
 As for where elements end, this is sequential within a page, so it runs over Arrow
 batches of pages; token texts, lower-casing and all later work stay native.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from pagelens.functions import text as X
+from pagelens.operators.stack import pylists
 
 # the apostrophe cut (X6) as the native expression does it: not across a line break
 _APOSTROPHE = re.compile("['’][^\n\r\u0085  ]*(?=[\n\r\u0085  ]?\\Z)")
@@ -104,6 +105,11 @@ class Sweep:
                 if k == len(opens):
                     break
                 i = max(i, opens[k])
+                end = ends[i]
+                if opens[k] == i and end is not None and end > i + 1 and (k + 1 == len(opens) or opens[k + 1] >= end):
+                    self.alone("".join(texts[i + 1:end]))  # no other line opens in this one
+                    k, i = k + 1, end
+                    continue
             while closes and closes[-1] == i:
                 closes.pop()
                 s, line = self.starts.pop(), self.ids.pop()
@@ -161,10 +167,10 @@ def line_term_counts(texts: Column, ends: Column, opens: Column, alone: Column,
     def run(t: pa.Array, e: pa.Array, o: pa.Array, a: pa.Array) -> pa.Array:
         terms = Analyzer(analyzer)
         sizes, names, counts = [0], [], []
-        for i in range(len(t)):
+        for texts, ends, opens, lines in zip(*map(pylists, (t, e, o, a))):
             page = Sweep(terms)
-            page.run(t[i].as_py() or [], e[i].as_py() or [], o[i].as_py() or [])
-            for line in a[i].as_py() or []:
+            page.run(texts, ends, opens)
+            for line in lines:
                 page.alone(line)
             names += page.counts.keys()
             counts += page.counts.values()

@@ -114,3 +114,42 @@ def test_texts_of_nested_elements_are_not_in_one_row(spark):
     e = elements(prepare_pages(pages), ["p"], text_of=["p"])
     r = e.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c")).first()
     assert (r.n, r.c) == (3_000, 100 * 3_000 * 3_001 // 2)
+
+
+def test_lines_that_do_not_nest_are_not_swept(monkeypatch):
+    """Lines with no other in them are counted by themselves, beside nests that are swept."""
+    rnd = random.Random(9)
+    for _ in range(300):
+        texts, ends, opens, want = [], [], [], []
+        for _ in range(rnd.randint(1, 6)):
+            first, size, at = len(texts), rnd.randint(1, 5), len(texts)
+            inner = rnd.choice([0, 0, 1])
+            texts += ["".join(rnd.choice(["ab", "c", " ", "de "]) for _ in range(rnd.randint(0, 4))) if j else "" for j in range(size + 2)]
+            ends += [None] * (size + 2)
+            ends[at] = len(texts) - 1
+            texts[-1] = ""
+            opens.append(at)
+            want.append("".join(texts[first + 1:-1]))
+            if inner and size > 1:
+                texts[at + 1], ends[at + 1] = "", len(texts) - 1
+                opens.append(at + 1)
+                want[-1] = "".join(texts[first + 1:-1])
+                want.append("".join(texts[first + 2:-1]))
+        page = Sweep(Analyzer("words"))
+        page.run(texts, ends, opens)
+        terms = Analyzer("words")
+        assert page.counts == dict(Counter(t for line in want for t in {x for w in line.split(" ") for x in terms(w)}))
+    monkeypatch.setattr(Sweep, "to_all", None)
+    page = Sweep(Analyzer("words"))
+    page.run(["", "apple pe", "ar ", "", "", "pear", ""], [3, None, None, None, 6, None, None], [0, 4])
+    assert page.counts == {"apple": 1, "pear": 2}
+
+
+def test_lists_are_converted_together():
+    import pyarrow as pa
+    from pagelens.operators.stack import pylists
+    rows = [["a", None, "é"], None, [], ["b"]]
+    assert pylists(pa.array(rows)) == [["a", None, "é"], [], [], ["b"]]
+    assert pylists(pa.array(rows).slice(2)) == [[], ["b"]]
+    assert pylists(pa.array([[1, None], None, [3]], pa.list_(pa.int32()))) == [[1, -1], [], [3]]
+    assert pylists(pa.array([], pa.list_(pa.string()))) == []
